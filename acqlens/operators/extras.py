@@ -22,3 +22,134 @@ def k_anonymize(postbacks: DataFrame, group_col: str, value_col: str,
     small = F.col("_n") < k
     return j.withColumn(value_col, F.when(small, F.lit(None).cast(postbacks.schema[value_col].dataType))
                         .otherwise(F.col(value_col))).drop("_g", "_n")
+
+
+# --------------------------------------------------------------------------- X1-X5
+def skan_anonymity_by_campaign(postbacks: DataFrame, k: int = K_ANONYMITY_THRESHOLD) -> DataFrame:
+    """Per campaign: postbacks, values withheld and visible after k-anonymity suppression."""
+    anon = k_anonymize(postbacks, "source_identifier", "conversion_value", k)
+    cv = F.col("conversion_value")
+    return anon.groupBy(F.col("source_identifier").alias("campaign")).agg(
+        F.count(F.lit(1)).alias("postbacks"),
+        F.sum(F.when(cv.isNull(), 1).otherwise(0)).cast("bigint").alias("withheld_values"),
+        F.count(cv).alias("visible_values"))
+
+
+def ios_paid_installs(stg_installs: DataFrame) -> DataFrame:
+    """iOS installs of paid channels per (channel, campaign): the population privacy postbacks cover."""
+    return (stg_installs.filter((F.col("platform") == "ios") & (F.col("is_paid") == 1))
+            .groupBy("channel", "campaign").agg(F.count(F.lit(1)).alias("ios_installs")))
+
+
+def ctit_by_channel(stg_installs: DataFrame) -> DataFrame:
+    """Click/view-to-install time in whole minutes per channel and touch type (organic has no touch)."""
+    from acqlens.functions.ratios import ratio
+
+    mins = F.expr("timestampdiff(MINUTE, attributed_touch_time, install_time)")
+    t = (stg_installs.filter(F.col("attributed_touch_time").isNotNull() & F.col("install_time").isNotNull())
+         .select("channel", "attributed_touch_type", mins.alias("m")))
+    agg = t.groupBy("channel", "attributed_touch_type").agg(
+        F.count(F.lit(1)).alias("installs"), F.min("m").alias("min_ctit_minutes"),
+        F.max("m").alias("max_ctit_minutes"), F.sum("m").alias("total"))
+    return agg.select("channel", "attributed_touch_type", "installs",
+                      F.col("min_ctit_minutes").cast("bigint").alias("min_ctit_minutes"),
+                      F.col("max_ctit_minutes").cast("bigint").alias("max_ctit_minutes"),
+                      ratio(F.col("total"), F.col("installs"), 12, 2).alias("avg_ctit_minutes"))
+
+
+def spend_funnel(stg_spend: DataFrame) -> DataFrame:
+    """Network funnel per channel: CTR, click-to-install rate, network-reported CPI."""
+    from acqlens.functions.ratios import ratio
+    from acqlens.schemas import MONEY_SUM
+
+    agg = stg_spend.groupBy("channel").agg(
+        F.sum("impressions").alias("impressions"), F.sum("clicks").alias("clicks"),
+        F.sum("network_installs").alias("network_installs"), F.sum("cost").alias("cost"))
+    return agg.select(
+        "channel",
+        *[F.col(c).cast("bigint").alias(c) for c in ("impressions", "clicks", "network_installs")],
+        F.col("cost").cast(MONEY_SUM).alias("cost"),
+        ratio(F.col("clicks"), F.col("impressions"), 12, 4).alias("ctr"),
+        ratio(F.col("network_installs"), F.col("clicks"), 12, 4).alias("click_to_install"),
+        ratio(F.col("cost"), F.col("network_installs"), 12, 2).alias("network_cpi"))
+
+
+def defect_profile(raw_backend: DataFrame, stg_backend_df: DataFrame, stg_events: DataFrame) -> DataFrame:
+    """One row measuring the backend's defects: duplicates, unattributed, late events, revenue drift."""
+    from acqlens.functions.ratios import ratio
+    from acqlens.schemas import MONEY_SUM
+
+    raw_n = raw_backend.agg(F.count(F.lit(1)).alias("raw_backend_rows"))
+    s = stg_backend_df.agg(
+        F.count(F.lit(1)).alias("dedup_rows"),
+        F.sum(1 - F.col("is_attributed")).alias("unattributed_events"),
+        F.sum("is_late_event").alias("late_events"),
+        F.sum(F.when(F.col("is_attributed") == 1, F.col("revenue"))).alias("backend_revenue"))
+    m = stg_events.agg(F.sum("event_revenue").alias("mmp_revenue"))
+    j = raw_n.crossJoin(s).crossJoin(m)  # three one-row aggregates
+    dup = F.col("raw_backend_rows") - F.col("dedup_rows")
+    mmp, back = F.coalesce(F.col("mmp_revenue"), F.lit(0)), F.coalesce(F.col("backend_revenue"), F.lit(0))
+    return j.select(
+        "raw_backend_rows", "dedup_rows", dup.alias("duplicate_rows"),
+        ratio(dup * 100, F.col("raw_backend_rows"), 6, 2).alias("duplicate_pct"),
+        F.col("unattributed_events").cast("bigint").alias("unattributed_events"),
+        ratio(F.col("unattributed_events") * 100, F.col("dedup_rows"), 6, 2).alias("unattributed_pct"),
+        F.col("late_events").cast("bigint").alias("late_events"),
+        ratio(F.col("late_events") * 100, F.col("dedup_rows"), 6, 2).alias("late_pct"),
+        mmp.cast(MONEY_SUM).alias("mmp_revenue"),
+        back.cast(MONEY_SUM).alias("backend_attributed_revenue"),
+        ratio((back - mmp) * 100, mmp, 8, 2).alias("revenue_drift_pct"))
+
+
+# --------------------------------------------------------------------------- proposed in prose (Y*)
+def install_discrepancy(stg_installs: DataFrame, stg_spend: DataFrame) -> DataFrame:
+    """MMP-attributed vs network-reported installs per channel x day, with the >5 % flag."""
+    from acqlens.functions.ratios import ratio
+
+    mmp = (stg_installs.groupBy("channel", F.col("install_date").alias("activity_date"))
+           .agg(F.count(F.lit(1)).alias("mmp_installs")))
+    net = (stg_spend.groupBy("channel", F.col("spend_date").alias("activity_date"))
+           .agg(F.sum("network_installs").alias("network_installs")))
+    j = mmp.join(net, on=["channel", "activity_date"], how="full")
+    m = F.coalesce(F.col("mmp_installs"), F.lit(0)).cast("bigint")
+    n = F.coalesce(F.col("network_installs"), F.lit(0)).cast("bigint")
+    d = n - m
+    flag = (F.when((m == 0) & (n > 0), 1).when(m == 0, 0)
+            .when(F.abs(d) * 100 > m * 5, 1).otherwise(0))
+    return j.select("channel", "activity_date", m.alias("mmp_installs"), n.alias("network_installs"),
+                    d.alias("install_delta"), ratio(d * 100, m, 8, 2, when=(m != 0)).alias("install_delta_pct"),
+                    flag.alias("is_discrepancy_flag"))
+
+
+def decode_conversion_value(stg_skan_df: DataFrame) -> DataFrame:
+    """Split the 6-bit conversion value: bits 0-2 revenue tier, 3-4 engagement, 5 retention flag."""
+    cv = F.col("conversion_value").cast("int")
+    return (stg_skan_df.filter(cv.isNotNull())
+            .select("campaign",
+                    F.shiftright(cv, 0).bitwiseAND(7).alias("revenue_tier"),
+                    F.shiftright(cv, 3).bitwiseAND(3).alias("engagement_tier"),
+                    F.shiftright(cv, 5).bitwiseAND(1).alias("retained_flag"))
+            .groupBy("campaign", "revenue_tier", "engagement_tier", "retained_flag")
+            .agg(F.count(F.lit(1)).alias("postbacks")))
+
+
+def postback_windows(stg_skan_df: DataFrame) -> DataFrame:
+    """Postbacks per campaign split by window index 0/1/2 (pivot with the value list given up front)."""
+    return (stg_skan_df.groupBy("campaign").pivot("postback_sequence_index", [0, 1, 2])
+            .agg(F.count(F.lit(1)))
+            .select("campaign", *[F.coalesce(F.col(str(i)), F.lit(0)).cast("bigint").alias(f"window_{i}")
+                                  for i in (0, 1, 2)]))
+
+
+def taxonomy_lint(raw_appsflyer: DataFrame, raw_backend: DataFrame) -> DataFrame:
+    """Event names outside the registry, per source, with row counts (anti-join to the registry)."""
+    from acqlens.functions.taxonomy import BACKEND_EVENTS, INSTALL_EVENT, REVENUE_EVENTS
+
+    spark = raw_appsflyer.sparkSession
+    registry = spark.createDataFrame(
+        [("appsflyer", e) for e in (INSTALL_EVENT, *REVENUE_EVENTS)] + [("backend", e) for e in BACKEND_EVENTS],
+        "source string, event_name string")
+    seen = (raw_appsflyer.select(F.lit("appsflyer").alias("source"), "event_name")
+            .unionByName(raw_backend.select(F.lit("backend").alias("source"), F.col("event").alias("event_name")))
+            .groupBy("source", "event_name").agg(F.count(F.lit(1)).alias("row_count")))
+    return seen.join(F.broadcast(registry), ["source", "event_name"], "left_anti")  # registry: fixed size

@@ -1,0 +1,4 @@
+"""Parameters pinned for the registered (reproducible) queries."""
+from acqlens.sources.freshness import ERROR_AFTER_DAYS, WARN_AFTER_DAYS  # noqa: F401
+
+FRESHNESS_AS_OF = "2024-03-03 12:00:00"

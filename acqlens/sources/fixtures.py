@@ -166,20 +166,25 @@ def raw_singular(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_skan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One privacy postback per iOS paid install; values withheld for small campaigns."""
-    from acqlens.operators.extras import k_anonymize  # the k-anonymity job is a library operator
-
+def skan_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One privacy postback per iOS paid install, conversion values not yet withheld."""
     dev = device_columns(read_table(spark, sf_dir, "customer"))
     k = F.col("k")
-    posts = dev.filter(~organic_col() & (F.col("platform") == "iOS")).select(
+    return dev.filter(~organic_col() & (F.col("platform") == "iOS")).select(
         F.concat(F.lower("segment"), F.lit(".skadnetwork")).alias("ad_network_id"),
         F.col("campaign").alias("source_identifier"),
         F.when((k * 37) % 100 < 55, 0).otherwise((k * 37) % 64).cast("smallint").alias("conversion_value"),
         (k % 3).cast("smallint").alias("postback_sequence_index"),
         F.when(k % 14 == 0, 1).otherwise(0).alias("redownload"),
     )
-    posts = k_anonymize(posts, "source_identifier", "conversion_value", K_ANONYMITY_THRESHOLD)
+
+
+def raw_skan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Postbacks as delivered: values withheld for campaigns under the crowd-anonymity threshold,
+    and for one campaign whose postbacks never carry a value."""
+    from acqlens.operators.extras import k_anonymize  # the k-anonymity job is a library operator
+
+    posts = k_anonymize(skan_base(spark, sf_dir), "source_identifier", "conversion_value", K_ANONYMITY_THRESHOLD)
     posts = posts.withColumn(
         "conversion_value",
         F.when(F.col("source_identifier") == NO_SPEND_CAMPAIGN, F.lit(None).cast("smallint"))
