@@ -6,11 +6,14 @@ action runs; ``plans.pipeline`` decides what to materialise.
 """
 from __future__ import annotations
 
+import os
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from acqlens.operators import dims, facts, marts, reconcile, staging
+from acqlens.session import ensure_checkpoint_dir
 from acqlens.sources.fixtures import RawSources, load_fixture_sources
 
 STAGING = ("stg_appsflyer", "stg_appsflyer_events", "stg_singular", "stg_skan", "stg_backend")
@@ -40,80 +43,117 @@ class ModelGraph:
             raise KeyError(name)
         return getattr(self, name)
 
+    def _finish(self, name: str, df: DataFrame) -> DataFrame:
+        """Hook applied to every model once; lazy by default."""
+        return df
+
+
+
     # -- silver
     @cached_property
     def stg_appsflyer(self) -> DataFrame:
-        return staging.stg_appsflyer(self.raw.appsflyer)
+        return self._finish("stg_appsflyer", staging.stg_appsflyer(self.raw.appsflyer))
 
     @cached_property
     def stg_appsflyer_events(self) -> DataFrame:
-        return staging.stg_appsflyer_events(self.raw.appsflyer)
+        return self._finish("stg_appsflyer_events", staging.stg_appsflyer_events(self.raw.appsflyer))
 
     @cached_property
     def stg_singular(self) -> DataFrame:
-        return staging.stg_singular(self.raw.singular)
+        return self._finish("stg_singular", staging.stg_singular(self.raw.singular))
 
     @cached_property
     def stg_skan(self) -> DataFrame:
-        return staging.stg_skan(self.raw.skan)
+        return self._finish("stg_skan", staging.stg_skan(self.raw.skan))
 
     @cached_property
     def stg_backend(self) -> DataFrame:
-        return staging.stg_backend(self.raw.backend, self.stg_appsflyer)
+        return self._finish("stg_backend", staging.stg_backend(self.raw.backend, self.stg_appsflyer))
 
     # -- reconciliation
     @cached_property
     def rec_revenue_discrepancy(self) -> DataFrame:
-        return reconcile.rec_revenue_discrepancy(self.stg_appsflyer_events, self.stg_backend)
+        return self._finish(
+            "rec_revenue_discrepancy", reconcile.rec_revenue_discrepancy(self.stg_appsflyer_events, self.stg_backend))
 
     @cached_property
     def rec_attribution_gap(self) -> DataFrame:
-        return reconcile.rec_attribution_gap(self.stg_backend)
+        return self._finish("rec_attribution_gap", reconcile.rec_attribution_gap(self.stg_backend))
 
     # -- dimensions
     @cached_property
     def dim_channel(self) -> DataFrame:
-        return dims.dim_channel(self.stg_appsflyer, self.stg_singular)
+        return self._finish("dim_channel", dims.dim_channel(self.stg_appsflyer, self.stg_singular))
 
     @cached_property
     def dim_campaign(self) -> DataFrame:
-        return dims.dim_campaign(self.stg_appsflyer, self.stg_singular)
+        return self._finish("dim_campaign", dims.dim_campaign(self.stg_appsflyer, self.stg_singular))
 
     @cached_property
     def dim_geo(self) -> DataFrame:
-        return dims.dim_geo(self.stg_appsflyer, self.stg_singular)
+        return self._finish("dim_geo", dims.dim_geo(self.stg_appsflyer, self.stg_singular))
 
     @cached_property
     def dim_date(self) -> DataFrame:
         # min/max of backend event times need neither de-duplication nor attribution
-        return dims.dim_date(self.stg_appsflyer, self.stg_appsflyer_events, self.raw.backend, self.stg_singular)
+        return self._finish(
+            "dim_date", dims.dim_date(self.stg_appsflyer, self.stg_appsflyer_events, self.raw.backend, self.stg_singular))
 
     # -- facts
     @cached_property
     def fct_installs(self) -> DataFrame:
-        return facts.fct_installs(self.stg_appsflyer)
+        return self._finish("fct_installs", facts.fct_installs(self.stg_appsflyer))
 
     @cached_property
     def fct_events(self) -> DataFrame:
-        return facts.fct_events(self.stg_appsflyer_events)
+        return self._finish("fct_events", facts.fct_events(self.stg_appsflyer_events))
 
     @cached_property
     def fct_spend(self) -> DataFrame:
-        return facts.fct_spend(self.stg_singular)
+        return self._finish("fct_spend", facts.fct_spend(self.stg_singular))
 
     # -- marts
     @cached_property
     def mart_marketing_unified(self) -> DataFrame:
-        return marts.mart_marketing_unified(self.fct_spend, self.fct_installs, self.fct_events)
+        return self._finish(
+            "mart_marketing_unified", marts.mart_marketing_unified(self.fct_spend, self.fct_installs, self.fct_events))
 
     @cached_property
     def mart_retention(self) -> DataFrame:
-        return marts.mart_retention(self.stg_backend, self.fct_installs)
+        return self._finish("mart_retention", marts.mart_retention(self.stg_backend, self.fct_installs))
 
     @cached_property
     def mart_growth_metrics(self) -> DataFrame:
-        return marts.mart_growth_metrics(self.fct_installs, self.fct_events, self.fct_spend, self.stg_skan)
+        return self._finish(
+            "mart_growth_metrics", marts.mart_growth_metrics(self.fct_installs, self.fct_events, self.fct_spend, self.stg_skan))
 
     @cached_property
     def mart_privacy_roas_gap(self) -> DataFrame:
-        return marts.mart_privacy_roas_gap(self.mart_growth_metrics, self.stg_backend)
+        return self._finish(
+            "mart_privacy_roas_gap", marts.mart_privacy_roas_gap(self.mart_growth_metrics, self.stg_backend))
+
+
+class MaterializedGraph(ModelGraph):
+    """Each model is materialised once, on first use, as a parquet table under
+    ``<spark.checkpoint.dir>/acqlens-tables/<run>/`` (a shared folder on a cluster), the way the
+    reference builds its models as tables: downstream models and checks read the materialised rows
+    (with column pruning and predicate pushdown) instead of recomputing the upstream DAG, and a lost
+    executor re-reads the table rather than recomputing from the sources."""
+
+    def __init__(self, raw: RawSources, names: tuple[str, ...] | None = None, root: str | None = None):
+        super().__init__(raw)
+        self.names = set(MODELS if names is None else names)
+        self.root = root
+
+    def _finish(self, name: str, df: DataFrame) -> DataFrame:
+        if name not in self.names:
+            return df
+        if self.root is None:
+            self.root = os.path.join(ensure_checkpoint_dir(df.sparkSession), "acqlens-tables", uuid.uuid4().hex)
+        return write_table(df, os.path.join(self.root, name))
+
+
+def write_table(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` once as parquet and return the table read back (lineage ends at the files)."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

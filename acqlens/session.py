@@ -20,6 +20,7 @@ ENGINE_CONF = {
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.parquet.inferTimestampNTZ.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 

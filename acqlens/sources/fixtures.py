@@ -7,7 +7,7 @@ spend from ``orders`` joined to ``customer``, postbacks from iOS installs.
 """
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -95,16 +95,15 @@ _APPSFLYER_COLS = ["appsflyer_id", "media_source", "campaign", "af_adset", "af_a
                    "event_time", "country_code", "platform"]
 
 
-def raw_appsflyer(spark: SparkSession, sf_dir: str) -> DataFrame:
+def appsflyer_from(dev: DataFrame, events: DataFrame) -> DataFrame:
     """Install rows (one per customer) plus one row per customer event, device attributes repeated."""
-    dev = device_columns(read_table(spark, sf_dir, "customer"))
     installs = dev.select(
         *[F.col(c) for c in _APPSFLYER_COLS if c not in ("event_name", "event_revenue", "event_time")],
         F.lit("install").alias("event_name"),
         F.lit(None).cast(MONEY_EVENT).alias("event_revenue"),
         F.lit(None).cast("timestamp_ntz").alias("event_time"),
     )
-    ev = read_table(spark, sf_dir, "events").select("user_id", "event_type", "value", "ts")
+    ev = events.select("user_id", "event_type", "value", "ts")
     et = F.col("event_type")
     name = None
     for t, mmp in EVENT_TYPE_TO_MMP.items():
@@ -118,10 +117,10 @@ def raw_appsflyer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return installs.unionByName(events).select(*_APPSFLYER_COLS, _loaded_at())
 
 
-def raw_backend(spark: SparkSession, sf_dir: str) -> DataFrame:
+def backend_from(events: DataFrame) -> DataFrame:
     """Server-side purchases/subscriptions with planted defects: revenue drift, late shifts,
     exact duplicates and events of users the attribution side never saw."""
-    ev = read_table(spark, sf_dir, "events").filter(F.col("event_type").isin(*EVENT_TYPE_TO_BACKEND))
+    ev = events.filter(F.col("event_type").isin(*EVENT_TYPE_TO_BACKEND))
     eid = F.col("event_id")
     et = F.col("event_type")
     event = None
@@ -143,10 +142,9 @@ def raw_backend(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("user_id", "event", "revenue", "event_time", _loaded_at()))
 
 
-def raw_singular(spark: SparkSession, sf_dir: str) -> DataFrame:
+def singular_from(dev: DataFrame, orders: DataFrame) -> DataFrame:
     """Daily network spend rows from every 5th order of non-organic customers."""
-    dev = device_columns(read_table(spark, sf_dir, "customer"))
-    orders = (read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    orders = (orders.select("o_orderkey", "o_custkey", "o_totalprice")
               .filter(F.col("o_orderkey") % 5 == 0))
     dev = dev.filter(~organic_col() & (F.col("campaign") != NO_SPEND_CAMPAIGN))
     ok = F.col("o_orderkey")
@@ -166,9 +164,8 @@ def raw_singular(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def skan_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+def skan_base_from(dev: DataFrame) -> DataFrame:
     """One privacy postback per iOS paid install, conversion values not yet withheld."""
-    dev = device_columns(read_table(spark, sf_dir, "customer"))
     k = F.col("k")
     return dev.filter(~organic_col() & (F.col("platform") == "iOS")).select(
         F.concat(F.lower("segment"), F.lit(".skadnetwork")).alias("ad_network_id"),
@@ -179,12 +176,12 @@ def skan_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_skan(spark: SparkSession, sf_dir: str) -> DataFrame:
+def skan_from(base: DataFrame) -> DataFrame:
     """Postbacks as delivered: values withheld for campaigns under the crowd-anonymity threshold,
     and for one campaign whose postbacks never carry a value."""
     from acqlens.operators.extras import k_anonymize  # the k-anonymity job is a library operator
 
-    posts = k_anonymize(skan_base(spark, sf_dir), "source_identifier", "conversion_value", K_ANONYMITY_THRESHOLD)
+    posts = k_anonymize(base, "source_identifier", "conversion_value", K_ANONYMITY_THRESHOLD)
     posts = posts.withColumn(
         "conversion_value",
         F.when(F.col("source_identifier") == NO_SPEND_CAMPAIGN, F.lit(None).cast("smallint"))
@@ -193,18 +190,74 @@ def raw_skan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "postback_sequence_index", "redownload", _loaded_at())
 
 
-@dataclass
 class RawSources:
-    appsflyer: DataFrame
-    singular: DataFrame
-    skan: DataFrame
-    backend: DataFrame
+    """The four bronze sources."""
+
+    def __init__(self, appsflyer: DataFrame, singular: DataFrame, skan: DataFrame, backend: DataFrame):
+        self.appsflyer, self.singular, self.skan, self.backend = appsflyer, singular, skan, backend
 
     def as_dict(self) -> dict[str, DataFrame]:
         return {"appsflyer": self.appsflyer, "singular": self.singular, "skan": self.skan,
                 "backend": self.backend}
 
 
-def load_fixture_sources(spark: SparkSession, sf_dir: str) -> RawSources:
-    return RawSources(appsflyer=raw_appsflyer(spark, sf_dir), singular=raw_singular(spark, sf_dir),
-                      skan=raw_skan(spark, sf_dir), backend=raw_backend(spark, sf_dir))
+class FixtureSources(RawSources):
+    """Raw sources derived from the driver's tables, built lazily: a query only plans the sources it
+    uses, and every table is read (and the device frame derived) once per instance."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):  # noqa: super-init deliberately not called
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def table(self, name: str) -> DataFrame:
+        cache = self.__dict__.setdefault("_tables", {})
+        if name not in cache:
+            cache[name] = read_table(self.spark, self.sf_dir, name)
+        return cache[name]
+
+    @cached_property
+    def devices(self) -> DataFrame:
+        return device_columns(self.table("customer"))
+
+    @cached_property
+    def appsflyer(self) -> DataFrame:
+        return appsflyer_from(self.devices, self.table("events"))
+
+    @cached_property
+    def singular(self) -> DataFrame:
+        return singular_from(self.devices, self.table("orders"))
+
+    @cached_property
+    def skan_base(self) -> DataFrame:
+        return skan_base_from(self.devices)
+
+    @cached_property
+    def skan(self) -> DataFrame:
+        return skan_from(self.skan_base)
+
+    @cached_property
+    def backend(self) -> DataFrame:
+        return backend_from(self.table("events"))
+
+
+def load_fixture_sources(spark: SparkSession, sf_dir: str) -> FixtureSources:
+    return FixtureSources(spark, sf_dir)
+
+
+def raw_appsflyer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return FixtureSources(spark, sf_dir).appsflyer
+
+
+def raw_singular(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return FixtureSources(spark, sf_dir).singular
+
+
+def raw_skan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return FixtureSources(spark, sf_dir).skan
+
+
+def raw_backend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return FixtureSources(spark, sf_dir).backend
+
+
+def skan_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return FixtureSources(spark, sf_dir).skan_base
