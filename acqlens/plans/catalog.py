@@ -39,7 +39,7 @@ def _on_tables(fn: Callable[[ModelGraph], DataFrame], name: str) -> QueryFn:
     """Checks run on materialised models (as the reference tests its built tables), not on a DAG
     recomputed from the sources once per check."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(MaterializedGraph(fixtures.load_fixture_sources(spark, sf_dir)))
+        return fn(MaterializedGraph(fixtures.load_fixture_sources(spark, sf_dir)).build())
     run.__name__ = name
     return run
 

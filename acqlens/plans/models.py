@@ -21,6 +21,42 @@ RECONCILIATION = ("rec_revenue_discrepancy", "rec_attribution_gap")
 MARTS = ("dim_channel", "dim_campaign", "dim_geo", "dim_date", "fct_installs", "fct_events", "fct_spend",
          "mart_marketing_unified", "mart_retention", "mart_growth_metrics", "mart_privacy_roas_gap")
 MODELS = STAGING + RECONCILIATION + MARTS
+FACTS = ("fct_installs", "fct_events", "fct_spend")
+
+# model -> upstream models (the ref() edges of the reference's DAG)
+DEPENDS_ON: dict[str, tuple[str, ...]] = {
+    "stg_appsflyer": (), "stg_appsflyer_events": (), "stg_singular": (), "stg_skan": (),
+    "stg_backend": ("stg_appsflyer",),
+    "rec_revenue_discrepancy": ("stg_appsflyer_events", "stg_backend"),
+    "rec_attribution_gap": ("stg_backend",),
+    "dim_channel": ("stg_appsflyer", "stg_singular"),
+    "dim_campaign": ("stg_appsflyer", "stg_singular"),
+    "dim_geo": ("stg_appsflyer", "stg_singular"),
+    "dim_date": ("stg_appsflyer", "stg_appsflyer_events", "stg_singular"),
+    "fct_installs": ("stg_appsflyer",), "fct_events": ("stg_appsflyer_events",), "fct_spend": ("stg_singular",),
+    "mart_marketing_unified": ("fct_spend", "fct_installs", "fct_events"),
+    "mart_retention": ("stg_backend", "fct_installs"),
+    "mart_growth_metrics": ("fct_installs", "fct_events", "fct_spend", "stg_skan"),
+    "mart_privacy_roas_gap": ("mart_growth_metrics", "stg_backend"),
+}
+
+
+def build_levels(names=MODELS) -> list[list[str]]:
+    """Topological levels: every model's upstream models sit in earlier levels."""
+    level: dict[str, int] = {}
+
+    def depth(m: str) -> int:
+        if m not in level:
+            level[m] = 1 + max((depth(d) for d in DEPENDS_ON[m]), default=-1)
+        return level[m]
+
+    for m in names:
+        depth(m)
+    out: list[list[str]] = [[] for _ in range(max(level.values()) + 1)]
+    for m in MODELS:
+        if m in level:
+            out[level[m]].append(m)
+    return out
 
 
 class ModelGraph:
@@ -142,9 +178,25 @@ class MaterializedGraph(ModelGraph):
 
     def __init__(self, raw: RawSources, names: tuple[str, ...] | None = None, root: str | None = None):
         super().__init__(raw)
-        self.names = set(MODELS if names is None else names)
+        # facts are column projections of staging: recomputing them is cheaper than storing them
+        self.names = set(MODELS if names is None else names) - (set(FACTS) if names is None else set())
         self.root = root
 
+    def build(self, names=MODELS, threads: int = 4) -> "MaterializedGraph":
+        """Materialise ``names`` (and their upstream models) level by level; models of one level are
+        independent Spark jobs submitted concurrently from ``threads`` driver threads, like the
+        reference's runner builds independent models in parallel."""
+        from concurrent.futures import ThreadPoolExecutor
+
+        for level in build_levels(names):
+            if threads <= 1 or len(level) == 1:
+                for m in level:
+                    self.model(m)
+                continue
+            with ThreadPoolExecutor(max_workers=min(threads, len(level))) as pool:
+                list(pool.map(self.model, level))
+        return self
+
     def _finish(self, name: str, df: DataFrame) -> DataFrame:
         if name not in self.names:
             return df
