@@ -20,8 +20,11 @@ from acqlens.session import ensure_checkpoint_dir
 
 def dedup_stream(stream: DataFrame, allowed_lateness: str = "2 days") -> DataFrame:
     """Streaming frame of raw backend rows -> de-duplicated rows (append mode)."""
-    return (stream.withWatermark("event_time", allowed_lateness)
-            .groupBy("user_id", "event", "event_time")
+    # Watermarks need a zoned TIMESTAMP: a zoned copy of event_time measures lateness only; the
+    # zone-less event_time stays in the key, so no two keys merge.
+    return (stream.withColumn("_wm", F.col("event_time").cast("timestamp"))
+            .withWatermark("_wm", allowed_lateness)
+            .groupBy("user_id", "event", "event_time", "_wm")
             .agg(F.max("revenue").alias("revenue"))
             .select("user_id", "event", "revenue", "event_time"))
 

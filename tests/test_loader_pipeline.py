@@ -1,0 +1,96 @@
+"""Loader round trip, strict parsing, idempotent refresh, freshness, pipeline circuit breaker, streaming."""
+import datetime as dt
+import os
+import shutil
+import glob
+
+import pytest
+
+from acqlens.plans import pipeline
+from acqlens.sources import loader
+from acqlens.sources.fixtures import load_fixture_sources
+from acqlens.sources.freshness import freshness
+from conftest import SF_SMALL
+from frames import backend, install, sources
+
+
+def _export_csv(spark, src, out_dir):
+    for name, (fname, _, _, _) in loader.SPECS.items():
+        tmp = os.path.join(out_dir, f"_{name}")
+        loader.write_source_csv(getattr(src, name), tmp)
+        (part,) = glob.glob(os.path.join(tmp, "part-*.csv"))
+        shutil.copy(part, os.path.join(out_dir, fname))
+
+
+def test_csv_round_trip_idempotent(spark, tmpdir_path):
+    src = load_fixture_sources(spark, SF_SMALL)
+    csv_dir = os.path.join(tmpdir_path, "csv")
+    os.makedirs(csv_dir)
+    _export_csv(spark, src, csv_dir)
+    want = {n: df.count() for n, df in src.as_dict().items()}
+    target = os.path.join(tmpdir_path, "raw")
+    first = loader.load_raw(spark, csv_dir, target, dt.datetime(2024, 3, 1))
+    second = loader.load_raw(spark, csv_dir, target, dt.datetime(2024, 3, 1))
+    assert first == want and second == want
+    back = loader.read_raw(spark, target)
+    a = src.backend.drop("_loaded_at").exceptAll(back["backend"].drop("_loaded_at"))
+    assert a.count() == 0
+    assert back["appsflyer"].schema["install_time"].dataType.simpleString() == "timestamp_ntz"
+
+
+def test_reordered_header_and_empty_fields(spark, tmpdir_path):
+    p = os.path.join(tmpdir_path, "b.csv")
+    with open(p, "w") as f:
+        f.write("event_time,revenue,user_id,event\n2024-01-01 10:00:00,,u1,purchase\n,1.50,u2,\n")
+    df = loader.read_typed_csv(spark, p, loader.SPECS["backend"][1])
+    rows = sorted(df.collect(), key=lambda r: r.user_id)
+    assert rows[0].revenue is None and rows[0].event_time == dt.datetime(2024, 1, 1, 10, 0)
+    assert rows[1].event is None and rows[1].event_time is None and str(rows[1].revenue) == "1.50"
+
+
+def test_bad_number_fails_the_load(spark, tmpdir_path):
+    p = os.path.join(tmpdir_path, "b.csv")
+    with open(p, "w") as f:
+        f.write("user_id,event,revenue,event_time\nu1,purchase,abc,2024-01-01 10:00:00\n")
+    with pytest.raises(Exception):
+        loader.read_typed_csv(spark, p, loader.SPECS["backend"][1]).collect()
+
+
+def test_freshness_thresholds(spark):
+    src = sources(spark, backend_rows=[backend("u", "1.00", dt.datetime(2024, 1, 1), )])
+    raw = {"backend": src.backend}   # loaded 2024-03-01 00:00:00
+    status = lambda as_of: freshness(raw, as_of).first().status
+    assert status("2024-03-02 00:00:00") == "pass"
+    assert status("2024-03-03 00:00:01") == "warn"
+    assert status("2024-03-08 00:00:01") == "error"
+
+
+def test_pipeline_publishes_and_breaks_circuit(spark, tmpdir_path):
+    ok = pipeline.run(spark, os.path.join(tmpdir_path, "ok"), raw=load_fixture_sources(spark, SF_SMALL), threads=4)
+    assert ok.published and "marts.mart_growth_metrics" in ok.tables
+    assert spark.table("marts.mart_growth_metrics").count() > 0
+    assert pipeline.published_run(spark, os.path.join(tmpdir_path, "ok")) == ok.run_id
+    # a duplicated device id is an error-severity failure: nothing may be published
+    bad_src = sources(spark, appsflyer=[install("d", t=dt.datetime(2024, 1, 1)), install("d", t=dt.datetime(2024, 1, 1))])
+    bad = pipeline.run(spark, os.path.join(tmpdir_path, "bad"), raw=bad_src, threads=2)
+    assert not bad.published and "unique_stg_appsflyer_appsflyer_id" in bad.failed_errors
+    assert pipeline.published_run(spark, os.path.join(tmpdir_path, "bad")) is None
+
+
+def test_streaming_dedup_matches_batch(spark, tmpdir_path):
+    from acqlens.operators.staging import backend_dedup
+    from acqlens.streaming.backend_stream import start_backend_dedup
+
+    src = load_fixture_sources(spark, SF_SMALL).backend
+    land, sink = os.path.join(tmpdir_path, "land"), os.path.join(tmpdir_path, "sink")
+    src.coalesce(1).write.parquet(os.path.join(land, "batch1"))  # one in-order micro-batch
+    # a late sentinel pushes the watermark past every real event so all keys are emitted
+    sentinel = sources(spark, backend_rows=[backend("sentinel", "0.00", dt.datetime(2030, 1, 1))]).backend
+    sentinel.write.parquet(os.path.join(land, "batch2"))
+    q = start_backend_dedup(spark, os.path.join(land, "*"), sink, "1 day",
+                            checkpoint_location=os.path.join(tmpdir_path, "cp"), max_files_per_trigger=1)
+    q.awaitTermination(300)
+    got = spark.read.parquet(sink)
+    want = backend_dedup(src)
+    assert got.select(*want.columns).exceptAll(want).count() == 0
+    assert want.exceptAll(got.select(*want.columns)).count() == 0
