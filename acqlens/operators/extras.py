@@ -79,14 +79,18 @@ def defect_profile(raw_backend: DataFrame, stg_backend_df: DataFrame, stg_events
     from acqlens.functions.ratios import ratio
     from acqlens.schemas import MONEY_SUM
 
-    raw_n = raw_backend.agg(F.count(F.lit(1)).alias("raw_backend_rows"))
-    s = stg_backend_df.agg(
-        F.count(F.lit(1)).alias("dedup_rows"),
+    # the three sources stacked (each tagged) and aggregated once: no join between one-row results
+    stacked = (raw_backend.select(F.lit(1).alias("_raw"))
+               .unionByName(stg_backend_df.select(F.lit(1).alias("_dedup"), "is_attributed", "is_late_event",
+                                                  "revenue"), allowMissingColumns=True)
+               .unionByName(stg_events.select("event_revenue"), allowMissingColumns=True))
+    j = stacked.agg(
+        F.count("_raw").alias("raw_backend_rows"),
+        F.count("_dedup").alias("dedup_rows"),
         F.sum(1 - F.col("is_attributed")).alias("unattributed_events"),
         F.sum("is_late_event").alias("late_events"),
-        F.sum(F.when(F.col("is_attributed") == 1, F.col("revenue"))).alias("backend_revenue"))
-    m = stg_events.agg(F.sum("event_revenue").alias("mmp_revenue"))
-    j = raw_n.crossJoin(s).crossJoin(m)  # three one-row aggregates
+        F.sum(F.when(F.col("is_attributed") == 1, F.col("revenue"))).alias("backend_revenue"),
+        F.sum("event_revenue").alias("mmp_revenue"))
     dup = F.col("raw_backend_rows") - F.col("dedup_rows")
     mmp, back = F.coalesce(F.col("mmp_revenue"), F.lit(0)), F.coalesce(F.col("backend_revenue"), F.lit(0))
     return j.select(

@@ -66,23 +66,28 @@ def mart_marketing_unified(fct_spend_df: DataFrame, fct_installs_df: DataFrame,
     )
 
 
-def retention_activity(stg_backend_df: DataFrame) -> DataFrame:
-    """Last active day offset per attributed user (revenue activity)."""
-    return (stg_backend_df.filter((F.col("is_attributed") == 1) & F.col("install_time").isNotNull())
-            .select("user_id", "channel", F.to_date("install_time").alias("install_date"),
-                    day_diff("install_time", "event_time").alias("day_n"))
-            .groupBy("user_id", "channel", "install_date")
-            .agg(F.max("day_n").alias("max_day")))
+def last_activity_day(backend_rows: DataFrame) -> DataFrame:
+    """Last backend activity date per user, aggregated map-side first (a user with a huge share of the
+    events collapses to one row per task before the shuffle)."""
+    return (backend_rows.groupBy("user_id")
+            .agg(F.max(F.to_date("event_time")).alias("last_day")))
 
 
 RETENTION_DAYS = (1, 7, 30)
 
 
-def mart_retention(stg_backend_df: DataFrame, fct_installs_df: DataFrame) -> DataFrame:
-    """D1/D7/D30 retention per (channel, install date); denominator = every install."""
-    per_user = retention_activity(stg_backend_df).select("user_id", "max_day")
+def mart_retention(backend_rows: DataFrame, fct_installs_df: DataFrame) -> DataFrame:
+    """D1/D7/D30 retention per (channel, install date); denominator = every install.
+
+    A device is retained at day N when its last attributed backend activity is at least N days after
+    the install date. The last activity is taken per user before joining the install directory (one
+    row per device), which is the same as the per-event offsets' maximum because the install date is
+    fixed per device; backend rows of unknown users simply find no install.
+    """
+    last = last_activity_day(backend_rows)
     cohort = (fct_installs_df.select("appsflyer_id", F.col("channel_key").alias("channel"), "install_date")
-              .join(per_user, F.col("appsflyer_id") == per_user.user_id, "left"))
+              .join(last, F.col("appsflyer_id") == last.user_id, "left")
+              .select("channel", "install_date", day_diff("install_date", "last_day").alias("max_day")))
     retained = {n: F.sum(F.when(F.col("max_day") >= n, 1).otherwise(0)) for n in RETENTION_DAYS}
     agg = cohort.groupBy("channel", "install_date").agg(
         F.count(F.lit(1)).alias("cohort_size"),
@@ -107,9 +112,12 @@ def campaign_installs(fct_installs_df: DataFrame) -> DataFrame:
 
 
 def cohort_events(fct_installs_df: DataFrame, fct_events_df: DataFrame) -> DataFrame:
-    """Revenue events tied to the device's acquisition cohort, with the day offset from install."""
+    """Revenue tied to the device's acquisition cohort, per device and event day, with the day offset
+    from install. Events are summed per (device, day) before the join, so a device with a huge event
+    count reaches the join as one row per active day."""
     i = fct_installs_df.select("appsflyer_id", "channel_key", "campaign_key", "install_date")
-    e = fct_events_df.select(F.col("appsflyer_id").alias("e_id"), "event_revenue", "event_date")
+    e = (fct_events_df.groupBy(F.col("appsflyer_id").alias("e_id"), "event_date")
+         .agg(F.sum("event_revenue").alias("event_revenue")))
     return i.join(e, i.appsflyer_id == e.e_id, "inner").select(
         "channel_key", "campaign_key", "appsflyer_id", "event_revenue",
         day_diff("install_date", "event_date").alias("day_n"))

@@ -186,10 +186,13 @@ def accepted_values_count(df: DataFrame, check: Check) -> DataFrame:
 
 
 def relationships_count(child: DataFrame, parent: DataFrame, check: Check) -> DataFrame:
-    kids = child.select(F.col(check.column).alias("_k")).filter(F.col("_k").isNotNull())
+    """Child rows whose non-NULL key has no parent. Child keys are counted first (map-side), so the
+    anti-join sees one row per distinct key however hot a key is."""
+    kids = (child.select(F.col(check.column).alias("_k")).filter(F.col("_k").isNotNull())
+            .groupBy("_k").agg(F.count(F.lit(1)).alias("_n")))
     keys = parent.select(F.col(check.to_field).alias("_p"))
     orphans = kids.join(keys, kids._k == keys._p, "left_anti")
-    return orphans.agg(F.count(F.lit(1)).alias("_f")).select(*_row(check, F.col("_f")))
+    return orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_f")).select(*_row(check, F.col("_f")))
 
 
 def custom_count(models, check: Check) -> DataFrame:

@@ -61,11 +61,13 @@ def report_privacy(privacy: DataFrame) -> DataFrame:
 
 def report_kpi(growth: DataFrame, rec: DataFrame) -> DataFrame:
     """The KPI row: total cost, installs, D30 revenue (MMP) and MMP overstatement vs backend in %."""
-    g = growth.agg(F.sum("cost").alias("total_cost"), F.sum("installs").alias("total_installs"),
-                   F.sum("revenue_d30").alias("revenue_d30"))
-    r = rec.agg(F.sum("mmp_revenue").alias("m"), F.sum("backend_revenue").alias("b"))
+    # one aggregate over both inputs (stacked, each contributing its own columns): no join needed
+    both = growth.select("cost", "installs", "revenue_d30").unionByName(
+        rec.select(F.col("mmp_revenue").alias("m"), F.col("backend_revenue").alias("b")), allowMissingColumns=True)
+    agg = both.agg(F.sum("cost").alias("total_cost"), F.sum("installs").alias("total_installs"),
+                   F.sum("revenue_d30").alias("revenue_d30"), F.sum("m").alias("m"), F.sum("b").alias("b"))
     m, b = F.col("m"), F.col("b")
-    return g.crossJoin(r).select(  # one row x one row
+    return agg.select(
         F.col("total_cost").cast(MONEY_SUM).alias("total_cost"),
         F.col("total_installs").cast("bigint").alias("total_installs"),
         F.col("revenue_d30").cast(MONEY_SUM).alias("revenue_d30"),

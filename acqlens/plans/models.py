@@ -35,7 +35,7 @@ DEPENDS_ON: dict[str, tuple[str, ...]] = {
     "dim_date": ("stg_appsflyer", "stg_appsflyer_events", "stg_singular"),
     "fct_installs": ("stg_appsflyer",), "fct_events": ("stg_appsflyer_events",), "fct_spend": ("stg_singular",),
     "mart_marketing_unified": ("fct_spend", "fct_installs", "fct_events"),
-    "mart_retention": ("stg_backend", "fct_installs"),
+    "mart_retention": ("fct_installs",),
     "mart_growth_metrics": ("fct_installs", "fct_events", "fct_spend", "stg_skan"),
     "mart_privacy_roas_gap": ("mart_growth_metrics", "stg_backend"),
 }
@@ -156,7 +156,7 @@ class ModelGraph:
 
     @cached_property
     def mart_retention(self) -> DataFrame:
-        return self._finish("mart_retention", marts.mart_retention(self.stg_backend, self.fct_installs))
+        return self._finish("mart_retention", marts.mart_retention(self.raw.backend, self.fct_installs))
 
     @cached_property
     def mart_growth_metrics(self) -> DataFrame:

@@ -11,6 +11,9 @@ ENGINE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a skewed join partition even when that costs one more shuffle downstream (one key may
+    # hold a third of the rows)
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # Broadcast only what AQE measured at runtime to be below this size.
     "spark.sql.autoBroadcastJoinThreshold": "64m",
