@@ -157,3 +157,50 @@ def taxonomy_lint(raw_appsflyer: DataFrame, raw_backend: DataFrame) -> DataFrame
             .unionByName(raw_backend.select(F.lit("backend").alias("source"), F.col("event").alias("event_name")))
             .groupBy("source", "event_name").agg(F.count(F.lit(1)).alias("row_count")))
     return seen.join(F.broadcast(registry), ["source", "event_name"], "left_anti")  # registry: fixed size
+
+
+# Alert thresholds proposed in the reference's notes.
+ALERT_DISCREPANCY_PCT = 5
+ALERT_GAP_PCT = 10
+
+
+def threshold_alerts(rec: DataFrame, stg_backend_df: DataFrame) -> DataFrame:
+    """Alert rows: channel-days whose revenue delta is flagged (> 5 %), and days whose unattributed
+    share of backend revenue exceeds 10 %. One row per alert; nothing is collected into lists."""
+    from acqlens.functions.ratios import ratio
+
+    disc = rec.filter(F.col("is_discrepancy_flag") == 1).select(
+        F.lit("revenue_discrepancy").alias("alert_type"), "activity_date", "channel",
+        F.col("revenue_delta_pct").cast("decimal(8,2)").alias("metric_pct"))
+    day = stg_backend_df.groupBy(F.col("event_date").alias("activity_date")).agg(
+        F.sum(F.when(F.col("is_attributed") == 0, F.col("revenue")).otherwise(0)).alias("gap"),
+        F.sum("revenue").alias("total"))
+    gap = (day.filter((F.col("total") > 0) & (F.col("gap") * 100 > F.col("total") * ALERT_GAP_PCT))
+           .select(F.lit("attribution_gap").alias("alert_type"), "activity_date",
+                   F.lit(None).cast("string").alias("channel"),
+                   ratio(F.col("gap") * 100, F.col("total"), 8, 2).alias("metric_pct")))
+    return disc.unionByName(gap)
+
+
+def metric_anomalies(unified: DataFrame, sigmas: int = 3, lookback_days: int = 7) -> DataFrame:
+    """Daily ROAS per channel on a gap-free calendar, flagged when it lies more than ``sigmas``
+    standard deviations from the mean of the previous ``lookback_days`` days.
+
+    The series is aggregated to one row per channel and day before the window, so each window
+    partition holds at most one row per calendar day.
+    """
+    daily = unified.groupBy("channel_key", "activity_date").agg(
+        F.sum("cost").alias("cost"), F.sum("revenue").alias("revenue"))
+    span = daily.groupBy("channel_key").agg(F.min("activity_date").alias("d0"), F.max("activity_date").alias("d1"))
+    cal = span.select("channel_key", F.explode(F.sequence("d0", "d1")).alias("activity_date"))
+    s = cal.join(daily, ["channel_key", "activity_date"], "left").select(
+        "channel_key", "activity_date",
+        F.when(F.col("cost") > 0, F.col("revenue").cast("double") / F.col("cost").cast("double")).alias("roas"))
+    from pyspark.sql import Window
+    w = Window.partitionBy("channel_key").orderBy("activity_date").rowsBetween(-lookback_days, -1)
+    s = s.select("*", F.avg("roas").over(w).alias("mu"), F.stddev_samp("roas").over(w).alias("sd"),
+                 F.count("roas").over(w).alias("n_prior"))
+    return s.select(
+        "channel_key", "activity_date", "n_prior",
+        F.when(F.col("roas").isNotNull() & (F.col("n_prior") >= 2) & (F.col("sd") > 0)
+               & (F.abs(F.col("roas") - F.col("mu")) > F.col("sd") * sigmas), 1).otherwise(0).alias("is_anomaly"))

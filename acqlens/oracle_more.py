@@ -94,6 +94,10 @@ SELECT source_identifier,
   CASE WHEN count(*) OVER (PARTITION BY source_identifier) < 15 THEN NULL ELSE conversion_value END AS cv
 FROM sk_base"""
 
+EXTRA["anomaly_daily"] = """
+SELECT channel_key, activity_date, sum(cost) AS cost, sum(revenue) AS revenue
+FROM mart_marketing_unified GROUP BY channel_key, activity_date"""
+
 EXTRA["load_counts_q"] = "\nUNION ALL ".join(
     f"SELECT 'raw.{s}' AS table_name, count(*) AS row_count FROM raw_{s}" for s in RAW)
 
@@ -260,6 +264,27 @@ SELECT s.source, s.event_name, s.row_count FROM (
 LEFT JOIN (VALUES {_registry_values}) reg(source, event_name)
   ON s.source = reg.source AND s.event_name = reg.event_name
 WHERE reg.source IS NULL"""
+    s["threshold_alerts"] = f"""
+SELECT 'revenue_discrepancy' AS alert_type, activity_date, channel, CAST(revenue_delta_pct AS DECIMAL(8,2)) AS metric_pct
+FROM rec_revenue_discrepancy WHERE is_discrepancy_flag = 1
+UNION ALL
+SELECT 'attribution_gap', activity_date, CAST(NULL AS VARCHAR), {ratio('100 * ' + cents('gap'), cents('total'), 8, 2)}
+FROM (SELECT event_date AS activity_date, sum(CASE WHEN is_attributed = 0 THEN revenue ELSE 0 END) AS gap,
+        sum(revenue) AS total FROM stg_backend GROUP BY event_date) d
+WHERE total > 0 AND gap * 100 > total * 10"""
+    s["metric_anomalies"] = """
+SELECT channel_key, activity_date, n_prior,
+  CASE WHEN roas IS NOT NULL AND n_prior >= 2 AND sd > 0 AND abs(roas - mu) > sd * 3 THEN 1 ELSE 0 END AS is_anomaly
+FROM (
+  SELECT *, avg(roas) OVER w AS mu, stddev_samp(roas) OVER w AS sd, count(roas) OVER w AS n_prior
+  FROM (
+    SELECT c.channel_key, c.activity_date,
+      CASE WHEN d.cost > 0 THEN CAST(d.revenue AS DOUBLE) / CAST(d.cost AS DOUBLE) END AS roas
+    FROM (SELECT channel_key, CAST(unnest(generate_series(d0, d1, INTERVAL 1 DAY)) AS DATE) AS activity_date
+          FROM (SELECT channel_key, min(activity_date) AS d0, max(activity_date) AS d1
+                FROM anomaly_daily GROUP BY channel_key) sp) c
+    LEFT JOIN anomaly_daily d ON c.channel_key = d.channel_key AND c.activity_date = d.activity_date) s
+  WINDOW w AS (PARTITION BY channel_key ORDER BY activity_date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)) x"""
     return s
 
 

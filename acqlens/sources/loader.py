@@ -75,24 +75,32 @@ def stage_sources(spark: SparkSession, csv_dir: str, loaded_at: dt.datetime | No
     return out
 
 
-def write_raw(df: DataFrame, path: str, part_col: str | None, source_col: str) -> None:
+def write_raw(df: DataFrame, path: str, part_col: str | None, source_col: str, incremental: bool = False) -> None:
     """Overwrite one raw table. Date-partitioned tables are sorted by date inside each task (no
-    shuffle, no hot-date skew) so each task writes one file per date it holds."""
+    shuffle, no hot-date skew) so each task writes one file per date it holds.
+
+    ``incremental=True`` replaces only the dates present in ``df`` (dynamic partition overwrite) and
+    keeps every other date: a daily load rewrites its days, not the history.
+    """
     if part_col:
         df = df.withColumn(part_col, F.to_date(source_col)).sortWithinPartitions(part_col)
-        df.write.mode("overwrite").partitionBy(part_col).parquet(path)
+        w = df.write.mode("overwrite").partitionBy(part_col)
+        if incremental:
+            w = w.option("partitionOverwriteMode", "dynamic")
+        w.parquet(path)
     else:
-        df.sortWithinPartitions(source_col).write.mode("overwrite").parquet(path)
+        df.sortWithinPartitions(source_col).write.mode("append" if incremental else "overwrite").parquet(path)
 
 
 def load_raw(spark: SparkSession, csv_dir: str, target_dir: str,
-             loaded_at: dt.datetime | None = None) -> dict[str, int]:
-    """Full refresh of the four raw tables under ``target_dir``; returns loaded row counts."""
+             loaded_at: dt.datetime | None = None, incremental: bool = False) -> dict[str, int]:
+    """Refresh of the four raw tables under ``target_dir`` (full, or only the delivered dates when
+    ``incremental``); returns the row counts of the tables after the load."""
     staged = stage_sources(spark, csv_dir, loaded_at)
     counts = {}
     for name, df in staged.items():
         _, _, part_col, source_col = SPECS[name]
-        write_raw(df, os.path.join(target_dir, name), part_col, source_col)
+        write_raw(df, os.path.join(target_dir, name), part_col, source_col, incremental)
         counts[name] = spark.read.parquet(os.path.join(target_dir, name)).count()
     return counts
 
