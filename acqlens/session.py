@@ -52,6 +52,10 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set: give the cluster a shared folder for "
+                             "materialised tables and checkpoints (a machine-local path would not survive "
+                             "executor loss)")
         path = fallback or os.path.join(os.environ.get("TMPDIR", "/tmp"), "acqlens-checkpoints")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:
