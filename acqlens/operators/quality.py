@@ -4,7 +4,8 @@ Conventions (the usual dbt test semantics):
 * each check counts *failures*; 0 = pass;
 * ``unique`` and ``accepted_values`` ignore NULLs and count offending *values*;
 * ``relationships`` ignores NULL foreign keys and counts offending *child rows*;
-* a failing ``warn`` check reports ``warn``, a failing ``error`` check reports ``fail``.
+* a failing ``warn`` check reports ``warn``, a failing ``error`` check reports ``error`` (the run
+  summary counts pass / warn / error).
 
 Each check is one aggregate job (partial aggregation before any shuffle; anti-joins for
 relationships), and the summary is their union: a few rows, never the checked data itself.
@@ -202,13 +203,26 @@ def custom_count(models, check: Check) -> DataFrame:
 
 def with_status(df: DataFrame) -> DataFrame:
     return df.withColumn("status", F.when(F.col("failures") == 0, "pass")
-                         .when(F.col("severity") == "warn", "warn").otherwise("fail"))
+                         .when(F.col("severity") == "warn", "warn").otherwise("error"))
+
+
+def select_checks(kinds: tuple[str, ...] | None = None, names: tuple[str, ...] | None = None) -> list[Check]:
+    return [c for c in all_checks() if (kinds is None or c.kind in kinds) and (names is None or c.name in names)]
+
+
+def models_read(checks: list[Check]) -> tuple[str, ...]:
+    """Models the given checks read (what must be built before they run)."""
+    out: list[str] = []
+    for c in checks:
+        for m in c.model.split("+") + ([c.to_model] if c.to_model else []):
+            if m not in out:
+                out.append(m)
+    return tuple(out)
 
 
 def check_results(models, kinds: tuple[str, ...] | None = None, names: tuple[str, ...] | None = None) -> DataFrame:
     """Failure counts (+ status) for the selected checks over a ``ModelGraph``."""
-    checks = [c for c in all_checks()
-              if (kinds is None or c.kind in kinds) and (names is None or c.name in names)]
+    checks = select_checks(kinds, names)
     parts: list[DataFrame] = []
     by_model: dict[str, list[Check]] = {}
     for c in checks:
@@ -229,10 +243,10 @@ def check_results(models, kinds: tuple[str, ...] | None = None, names: tuple[str
 
 
 def run_summary(results: DataFrame) -> DataFrame:
-    """One row: how many checks passed, warned, failed (the run's verdict)."""
+    """One row: how many checks passed, warned and errored (the run's verdict)."""
     s = F.col("status")
     return results.agg(
         F.count(F.lit(1)).alias("checks"),
         F.sum(F.when(s == "pass", 1).otherwise(0)).cast("bigint").alias("passed"),
         F.sum(F.when(s == "warn", 1).otherwise(0)).cast("bigint").alias("warned"),
-        F.sum(F.when(s == "fail", 1).otherwise(0)).cast("bigint").alias("failed"))
+        F.sum(F.when(s == "error", 1).otherwise(0)).cast("bigint").alias("errors"))

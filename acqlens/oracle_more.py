@@ -59,7 +59,7 @@ def _checks_sql(checks: list[Check]) -> str:
                     f"CAST({col} AS VARCHAR) AS column_name, {q(c.severity)} AS severity, "
                     f"CAST(({_failures_sql(c)}) AS BIGINT) AS failures")
     body = "\nUNION ALL ".join(rows)
-    return (f"SELECT *, CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END "
+    return (f"SELECT *, CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' ELSE 'error' END "
             f"AS status FROM ({body}) x")
 
 
@@ -170,7 +170,7 @@ FROM growth_inst ia LEFT JOIN growth_rev r ON ia.channel_key = r.channel_key AND
     s["dq_verdict"] = """
 SELECT count(*) AS checks, CAST(sum(CASE WHEN status = 'pass' THEN 1 ELSE 0 END) AS BIGINT) AS passed,
   CAST(sum(CASE WHEN status = 'warn' THEN 1 ELSE 0 END) AS BIGINT) AS warned,
-  CAST(sum(CASE WHEN status = 'fail' THEN 1 ELSE 0 END) AS BIGINT) AS failed
+  CAST(sum(CASE WHEN status = 'error' THEN 1 ELSE 0 END) AS BIGINT) AS errors
 FROM dq_all"""
     # reports
     s["report_roas"] = "SELECT * FROM report_roas_q"

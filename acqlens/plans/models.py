@@ -74,6 +74,11 @@ class ModelGraph:
             return spark.read.parquet(v) if "/" in v else spark.table(v)
         return cls(RawSources(**{k: read(v) for k, v in names.items()}))
 
+    @classmethod
+    def from_published(cls, spark: SparkSession) -> "PublishedGraph":
+        """Graph over the tables a pipeline run published (``staging.*`` and ``marts.*``)."""
+        return PublishedGraph(spark)
+
     def model(self, name: str) -> DataFrame:
         if name not in MODELS:
             raise KeyError(name)
@@ -209,3 +214,21 @@ def write_table(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` once as parquet and return the table read back (lineage ends at the files)."""
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+class PublishedGraph(ModelGraph):
+    """Models read from the session catalog (what the pipeline published); nothing is rebuilt.
+    Report queries over it read the published marts, like the reference's dashboard reads tables."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.raw = None
+
+    def model(self, name: str) -> DataFrame:
+        from acqlens.plans.pipeline import LAYER_OF
+        return self.spark.table(f"{LAYER_OF[name]}.{name}")
+
+
+
+for _m in MODELS:
+    setattr(PublishedGraph, _m, property(lambda self, _n=_m: self.model(_n)))

@@ -60,7 +60,7 @@ def run(spark: SparkSession, root: str, raw: RawSources | None = None, csv_dir:
 
     checks = quality.check_results(graph)
     rows = checks.select("check_name", "severity", "status").collect()  # one row per check (61)
-    failed = [r.check_name for r in rows if r.status == "fail"]
+    failed = [r.check_name for r in rows if r.status == "error"]
     warned = [r.check_name for r in rows if r.status == "warn"]
     result = RunResult(run_id=run_id, published=False, checks=checks, failed_errors=failed, warnings=warned)
     if as_of is not None:

@@ -118,3 +118,15 @@ def test_alerts_and_anomalies_on_fixture(spark):
     assert "revenue_discrepancy" in kinds
     an = extras.metric_anomalies(g.mart_marketing_unified)
     assert an.filter("n_prior > 7").count() == 0
+
+
+def test_reports_over_published_tables(spark, tmpdir_path):
+    from acqlens.operators import reports
+    from acqlens.plans.models import ModelGraph
+    res = pipeline.run(spark, os.path.join(tmpdir_path, "pub"), raw=load_fixture_sources(spark, SF_SMALL), threads=4)
+    assert res.published
+    pub = ModelGraph.from_published(spark)
+    lazy = ModelGraph.from_fixtures(spark, SF_SMALL)
+    a = reports.report_roas(pub.mart_growth_metrics)
+    b = reports.report_roas(lazy.mart_growth_metrics)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))

@@ -29,14 +29,14 @@ def test_planted_failures(spark):
     pb = [postback(cv=70), postback(cv=-1), postback(cv=None, idx=5)]
     g = MaterializedGraph(sources(spark, appsflyer=apps, backend_rows=back, spend_rows=sp, postbacks=pb)).build()
     got = _results(g)
-    assert got["unique_stg_appsflyer_appsflyer_id"] == (1, "fail")
-    assert got["accepted_values_stg_appsflyer_platform"] == (1, "fail")
-    assert got["accepted_values_stg_appsflyer_channel"] == (1, "fail")
-    assert got["accepted_values_stg_skan_postback_sequence_index"] == (1, "fail")
-    assert got["relationships_stg_appsflyer_events_appsflyer_id__appsflyer_id__stg_appsflyer"] == (1, "fail")
+    assert got["unique_stg_appsflyer_appsflyer_id"] == (1, "error")
+    assert got["accepted_values_stg_appsflyer_platform"] == (1, "error")
+    assert got["accepted_values_stg_appsflyer_channel"] == (1, "error")
+    assert got["accepted_values_stg_skan_postback_sequence_index"] == (1, "error")
+    assert got["relationships_stg_appsflyer_events_appsflyer_id__appsflyer_id__stg_appsflyer"] == (1, "error")
     # 1 MMP event + the backend row, which the duplicated install directory entry fans out to 2 rows
-    assert got["assert_no_negative_revenue"] == (3, "fail")
-    assert got["assert_skan_conversion_value_in_range"] == (2, "fail")
+    assert got["assert_no_negative_revenue"] == (3, "error")
+    assert got["assert_skan_conversion_value_in_range"] == (2, "error")
     assert got["assert_singular_installs_without_spend"] == (1, "warn")
     assert got["assert_singular_spend_without_installs"] == (1, "warn")
     assert got["not_null_stg_backend_user_id"] == (0, "pass")
