@@ -5,7 +5,7 @@ Layers (bronze -> silver -> gold), all plain ``DataFrame -> DataFrame`` function
 * ``acqlens.sources``    raw sources: typed CSV loader, driver-table adapter, freshness
 * ``acqlens.functions``  column expressions (channel canonicaliser, keys, day offsets, ratios)
 * ``acqlens.operators``  staging, reconciliation, dimensions, facts, marts, checks, reports
-* ``acqlens.plans``      the model graph and the publish pipeline
+* ``acqlens.plans``      the model graph, query registry and the publish run
 * ``acqlens.streaming``  incremental backend de-duplication with a watermark
 """
 

@@ -180,10 +180,17 @@ def unique_count(df: DataFrame, check: Check) -> DataFrame:
     return dup.agg(F.count(F.lit(1)).alias("_f")).select(*_row(check, F.col("_f")))
 
 
-def accepted_values_count(df: DataFrame, check: Check) -> DataFrame:
-    c = F.col(check.column)
-    bad = df.filter(c.isNotNull() & ~c.isin(*check.values))
-    return bad.agg(F.countDistinct(c).alias("_f")).select(*_row(check, F.col("_f")))
+def accepted_values_counts(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """All accepted_values checks of one model in one pass: only invalid (check, value) pairs leave
+    the scan, are de-duplicated, and counted per check (one row per check, 0 when clean)."""
+    pairs = F.array(*[F.when(F.col(c.column).isNotNull() & ~F.col(c.column).isin(*c.values),
+                             F.struct(F.lit(i).alias("i"), F.col(c.column).cast("string").alias("v")))
+                      for i, c in enumerate(checks)])
+    bad = (df.select(F.explode(F.filter(pairs, lambda p: p.isNotNull())).alias("p"))
+           .select("p.i", "p.v").distinct())
+    agg = bad.agg(*[F.sum(F.when(F.col("i") == i, 1).otherwise(0)).alias(f"_f{i}") for i in range(len(checks))])
+    rows = [agg.select(*_row(c, F.coalesce(F.col(f"_f{i}"), F.lit(0)))) for i, c in enumerate(checks)]
+    return reduce(DataFrame.unionByName, rows)
 
 
 def relationships_count(child: DataFrame, parent: DataFrame, check: Check) -> DataFrame:
@@ -224,17 +231,16 @@ def check_results(models, kinds: tuple[str, ...] | None = None, names: tuple[str
     """Failure counts (+ status) for the selected checks over a ``ModelGraph``."""
     checks = select_checks(kinds, names)
     parts: list[DataFrame] = []
-    by_model: dict[str, list[Check]] = {}
-    for c in checks:
-        if c.kind == "not_null":
-            by_model.setdefault(c.model, []).append(c)
-    for model, cs in by_model.items():
-        parts.append(not_null_counts(models.model(model), cs))
+    for kind, fn in (("not_null", not_null_counts), ("accepted_values", accepted_values_counts)):
+        by_model: dict[str, list[Check]] = {}
+        for c in checks:
+            if c.kind == kind:
+                by_model.setdefault(c.model, []).append(c)
+        for model, cs in by_model.items():
+            parts.append(fn(models.model(model), cs))
     for c in checks:
         if c.kind == "unique":
             parts.append(unique_count(models.model(c.model), c))
-        elif c.kind == "accepted_values":
-            parts.append(accepted_values_count(models.model(c.model), c))
         elif c.kind == "relationships":
             parts.append(relationships_count(models.model(c.model), models.model(c.to_model), c))
         elif c.kind == "custom":

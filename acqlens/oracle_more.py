@@ -1,7 +1,6 @@
 """DuckDB twins of the operator, data-quality, report and extra queries (see ``acqlens.oracle``)."""
 from __future__ import annotations
 
-from acqlens.functions.channel import CANONICAL_CHANNELS  # noqa: F401  (vocabulary lives with the checks)
 from acqlens.functions.taxonomy import BACKEND_EVENTS, INSTALL_EVENT, REVENUE_EVENTS
 from acqlens.operators.quality import Check, all_checks
 from acqlens.oracle import cents, q, ratio, sql_channel, statement

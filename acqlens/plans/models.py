@@ -2,12 +2,13 @@
 
 Models are built once per graph and shared, so a consumer that needs the same upstream model twice
 references one logical plan (Spark reuses the identical exchanges). Nothing is computed until an
-action runs; ``plans.pipeline`` decides what to materialise.
+action runs; ``plans.publish`` decides what to materialise.
 """
 from __future__ import annotations
 
 import os
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -76,7 +77,7 @@ class ModelGraph:
 
     @classmethod
     def from_published(cls, spark: SparkSession) -> "PublishedGraph":
-        """Graph over the tables a pipeline run published (``staging.*`` and ``marts.*``)."""
+        """Graph over the tables a publish run registered (``staging.*`` and ``marts.*``)."""
         return PublishedGraph(spark)
 
     def model(self, name: str) -> DataFrame:
@@ -191,8 +192,6 @@ class MaterializedGraph(ModelGraph):
         """Materialise ``names`` (and their upstream models) level by level; models of one level are
         independent Spark jobs submitted concurrently from ``threads`` driver threads, like the
         reference's runner builds independent models in parallel."""
-        from concurrent.futures import ThreadPoolExecutor
-
         for level in build_levels(names):
             if threads <= 1 or len(level) == 1:
                 for m in level:
@@ -217,7 +216,7 @@ def write_table(df: DataFrame, path: str) -> DataFrame:
 
 
 class PublishedGraph(ModelGraph):
-    """Models read from the session catalog (what the pipeline published); nothing is rebuilt.
+    """Models read from the session catalog (what a publish run registered); nothing is rebuilt.
     Report queries over it read the published marts, like the reference's dashboard reads tables."""
 
     def __init__(self, spark: SparkSession):
@@ -225,7 +224,7 @@ class PublishedGraph(ModelGraph):
         self.raw = None
 
     def model(self, name: str) -> DataFrame:
-        from acqlens.plans.pipeline import LAYER_OF
+        from acqlens.plans.publish import LAYER_OF
         return self.spark.table(f"{LAYER_OF[name]}.{name}")
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from acqlens.functions.dates import ntz, plus_days, plus_minutes, to_second
 from acqlens.functions.skan import K_ANONYMITY_THRESHOLD
+from acqlens.operators.extras import k_anonymize
 from acqlens.schemas import LOADED_AT, MONEY_COST, MONEY_EVENT
 
 # Fixed values of the adapter (FIXTURES.md section 3).
@@ -179,8 +180,6 @@ def skan_base_from(dev: DataFrame) -> DataFrame:
 def skan_from(base: DataFrame) -> DataFrame:
     """Postbacks as delivered: values withheld for campaigns under the crowd-anonymity threshold,
     and for one campaign whose postbacks never carry a value."""
-    from acqlens.operators.extras import k_anonymize  # the k-anonymity job is a library operator
-
     posts = k_anonymize(base, "source_identifier", "conversion_value", K_ANONYMITY_THRESHOLD)
     posts = posts.withColumn(
         "conversion_value",

@@ -1,4 +1,4 @@
-"""Loader round trip, strict parsing, idempotent refresh, freshness, pipeline circuit breaker, streaming."""
+"""Loader round trip, strict parsing, idempotent refresh, freshness, publish circuit breaker, streaming."""
 import datetime as dt
 import os
 import shutil
@@ -6,7 +6,7 @@ import glob
 
 import pytest
 
-from acqlens.plans import pipeline
+from acqlens.plans import publish
 from acqlens.sources import loader
 from acqlens.sources.fixtures import load_fixture_sources
 from acqlens.sources.freshness import freshness
@@ -65,16 +65,16 @@ def test_freshness_thresholds(spark):
     assert status("2024-03-08 00:00:01") == "error"
 
 
-def test_pipeline_publishes_and_breaks_circuit(spark, tmpdir_path):
-    ok = pipeline.run(spark, os.path.join(tmpdir_path, "ok"), raw=load_fixture_sources(spark, SF_SMALL), threads=4)
+def test_publish_and_circuit_breaker(spark, tmpdir_path):
+    ok = publish.run(spark, os.path.join(tmpdir_path, "ok"), raw=load_fixture_sources(spark, SF_SMALL), threads=4)
     assert ok.published and "marts.mart_growth_metrics" in ok.tables
     assert spark.table("marts.mart_growth_metrics").count() > 0
-    assert pipeline.published_run(spark, os.path.join(tmpdir_path, "ok")) == ok.run_id
+    assert publish.published_run(spark, os.path.join(tmpdir_path, "ok")) == ok.run_id
     # a duplicated device id is an error-severity failure: nothing may be published
     bad_src = sources(spark, appsflyer=[install("d", t=dt.datetime(2024, 1, 1)), install("d", t=dt.datetime(2024, 1, 1))])
-    bad = pipeline.run(spark, os.path.join(tmpdir_path, "bad"), raw=bad_src, threads=2)
+    bad = publish.run(spark, os.path.join(tmpdir_path, "bad"), raw=bad_src, threads=2)
     assert not bad.published and "unique_stg_appsflyer_appsflyer_id" in bad.failed_errors
-    assert pipeline.published_run(spark, os.path.join(tmpdir_path, "bad")) is None
+    assert publish.published_run(spark, os.path.join(tmpdir_path, "bad")) is None
 
 
 def test_streaming_dedup_matches_batch(spark, tmpdir_path):
@@ -123,7 +123,7 @@ def test_alerts_and_anomalies_on_fixture(spark):
 def test_reports_over_published_tables(spark, tmpdir_path):
     from acqlens.operators import reports
     from acqlens.plans.models import ModelGraph
-    res = pipeline.run(spark, os.path.join(tmpdir_path, "pub"), raw=load_fixture_sources(spark, SF_SMALL), threads=4)
+    res = publish.run(spark, os.path.join(tmpdir_path, "pub"), raw=load_fixture_sources(spark, SF_SMALL), threads=4)
     assert res.published
     pub = ModelGraph.from_published(spark)
     lazy = ModelGraph.from_fixtures(spark, SF_SMALL)
