@@ -139,15 +139,17 @@ def postback_windows(stg_skan_df: DataFrame) -> DataFrame:
 
 
 def taxonomy_lint(raw_appsflyer: DataFrame, raw_backend: DataFrame) -> DataFrame:
-    """Event names outside the registry, per source, with row counts (anti-join to the registry)."""
-    spark = raw_appsflyer.sparkSession
-    registry = spark.createDataFrame(
-        [("appsflyer", e) for e in (INSTALL_EVENT, *REVENUE_EVENTS)] + [("backend", e) for e in BACKEND_EVENTS],
-        "source string, event_name string")
-    seen = (raw_appsflyer.select(F.lit("appsflyer").alias("source"), "event_name")
-            .unionByName(raw_backend.select(F.lit("backend").alias("source"), F.col("event").alias("event_name")))
+    """Event names outside the registry, per source, with row counts. The registry is a fixed
+    vocabulary, so membership is a predicate evaluated in the scan (no join); NULL names are reported."""
+    registry = {"appsflyer": (INSTALL_EVENT, *REVENUE_EVENTS), "backend": BACKEND_EVENTS}
+
+    def unknown(source: str, col: str) -> DataFrame:
+        c = F.col(col)
+        return (raw_appsflyer if source == "appsflyer" else raw_backend).filter(
+            c.isNull() | ~c.isin(*registry[source])).select(F.lit(source).alias("source"), c.alias("event_name"))
+
+    return (unknown("appsflyer", "event_name").unionByName(unknown("backend", "event"))
             .groupBy("source", "event_name").agg(F.count(F.lit(1)).alias("row_count")))
-    return seen.join(F.broadcast(registry), ["source", "event_name"], "left_anti")  # registry: fixed size
 
 
 # Alert thresholds proposed in the reference's notes.
