@@ -144,9 +144,8 @@ def backend_from(events: DataFrame) -> DataFrame:
 
 
 def singular_from(dev: DataFrame, orders: DataFrame) -> DataFrame:
-    """Daily network spend rows from every 5th order of non-organic customers."""
-    orders = (orders.select("o_orderkey", "o_custkey", "o_totalprice")
-              .filter(F.col("o_orderkey") % 5 == 0))
+    """Daily network spend rows, one per order of a non-organic customer (every order is used)."""
+    orders = orders.select("o_orderkey", "o_custkey", "o_totalprice")
     dev = dev.filter(~organic_col() & (F.col("campaign") != NO_SPEND_CAMPAIGN))
     ok = F.col("o_orderkey")
     price = F.col("o_totalprice").cast(MONEY_COST)
