@@ -10,6 +10,9 @@ from pyspark.sql import SparkSession
 ENGINE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # coalesce shuffle partitions to the advisory size, not to maximal parallelism (Spark's advice for
+    # shared clusters; fewer, fuller tasks)
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a skewed join partition even when that costs one more shuffle downstream (one key may
     # hold a third of the rows)
