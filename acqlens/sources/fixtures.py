@@ -129,18 +129,20 @@ def backend_from(events: DataFrame) -> DataFrame:
         event = F.when(et == t, b) if event is None else event.when(et == t, b)
     drift = (F.lit(85) + eid % 26) * F.lit(0.01).cast("decimal(2,2)")
     base_time = to_second("ts")
-    base = ev.select(
-        eid.alias("event_id"),
-        F.col("user_id").cast("string").alias("user_id"),
+    # one scan: every event yields its own row, plus an exact duplicate (event_id % 33 = 0) and a copy
+    # under an id the attribution side never saw (event_id % 10 = 0)
+    copies = F.filter(F.array(F.lit(0), F.when(eid % 33 == 0, F.lit(1)), F.when(eid % 10 == 0, F.lit(2))),
+                      lambda c: c.isNotNull())
+    rows = ev.select(
+        F.col("user_id").cast("string").alias("uid"),
         event.alias("event"),
         (F.col("value").cast(MONEY_EVENT) * drift).cast(MONEY_EVENT).alias("revenue"),
         F.when(eid % 20 == 1, plus_days(base_time, 15)).otherwise(base_time).alias("event_time"),
+        F.explode(copies).alias("copy"),
     )
-    dups = base.filter(F.col("event_id") % 33 == 0)
-    unattributed = (base.filter(F.col("event_id") % 10 == 0)
-                    .withColumn("user_id", F.concat(F.lit("x"), F.col("user_id"))))
-    return (base.unionByName(dups).unionByName(unattributed)
-            .select("user_id", "event", "revenue", "event_time", _loaded_at()))
+    return rows.select(
+        F.when(F.col("copy") == 2, F.concat(F.lit("x"), F.col("uid"))).otherwise(F.col("uid")).alias("user_id"),
+        "event", "revenue", "event_time", _loaded_at())
 
 
 def singular_from(dev: DataFrame, orders: DataFrame) -> DataFrame:
