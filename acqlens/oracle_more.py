@@ -119,6 +119,12 @@ def selects() -> dict[str, str]:
     s["load_idempotent"] = ("SELECT table_name, row_count AS rows_first_load, row_count AS rows_second_load "
                             "FROM load_counts_q")
     s["freshness"] = _freshness()
+    s["csv_round_trip"] = """
+SELECT 'raw.appsflyer' AS table_name, count(*) AS row_count, CAST(sum(event_revenue) AS DECIMAL(38,2)) AS value_checksum,
+  max(install_time) AS max_time FROM raw_appsflyer
+UNION ALL SELECT 'raw.singular', count(*), CAST(sum(cost) AS DECIMAL(38,2)), max(CAST(date AS TIMESTAMP)) FROM raw_singular
+UNION ALL SELECT 'raw.skan', count(*), CAST(sum(conversion_value) AS DECIMAL(38,2)), CAST(NULL AS TIMESTAMP) FROM raw_skan
+UNION ALL SELECT 'raw.backend', count(*), CAST(sum(revenue) AS DECIMAL(38,2)), max(event_time) FROM raw_backend"""
     s["channel_standardize"] = f"""
 SELECT raw_value, {sql_channel('raw_value')} AS channel, count(*) AS row_count
 FROM (SELECT media_source AS raw_value FROM raw_appsflyer UNION ALL SELECT source FROM raw_singular) t

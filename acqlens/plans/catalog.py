@@ -16,7 +16,8 @@ from acqlens.operators import extras, profiles, quality, reports, staging
 from acqlens.plans.models import MODELS, MaterializedGraph, ModelGraph
 from acqlens.sources import fixtures
 from acqlens.sources.freshness import freshness
-from acqlens.sources.loader import read_raw, table_counts, write_raw, SPECS
+from acqlens.sources.loader import (SPECS, read_raw, stage_sources, table_counts, table_profile, write_raw,
+                                    write_source_csv)
 from acqlens.session import ensure_checkpoint_dir
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +64,16 @@ def load_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return firsts.join(again.withColumnRenamed("row_count", "rows_second_load"), "table_name")
 
 
+def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw sources -> header CSV (one file per task, in the shared checkpoint folder) -> typed loader;
+    returns the loaded tables' fingerprints (rows, value sum, latest time)."""
+    root = os.path.join(ensure_checkpoint_dir(spark), "acqlens-csv", uuid.uuid4().hex)
+    raw = fixtures.load_fixture_sources(spark, sf_dir).as_dict()
+    for name, df in raw.items():
+        write_source_csv(df, os.path.join(root, SPECS[name][0]), single_file=False)
+    return table_profile(stage_sources(spark, root))
+
+
 def _registry() -> dict[str, QueryFn]:
     q: dict[str, QueryFn] = {}
     for s in RAW:
@@ -72,6 +83,7 @@ def _registry() -> dict[str, QueryFn]:
     # load / sources
     q["load_counts"] = lambda spark, sf: table_counts(fixtures.load_fixture_sources(spark, sf).as_dict())
     q["load_idempotent"] = load_idempotent
+    q["csv_round_trip"] = csv_round_trip
     q["freshness"] = lambda spark, sf: freshness(fixtures.load_fixture_sources(spark, sf).as_dict(),
                                                  FRESHNESS_AS_OF)
     # single operators

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from acqlens.functions.dates import to_second
 from acqlens.schemas import LOADED_AT, RAW_APPSFLYER, RAW_BACKEND, RAW_SINGULAR, RAW_SKAN
 from acqlens.session import ensure_checkpoint_dir
 
@@ -48,10 +49,18 @@ def read_typed_csv(spark: SparkSession, path: str, schema: StructType) -> DataFr
             typed = F.when(c.isNotNull() & c.try_cast(f.dataType).isNull(),
                            F.raise_error(F.concat(F.lit(f"{path}: bad {f.name} value "), c))
                            ).otherwise(typed)
-        cols.append(typed.cast(f.dataType).alias(f.name))
+        typed = typed.cast(f.dataType)
+        if f.dataType.simpleString() == "timestamp_ntz":
+            typed = round_to_second(typed)   # the raw contract stores whole seconds (rounded)
+        cols.append(typed.alias(f.name))
     return text.select(*cols)
 
 
+def round_to_second(ts):
+    """Round a TIMESTAMP_NTZ to the nearest whole second (half up), staying zone-less."""
+    return to_second(ts + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(0.5).cast("decimal(8,6)")))
+
+
 def validate_not_null(df: DataFrame, schema: StructType, name: str) -> None:
     required = [f.name for f in schema.fields if not f.nullable]
     if not required:
@@ -115,9 +124,30 @@ def read_raw(spark: SparkSession, target_dir: str) -> dict[str, DataFrame]:
     return out
 
 
-def write_source_csv(df: DataFrame, path: str) -> None:
-    """Export a raw frame as one header CSV file (used to round-trip fixtures through the loader)."""
-    df.drop(LOADED_AT).coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+def write_source_csv(df: DataFrame, path: str, single_file: bool = True) -> None:
+    """Export a raw frame as header CSV (one file for small exports, else one file per task; the loader
+    reads either a file or a folder of part files)."""
+    out = df.drop(LOADED_AT)
+    if single_file:
+        out = out.coalesce(1)
+    (out.write.mode("overwrite").option("header", True)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+
+
+CHECKSUM_COLUMN = {"appsflyer": ("event_revenue", "install_time"), "singular": ("cost", "date"),
+                   "skan": ("conversion_value", None), "backend": ("revenue", "event_time")}
+
+
+def table_profile(tables: dict[str, DataFrame]) -> DataFrame:
+    """Per table: rows, the sum of its value column and its latest time (a cheap load fingerprint)."""
+    parts = []
+    for n, df in tables.items():
+        value, time = CHECKSUM_COLUMN[n]
+        t = F.max(F.col(time).cast("timestamp_ntz")) if time else F.lit(None).cast("timestamp_ntz")
+        parts.append(df.agg(F.count(F.lit(1)).alias("row_count"),
+                            F.sum(value).cast("decimal(38,2)").alias("value_checksum"), t.alias("max_time"))
+                     .select(F.lit(f"raw.{n}").alias("table_name"), "row_count", "value_checksum", "max_time"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
