@@ -71,7 +71,7 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = fixtures.load_fixture_sources(spark, sf_dir).as_dict()
     for name, df in raw.items():
         write_source_csv(df, os.path.join(root, SPECS[name][0]), single_file=False)
-    return table_profile(stage_sources(spark, root))
+    return table_profile(stage_sources(spark, root, persist=False))
 
 
 def _registry() -> dict[str, QueryFn]:

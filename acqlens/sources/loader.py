@@ -4,8 +4,9 @@
   explicitly; an empty field is NULL for every type; a malformed number or time fails the load
   (ANSI casts raise);
 * all four sources are parsed and validated before any table is written (no partial refresh caused
-  by one bad file); each validated frame is cut from its CSV lineage with a reliable checkpoint in
-  ``spark.checkpoint.dir`` so a lost executor re-reads the checkpoint, not the CSV;
+  by one bad file); each parsed frame is persisted on executor disk so the CSV is parsed once for
+  validation and writing; a lost executor re-parses only its own splits (the lineage is one scan
+  and deterministic casts, nothing else);
 * every row gets one load stamp per run; each table is overwritten whole (idempotent rerun);
 * tables are laid out by their date (partition column) so date predicates prune files; the postback
   table has no date and is clustered by campaign instead.
@@ -16,13 +17,13 @@ import datetime as dt
 import os
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from acqlens.functions.dates import to_second
 from acqlens.schemas import LOADED_AT, RAW_APPSFLYER, RAW_BACKEND, RAW_SINGULAR, RAW_SKAN
-from acqlens.session import ensure_checkpoint_dir
 
 # source name -> (csv file name, schema, partition column expression name, partition source column)
 SPECS = {
@@ -62,29 +63,42 @@ def round_to_second(ts):
 
 
 def validate_not_null(df: DataFrame, schema: StructType, name: str) -> None:
+    """One aggregate over every column: NULLs in NOT NULL columns fail the load, and evaluating all
+    columns surfaces any value that does not parse."""
     required = [f.name for f in schema.fields if not f.nullable]
-    if not required:
-        return
-    row = df.agg(*[F.sum(F.when(F.col(c).isNull(), 1).otherwise(0)).alias(c) for c in required]).first()
-    bad = {c: row[c] for c in required if row[c]}
+    checks = [F.sum(F.when(F.col(c).isNull(), 1).otherwise(0)).alias(f"null_{c}") for c in required]
+    touch = [F.count(F.col(f.name)).alias(f"n_{f.name}") for f in schema.fields]
+    row = df.agg(*checks, *touch).first()
+    bad = {c: row[f"null_{c}"] for c in required if row[f"null_{c}"]}
     if bad:
         raise ValueError(f"{name}: NULL in NOT NULL columns {bad}")
 
 
-def stage_sources(spark: SparkSession, csv_dir: str, loaded_at: dt.datetime | None = None) -> dict[str, DataFrame]:
-    """Parse, type, stamp and validate all four sources; returns checkpointed frames (nothing written)."""
-    ensure_checkpoint_dir(spark)
+def stage_sources(spark: SparkSession, csv_dir: str, loaded_at: dt.datetime | None = None,
+                  persist: bool = True) -> dict[str, DataFrame]:
+    """Parse, type, stamp and validate all four sources (nothing is written).
+
+    With ``persist`` the parsed rows are kept on executor disk: validation parses every row and
+    column once (a bad value fails here, before any write), and the caller's writes reuse those rows;
+    call ``release`` afterwards.
+    """
     stamp = (loaded_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)).strftime("%Y-%m-%d %H:%M:%S.%f")
     out = {}
     for name, (fname, schema, _, _) in SPECS.items():
         df = read_typed_csv(spark, os.path.join(csv_dir, fname), schema)
         df = df.withColumn(LOADED_AT, F.lit(stamp).cast("timestamp_ntz"))
-        df = df.checkpoint(eager=True)   # parses every row now: a bad file fails before any write
+        if persist:
+            df = df.persist(StorageLevel.DISK_ONLY)
         validate_not_null(df, schema, name)
         out[name] = df
     return out
 
 
+def release(staged: dict[str, DataFrame]) -> None:
+    for df in staged.values():
+        df.unpersist()
+
+
 def write_raw(df: DataFrame, path: str, part_col: str | None, source_col: str, incremental: bool = False) -> None:
     """Overwrite one raw table. Date-partitioned tables are sorted by date inside each task (no
     shuffle, no hot-date skew) so each task writes one file per date it holds.
@@ -107,12 +121,13 @@ def load_raw(spark: SparkSession, csv_dir: str, target_dir: str,
     """Refresh of the four raw tables under ``target_dir`` (full, or only the delivered dates when
     ``incremental``); returns the row counts of the tables after the load."""
     staged = stage_sources(spark, csv_dir, loaded_at)
-    counts = {}
-    for name, df in staged.items():
-        _, _, part_col, source_col = SPECS[name]
-        write_raw(df, os.path.join(target_dir, name), part_col, source_col, incremental)
-        counts[name] = spark.read.parquet(os.path.join(target_dir, name)).count()
-    return counts
+    try:
+        for name, df in staged.items():
+            _, _, part_col, source_col = SPECS[name]
+            write_raw(df, os.path.join(target_dir, name), part_col, source_col, incremental)
+    finally:
+        release(staged)
+    return {name: spark.read.parquet(os.path.join(target_dir, name)).count() for name in SPECS}
 
 
 def read_raw(spark: SparkSession, target_dir: str) -> dict[str, DataFrame]:
