@@ -38,3 +38,18 @@ def test_invariants(spark):
     assert _sum(g.rec_attribution_gap, "late_among_unattributed") == 0
     assert _sum(g.rec_revenue_discrepancy, "mmp_revenue") == _sum(g.stg_appsflyer_events, "event_revenue")
     assert g.stg_appsflyer.select("appsflyer_id").distinct().count() == g.stg_appsflyer.count()
+
+
+def test_results_do_not_depend_on_session_zone_or_ansi(spark):
+    """Zone-less timestamps throughout: the same answers under a DST zone with ANSI off."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled")}
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        names = ["raw_appsflyer", "raw_backend", "stg_backend", "dim_date", "mart_retention", "ctit_by_channel",
+                 "mart_privacy_roas_gap", "freshness"]
+        res = compare(spark, SF_SMALL, names, verbose=False)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert all(v == "OK" for v in res.values()), res
