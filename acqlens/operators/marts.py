@@ -16,8 +16,11 @@ from acqlens.functions.ratios import ratio
 from acqlens.functions.skan import CONVERSION_BANDS
 from acqlens.schemas import MONEY_SUM
 
-# Fixed value: naive D30 -> D90 lifetime-value extrapolation factor (a parameter of the growth mart).
+# Naive D30 -> D90 lifetime-value extrapolation factor (a parameter of the growth mart),
+# the cohort revenue windows in days since install (inclusive), and the retention days.
 LTV_D30_TO_D90 = Decimal("1.4")
+COHORT_WINDOWS = (7, 30)
+RETENTION_DAYS = (1, 7, 30)
 UNIFIED_KEYS = ("activity_date", "channel_key", "campaign_key", "country_code")
 
 
@@ -74,8 +77,6 @@ def last_activity_day(backend_rows: DataFrame) -> DataFrame:
             .agg(F.max(F.to_date("event_time")).alias("last_day")))
 
 
-RETENTION_DAYS = (1, 7, 30)
-
 
 def mart_retention(backend_rows: DataFrame, fct_installs_df: DataFrame) -> DataFrame:
     """D1/D7/D30 retention per (channel, install date); denominator = every install.
@@ -132,8 +133,7 @@ def cohort_revenue(fct_installs_df: DataFrame, fct_events_df: DataFrame) -> Data
 
     return ev.groupBy("channel_key", "campaign_key").agg(
         F.sum("event_revenue").alias("revenue_total"),
-        within(7).alias("revenue_d7"),
-        within(30).alias("revenue_d30"),
+        *[within(n).alias(f"revenue_d{n}") for n in COHORT_WINDOWS],
         F.countDistinct("appsflyer_id").alias("paying_users"))
 
 
@@ -188,7 +188,7 @@ def mart_growth_metrics(fct_installs_df: DataFrame, fct_events_df: DataFrame, fc
 
 def backend_cohort_d30(stg_backend_df: DataFrame) -> DataFrame:
     """Backend-confirmed revenue within 30 days of install per channel x campaign."""
-    d30 = day_diff("install_time", "event_time").between(0, 30)
+    d30 = day_diff("install_time", "event_time").between(0, COHORT_WINDOWS[-1])
     return (stg_backend_df.filter((F.col("is_attributed") == 1) & F.col("install_time").isNotNull())
             .groupBy("channel", "campaign")
             .agg(F.sum(F.when(d30, F.col("revenue")).otherwise(0)).alias("backend_revenue_d30"))

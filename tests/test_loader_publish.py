@@ -142,3 +142,18 @@ def test_reports_over_published_tables(spark, tmpdir_path):
     a = reports.report_roas(pub.mart_growth_metrics)
     b = reports.report_roas(lazy.mart_growth_metrics)
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_publish_from_csv_and_freshness_gate(spark, tmpdir_path):
+    src = load_fixture_sources(spark, SF_SMALL)
+    csv_dir = os.path.join(tmpdir_path, "csv")
+    os.makedirs(csv_dir)
+    _export_csv(spark, src, csv_dir)
+    stamp = dt.datetime(2024, 3, 1)
+    ok = publish.run(spark, os.path.join(tmpdir_path, "a"), csv_dir=csv_dir, loaded_at=stamp,
+                     as_of="2024-03-02 00:00:00")
+    assert ok.published and os.path.isdir(os.path.join(tmpdir_path, "a", "raw", "backend"))
+    assert spark.table("marts.rec_revenue_discrepancy").count() > 0
+    stale = publish.run(spark, os.path.join(tmpdir_path, "b"), csv_dir=csv_dir, loaded_at=stamp,
+                        as_of="2024-03-20 00:00:00")
+    assert not stale.published and any(x.startswith("freshness_") for x in stale.failed_errors)
