@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from acqlens import oracle, oracle_more
 from acqlens.operators import extras, profiles, quality, reports, staging
+from acqlens.plans.catalog_constants import FRESHNESS_AS_OF
 from acqlens.plans.models import MODELS, MaterializedGraph, ModelGraph
 from acqlens.sources import fixtures
 from acqlens.sources.freshness import freshness
@@ -22,7 +23,6 @@ from acqlens.session import ensure_checkpoint_dir
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 RAW = ("appsflyer", "singular", "skan", "backend")
-from acqlens.plans.catalog_constants import FRESHNESS_AS_OF  # noqa: E402
 
 
 def _graph(spark: SparkSession, sf_dir: str) -> ModelGraph:
