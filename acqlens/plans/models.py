@@ -216,14 +216,21 @@ def write_table(df: DataFrame, path: str) -> DataFrame:
 
 
 class PublishedGraph(ModelGraph):
-    """Models read from the session catalog (what a publish run registered); nothing is rebuilt.
-    Report queries over it read the published marts, like the reference's dashboard reads tables."""
+    """Models read from published tables; nothing is rebuilt. Report queries over it read the
+    published marts, like the reference's dashboard reads tables.
 
-    def __init__(self, spark: SparkSession):
+    Without ``run_dir`` the models come from the session catalog (``staging.*`` / ``marts.*``, as
+    registered by a publish run in this session); with ``run_dir`` from that run's parquet folders
+    (what another process published)."""
+
+    def __init__(self, spark: SparkSession, run_dir: str | None = None):
         self.spark = spark
+        self.run_dir = run_dir
         self.raw = None
 
     def model(self, name: str) -> DataFrame:
+        if self.run_dir is not None:
+            return self.spark.read.parquet(os.path.join(self.run_dir, name))
         from acqlens.plans.publish import LAYER_OF
         return self.spark.table(f"{LAYER_OF[name]}.{name}")
 

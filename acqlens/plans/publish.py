@@ -89,3 +89,12 @@ def published_run(spark: SparkSession, root: str) -> str | None:
     except Exception:  # noqa: BLE001 - no manifest yet
         return None
     return row.r if row else None
+
+
+def published_graph(spark: SparkSession, root: str):
+    """The models of the latest published run under ``root`` (any process may have published it)."""
+    from acqlens.plans.models import PublishedGraph
+    run_id = published_run(spark, root)
+    if run_id is None:
+        raise FileNotFoundError(f"no published run under {root}")
+    return PublishedGraph(spark, os.path.join(root, "runs", run_id))

@@ -157,3 +157,17 @@ def test_publish_from_csv_and_freshness_gate(spark, tmpdir_path):
     stale = publish.run(spark, os.path.join(tmpdir_path, "b"), csv_dir=csv_dir, loaded_at=stamp,
                         as_of="2024-03-20 00:00:00")
     assert not stale.published and any(x.startswith("freshness_") for x in stale.failed_errors)
+
+
+def test_cli_load_run_report(spark, tmpdir_path, capsys):
+    from acqlens.__main__ import main
+    src = load_fixture_sources(spark, SF_SMALL)
+    csv_dir = os.path.join(tmpdir_path, "csv")
+    os.makedirs(csv_dir)
+    _export_csv(spark, src, csv_dir)
+    root = os.path.join(tmpdir_path, "cli")
+    assert main(["load", "--csv-dir", csv_dir, "--root", root]) == 0
+    assert main(["run", "--root", root]) == 0
+    assert main(["report", "kpi", "--root", root]) == 0
+    out = capsys.readouterr().out
+    assert '"published": true' in out and "total_cost" in out
