@@ -174,23 +174,27 @@ def threshold_alerts(rec: DataFrame, stg_backend_df: DataFrame) -> DataFrame:
 
 
 def metric_anomalies(unified: DataFrame, sigmas: int = 3, lookback_days: int = 7) -> DataFrame:
-    """Daily ROAS per channel on a gap-free calendar, flagged when it lies more than ``sigmas``
-    standard deviations from the mean of the previous ``lookback_days`` days.
+    """Daily ROAS and CPI per channel on a gap-free calendar, flagged when a day lies more than
+    ``sigmas`` standard deviations from the mean of the previous ``lookback_days`` days.
 
-    The series is aggregated to one row per channel and day before the window, so each window
-    partition holds at most one row per calendar day.
+    The series is aggregated to one row per channel, metric and day before the window, so each
+    window partition holds at most one row per calendar day.
     """
     daily = unified.groupBy("channel_key", "activity_date").agg(
-        F.sum("cost").alias("cost"), F.sum("revenue").alias("revenue"))
+        F.sum("cost").alias("cost"), F.sum("revenue").alias("revenue"), F.sum("installs").alias("installs"))
     span = daily.groupBy("channel_key").agg(F.min("activity_date").alias("d0"), F.max("activity_date").alias("d1"))
     cal = span.select("channel_key", F.explode(F.sequence("d0", "d1")).alias("activity_date"))
-    s = cal.join(daily, ["channel_key", "activity_date"], "left").select(
-        "channel_key", "activity_date",
-        F.when(F.col("cost") > 0, F.col("revenue").cast("double") / F.col("cost").cast("double")).alias("roas"))
-    w = Window.partitionBy("channel_key").orderBy("activity_date").rowsBetween(-lookback_days, -1)
-    s = s.select("*", F.avg("roas").over(w).alias("mu"), F.stddev_samp("roas").over(w).alias("sd"),
-                 F.count("roas").over(w).alias("n_prior"))
+    filled = cal.join(daily, ["channel_key", "activity_date"], "left")
+    cost = F.col("cost").cast("double")
+    series = (filled.select("channel_key", "activity_date", F.lit("roas").alias("metric"),
+                            F.when(F.col("cost") > 0, F.col("revenue").cast("double") / cost).alias("v"))
+              .unionByName(filled.select("channel_key", "activity_date", F.lit("cpi").alias("metric"),
+                                         F.when(F.col("installs") > 0, cost / F.col("installs").cast("double"))
+                                         .alias("v"))))
+    w = Window.partitionBy("channel_key", "metric").orderBy("activity_date").rowsBetween(-lookback_days, -1)
+    s = series.select("*", F.avg("v").over(w).alias("mu"), F.stddev_samp("v").over(w).alias("sd"),
+                      F.count("v").over(w).alias("n_prior"))
     return s.select(
-        "channel_key", "activity_date", "n_prior",
-        F.when(F.col("roas").isNotNull() & (F.col("n_prior") >= 2) & (F.col("sd") > 0)
-               & (F.abs(F.col("roas") - F.col("mu")) > F.col("sd") * sigmas), 1).otherwise(0).alias("is_anomaly"))
+        "channel_key", "activity_date", "metric", "n_prior",
+        F.when(F.col("v").isNotNull() & (F.col("n_prior") >= 2) & (F.col("sd") > 0)
+               & (F.abs(F.col("v") - F.col("mu")) > F.col("sd") * sigmas), 1).otherwise(0).alias("is_anomaly"))

@@ -94,9 +94,14 @@ SELECT source_identifier,
 FROM sk_base"""
 
 EXTRA["anomaly_daily"] = """
-SELECT channel_key, activity_date, sum(cost) AS cost, sum(revenue) AS revenue
+SELECT channel_key, activity_date, sum(cost) AS cost, sum(revenue) AS revenue, sum(installs) AS installs
 FROM mart_marketing_unified GROUP BY channel_key, activity_date"""
 
+EXTRA["anomaly_cal"] = """
+SELECT channel_key, CAST(unnest(generate_series(d0, d1, INTERVAL 1 DAY)) AS DATE) AS activity_date
+FROM (SELECT channel_key, min(activity_date) AS d0, max(activity_date) AS d1 FROM anomaly_daily
+      GROUP BY channel_key) sp"""
+
 EXTRA["load_counts_q"] = "\nUNION ALL ".join(
     f"SELECT 'raw.{s}' AS table_name, count(*) AS row_count FROM raw_{s}" for s in RAW)
 
@@ -277,19 +282,21 @@ SELECT 'attribution_gap', activity_date, CAST(NULL AS VARCHAR), {ratio('100 * '
 FROM (SELECT event_date AS activity_date, sum(CASE WHEN is_attributed = 0 THEN revenue ELSE 0 END) AS gap,
         sum(revenue) AS total FROM stg_backend GROUP BY event_date) d
 WHERE total > 0 AND gap * 100 > total * 10"""
-    s["metric_anomalies"] = """
-SELECT channel_key, activity_date, n_prior,
-  CASE WHEN roas IS NOT NULL AND n_prior >= 2 AND sd > 0 AND abs(roas - mu) > sd * 3 THEN 1 ELSE 0 END AS is_anomaly
+    roas = "CASE WHEN d.cost > 0 THEN CAST(d.revenue AS DOUBLE) / CAST(d.cost AS DOUBLE) END"
+    cpi = "CASE WHEN d.installs > 0 THEN CAST(d.cost AS DOUBLE) / CAST(d.installs AS DOUBLE) END"
+    on = "c.channel_key = d.channel_key AND c.activity_date = d.activity_date"
+    s["metric_anomalies"] = f"""
+SELECT channel_key, activity_date, metric, n_prior,
+  CASE WHEN v IS NOT NULL AND n_prior >= 2 AND sd > 0 AND abs(v - mu) > sd * 3 THEN 1 ELSE 0 END AS is_anomaly
 FROM (
-  SELECT *, avg(roas) OVER w AS mu, stddev_samp(roas) OVER w AS sd, count(roas) OVER w AS n_prior
+  SELECT *, avg(v) OVER w AS mu, stddev_samp(v) OVER w AS sd, count(v) OVER w AS n_prior
   FROM (
-    SELECT c.channel_key, c.activity_date,
-      CASE WHEN d.cost > 0 THEN CAST(d.revenue AS DOUBLE) / CAST(d.cost AS DOUBLE) END AS roas
-    FROM (SELECT channel_key, CAST(unnest(generate_series(d0, d1, INTERVAL 1 DAY)) AS DATE) AS activity_date
-          FROM (SELECT channel_key, min(activity_date) AS d0, max(activity_date) AS d1
-                FROM anomaly_daily GROUP BY channel_key) sp) c
-    LEFT JOIN anomaly_daily d ON c.channel_key = d.channel_key AND c.activity_date = d.activity_date) s
-  WINDOW w AS (PARTITION BY channel_key ORDER BY activity_date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)) x"""
+    SELECT c.channel_key, c.activity_date, 'roas' AS metric, {roas} AS v
+    FROM anomaly_cal c LEFT JOIN anomaly_daily d ON {on}
+    UNION ALL
+    SELECT c.channel_key, c.activity_date, 'cpi', {cpi}
+    FROM anomaly_cal c LEFT JOIN anomaly_daily d ON {on}) s
+  WINDOW w AS (PARTITION BY channel_key, metric ORDER BY activity_date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)) x"""
     return s
 
 
