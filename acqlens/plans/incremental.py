@@ -40,6 +40,14 @@ def _ntz_range(col: str, days: list[dt.date]) -> Column:
     return reduce(lambda a, b: a | b, conds)
 
 
+def _restrict(df: DataFrame, cond: Column, partition_col: str, days: list[dt.date]) -> DataFrame:
+    """Rows of ``days``; when the raw table carries its date partition column, filter on it too so
+    whole date partitions are skipped, not only row groups."""
+    if partition_col in df.columns:
+        cond = cond & in_days(partition_col, days)
+    return df.filter(cond)
+
+
 class DayGraph(ModelGraph):
     """The model graph restricted to ``days`` for the date-local marts."""
 
@@ -49,16 +57,18 @@ class DayGraph(ModelGraph):
 
     @cached_property
     def stg_appsflyer_events(self) -> DataFrame:
+        # the attribution table is laid out by install date, so only row-group statistics help here
         return staging.stg_appsflyer_events(self.raw.appsflyer.filter(_ntz_range("event_time", self.days)))
 
     @cached_property
     def stg_singular(self) -> DataFrame:
-        return staging.stg_singular(self.raw.singular.filter(in_days("date", self.days)))
+        return staging.stg_singular(_restrict(self.raw.singular, in_days("date", self.days), "spend_date", self.days))
 
     @cached_property
     def stg_backend(self) -> DataFrame:
         # the whole install directory attributes the day's backend rows
-        return staging.stg_backend(self.raw.backend.filter(_ntz_range("event_time", self.days)), self.stg_appsflyer)
+        day_rows = _restrict(self.raw.backend, _ntz_range("event_time", self.days), "event_date", self.days)
+        return staging.stg_backend(day_rows, self.stg_appsflyer)
 
     @cached_property
     def fct_installs(self) -> DataFrame:

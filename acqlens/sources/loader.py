@@ -130,12 +130,14 @@ def load_raw(spark: SparkSession, csv_dir: str, target_dir: str,
     return {name: spark.read.parquet(os.path.join(target_dir, name)).count() for name in SPECS}
 
 
-def read_raw(spark: SparkSession, target_dir: str) -> dict[str, DataFrame]:
-    """Raw tables as written by ``load_raw`` (the partition column is dropped again)."""
+def read_raw(spark: SparkSession, target_dir: str, keep_partition_column: bool = False) -> dict[str, DataFrame]:
+    """Raw tables as written by ``load_raw``. The date partition column is dropped unless
+    ``keep_partition_column`` (day-restricted reads filter on it to prune partitions)."""
     out = {}
     for name, (_, schema, part_col, _) in SPECS.items():
         df = spark.read.parquet(os.path.join(target_dir, name))
-        out[name] = df.select(*[f.name for f in schema.fields], LOADED_AT)
+        extra = [part_col] if keep_partition_column and part_col else []
+        out[name] = df.select(*[f.name for f in schema.fields], LOADED_AT, *extra)
     return out
 
 
