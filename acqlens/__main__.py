@@ -5,6 +5,7 @@
   python -m acqlens test      --root ROOT                        checks on a build of the raw tables
   python -m acqlens freshness --root ROOT --as-of TS             source freshness
   python -m acqlens report    NAME --root ROOT                   a channel report over the published marts
+  python -m acqlens refresh   --root ROOT --days D1,D2           recompute the date-local marts for those days
 
 ROOT is a shared folder (raw/, runs/, manifest/). The session comes from spark-submit / the
 environment; ``spark.checkpoint.dir`` must name a shared folder on a cluster.
@@ -12,12 +13,13 @@ environment; ``spark.checkpoint.dir`` must name a shared folder on a cluster.
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import json
 import os
 import sys
 
 from acqlens.operators import quality, reports
-from acqlens.plans import publish
+from acqlens.plans import incremental, publish
 from acqlens.plans.models import MaterializedGraph
 from acqlens.session import build_session
 from acqlens.sources.fixtures import RawSources
@@ -44,6 +46,7 @@ def main(argv: list[str] | None = None) -> int:
     p = sub.add_parser("test"); p.add_argument("--root", required=True)
     p = sub.add_parser("freshness"); p.add_argument("--root", required=True); p.add_argument("--as-of", required=True)
     p = sub.add_parser("report"); p.add_argument("name", choices=sorted(REPORTS)); p.add_argument("--root", required=True)
+    p = sub.add_parser("refresh"); p.add_argument("--root", required=True); p.add_argument("--days", required=True)
     a = ap.parse_args(argv)
 
     spark = build_session()
@@ -66,6 +69,12 @@ def main(argv: list[str] | None = None) -> int:
     if a.cmd == "freshness":
         freshness(read_raw(spark, raw_dir), a.as_of).show(truncate=False)
         return 0
+    if a.cmd == "refresh":
+        days = [dt.date.fromisoformat(d.strip()) for d in a.days.split(",") if d.strip()]
+        raw = RawSources(**read_raw(spark, raw_dir, keep_partition_column=True))
+        incremental.refresh_days(raw, os.path.join(a.root, "daily"), days)
+        print(json.dumps({"refreshed_days": [str(d) for d in days], "models": sorted(incremental.DATE_LOCAL)}))
+        return 0
     if a.cmd == "report":
         REPORTS[a.name](publish.published_graph(spark, a.root)).show(100, truncate=False)
         return 0
