@@ -77,7 +77,6 @@ def last_activity_day(backend_rows: DataFrame) -> DataFrame:
             .agg(F.max(F.to_date("event_time")).alias("last_day")))
 
 
-
 def mart_retention(backend_rows: DataFrame, fct_installs_df: DataFrame) -> DataFrame:
     """D1/D7/D30 retention per (channel, install date); denominator = every install.
 
@@ -97,8 +96,8 @@ def mart_retention(backend_rows: DataFrame, fct_installs_df: DataFrame) -> DataF
     return agg.select(
         "channel", "install_date", "cohort_size",
         *[f"retained_d{n}" for n in RETENTION_DAYS],
-        *[ratio(F.col(f"retained_d{n}") * 100, F.col("cohort_size"), 6, 2, when=F.lit(True))
-          .alias(f"retention_d{n}_pct") for n in RETENTION_DAYS])
+        *[ratio(F.col(f"retained_d{n}") * 100, F.col("cohort_size"), 6, 2).alias(f"retention_d{n}_pct")
+          for n in RETENTION_DAYS])
 
 
 def campaign_spend(fct_spend_df: DataFrame) -> DataFrame:
