@@ -93,3 +93,12 @@ def test_dim_date_gap_free_and_calendar(spark):
     assert (sat.day_name, sat.day_of_week, sat.is_weekend) == ("Saturday", 7, 1)
     assert (sun.day_of_week, sun.week_of_year, rows[2].week_of_year) == (1, 53, 1)
     assert rows[2].month_name == "January" and rows[2].quarter == 1
+
+
+def test_ratio_overflow_raises_under_ansi(spark):  # S8
+    import pytest
+    inst = dt.datetime(2024, 1, 1, 10, 0)
+    g = ModelGraph(sources(spark, appsflyer=[install("a", campaign="big", t=inst)],
+                           spend_rows=[spend(D, campaign="big", cost="999999999999.00")]))
+    with pytest.raises(Exception):
+        g.mart_growth_metrics.collect()   # CPI 999,999,999,999.00 does not fit decimal(12,2)
