@@ -173,3 +173,16 @@ def test_cli_load_run_report(spark, tmpdir_path, capsys):
     assert spark.read.parquet(os.path.join(root, "daily", "rec_revenue_discrepancy")).count() > 0
     out = capsys.readouterr().out
     assert '"published": true' in out and "total_cost" in out
+
+
+def test_graph_from_parquet_tables(spark, tmpdir_path):
+    from acqlens.plans.models import ModelGraph
+    src = load_fixture_sources(spark, SF_SMALL)
+    paths = {}
+    for name, df in src.as_dict().items():
+        paths[name] = os.path.join(tmpdir_path, name)
+        df.write.parquet(paths[name])
+    g = ModelGraph.from_tables(spark, paths)
+    want = ModelGraph(src).mart_privacy_roas_gap
+    got = g.mart_privacy_roas_gap
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
