@@ -13,7 +13,6 @@ relationships), and the summary is their union: a few rows, never the checked da
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +20,7 @@ from pyspark.sql import functions as F
 from acqlens.functions.channel import CANONICAL_CHANNELS
 from acqlens.functions.skan import CV_BANDS, CV_MAX, CV_MIN
 from acqlens.functions.taxonomy import BACKEND_EVENTS, PLATFORMS, REVENUE_EVENTS
+from acqlens.operators.unions import union_all
 
 
 @dataclass(frozen=True)
@@ -171,7 +171,7 @@ def not_null_counts(df: DataFrame, checks: list[Check]) -> DataFrame:
     agg = df.agg(*[F.sum(F.when(F.col(c.column).isNull(), 1).otherwise(0)).alias(f"_f{i}")
                    for i, c in enumerate(checks)])
     rows = [agg.select(*_row(c, F.coalesce(F.col(f"_f{i}"), F.lit(0)))) for i, c in enumerate(checks)]
-    return reduce(DataFrame.unionByName, rows)
+    return union_all(rows)
 
 
 def unique_count(df: DataFrame, check: Check) -> DataFrame:
@@ -190,7 +190,7 @@ def accepted_values_counts(df: DataFrame, checks: list[Check]) -> DataFrame:
            .select("p.i", "p.v").distinct())
     agg = bad.agg(*[F.sum(F.when(F.col("i") == i, 1).otherwise(0)).alias(f"_f{i}") for i in range(len(checks))])
     rows = [agg.select(*_row(c, F.coalesce(F.col(f"_f{i}"), F.lit(0)))) for i, c in enumerate(checks)]
-    return reduce(DataFrame.unionByName, rows)
+    return union_all(rows)
 
 
 def relationships_count(child: DataFrame, parent: DataFrame, check: Check) -> DataFrame:
@@ -245,7 +245,7 @@ def check_results(models, kinds: tuple[str, ...] | None = None, names: tuple[str
             parts.append(relationships_count(models.model(c.model), models.model(c.to_model), c))
         elif c.kind == "custom":
             parts.append(custom_count(models, c))
-    return with_status(reduce(DataFrame.unionByName, parts))
+    return with_status(union_all(parts))
 
 
 def run_summary(results: DataFrame) -> DataFrame:

@@ -4,11 +4,10 @@
 """
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from acqlens.operators.unions import union_all
 from acqlens.schemas import LOADED_AT
 
 # Freshness thresholds.
@@ -24,7 +23,7 @@ def freshness(raw: dict[str, DataFrame], as_of: str, warn_after_days: int = WARN
         m = df.agg(F.max(LOADED_AT).alias("max_loaded_at"))
         age = F.expr(f"timestampdiff(SECOND, max_loaded_at, TIMESTAMP_NTZ '{as_of}')")
         parts.append(m.select(F.lit(name).alias("source_name"), "max_loaded_at", age.alias("age_seconds")))
-    out = reduce(DataFrame.unionByName, parts)
+    out = union_all(parts)
     age = F.col("age_seconds")
     return out.select(
         "source_name", "max_loaded_at", age.cast("bigint").alias("age_seconds"),

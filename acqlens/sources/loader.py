@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import datetime as dt
 import os
-from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from acqlens.functions.dates import to_second
+from acqlens.operators.unions import union_all
 from acqlens.schemas import LOADED_AT, RAW_APPSFLYER, RAW_BACKEND, RAW_SINGULAR, RAW_SKAN
 
 # source name -> (csv file name, schema, partition column expression name, partition source column)
@@ -164,11 +164,11 @@ def table_profile(tables: dict[str, DataFrame]) -> DataFrame:
         parts.append(df.agg(F.count(F.lit(1)).alias("row_count"),
                             F.sum(value).cast("decimal(38,2)").alias("value_checksum"), t.alias("max_time"))
                      .select(F.lit(f"raw.{n}").alias("table_name"), "row_count", "value_checksum", "max_time"))
-    return reduce(DataFrame.unionByName, parts)
+    return union_all(parts)
 
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """Row count per table as a small DataFrame ``(table_name, row_count)``."""
     parts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(f"raw.{n}").alias("table_name"), "row_count")
              for n, df in tables.items()]
-    return reduce(DataFrame.unionByName, parts)
+    return union_all(parts)
