@@ -7,6 +7,7 @@ action runs; ``plans.publish`` decides what to materialise.
 from __future__ import annotations
 
 import os
+import threading
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
@@ -187,6 +188,7 @@ class MaterializedGraph(ModelGraph):
         # facts are column projections of staging: recomputing them is cheaper than storing them
         self.names = set(MODELS if names is None else names) - (set(FACTS) if names is None else set())
         self.root = root
+        self._root_lock = threading.Lock()
 
     def build(self, names=MODELS, threads: int = 4) -> "MaterializedGraph":
         """Materialise ``names`` (and their upstream models) level by level; models of one level are
@@ -204,8 +206,9 @@ class MaterializedGraph(ModelGraph):
     def _finish(self, name: str, df: DataFrame) -> DataFrame:
         if name not in self.names:
             return df
-        if self.root is None:
-            self.root = os.path.join(ensure_checkpoint_dir(df.sparkSession), "acqlens-tables", uuid.uuid4().hex)
+        with self._root_lock:   # build threads share one run folder
+            if self.root is None:
+                self.root = os.path.join(ensure_checkpoint_dir(df.sparkSession), "acqlens-tables", uuid.uuid4().hex)
         return write_table(df, os.path.join(self.root, name))
 
 
