@@ -186,11 +186,13 @@ def metric_anomalies(unified: DataFrame, sigmas: int = 3, lookback_days: int = 7
     cal = span.select("channel_key", F.explode(F.sequence("d0", "d1")).alias("activity_date"))
     filled = cal.join(daily, ["channel_key", "activity_date"], "left")
     cost = F.col("cost").cast("double")
-    series = (filled.select("channel_key", "activity_date", F.lit("roas").alias("metric"),
-                            F.when(F.col("cost") > 0, F.col("revenue").cast("double") / cost).alias("v"))
-              .unionByName(filled.select("channel_key", "activity_date", F.lit("cpi").alias("metric"),
-                                         F.when(F.col("installs") > 0, cost / F.col("installs").cast("double"))
-                                         .alias("v"))))
+    roas = F.when(F.col("cost") > 0, F.col("revenue").cast("double") / cost)
+    cpi = F.when(F.col("installs") > 0, cost / F.col("installs").cast("double"))
+    # both metrics from one pass over the daily series (long form: one row per channel, day, metric)
+    series = (filled.select("channel_key", "activity_date", F.explode(F.array(
+        F.struct(F.lit("roas").alias("metric"), roas.alias("v")),
+        F.struct(F.lit("cpi").alias("metric"), cpi.alias("v")))).alias("m"))
+        .select("channel_key", "activity_date", "m.metric", "m.v"))
     w = Window.partitionBy("channel_key", "metric").orderBy("activity_date").rowsBetween(-lookback_days, -1)
     s = series.select("*", F.avg("v").over(w).alias("mu"), F.stddev_samp("v").over(w).alias("sd"),
                       F.count("v").over(w).alias("n_prior"))

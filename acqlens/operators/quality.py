@@ -166,12 +166,19 @@ def _row(check: Check, failures) -> list:
             F.lit(check.severity).alias("severity"), failures.cast("bigint").alias("failures")]
 
 
+def _unpivot(agg: DataFrame, checks: list[Check]) -> DataFrame:
+    """One aggregate row with a ``_f<i>`` failure count per check -> one row per check (a single
+    pass: the row is exploded, not re-read once per check)."""
+    cols = ["check_name", "check_type", "model", "column_name", "severity", "failures"]
+    rows = F.array(*[F.struct(*_row(c, F.coalesce(F.col(f"_f{i}"), F.lit(0)))) for i, c in enumerate(checks)])
+    return agg.select(F.explode(rows).alias("r")).select(*[F.col(f"r.{c}").alias(c) for c in cols])
+
+
 def not_null_counts(df: DataFrame, checks: list[Check]) -> DataFrame:
     """All not_null checks of one model in a single pass, unpivoted to one row per check."""
     agg = df.agg(*[F.sum(F.when(F.col(c.column).isNull(), 1).otherwise(0)).alias(f"_f{i}")
                    for i, c in enumerate(checks)])
-    rows = [agg.select(*_row(c, F.coalesce(F.col(f"_f{i}"), F.lit(0)))) for i, c in enumerate(checks)]
-    return union_all(rows)
+    return _unpivot(agg, checks)
 
 
 def unique_count(df: DataFrame, check: Check) -> DataFrame:
@@ -189,8 +196,7 @@ def accepted_values_counts(df: DataFrame, checks: list[Check]) -> DataFrame:
     bad = (df.select(F.explode(F.filter(pairs, lambda p: p.isNotNull())).alias("p"))
            .select("p.i", "p.v").distinct())
     agg = bad.agg(*[F.sum(F.when(F.col("i") == i, 1).otherwise(0)).alias(f"_f{i}") for i in range(len(checks))])
-    rows = [agg.select(*_row(c, F.coalesce(F.col(f"_f{i}"), F.lit(0)))) for i, c in enumerate(checks)]
-    return union_all(rows)
+    return _unpivot(agg, checks)
 
 
 def relationships_count(child: DataFrame, parent: DataFrame, check: Check) -> DataFrame:
