@@ -186,3 +186,13 @@ def test_graph_from_parquet_tables(spark, tmpdir_path):
     want = ModelGraph(src).mart_privacy_roas_gap
     got = g.mart_privacy_roas_gap
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_failed_build_publishes_nothing(spark, tmpdir_path):
+    from frames import spend
+    bad = sources(spark, appsflyer=[install("a", campaign="big", t=dt.datetime(2024, 1, 1))],
+                  spend_rows=[spend(dt.date(2024, 1, 1), campaign="big", cost="999999999999.00")])
+    root = os.path.join(tmpdir_path, "fail")
+    with pytest.raises(Exception):
+        publish.run(spark, root, raw=bad, threads=2)     # growth CPI overflows decimal(12,2)
+    assert publish.published_run(spark, root) is None
