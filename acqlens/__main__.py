@@ -6,6 +6,7 @@
   python -m acqlens freshness --root ROOT --as-of TS             source freshness
   python -m acqlens report    NAME --root ROOT                   a channel report over the published marts
   python -m acqlens refresh   --root ROOT --days D1,D2           recompute the date-local marts for those days
+  python -m acqlens snapshot  --root ROOT --date D               keep today's cohort marts as a dated snapshot
 
 ROOT is a shared folder (raw/, runs/, manifest/). The session comes from spark-submit / the
 environment; ``spark.checkpoint.dir`` must name a shared folder on a cluster.
@@ -47,6 +48,7 @@ def main(argv: list[str] | None = None) -> int:
     p = sub.add_parser("freshness"); p.add_argument("--root", required=True); p.add_argument("--as-of", required=True)
     p = sub.add_parser("report"); p.add_argument("name", choices=sorted(REPORTS)); p.add_argument("--root", required=True)
     p = sub.add_parser("refresh"); p.add_argument("--root", required=True); p.add_argument("--days", required=True)
+    p = sub.add_parser("snapshot"); p.add_argument("--root", required=True); p.add_argument("--date", required=True)
     a = ap.parse_args(argv)
 
     spark = build_session()
@@ -75,6 +77,10 @@ def main(argv: list[str] | None = None) -> int:
         incremental.refresh_days(raw, os.path.join(a.root, "daily"), days)
         print(json.dumps({"refreshed_days": [str(d) for d in days], "models": sorted(incremental.DATE_LOCAL)}))
         return 0
+    if a.cmd == "snapshot":
+        incremental.snapshot_cohorts(publish.published_graph(spark, a.root), a.root, dt.date.fromisoformat(a.date))
+        print(json.dumps({"snapshot_date": a.date, "models": list(incremental.SNAPSHOT_MODELS)}))
+        return 0
     if a.cmd == "report":
         REPORTS[a.name](publish.published_graph(spark, a.root)).show(100, truncate=False)
         return 0

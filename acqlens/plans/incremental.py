@@ -97,3 +97,15 @@ def refresh_days(raw: RawSources, root: str, days: list[dt.date]) -> None:
 def read_date_local(spark, root: str, model: str) -> DataFrame:
     """A refreshed mart as stored (the date partition column comes back as the last column)."""
     return spark.read.parquet(os.path.join(root, model))
+
+
+# cohort marts kept as dated snapshots (history of how each cohort looked on each run date)
+SNAPSHOT_MODELS = ("mart_retention", "mart_growth_metrics")
+
+
+def snapshot_cohorts(graph: ModelGraph, root: str, snapshot_date: dt.date) -> None:
+    """Append today's cohort marts under ``root/snapshots/<model>/snapshot_date=<date>``. Re-running a
+    date replaces just that date's partition, so snapshots stay one per date."""
+    for m in SNAPSHOT_MODELS:
+        df = graph.model(m).withColumn("snapshot_date", F.lit(snapshot_date))
+        write_date_local(df, os.path.join(root, "snapshots", m), "snapshot_date")

@@ -46,3 +46,13 @@ def test_day_filter_prunes_raw_partitions(spark, tmpdir_path):
     assert "GreaterThanOrEqual(event_time" in plan   # row-group skipping on the attribution table
     full = ModelGraph(raw).rec_revenue_discrepancy.filter(F.col("activity_date") == F.lit(dt.date(2024, 1, 10)))
     assert sorted(map(tuple, g.rec_revenue_discrepancy.collect())) == sorted(map(tuple, full.collect()))
+
+
+def test_cohort_snapshots_one_per_date(spark, tmpdir_path):
+    import os
+    g = ModelGraph.from_fixtures(spark, SF_SMALL)
+    for d in (dt.date(2024, 3, 1), dt.date(2024, 3, 2), dt.date(2024, 3, 2)):   # the 2nd date twice
+        incremental.snapshot_cohorts(g, tmpdir_path, d)
+    snap = spark.read.parquet(os.path.join(tmpdir_path, "snapshots", "mart_retention"))
+    per_date = {r.snapshot_date: r.n for r in snap.groupBy("snapshot_date").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert per_date == {dt.date(2024, 3, 1): g.mart_retention.count(), dt.date(2024, 3, 2): g.mart_retention.count()}
