@@ -170,6 +170,8 @@ def test_cli_load_run_report(spark, tmpdir_path, capsys):
     assert main(["run", "--root", root]) == 0
     assert main(["report", "kpi", "--root", root]) == 0
     assert main(["refresh", "--root", root, "--days", "2024-01-10,2024-01-11"]) == 0
+    assert main(["snapshot", "--root", root, "--date", "2024-03-02"]) == 0
+    assert spark.read.parquet(os.path.join(root, "snapshots", "mart_growth_metrics")).count() > 0
     assert spark.read.parquet(os.path.join(root, "daily", "rec_revenue_discrepancy")).count() > 0
     out = capsys.readouterr().out
     assert '"published": true' in out and "total_cost" in out
