@@ -102,3 +102,17 @@ def test_ratio_overflow_raises_under_ansi(spark):  # S8
                            spend_rows=[spend(D, campaign="big", cost="999999999999.00")]))
     with pytest.raises(Exception):
         g.mart_growth_metrics.collect()   # CPI 999,999,999,999.00 does not fit decimal(12,2)
+
+
+def test_install_row_vs_event_row_keys(spark):  # S14, S15
+    inst = dt.datetime(2024, 1, 1, 10, 0)
+    ev_t = dt.datetime(2024, 1, 2, 12, 0)
+    apps = [install("d", media="Meta", campaign="m1", t=inst),
+            mmp_event("d", "10.00", ev_t, media="tiktok", campaign="t1", install_t=inst)]   # event row says TikTok
+    g = ModelGraph(sources(spark, appsflyer=apps, backend_rows=[backend("d", "9.00", ev_t)]))
+    rec = {r.channel: (r.mmp_revenue, r.backend_revenue) for r in g.rec_revenue_discrepancy.collect()}
+    assert rec == {"TikTok": (Decimal("10.00"), Decimal("0.00")), "Meta": (Decimal("0.00"), Decimal("9.00"))}
+    unified = {r.campaign_key: r.revenue for r in g.mart_marketing_unified.collect() if r.revenue > 0}
+    assert unified == {"TikTok|t1": Decimal("10.00")}            # unified: the event row's keys
+    growth = {r.campaign_key: r.revenue_total for r in g.mart_growth_metrics.collect()}
+    assert growth == {"Meta|m1": Decimal("10.00")}                # cohort revenue: the install row's keys
