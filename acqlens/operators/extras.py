@@ -157,18 +157,25 @@ ALERT_DISCREPANCY_PCT = 5
 ALERT_GAP_PCT = 10
 
 
-def threshold_alerts(rec: DataFrame, stg_backend_df: DataFrame) -> DataFrame:
-    """Alert rows: channel-days whose revenue delta is flagged (> 5 %), and days whose unattributed
-    share of backend revenue exceeds 10 %. One row per alert; nothing is collected into lists."""
-    disc = rec.filter(F.col("is_discrepancy_flag") == 1).select(
-        F.lit("revenue_discrepancy").alias("alert_type"), "activity_date", "channel",
-        F.col("revenue_delta_pct").cast("decimal(8,2)").alias("metric_pct"))
+def threshold_alerts(rec: DataFrame, stg_events: DataFrame, stg_backend_df: DataFrame) -> DataFrame:
+    """Alert rows: for each channel-day whose revenue delta is flagged (> 5 %), one row per campaign
+    active in that channel and day (MMP or attributed backend revenue); and each day whose
+    unattributed share of backend revenue exceeds 10 % (no campaign: those events have none).
+    One row per alert and campaign; nothing is collected into lists."""
+    flagged = rec.filter(F.col("is_discrepancy_flag") == 1).select(
+        "activity_date", "channel", F.col("revenue_delta_pct").cast("decimal(8,2)").alias("metric_pct"))
+    active = (stg_events.select("channel", F.col("event_date").alias("activity_date"), "campaign")
+              .unionByName(stg_backend_df.filter(F.col("is_attributed") == 1)
+                           .select("channel", F.col("event_date").alias("activity_date"), "campaign"))
+              .distinct())
+    disc = flagged.join(active, ["channel", "activity_date"], "inner").select(
+        F.lit("revenue_discrepancy").alias("alert_type"), "activity_date", "channel", "campaign", "metric_pct")
     day = stg_backend_df.groupBy(F.col("event_date").alias("activity_date")).agg(
         F.sum(F.when(F.col("is_attributed") == 0, F.col("revenue")).otherwise(0)).alias("gap"),
         F.sum("revenue").alias("total"))
     gap = (day.filter((F.col("total") > 0) & (F.col("gap") * 100 > F.col("total") * ALERT_GAP_PCT))
            .select(F.lit("attribution_gap").alias("alert_type"), "activity_date",
-                   F.lit(None).cast("string").alias("channel"),
+                   F.lit(None).cast("string").alias("channel"), F.lit(None).cast("string").alias("campaign"),
                    ratio(F.col("gap") * 100, F.col("total"), 8, 2).alias("metric_pct")))
     return disc.unionByName(gap)
 

@@ -275,10 +275,16 @@ LEFT JOIN (VALUES {_registry_values}) reg(source, event_name)
   ON s.source = reg.source AND s.event_name = reg.event_name
 WHERE reg.source IS NULL"""
     s["threshold_alerts"] = f"""
-SELECT 'revenue_discrepancy' AS alert_type, activity_date, channel, CAST(revenue_delta_pct AS DECIMAL(8,2)) AS metric_pct
-FROM rec_revenue_discrepancy WHERE is_discrepancy_flag = 1
+SELECT 'revenue_discrepancy' AS alert_type, r.activity_date, r.channel, c.campaign,
+  CAST(r.revenue_delta_pct AS DECIMAL(8,2)) AS metric_pct
+FROM rec_revenue_discrepancy r
+JOIN (SELECT channel, event_date AS activity_date, campaign FROM stg_appsflyer_events
+      UNION SELECT channel, event_date, campaign FROM stg_backend WHERE is_attributed = 1) c
+  ON r.channel = c.channel AND r.activity_date = c.activity_date
+WHERE r.is_discrepancy_flag = 1
 UNION ALL
-SELECT 'attribution_gap', activity_date, CAST(NULL AS VARCHAR), {ratio('100 * ' + cents('gap'), cents('total'), 8, 2)}
+SELECT 'attribution_gap', activity_date, CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR),
+  {ratio('100 * ' + cents('gap'), cents('total'), 8, 2)}
 FROM (SELECT event_date AS activity_date, sum(CASE WHEN is_attributed = 0 THEN revenue ELSE 0 END) AS gap,
         sum(revenue) AS total FROM stg_backend GROUP BY event_date) d
 WHERE total > 0 AND gap * 100 > total * 10"""

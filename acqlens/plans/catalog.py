@@ -134,8 +134,8 @@ def _registry() -> dict[str, QueryFn]:
     q["cv_decode"] = g(lambda m: extras.decode_conversion_value(m.stg_skan), "cv_decode")
     q["skan_windows"] = g(lambda m: extras.postback_windows(m.stg_skan), "skan_windows")
     q["taxonomy_lint"] = g(lambda m: extras.taxonomy_lint(m.raw.appsflyer, m.raw.backend), "taxonomy_lint")
-    q["threshold_alerts"] = g(lambda m: extras.threshold_alerts(m.rec_revenue_discrepancy, m.stg_backend),
-                              "threshold_alerts")
+    q["threshold_alerts"] = g(lambda m: extras.threshold_alerts(m.rec_revenue_discrepancy, m.stg_appsflyer_events,
+                                                                m.stg_backend), "threshold_alerts")
     q["metric_anomalies"] = g(lambda m: extras.metric_anomalies(m.mart_marketing_unified), "metric_anomalies")
     return q
 

@@ -125,7 +125,7 @@ def test_alerts_and_anomalies_on_fixture(spark):
     from acqlens.operators import extras
     from acqlens.plans.models import ModelGraph
     g = ModelGraph.from_fixtures(spark, SF_SMALL)
-    alerts = extras.threshold_alerts(g.rec_revenue_discrepancy, g.stg_backend)
+    alerts = extras.threshold_alerts(g.rec_revenue_discrepancy, g.stg_appsflyer_events, g.stg_backend)
     kinds = {r.alert_type for r in alerts.collect()}
     assert "revenue_discrepancy" in kinds
     an = extras.metric_anomalies(g.mart_marketing_unified)
