@@ -7,7 +7,9 @@
   by one bad file); each parsed frame is persisted on executor disk so the CSV is parsed once for
   validation and writing; a lost executor re-parses only its own splits (the lineage is one scan
   and deterministic casts, nothing else);
-* every row gets one load stamp per run; each table is overwritten whole (idempotent rerun);
+* every row gets one load stamp per run; a full load writes a new version of all four tables and
+  commits it with one manifest row, so readers see either the previous or the new load, never a mix
+  (idempotent rerun);
 * tables are laid out by their date (partition column) so date predicates prune files; the postback
   table has no date and is clustered by campaign instead.
 """
@@ -15,6 +17,7 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -116,26 +119,61 @@ def write_raw(df: DataFrame, path: str, part_col: str | None, source_col: str, i
         df.sortWithinPartitions(source_col).write.mode("append" if incremental else "overwrite").parquet(path)
 
 
+MANIFEST = "_loads"
+
+
+def committed_load(spark: SparkSession, target_dir: str) -> str | None:
+    """Id of the latest committed full load under ``target_dir`` (None before the first one)."""
+    path = os.path.join(target_dir, MANIFEST)
+    try:
+        row = spark.read.parquet(path).agg(F.max_by("load_id", "committed_at").alias("id")).first()
+    except Exception:  # noqa: BLE001 - no manifest yet
+        return None
+    return row.id if row else None
+
+
+def table_dir(spark: SparkSession, target_dir: str, name: str) -> str:
+    """Folder of raw table ``name``: inside the latest committed load, or the plain layout."""
+    load_id = committed_load(spark, target_dir)
+    return os.path.join(target_dir, "loads", load_id, name) if load_id else os.path.join(target_dir, name)
+
+
 def load_raw(spark: SparkSession, csv_dir: str, target_dir: str,
              loaded_at: dt.datetime | None = None, incremental: bool = False) -> dict[str, int]:
-    """Refresh of the four raw tables under ``target_dir`` (full, or only the delivered dates when
-    ``incremental``); returns the row counts of the tables after the load."""
+    """Load the four raw tables under ``target_dir``; returns their row counts after the load.
+
+    A full load is all-or-nothing across the four tables: they are written into a new
+    ``loads/<load_id>/`` folder and become visible only when a row for that load is appended to the
+    ``_loads`` manifest after every write succeeded; a failed load leaves the previous one in place.
+    An ``incremental`` load replaces only the delivered dates, in place, in the current load.
+    """
     staged = stage_sources(spark, csv_dir, loaded_at)
+    current = committed_load(spark, target_dir)
+    if incremental and current is None:
+        raise ValueError("an incremental load needs a committed full load first")
+    load_id = current if incremental else (
+        dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8])
     try:
         for name, df in staged.items():
             _, _, part_col, source_col = SPECS[name]
-            write_raw(df, os.path.join(target_dir, name), part_col, source_col, incremental)
+            write_raw(df, os.path.join(target_dir, "loads", load_id, name), part_col, source_col, incremental)
     finally:
         release(staged)
-    return {name: spark.read.parquet(os.path.join(target_dir, name)).count() for name in SPECS}
+    if not incremental:
+        commit = spark.createDataFrame(
+            [(load_id, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))],
+            "load_id string, committed_at timestamp_ntz")
+        commit.write.mode("append").parquet(os.path.join(target_dir, MANIFEST))
+    return {name: spark.read.parquet(table_dir(spark, target_dir, name)).count() for name in SPECS}
 
 
 def read_raw(spark: SparkSession, target_dir: str, keep_partition_column: bool = False) -> dict[str, DataFrame]:
-    """Raw tables as written by ``load_raw``. The date partition column is dropped unless
-    ``keep_partition_column`` (day-restricted reads filter on it to prune partitions)."""
+    """Raw tables of the latest committed load (or of the plain ``<target>/<table>`` layout). The
+    date partition column is dropped unless ``keep_partition_column`` (day-restricted reads filter on
+    it to prune partitions)."""
     out = {}
     for name, (_, schema, part_col, _) in SPECS.items():
-        df = spark.read.parquet(os.path.join(target_dir, name))
+        df = spark.read.parquet(table_dir(spark, target_dir, name))
         extra = [part_col] if keep_partition_column and part_col else []
         out[name] = df.select(*[f.name for f in schema.fields], LOADED_AT, *extra)
     return out

@@ -152,7 +152,7 @@ def test_publish_from_csv_and_freshness_gate(spark, tmpdir_path):
     stamp = dt.datetime(2024, 3, 1)
     ok = publish.run(spark, os.path.join(tmpdir_path, "a"), csv_dir=csv_dir, loaded_at=stamp,
                      as_of="2024-03-02 00:00:00")
-    assert ok.published and os.path.isdir(os.path.join(tmpdir_path, "a", "raw", "backend"))
+    assert ok.published and os.path.isdir(loader.table_dir(spark, os.path.join(tmpdir_path, "a", "raw"), "backend"))
     assert spark.table("marts.rec_revenue_discrepancy").count() > 0
     stale = publish.run(spark, os.path.join(tmpdir_path, "b"), csv_dir=csv_dir, loaded_at=stamp,
                         as_of="2024-03-20 00:00:00")
@@ -198,3 +198,28 @@ def test_failed_build_publishes_nothing(spark, tmpdir_path):
     with pytest.raises(Exception):
         publish.run(spark, root, raw=bad, threads=2)     # growth CPI overflows decimal(12,2)
     assert publish.published_run(spark, root) is None
+
+
+def test_full_load_is_all_or_nothing(spark, tmpdir_path, monkeypatch):
+    src = load_fixture_sources(spark, SF_SMALL)
+    csv_dir = os.path.join(tmpdir_path, "csv")
+    os.makedirs(csv_dir)
+    _export_csv(spark, src, csv_dir)
+    target = os.path.join(tmpdir_path, "raw")
+    first = loader.load_raw(spark, csv_dir, target, dt.datetime(2024, 3, 1))
+    good = loader.committed_load(spark, target)
+    real_write = loader.write_raw
+
+    def failing(df, path, *a, **k):   # the third table fails while being written
+        if path.endswith("skan"):
+            raise RuntimeError("executor lost for good")
+        return real_write(df, path, *a, **k)
+
+    monkeypatch.setattr(loader, "write_raw", failing)
+    with pytest.raises(RuntimeError):
+        loader.load_raw(spark, csv_dir, target, dt.datetime(2024, 3, 2))
+    monkeypatch.setattr(loader, "write_raw", real_write)
+    assert loader.committed_load(spark, target) == good          # the failed load never became visible
+    stamps = {r[0] for r in loader.read_raw(spark, target)["appsflyer"].select("_loaded_at").distinct().collect()}
+    assert stamps == {dt.datetime(2024, 3, 1)}
+    assert {n: df.count() for n, df in loader.read_raw(spark, target).items()} == first
