@@ -51,3 +51,19 @@ def test_dedup_aggregate_equals_window(spark, rows):
     a = staging.backend_dedup(src.backend)
     w = staging.dedup_keep_top(src.backend.select(*a.columns), ["user_id", "event", "event_time"], "revenue")
     assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, w.select(*a.columns).collect()), key=str)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.one_of(st.none(), st.sampled_from(["a", "b", "c", "d"])), st.integers(0, 63)),
+                min_size=1, max_size=80),
+       st.integers(min_value=1, max_value=20))
+def test_k_anonymity_join_equals_window_count(spark, rows, k):
+    from pyspark.sql import Window
+
+    from acqlens.operators.extras import k_anonymize
+    df = spark.createDataFrame([(i, c, v) for i, (c, v) in enumerate(rows)], "id int, campaign string, cv smallint")
+    got = {r.id: r.cv for r in k_anonymize(df, "campaign", "cv", k).collect()}
+    w = Window.partitionBy("campaign")
+    want = {r.id: r.cv for r in df.select("id", F.when(F.count(F.lit(1)).over(w) < k, F.lit(None))
+                                          .otherwise(F.col("cv")).alias("cv")).collect()}
+    assert got == want
