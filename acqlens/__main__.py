@@ -25,7 +25,7 @@ from acqlens.plans.models import MaterializedGraph
 from acqlens.session import build_session
 from acqlens.sources.fixtures import RawSources
 from acqlens.sources.freshness import freshness
-from acqlens.sources.loader import load_raw, read_raw
+from acqlens.sources.loader import committed_load, load_raw, read_raw
 
 REPORTS = {
     "roas": lambda g: reports.report_roas(g.mart_growth_metrics),
@@ -58,7 +58,7 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     if a.cmd == "run":
         res = publish.run(spark, a.root, raw=RawSources(**read_raw(spark, raw_dir)), threads=a.threads,
-                          as_of=a.as_of)
+                          as_of=a.as_of, raw_load=committed_load(spark, raw_dir))
         print(json.dumps({"run_id": res.run_id, "published": res.published, "errors": res.failed_errors,
                           "warnings": res.warnings}))
         return 0 if res.published else 1

@@ -6,8 +6,8 @@
 3. the data-quality suite runs on the built tables;
 4. only when no ``error``-severity check fails are the models published: each one is registered in
    the session catalog as ``<layer>.<model>`` over this run's files (staging -> ``staging``,
-   reconciliation and marts -> ``marts``), and a one-row manifest is written for the run. A failing
-   run leaves the previously published tables untouched.
+   reconciliation and marts -> ``marts``), and a one-row manifest is written for the run (with the
+   raw load it was built from). A failing run leaves the previously published tables untouched.
 
 Everything is distributed work except the 61-row check result that decides publication.
 """
@@ -25,7 +25,7 @@ from acqlens.operators import quality
 from acqlens.plans.models import MODELS, STAGING, MaterializedGraph
 from acqlens.sources.fixtures import RawSources
 from acqlens.sources.freshness import freshness
-from acqlens.sources.loader import load_raw, read_raw
+from acqlens.sources.loader import committed_load, load_raw, read_raw
 
 LAYER_OF = {m: ("staging" if m in STAGING else "marts") for m in MODELS}
 
@@ -47,7 +47,10 @@ def _register(spark: SparkSession, layer: str, name: str, path: str) -> None:
 
 
 def run(spark: SparkSession, root: str, raw: RawSources | None = None, csv_dir: str | None = None,
-        threads: int = 4, loaded_at: dt.datetime | None = None, as_of: str | None = None) -> RunResult:
+        threads: int = 4, loaded_at: dt.datetime | None = None, as_of: str | None = None,
+        raw_load: str | None = None) -> RunResult:
+    """Build, check and (on success) publish. ``raw_load`` names the raw load the given frames come
+    from; with ``csv_dir`` it is the load this run commits. It is recorded in the manifest."""
     if (raw is None) == (csv_dir is None):
         raise ValueError("give exactly one of raw= or csv_dir=")
     run_id = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
@@ -55,6 +58,7 @@ def run(spark: SparkSession, root: str, raw: RawSources | None = None, csv_dir:
         raw_dir = os.path.join(root, "raw")
         load_raw(spark, csv_dir, raw_dir, loaded_at)
         raw = RawSources(**read_raw(spark, raw_dir))
+        raw_load = committed_load(spark, raw_dir)
     build_root = os.path.join(root, "runs", run_id)
     graph = MaterializedGraph(raw, names=MODELS, root=build_root).build(threads=threads)
 
@@ -74,8 +78,8 @@ def run(spark: SparkSession, root: str, raw: RawSources | None = None, csv_dir:
         _register(spark, LAYER_OF[m], m, path)
         result.tables[f"{LAYER_OF[m]}.{m}"] = path
     manifest = spark.createDataFrame(
-        [(run_id, len(rows), len(warned), dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))],
-        "run_id string, checks int, warnings int, published_at timestamp_ntz")
+        [(run_id, len(rows), len(warned), dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), raw_load)],
+        "run_id string, checks int, warnings int, published_at timestamp_ntz, raw_load string")
     manifest.write.mode("append").parquet(os.path.join(root, "manifest"))
     result.published = True
     return result

@@ -154,6 +154,9 @@ def test_publish_from_csv_and_freshness_gate(spark, tmpdir_path):
                      as_of="2024-03-02 00:00:00")
     assert ok.published and os.path.isdir(loader.table_dir(spark, os.path.join(tmpdir_path, "a", "raw"), "backend"))
     assert spark.table("marts.rec_revenue_discrepancy").count() > 0
+    raw_root = os.path.join(tmpdir_path, "a", "raw")
+    recorded = spark.read.parquet(os.path.join(tmpdir_path, "a", "manifest")).first().raw_load
+    assert recorded == loader.committed_load(spark, raw_root) is not None
     stale = publish.run(spark, os.path.join(tmpdir_path, "b"), csv_dir=csv_dir, loaded_at=stamp,
                         as_of="2024-03-20 00:00:00")
     assert not stale.published and any(x.startswith("freshness_") for x in stale.failed_errors)
