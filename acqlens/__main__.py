@@ -38,17 +38,25 @@ REPORTS = {
 
 
 def main(argv: list[str] | None = None) -> int:
-    ap = argparse.ArgumentParser(prog="acqlens")
+    ap = argparse.ArgumentParser(prog="acqlens", description=__doc__,
+                                 formatter_class=argparse.RawDescriptionHelpFormatter)
     sub = ap.add_subparsers(dest="cmd", required=True)
-    p = sub.add_parser("load"); p.add_argument("--csv-dir", required=True); p.add_argument("--root", required=True)
-    p.add_argument("--incremental", action="store_true")
-    p = sub.add_parser("run"); p.add_argument("--root", required=True); p.add_argument("--as-of")
-    p.add_argument("--threads", type=int, default=4)
-    p = sub.add_parser("test"); p.add_argument("--root", required=True)
-    p = sub.add_parser("freshness"); p.add_argument("--root", required=True); p.add_argument("--as-of", required=True)
-    p = sub.add_parser("report"); p.add_argument("name", choices=sorted(REPORTS)); p.add_argument("--root", required=True)
-    p = sub.add_parser("refresh"); p.add_argument("--root", required=True); p.add_argument("--days", required=True)
-    p = sub.add_parser("snapshot"); p.add_argument("--root", required=True); p.add_argument("--date", required=True)
+    p = sub.add_parser("load", help="typed CSV -> raw tables (full loads are versioned and atomic)")
+    p.add_argument("--csv-dir", required=True); p.add_argument("--root", required=True)
+    p.add_argument("--incremental", action="store_true", help="replace only the delivered dates")
+    p = sub.add_parser("run", help="build all models, run the checks, publish on success")
+    p.add_argument("--root", required=True); p.add_argument("--as-of", help="freshness reference time")
+    p.add_argument("--threads", type=int, default=4, help="models built concurrently")
+    p = sub.add_parser("test", help="the 61 checks on a build of the raw tables")
+    p.add_argument("--root", required=True)
+    p = sub.add_parser("freshness", help="age of the newest load stamp per source")
+    p.add_argument("--root", required=True); p.add_argument("--as-of", required=True)
+    p = sub.add_parser("report", help="a channel report over the latest published run")
+    p.add_argument("name", choices=sorted(REPORTS)); p.add_argument("--root", required=True)
+    p = sub.add_parser("refresh", help="recompute the date-local marts for some days")
+    p.add_argument("--root", required=True); p.add_argument("--days", required=True, help="D1,D2,... (ISO dates)")
+    p = sub.add_parser("snapshot", help="keep the cohort marts of the latest published run as a dated snapshot")
+    p.add_argument("--root", required=True); p.add_argument("--date", required=True, help="snapshot date (ISO)")
     a = ap.parse_args(argv)
 
     spark = build_session()
