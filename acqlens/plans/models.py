@@ -139,8 +139,8 @@ class ModelGraph:
     @cached_property
     def dim_date(self) -> DataFrame:
         # min/max of backend event times need neither de-duplication nor attribution
-        return self._finish(
-            "dim_date", dims.dim_date(self.stg_appsflyer, self.stg_appsflyer_events, self.raw.backend, self.stg_singular))
+        return self._finish("dim_date", dims.dim_date(
+            self.stg_appsflyer, self.stg_appsflyer_events, self.raw.backend, self.stg_singular))
 
     # -- facts
     @cached_property
@@ -167,8 +167,8 @@ class ModelGraph:
 
     @cached_property
     def mart_growth_metrics(self) -> DataFrame:
-        return self._finish(
-            "mart_growth_metrics", marts.mart_growth_metrics(self.fct_installs, self.fct_events, self.fct_spend, self.stg_skan))
+        return self._finish("mart_growth_metrics", marts.mart_growth_metrics(
+            self.fct_installs, self.fct_events, self.fct_spend, self.stg_skan))
 
     @cached_property
     def mart_privacy_roas_gap(self) -> DataFrame:
