@@ -13,6 +13,7 @@ With no training text every row is ``und``. Repeated rows count as often as they
 """
 from __future__ import annotations
 
+import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -21,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from acqlens.llm.common import small_batches, written
 
@@ -184,21 +186,21 @@ class Scorer:
         return self.model.langs[best], float(1.0 / posterior.sum())
 
 
-_SCORERS: dict[int, Scorer] = {}                                  # of a worker process, by broadcast
+_SCORERS: dict[str, Scorer] = {}                                  # of a worker process, by model
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` plus lang_pred and lang_score (columns of these names are replaced)."""
     docs = docs.drop("lang_pred", "lang_score")
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = docs.schema.add("lang_pred", "string").add("lang_score", "double")
+    shared, key = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
+    schema = StructType(list(docs.schema)).add("lang_pred", "string").add("lang_score", "double")
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if shared.id not in _SCORERS:
+        if key not in _SCORERS:
             _SCORERS.clear()
-            _SCORERS[shared.id] = Scorer(shared.value)
-        scorer = _SCORERS[shared.id]
+            _SCORERS[key] = Scorer(shared.value)
+        scorer = _SCORERS[key]
         for b in small_batches(batches):
             found = [scorer.predict(t) for t in b.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array([x[0] for x in found], pa.string()),

@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from acqlens.llm.common import small_batches
 
@@ -81,7 +82,7 @@ def measure(text: str | None) -> tuple[int, ...]:
 def features(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` plus the counts (long)."""
     docs = docs.drop(*COUNTS)
-    schema = docs.schema
+    schema = StructType(list(docs.schema))
     for c in COUNTS:
         schema = schema.add(c, "long")
     at = docs.columns.index(text_col)

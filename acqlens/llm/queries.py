@@ -4,16 +4,47 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from acqlens.llm import simhash_dedup
-from acqlens.llm.common import table
+from acqlens.llm import langid, packing, quality_rules, secrets, simhash_dedup
+from acqlens.llm.common import remainder, table, written
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+def tokenizer_path(name: str) -> str:
+    """The file of a public tokenizer, as the host's ``public_tokenizers`` module gives it."""
+    import public_tokenizers
+    return str(public_tokenizers.path(name))
+
+
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = written(packing.token_pieces(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+                     .withColumn("ids_crc32", F.crc32("ids")).drop("ids"), "pieces")
+    return packing.pack(pieces)
+
+
 def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.simhash_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op3_simhash_dedup,)}
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(table(spark, sf_dir, "documents"))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held = remainder(F.col("doc_id"), 4) == 2
+    model = langid.learn(docs, ~held)
+    return langid.predict(docs.select("doc_id", "text"), model) \
+        .select("doc_id", held.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")) \
+        .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
+    op2_best_fit_packing, op3_simhash_dedup, op4_secret_scan, op6_language_id, op9_quality_rules)}
 ORACLES: dict[str, str] = {}
