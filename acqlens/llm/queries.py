@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acqlens.llm import langid, packing, quality_rules, secrets, simhash_dedup
+from acqlens.llm import langid, licenses, packing, quality_rules, secrets, simhash_dedup, toxicity
 from acqlens.llm.common import remainder, table, written
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,13 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held = remainder(F.col("doc_id"), 4) == 2
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"), ~held)
+    return toxicity.score(docs, model).select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held = remainder(F.col("doc_id"), 4) == 2
@@ -45,6 +52,11 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
-    op2_best_fit_packing, op3_simhash_dedup, op4_secret_scan, op6_language_id, op9_quality_rules)}
+    op2_best_fit_packing, op3_simhash_dedup, op4_secret_scan, op5_toxicity, op6_language_id, op9_quality_rules,
+    op10_license_scan)}
 ORACLES: dict[str, str] = {}
