@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acqlens.llm import langid, licenses, packing, quality_rules, secrets, simhash_dedup, toxicity
+from acqlens.llm import langid, licenses, packing, pitman_yor, quality_rules, secrets, simhash_dedup, toxicity
 from acqlens.llm.common import remainder, table, written
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,11 @@ def tokenizer_path(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.score(table(spark, sf_dir, "documents"), remainder(F.col("doc_id"), 5) != 1) \
+        .select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = written(packing.token_pieces(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
                      .withColumn("ids_crc32", F.crc32("ids")).drop("ids"), "pieces")
@@ -57,6 +62,6 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
-    op2_best_fit_packing, op3_simhash_dedup, op4_secret_scan, op5_toxicity, op6_language_id, op9_quality_rules,
-    op10_license_scan)}
+    op1_pitman_yor, op2_best_fit_packing, op3_simhash_dedup, op4_secret_scan, op5_toxicity, op6_language_id,
+    op9_quality_rules, op10_license_scan)}
 ORACLES: dict[str, str] = {}
