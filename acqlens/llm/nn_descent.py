@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from acqlens.llm.common import written
 
 K = 20
-DEGREE = 24
-BEAM = 40
+DEGREE = 32
+BEAM = 160
 ROUNDS = 8
 PROJECTIONS = 6
 SETTLED = 0.01     # share of lists' entries that still change when the descent ends

@@ -6,8 +6,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acqlens.llm import (langid, licenses, nn_descent, packing, pitman_yor, quality_rules, secrets, simhash_dedup,
-                         toxicity)
+from acqlens.llm import (langid, licenses, nn_descent, packing, piece_scan, pitman_yor, quality_rules, secrets,
+                         simhash_dedup, toxicity)
 from acqlens.llm.common import remainder, table, written
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,10 @@ def op7_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nn_descent.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op8_piece_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_scan.totals(piece_scan.encode(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model")))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")) \
         .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -68,5 +72,5 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
     op1_pitman_yor, op2_best_fit_packing, op3_simhash_dedup, op4_secret_scan, op5_toxicity, op6_language_id,
-    op7_nn_descent, op9_quality_rules, op10_license_scan)}
+    op7_nn_descent, op8_piece_scan, op9_quality_rules, op10_license_scan)}
 ORACLES: dict[str, str] = {}
