@@ -1,7 +1,7 @@
 """Toxicity by non-negative positive-unlabelled learning (nnPU) with a linear numpy classifier.
 
-Confirmed toxic documents are the positives; a sample of all other training documents is unlabelled: it
-holds toxic ones too, in the share of the class prior. The classifier minimises the prior-corrected risk
+Confirmed toxic documents are the positives; a sample of all training documents is unlabelled: it holds
+toxic ones in the share of the class prior, estimated from labels that are taken for a random sample. The classifier minimises the prior-corrected risk
   prior * R+(positives) + max(0, R-(unlabelled) - prior * R-(positives)),
 whose second term may not go below zero: where it does, its gradient is turned around.
 Features are words (letters only, lower case) hashed into buckets, present or not, so that a giant text
@@ -28,7 +28,7 @@ from acqlens.llm.langid import letter_words
 
 BUCKETS = 1 << 18
 POSITIVES = 4_000      # toxic rows that are learned from, at most
-UNLABELLED = 8_000     # other rows that are learned from, at most
+UNLABELLED = 8_000     # rows taken as unlabelled, at most
 FEATURES = 512         # buckets kept
 STEPS = 600
 RATE = 0.05
@@ -110,9 +110,10 @@ def learn(docs: DataFrame, labels: DataFrame, is_train: Column, positives: int =
     prior = known.agg(F.avg((F.col("__toxic") == 1).cast("double"))).first()[0] or 0.0
     toxic = known.filter("__toxic = 1").select("__id").distinct()
     some = toxic.orderBy(F.xxhash64("__id"), "__id").limit(positives)
-    # all that is not confirmed toxic is unlabelled: rows of label 0 and rows without a label alike
-    others = train.select("__id").join(toxic, "__id", "left_anti").orderBy(F.xxhash64("__id"), "__id").limit(unlabelled)
-    chosen = some.withColumn("positive", F.lit(True)).union(others.distinct().withColumn("positive", F.lit(False)))
+    # the unlabelled sample stands for all text, so it is drawn from all training rows whatever their labels:
+    # without the confirmed ones its share of toxic rows would fall short of the prior
+    others = train.select("__id").distinct().orderBy(F.xxhash64("__id"), "__id").limit(unlabelled)
+    chosen = some.withColumn("positive", F.lit(True)).union(others.withColumn("positive", F.lit(False)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches):
