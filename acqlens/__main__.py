@@ -43,7 +43,7 @@ def main(argv: list[str] | None = None) -> int:
     sub = ap.add_subparsers(dest="cmd", required=True)
     p = sub.add_parser("load", help="typed CSV -> raw tables (full loads are versioned and atomic)")
     p.add_argument("--csv-dir", required=True); p.add_argument("--root", required=True)
-    p.add_argument("--incremental", action="store_true", help="replace only the delivered dates")
+    p.add_argument("--incremental", action="store_true", help="add a delivery to the current load")
     p = sub.add_parser("run", help="build all models, run the checks, publish on success")
     p.add_argument("--root", required=True); p.add_argument("--as-of", help="freshness reference time")
     p.add_argument("--threads", type=int, default=4, help="models built concurrently")
@@ -65,20 +65,25 @@ def main(argv: list[str] | None = None) -> int:
         print(json.dumps(load_raw(spark, a.csv_dir, raw_dir, incremental=a.incremental)))
         return 0
     if a.cmd == "run":
-        res = publish.run(spark, a.root, raw=RawSources(**read_raw(spark, raw_dir)), threads=a.threads,
-                          as_of=a.as_of, raw_load=committed_load(spark, raw_dir))
+        load_id = committed_load(spark, raw_dir)
+        res = publish.run(spark, a.root, raw=RawSources(**read_raw(spark, raw_dir, load_id=load_id)),
+                          threads=a.threads, as_of=a.as_of, raw_load=load_id)
         print(json.dumps({"run_id": res.run_id, "published": res.published, "errors": res.failed_errors,
                           "warnings": res.warnings}))
         return 0 if res.published else 1
     if a.cmd == "test":
         g = MaterializedGraph(RawSources(**read_raw(spark, raw_dir))).build()
-        checks = quality.check_results(g)
-        checks.orderBy("status", "check_name").show(100, truncate=False)
-        quality.run_summary(checks).show()
-        return 0
+        rows = quality.check_results(g).orderBy("status", "check_name").collect()   # one row per check (61)
+        for r in rows:
+            print(f"{r.status:<6} {r.check_name}")
+        counts = {s: sum(r.status == s for r in rows) for s in ("pass", "warn", "error")}
+        print(json.dumps(counts))
+        return 1 if counts["error"] else 0
     if a.cmd == "freshness":
-        freshness(read_raw(spark, raw_dir), a.as_of).show(truncate=False)
-        return 0
+        ages = freshness(read_raw(spark, raw_dir), a.as_of).collect()               # one row per source (4)
+        for r in ages:
+            print(f"{r.status:<6} {r.source_name}")
+        return 1 if any(r.status == "error" for r in ages) else 0
     if a.cmd == "refresh":
         days = [dt.date.fromisoformat(d.strip()) for d in a.days.split(",") if d.strip()]
         raw = RawSources(**read_raw(spark, raw_dir, keep_partition_column=True))

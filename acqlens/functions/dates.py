@@ -18,6 +18,11 @@ def to_second(ts: Column | str) -> Column:
     return F.make_timestamp_ntz(F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), F.minute(t), F.second(t))
 
 
+def round_to_second(ts: Column | str) -> Column:
+    """Round a TIMESTAMP_NTZ to the nearest whole second (half up), staying zone-less."""
+    return to_second(_c(ts) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(0.5).cast("decimal(8,6)")))
+
+
 def ntz(literal: str) -> Column:
     """TIMESTAMP_NTZ literal from 'yyyy-MM-dd HH:mm:ss'."""
     return F.expr(f"TIMESTAMP_NTZ '{literal}'")

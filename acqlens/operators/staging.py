@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from acqlens.functions.channel import is_paid, standardize_channel
-from acqlens.functions.dates import plus_days
+from acqlens.functions.dates import plus_days, round_to_second
 from acqlens.functions.skan import cv_band, is_crowd_anonymized
 from acqlens.functions.taxonomy import INSTALL_EVENT, REVENUE_EVENTS
 from acqlens.schemas import MONEY_COST, MONEY_EVENT
@@ -22,8 +22,8 @@ def stg_appsflyer(raw_appsflyer: DataFrame) -> DataFrame:
         "appsflyer_id",
         channel.alias("channel"),
         "campaign", "af_adset", "af_ad",
-        F.col("install_time").cast("timestamp_ntz").alias("install_time"),
-        F.to_date("install_time").alias("install_date"),
+        round_to_second(F.col("install_time").cast("timestamp_ntz")).alias("install_time"),
+        F.to_date(round_to_second(F.col("install_time").cast("timestamp_ntz"))).alias("install_date"),
         "attributed_touch_time", "attributed_touch_type",
         F.upper("country_code").alias("country_code"),
         F.lower("platform").alias("platform"),
@@ -38,8 +38,8 @@ def stg_appsflyer_events(raw_appsflyer: DataFrame) -> DataFrame:
         standardize_channel("media_source").alias("channel"),
         "campaign", "event_name",
         F.col("event_revenue").cast(MONEY_EVENT).alias("event_revenue"),
-        F.col("event_time").cast("timestamp_ntz").alias("event_time"),
-        F.to_date("event_time").alias("event_date"),
+        round_to_second(F.col("event_time").cast("timestamp_ntz")).alias("event_time"),
+        F.to_date(round_to_second(F.col("event_time").cast("timestamp_ntz"))).alias("event_date"),
         F.to_date("install_time").alias("install_date"),
         F.upper("country_code").alias("country_code"),
         F.lower("platform").alias("platform"),
@@ -83,7 +83,7 @@ def backend_dedup(raw_backend: DataFrame) -> DataFrame:
     """
     return (raw_backend
             .select("user_id", "event", F.col("revenue").cast(MONEY_EVENT).alias("revenue"),
-                    F.col("event_time").cast("timestamp_ntz").alias("event_time"))
+                    round_to_second(F.col("event_time").cast("timestamp_ntz")).alias("event_time"))
             .groupBy(*BACKEND_DEDUP_KEYS)
             .agg(F.max("revenue").alias("revenue"))
             .select("user_id", "event", "revenue", "event_time"))

@@ -1,9 +1,9 @@
 """Daily refresh of the date-local marts (incremental models).
 
-The discrepancy report, the attribution gap and the unified mart are keyed by a day, and each day
-depends only on that day's source rows (plus the whole install directory for attribution). A daily
-run therefore recomputes just the delivered days and replaces only their date partitions (dynamic
-partition overwrite); every other day is left as it is. The day filters are half-open ranges on
+The discrepancy report, the attribution gap and the unified mart are keyed by a day. A day depends on
+that day's source rows and on the installs of their users, so a daily run recomputes the days that
+``touched_days`` finds (delivered rows, and the days on which newly installed users were active) and
+replaces their date partitions; a day without rows loses its partition; every other day stays. The day filters are half-open ranges on
 the raw time columns, so they reach the parquet scans (and prune date partitions of raw tables).
 Cohort marts (retention, growth, privacy gap) look across days and are rebuilt in full.
 """
@@ -11,13 +11,17 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import uuid
 from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from acqlens.functions.taxonomy import INSTALL_EVENT
 from acqlens.operators import facts, staging
 from acqlens.plans.models import ModelGraph
+from acqlens.schemas import LOADED_AT
+from acqlens.session import ensure_checkpoint_dir
 from acqlens.sources.fixtures import RawSources
 
 # model -> its date column (the partition column of the refreshed table)
@@ -87,11 +91,35 @@ def build_all_days(raw: RawSources, root: str) -> None:
         write_date_local(g.model(m), os.path.join(root, m), col)
 
 
+def touched_days(raw: RawSources, loaded_since: dt.datetime) -> list[dt.date]:
+    """Days whose marts change through rows stamped ``loaded_since`` or later: the days of these rows, and
+    every backend day of a user whose install is among them. Only distinct days reach the driver."""
+    new = F.col(LOADED_AT) >= F.lit(loaded_since)
+    mmp, back = raw.appsflyer.filter(new), raw.backend.filter(new)
+    users = mmp.filter(F.col("event_name") == INSTALL_EVENT).select(F.col("appsflyer_id").alias("user_id"))
+    days = (mmp.select(F.to_date("event_time").alias("d")).union(mmp.select(F.to_date("install_time")))
+            .union(raw.singular.filter(new).select(F.col("date").cast("date")))
+            .union(back.select(F.to_date("event_time")))
+            .union(raw.backend.join(users, "user_id", "left_semi").select(F.to_date("event_time"))))
+    return sorted(r.d for r in days.filter("d is not null").distinct().collect())
+
+
 def refresh_days(raw: RawSources, root: str, days: list[dt.date]) -> None:
-    """Recompute the date-local marts for ``days`` and replace only those date partitions."""
+    """Recompute the date-local marts for ``days`` and replace only those date partitions. The new rows are
+    written to the shared checkpoint folder first, so a day left without rows is known and removed."""
     g = DayGraph(raw, days)
     for m, col in DATE_LOCAL.items():
-        write_date_local(g.model(m).filter(in_days(col, g.days)), os.path.join(root, m), col)
+        df = g.model(m).filter(in_days(col, g.days))
+        spark = df.sparkSession
+        staged = os.path.join(ensure_checkpoint_dir(spark), f"acqlens-refresh-{uuid.uuid4().hex}")
+        df.write.parquet(staged)
+        fresh = spark.read.schema(df.schema).parquet(staged)
+        filled = {r[0] for r in fresh.select(col).distinct().collect()}      # some of ``days``
+        target = os.path.join(root, m)
+        write_date_local(fresh, target, col)
+        for day in set(g.days) - filled:
+            path = spark._jvm.org.apache.hadoop.fs.Path(f"{target}/{col}={day.isoformat()}")
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def read_date_local(spark, root: str, model: str) -> DataFrame:

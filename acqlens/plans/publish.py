@@ -25,7 +25,7 @@ from acqlens.operators import quality
 from acqlens.plans.models import MODELS, STAGING, MaterializedGraph
 from acqlens.sources.fixtures import RawSources
 from acqlens.sources.freshness import freshness
-from acqlens.sources.loader import committed_load, load_raw, read_raw
+from acqlens.sources.loader import committed_load, load_raw, read_if_there, read_raw
 
 LAYER_OF = {m: ("staging" if m in STAGING else "marts") for m in MODELS}
 
@@ -57,8 +57,8 @@ def run(spark: SparkSession, root: str, raw: RawSources | None = None, csv_dir:
     if csv_dir is not None:
         raw_dir = os.path.join(root, "raw")
         load_raw(spark, csv_dir, raw_dir, loaded_at)
-        raw = RawSources(**read_raw(spark, raw_dir))
         raw_load = committed_load(spark, raw_dir)
+        raw = RawSources(**read_raw(spark, raw_dir, load_id=raw_load))
     build_root = os.path.join(root, "runs", run_id)
     graph = MaterializedGraph(raw, names=MODELS, root=build_root).build(threads=threads)
 
@@ -87,12 +87,8 @@ def run(spark: SparkSession, root: str, raw: RawSources | None = None, csv_dir:
 
 def published_run(spark: SparkSession, root: str) -> str | None:
     """Id of the latest published run (from the manifest), or None."""
-    path = os.path.join(root, "manifest")
-    try:
-        row = spark.read.parquet(path).agg(F.max_by("run_id", "published_at").alias("r")).first()
-    except Exception:  # noqa: BLE001 - no manifest yet
-        return None
-    return row.r if row else None
+    manifest = read_if_there(spark, os.path.join(root, "manifest"))
+    return manifest.agg(F.max_by("run_id", "published_at").alias("r")).first().r if manifest is not None else None
 
 
 def published_graph(spark: SparkSession, root: str):

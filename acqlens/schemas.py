@@ -51,11 +51,3 @@ RAW_BACKEND = StructType([
 ])
 
 LOADED_AT = "_loaded_at"
-
-# name -> (schema, date column used for write partitioning or None)
-RAW_TABLES = {
-    "appsflyer": (RAW_APPSFLYER, "install_date"),
-    "singular": (RAW_SINGULAR, "date"),
-    "skan": (RAW_SKAN, None),
-    "backend": (RAW_BACKEND, "event_date"),
-}

@@ -18,8 +18,9 @@ ENGINE_CONF = {
     # hold a third of the rows)
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    # Broadcast only what AQE measured at runtime to be below this size.
-    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    # Broadcast only what AQE measured at runtime to be below this size; never by compressed file sizes
+    # at planning time.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",

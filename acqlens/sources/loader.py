@@ -1,15 +1,13 @@
-"""Bronze loader: typed CSV -> raw tables (full refresh), the Spark form of the reference's ingestion.
+"""Bronze loader: typed CSV -> raw tables, the Spark form of the reference's ingestion.
 
 * columns are bound by header *name* (a reordered file still loads), every field read as text and cast
   explicitly; an empty field is NULL for every type; a malformed number or time fails the load
-  (ANSI casts raise);
-* all four sources are parsed and validated before any table is written (no partial refresh caused
-  by one bad file); each parsed frame is persisted on executor disk so the CSV is parsed once for
-  validation and writing; a lost executor re-parses only its own splits (the lineage is one scan
-  and deterministic casts, nothing else);
-* every row gets one load stamp per run; a full load writes a new version of all four tables and
-  commits it with one manifest row, so readers see either the previous or the new load, never a mix
-  (idempotent rerun);
+  (ANSI casts raise); quoted fields may hold quotes (doubled) and line breaks, so one file is one split:
+  deliver large sources as folders of files;
+* a load parses each source once into its own uncommitted folder on shared storage, validates it there,
+  and becomes visible only by its manifest row, after all four are written (all-or-nothing);
+* every row gets one load stamp per run; a full load replaces everything before it, an incremental load
+  adds one delivery to it. A delivery that is loaded again replaces its own rows and no others;
 * tables are laid out by their date (partition column) so date predicates prune files; the postback
   table has no date and is clustered by campaign instead.
 """
@@ -18,29 +16,30 @@ from __future__ import annotations
 import datetime as dt
 import os
 import uuid
+from functools import reduce
 
-from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from acqlens.functions.dates import to_second
+from acqlens.functions.dates import round_to_second
 from acqlens.operators.unions import union_all
 from acqlens.schemas import LOADED_AT, RAW_APPSFLYER, RAW_BACKEND, RAW_SINGULAR, RAW_SKAN
 
 # source name -> (csv file name, schema, partition column expression name, partition source column)
 SPECS = {
     "appsflyer": ("appsflyer_raw.csv", RAW_APPSFLYER, "install_date", "install_time"),
-    "singular": ("singular_raw.csv", RAW_SINGULAR, "spend_date", "date"),
-    "skan": ("skan_raw.csv", RAW_SKAN, None, "source_identifier"),
-    "backend": ("backend_raw.csv", RAW_BACKEND, "event_date", "event_time"),
+    "singular": ("singular_cost.csv", RAW_SINGULAR, "spend_date", "date"),
+    "skan": ("skan_postbacks.csv", RAW_SKAN, None, "source_identifier"),
+    "backend": ("backend_events.csv", RAW_BACKEND, "event_date", "event_time"),
 }
 
 
 def read_typed_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Header CSV -> ``schema`` by column name; '' -> NULL; bad values raise at evaluation."""
     text = (spark.read.option("header", True).option("encoding", "UTF-8").option("mode", "FAILFAST")
-            .option("inferSchema", False).csv(path))
+            .option("inferSchema", False).option("escape", '"').option("multiLine", True).csv(path))
     missing = [f.name for f in schema.fields if f.name not in text.columns]
     if missing:
         raise ValueError(f"{path}: missing columns {missing}")
@@ -60,11 +59,6 @@ def read_typed_csv(spark: SparkSession, path: str, schema: StructType) -> DataFr
     return text.select(*cols)
 
 
-def round_to_second(ts):
-    """Round a TIMESTAMP_NTZ to the nearest whole second (half up), staying zone-less."""
-    return to_second(ts + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(0.5).cast("decimal(8,6)")))
-
-
 def validate_not_null(df: DataFrame, schema: StructType, name: str) -> None:
     """One aggregate over every column: NULLs in NOT NULL columns fail the load, and evaluating all
     columns surfaces any value that does not parse."""
@@ -78,114 +72,124 @@ def validate_not_null(df: DataFrame, schema: StructType, name: str) -> None:
 
 
 def stage_sources(spark: SparkSession, csv_dir: str, loaded_at: dt.datetime | None = None,
-                  persist: bool = True) -> dict[str, DataFrame]:
-    """Parse, type, stamp and validate all four sources (nothing is written).
-
-    With ``persist`` the parsed rows are kept on executor disk: validation parses every row and
-    column once (a bad value fails here, before any write), and the caller's writes reuse those rows;
-    call ``release`` afterwards.
-    """
+                  validate: bool = True) -> dict[str, DataFrame]:
+    """The four sources parsed, typed and stamped; with ``validate`` every value is checked here (one pass)."""
     stamp = (loaded_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)).strftime("%Y-%m-%d %H:%M:%S.%f")
     out = {}
     for name, (fname, schema, _, _) in SPECS.items():
         df = read_typed_csv(spark, os.path.join(csv_dir, fname), schema)
-        df = df.withColumn(LOADED_AT, F.lit(stamp).cast("timestamp_ntz"))
-        if persist:
-            df = df.persist(StorageLevel.DISK_ONLY)
-        validate_not_null(df, schema, name)
-        out[name] = df
+        if validate:
+            validate_not_null(df, schema, name)
+        out[name] = df.withColumn(LOADED_AT, F.lit(stamp).cast("timestamp_ntz"))
     return out
 
 
-def release(staged: dict[str, DataFrame]) -> None:
-    for df in staged.values():
-        df.unpersist()
-
-
-def write_raw(df: DataFrame, path: str, part_col: str | None, source_col: str, incremental: bool = False) -> None:
-    """Overwrite one raw table. Date-partitioned tables are sorted by date inside each task (no
-    shuffle, no hot-date skew) so each task writes one file per date it holds.
-
-    ``incremental=True`` replaces only the dates present in ``df`` (dynamic partition overwrite) and
-    keeps every other date: a daily load rewrites its days, not the history.
-    """
+def write_raw(df: DataFrame, path: str, part_col: str | None, source_col: str) -> None:
+    """Overwrite one raw table. Date-partitioned tables are rebalanced by date first: a date's rows meet in
+    a few full files, and AQE splits a hot date over several tasks."""
     if part_col:
-        df = df.withColumn(part_col, F.to_date(source_col)).sortWithinPartitions(part_col)
-        w = df.write.mode("overwrite").partitionBy(part_col)
-        if incremental:
-            w = w.option("partitionOverwriteMode", "dynamic")
-        w.parquet(path)
+        df = df.withColumn(part_col, F.to_date(source_col)).hint("rebalance", F.col(part_col))
+        df.write.mode("overwrite").partitionBy(part_col).parquet(path)
     else:
-        df.sortWithinPartitions(source_col).write.mode("append" if incremental else "overwrite").parquet(path)
+        df.sortWithinPartitions(source_col).write.mode("overwrite").parquet(path)
 
 
 MANIFEST = "_loads"
+MANIFEST_SCHEMA = "load_id string, committed_at timestamp_ntz, delivery string"
 
 
-def committed_load(spark: SparkSession, target_dir: str) -> str | None:
-    """Id of the latest committed full load under ``target_dir`` (None before the first one)."""
-    path = os.path.join(target_dir, MANIFEST)
+def read_if_there(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
+    """The parquet table under ``path``, or None if that path does not exist; other failures raise."""
     try:
-        row = spark.read.parquet(path).agg(F.max_by("load_id", "committed_at").alias("id")).first()
-    except Exception:  # noqa: BLE001 - no manifest yet
+        return (spark.read.schema(schema) if schema else spark.read).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
-    return row.id if row else None
+
+
+def committed_load(spark: SparkSession, target_dir: str) -> str | None:
+    """What readers see under ``target_dir``: the id of the latest full load and, joined by '+', those of
+    the deliveries added since (the latest load of each). None before the first full load."""
+    manifest = read_if_there(spark, os.path.join(target_dir, MANIFEST), MANIFEST_SCHEMA)
+    if manifest is None:
+        return None
+    full = manifest.filter("delivery is null").agg(F.max_by("load_id", "committed_at").alias("id"),
+                                                   F.max("committed_at").alias("at")).first()
+    if full.id is None:
+        return None
+    added = (manifest.filter(F.col("delivery").isNotNull() & (F.col("committed_at") > F.lit(full["at"])))
+             .groupBy("delivery").agg(F.max_by("load_id", "committed_at").alias("id")).collect())
+    return "+".join([full.id, *sorted(r.id for r in added)])
 
 
 def table_dir(spark: SparkSession, target_dir: str, name: str) -> str:
-    """Folder of raw table ``name``: inside the latest committed load, or the plain layout."""
+    """Folder of raw table ``name`` in the latest full load, or in the plain layout."""
     load_id = committed_load(spark, target_dir)
-    return os.path.join(target_dir, "loads", load_id, name) if load_id else os.path.join(target_dir, name)
+    return os.path.join(target_dir, "loads", load_id.split("+")[0], name) if load_id else os.path.join(target_dir, name)
+
 
+def _content_id(tables: dict[str, DataFrame]) -> str:
+    """Names a delivery by its rows, whatever their order: the same rows give the same name."""
+    marks = []
+    for name, (_, schema, _, _) in SPECS.items():
+        row = tables[name].agg(F.count(F.lit(1)).alias("n"),
+                               F.sum(F.xxhash64(*schema.fieldNames()).cast("decimal(38,0)")).alias("h")).first()
+        marks.append(f"{name}:{row.n}:{row.h}")
+    return ",".join(marks)
 
-def load_raw(spark: SparkSession, csv_dir: str, target_dir: str,
-             loaded_at: dt.datetime | None = None, incremental: bool = False) -> dict[str, int]:
+
+def load_raw(spark: SparkSession, csv_dir: str, target_dir: str, loaded_at: dt.datetime | None = None,
+             incremental: bool = False, delivery: str | None = None) -> dict[str, int]:
     """Load the four raw tables under ``target_dir``; returns their row counts after the load.
 
-    A full load is all-or-nothing across the four tables: they are written into a new
-    ``loads/<load_id>/`` folder and become visible only when a row for that load is appended to the
-    ``_loads`` manifest after every write succeeded; a failed load leaves the previous one in place.
-    An ``incremental`` load replaces only the delivered dates, in place, in the current load.
+    The tables go to a new ``loads/<load_id>/`` folder and become visible by one row in the ``_loads``
+    manifest, appended after every table is written and validated; a failed load changes nothing. An
+    ``incremental`` load adds its rows to those of the current load, whatever dates they touch. It is
+    named by ``delivery``, or else by its content: loading the same delivery again replaces its own rows.
+    Each delivery adds a folder to read; a full load takes them together.
     """
-    staged = stage_sources(spark, csv_dir, loaded_at)
-    current = committed_load(spark, target_dir)
-    if incremental and current is None:
+    if incremental and committed_load(spark, target_dir) is None:
         raise ValueError("an incremental load needs a committed full load first")
-    load_id = current if incremental else (
-        dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8])
-    try:
-        for name, df in staged.items():
-            _, _, part_col, source_col = SPECS[name]
-            write_raw(df, os.path.join(target_dir, "loads", load_id, name), part_col, source_col, incremental)
-    finally:
-        release(staged)
-    if not incremental:
-        commit = spark.createDataFrame(
-            [(load_id, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))],
-            "load_id string, committed_at timestamp_ntz")
-        commit.write.mode("append").parquet(os.path.join(target_dir, MANIFEST))
-    return {name: spark.read.parquet(table_dir(spark, target_dir, name)).count() for name in SPECS}
-
-
-def read_raw(spark: SparkSession, target_dir: str, keep_partition_column: bool = False) -> dict[str, DataFrame]:
-    """Raw tables of the latest committed load (or of the plain ``<target>/<table>`` layout). The
-    date partition column is dropped unless ``keep_partition_column`` (day-restricted reads filter on
-    it to prune partitions)."""
+    load_id = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
+    tables = {}
+    for name, df in stage_sources(spark, csv_dir, loaded_at, validate=False).items():
+        _, schema, part_col, source_col = SPECS[name]
+        path = os.path.join(target_dir, "loads", load_id, name)
+        write_raw(df, path, part_col, source_col)
+        tables[name] = spark.read.schema(df.schema).parquet(path)
+        validate_not_null(tables[name], schema, name)
+    label = (delivery or _content_id(tables)) if incremental else None
+    commit = spark.createDataFrame([(load_id, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), label)],
+                                   MANIFEST_SCHEMA)
+    commit.write.mode("append").parquet(os.path.join(target_dir, MANIFEST))
+    return {name: df.count() for name, df in read_raw(spark, target_dir).items()}
+
+
+def read_raw(spark: SparkSession, target_dir: str, keep_partition_column: bool = False,
+             load_id: str | None = None) -> dict[str, DataFrame]:
+    """Raw tables of one committed state (``load_id`` as ``committed_load`` gives it, by default the latest;
+    resolved once for all four), or of the plain ``<target>/<table>`` layout. The date partition column is
+    dropped unless ``keep_partition_column`` (day-restricted reads filter on it to prune partitions)."""
+    load_id = load_id or committed_load(spark, target_dir)
+    roots = [os.path.join(target_dir, "loads", part) for part in load_id.split("+")] if load_id else [target_dir]
     out = {}
     for name, (_, schema, part_col, _) in SPECS.items():
-        df = spark.read.parquet(table_dir(spark, target_dir, name))
-        extra = [part_col] if keep_partition_column and part_col else []
-        out[name] = df.select(*[f.name for f in schema.fields], LOADED_AT, *extra)
+        extra = ", ".join(f"{c} {t}" for c, t in [(LOADED_AT, "timestamp_ntz"), (part_col, "date")] if c)
+        full = StructType(schema.fields + StructType.fromDDL(extra).fields)
+        keep = [*schema.fieldNames(), LOADED_AT, *([part_col] if keep_partition_column and part_col else [])]
+        parts = [spark.read.schema(full).parquet(os.path.join(root, name)).select(*keep) for root in roots]
+        out[name] = reduce(DataFrame.unionByName, parts)
     return out
 
 
-def write_source_csv(df: DataFrame, path: str, single_file: bool = True) -> None:
-    """Export a raw frame as header CSV (one file for small exports, else one file per task; the loader
-    reads either a file or a folder of part files)."""
+def write_source_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
+    """Export a raw frame as header CSV, one file per task (``single_file`` is for small exports: all rows
+    pass one task); the loader reads either a file or a folder of part files."""
     out = df.drop(LOADED_AT)
     if single_file:
         out = out.coalesce(1)
-    (out.write.mode("overwrite").option("header", True)
+    (out.write.mode("overwrite").option("header", True).option("escape", '"')
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 

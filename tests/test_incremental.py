@@ -7,6 +7,7 @@ from acqlens.plans import incremental
 from acqlens.plans.models import ModelGraph
 from acqlens.sources.fixtures import RawSources, load_fixture_sources
 from conftest import SF_SMALL
+from frames import backend, install, sources
 
 
 def test_refresh_two_days_equals_full_rebuild(spark, tmpdir_path):
@@ -32,6 +33,26 @@ def test_refresh_two_days_equals_full_rebuild(spark, tmpdir_path):
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0, model
 
 
+def test_refresh_removes_emptied_days_and_finds_touched_ones(spark, tmpdir_path):
+    src = load_fixture_sources(spark, SF_SMALL)
+    raw = RawSources(src.appsflyer, src.singular, src.skan, src.backend)
+    incremental.build_all_days(raw, tmpdir_path)
+    day = dt.date(2024, 1, 10)
+    raw2 = RawSources(src.appsflyer, src.singular, src.skan, src.backend.filter(F.to_date("event_time") != F.lit(day)))
+    incremental.refresh_days(raw2, tmpdir_path, [day])
+    full = ModelGraph(raw2)
+    for model in incremental.DATE_LOCAL:
+        want = full.model(model)
+        got = incremental.read_date_local(spark, tmpdir_path, model).select(*want.columns)
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0, model
+    # a late install touches its own day and its user's backend days
+    old, new = dt.datetime(2024, 3, 1), dt.datetime(2024, 3, 9)
+    late = sources(spark, appsflyer=[dict(install("u", t=dt.datetime(2024, 1, 1)), _loaded_at=new)],
+                   backend_rows=[dict(backend("u", "1.00", dt.datetime(2024, 1, 5)), _loaded_at=old),
+                                 dict(backend("v", "1.00", dt.datetime(2024, 1, 6)), _loaded_at=old)])
+    assert incremental.touched_days(late, new) == [dt.date(2024, 1, 1), dt.date(2024, 1, 5)]
+
+
 def test_day_filter_prunes_raw_partitions(spark, tmpdir_path):
     import os
     from acqlens.sources import loader

@@ -17,7 +17,7 @@ from frames import backend, install, sources
 def _export_csv(spark, src, out_dir):
     for name, (fname, _, _, _) in loader.SPECS.items():
         tmp = os.path.join(out_dir, f"_{name}")
-        loader.write_source_csv(getattr(src, name), tmp)
+        loader.write_source_csv(getattr(src, name), tmp, single_file=True)
         (part,) = glob.glob(os.path.join(tmp, "part-*.csv"))
         shutil.copy(part, os.path.join(out_dir, fname))
 
@@ -108,17 +108,55 @@ def test_streaming_dedup_matches_batch(spark, tmpdir_path):
     assert want.exceptAll(got.select(*want.columns)).count() == 0
 
 
-def test_incremental_load_replaces_only_delivered_dates(spark, tmpdir_path):
-    from frames import backend as b
-    d1, d2 = dt.datetime(2024, 1, 1, 10), dt.datetime(2024, 1, 2, 10)
+def _deliver(folder, appsflyer=(), backend_rows=(), postbacks=()):
+    """Source files as Python's csv writes them."""
+    import csv
+    os.makedirs(folder)
+    rows = {"appsflyer": appsflyer, "backend": backend_rows, "skan": postbacks, "singular": ()}
+    for name, (fname, schema, _, _) in loader.SPECS.items():
+        with open(os.path.join(folder, fname), "w", newline="") as f:
+            w = csv.DictWriter(f, schema.fieldNames())
+            w.writeheader()
+            w.writerows(rows[name])
+
+
+def test_incremental_load_keeps_history_and_replaces_itself(spark, tmpdir_path):
+    from frames import mmp_event, postback
+    d2, d9 = dt.datetime(2024, 1, 2, 10), dt.datetime(2024, 1, 9, 10)
+    _deliver(os.path.join(tmpdir_path, "full"), [install("d", t=d2), mmp_event("d", 1, d2, install_t=d2)],
+             [backend("u1", "1.00", d2)], [postback()])
+    _deliver(os.path.join(tmpdir_path, "delta"), [mmp_event("d", 2, d9, install_t=d2)],   # an old device's event
+             [backend("u2", "2.00", d2)], [postback()])                                   # a late row; an equal postback
     target = os.path.join(tmpdir_path, "raw")
-    _, _, part, col = loader.SPECS["backend"]
-    full = sources(spark, backend_rows=[b("u1", "1.00", d1), b("u2", "2.00", d2)]).backend
-    loader.write_raw(full, os.path.join(target, "backend"), part, col)
-    day2 = sources(spark, backend_rows=[b("u3", "3.00", d2), b("u4", "4.00", d2)]).backend
-    loader.write_raw(day2, os.path.join(target, "backend"), part, col, incremental=True)
-    got = sorted(r.user_id for r in spark.read.parquet(os.path.join(target, "backend")).collect())
-    assert got == ["u1", "u3", "u4"]
+    with pytest.raises(ValueError):
+        loader.load_raw(spark, os.path.join(tmpdir_path, "delta"), target, incremental=True)
+    loader.load_raw(spark, os.path.join(tmpdir_path, "full"), target)
+    want = {"appsflyer": 3, "singular": 0, "skan": 2, "backend": 2}
+    for _ in range(2):
+        assert loader.load_raw(spark, os.path.join(tmpdir_path, "delta"), target, incremental=True) == want
+    raw = loader.read_raw(spark, target)
+    assert sorted(r.user_id for r in raw["backend"].collect()) == ["u1", "u2"]
+    assert raw["appsflyer"].filter("event_name = 'install'").count() == 1
+    _deliver(os.path.join(tmpdir_path, "again"), [install("e", t=d9)])
+    state = loader.committed_load(spark, target)
+    loader.load_raw(spark, os.path.join(tmpdir_path, "again"), target)                    # a full load starts anew
+    assert loader.read_raw(spark, target)["appsflyer"].count() == 1
+    assert loader.read_raw(spark, target, load_id=state)["appsflyer"].count() == 3        # one state, resolved once
+
+
+def test_quoted_fields_of_other_writers(spark, tmpdir_path):
+    odd = 'say ""hi"" "x",\nnext line'
+    _deliver(os.path.join(tmpdir_path, "csv"), [install("d", campaign=odd)])
+    loader.load_raw(spark, os.path.join(tmpdir_path, "csv"), os.path.join(tmpdir_path, "raw"))
+    assert loader.read_raw(spark, os.path.join(tmpdir_path, "raw"))["appsflyer"].first().campaign == odd
+
+
+def test_seconds_are_rounded_before_dedup(spark):
+    from acqlens.operators.staging import backend_dedup
+    t = dt.datetime(2024, 1, 1, 10, 0, 1)
+    rows = [backend("u", "1.00", t), backend("u", "2.00", t + dt.timedelta(milliseconds=200))]
+    assert [tuple(r) for r in backend_dedup(sources(spark, backend_rows=rows).backend).collect()] == [
+        ("u", "purchase", rows[1]["revenue"], t)]
 
 
 def test_alerts_and_anomalies_on_fixture(spark):
