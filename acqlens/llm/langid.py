@@ -14,8 +14,8 @@ With no training text every row is ``und``. Repeated rows count as often as they
 from __future__ import annotations
 
 import uuid
-from collections import defaultdict
-from collections.abc import Iterator
+from collections import Counter, defaultdict
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -47,50 +47,65 @@ def grams(word: str, longest: int) -> Iterator[list[str]]:
         yield [marked[i:i + n] for i in range(len(marked) - n + 1)] if n > 1 else list(word)
 
 
-def _sums(rows: Iterator[tuple[str, bytes, int]], most: int = 200_000) -> Iterator[pa.RecordBatch]:
-    """Partial sums of (lang, key, n), with at most ``most`` keys in memory."""
-    def batch(held):
-        langs = [k[0] for k in held]
-        return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array([k[1] for k in held], pa.binary()),
-                                           pa.array(list(held.values()), pa.int64())], ["lang", "key", "n"])
-    held: dict[tuple[str, bytes], int] = defaultdict(int)
-    for lang, key, n in rows:
-        held[lang, key] += n
-        if len(held) >= most:
-            yield batch(held)
+def _batch(held: dict[str, Counter]) -> pa.RecordBatch:
+    keys = [k for found in held.values() for k in found]
+    return pa.RecordBatch.from_arrays([
+        pa.array([lang for lang, found in held.items() for _ in range(len(found))], pa.string()),
+        pa.array([k.encode("utf-8", "replace") if isinstance(k, str) else k for k in keys], pa.binary()),
+        pa.array([n for found in held.values() for n in found.values()], pa.int64())], ["lang", "key", "n"])
+
+
+def _sums(adds: Iterator[tuple[str, Callable[[Counter], None]]], most: int = 200_000) -> Iterator[pa.RecordBatch]:
+    """Partial sums of (lang, key, n): each step adds to the counter of its language; beyond ``most`` keys
+    the counters go out."""
+    held: dict[str, Counter] = defaultdict(Counter)
+    for lang, add in adds:
+        add(held[lang])
+        if sum(map(len, held.values())) >= most:
+            yield _batch(held)
             held.clear()
     if held:
-        yield batch(held)
+        yield _batch(held)
 
 
 def word_counts(train: DataFrame) -> DataFrame:
     """(lang, key, n): every word of every training text, counted in the tasks before the shuffle."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows():
+        def adds():
             for b in small_batches(batches):
                 for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                    for w in letter_words(text):
-                        yield lang, w, 1
-        yield from _sums(rows())
+                    yield lang, lambda held, text=text: held.update(letter_words(text))
+        yield from _sums(adds())
     return train.mapInArrow(run, "lang string, key binary, n long").groupBy("lang", "key").agg(F.sum("n").alias("n"))
 
 
 def gram_counts(counts: DataFrame, longest: int) -> DataFrame:
+    def add(held: Counter, word: str, n: int) -> None:
+        for found in grams(word, longest):
+            for g in found:
+                held[g] = held.get(g, 0) + n
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows():
+        def adds():
             for b in batches:
                 for lang, w, n in zip(*(c.to_pylist() for c in b.columns)):
-                    for found in grams(w.decode("utf-8", "replace"), longest):
-                        for g in found:
-                            yield lang, g.encode("utf-8", "replace"), n
-        yield from _sums(rows())
+                    yield lang, lambda held, w=w, n=n: add(held, w.decode("utf-8", "replace"), n)
+        yield from _sums(adds())
     return counts.mapInArrow(run, "lang string, key binary, n long").groupBy("lang", "key").agg(F.sum("n").alias("n"))
 
 
+SALTS = 32         # parts of a language whose most frequent keys are found side by side
+
+
 def _most_frequent(counts: DataFrame, by: list[str], most: int) -> DataFrame:
-    """The rows of the ``most`` largest n per group; Spark limits each task's groups before the shuffle."""
-    w = Window.partitionBy(*by).orderBy(F.desc("n"), "key")
-    return counts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= most).drop("rank")
+    """The rows of the ``most`` largest n per group. Each of ``SALTS`` parts of a group ranks on its own
+    first, so the task that ranks a whole group reads at most ``SALTS * most`` rows at any input size."""
+    order = [F.desc("n"), F.col("key")]
+    part = Window.partitionBy(*by, "salt").orderBy(*order)
+    whole = Window.partitionBy(*by).orderBy(*order)
+    return counts.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS))) \
+        .withColumn("rank", F.row_number().over(part)).filter(F.col("rank") <= most) \
+        .withColumn("rank", F.row_number().over(whole)).filter(F.col("rank") <= most).drop("rank", "salt")
 
 
 @dataclass
