@@ -1,11 +1,13 @@
 """License scans by sentence rules: known sentences become identifiers, identifier sequences match rules.
 
-A text is cut into sentences (at line ends, and after . ! ? before white space), each normalised (lower
-case, every run of other characters than letters, digits, + and . one space). A sentence that contains a
-known license sentence, word by word, yields its identifier; the identifiers of a text, in order, are
-matched against ordered rules: a rule is a sequence of identifiers that must follow one another, with up
-to ``GAP`` sentences between them, and the first rule that matches at a place takes it. Rules are listed
-most specific first.
+A text is cut into sentences (at blank lines, and after . ! ? before white space), each normalised (lower
+case, every run of other characters than letters, digits, + and . one space). A single line break is white
+space, and so are comment marks that begin a line; a line of these alone is blank. The full stop of "v."
+ends no sentence, and a list number is none. A sentence that contains a known license sentence, word by
+word, yields its identifier, placed at the sentence's part on the lines that hold it; the identifiers of a
+text, in order, are matched against ordered rules: a rule is a sequence of identifiers that must follow one
+another, with up to ``GAP`` sentences between them, and the first rule that matches at a place takes it.
+Rules are listed most specific first.
 
 Nulls: a null or empty text has no licenses. A null id keeps its rows. Repeated rows are scanned one by
 one; extra columns are ignored; empty tables give no rows. A license named twice is reported at each place.
@@ -60,7 +62,9 @@ RULES = (
     Rule("CC-BY-NC-4.0", ("cc-by-nc-4",)), Rule("CC-BY-SA-4.0", ("cc-by-sa-4",)), Rule("CC-BY-4.0", ("cc-by-4",)),
     Rule("MPL-2.0", ("mpl-2-named",)), Rule("Proprietary", ("all-rights",)),
 )
-_ENDS = re.compile(r"[^\n.!?]*(?:[.!?](?!\s|$)[^\n.!?]*)*[.!?]*\n?")
+_ENDS = re.compile(r"(?<![.!?])(?<!\b[vV])[.!?]++(?=\s)|\n(?:[^\S\n]*\n)+|\Z")
+_MARKS = re.compile(r"""^[^\S\n]*(?:[^\w\s.?]+(?:rem\b)?|\.\\"|(?:dnl|rem|c)(?=\s))""", re.I | re.M)
+_NUMBER = re.compile(r"[a-z]|[ivxl]+|\d+(?:\.\d+)*")
 _OTHER = re.compile(r"[^a-z0-9.+]+")
 
 
@@ -68,6 +72,24 @@ def normalised(sentence: str) -> str:
     return _OTHER.sub(" ", sentence.lower()).strip(" .")
 
 
+def unmarked(text: str) -> str:
+    """``text`` with blanks for the comment marks of its lines and \\n for every line end, in the same places."""
+    return _MARKS.sub(lambda m: " " * len(m[0]), text.replace("\r\n", " \n").replace("\r", "\n"))
+
+
+def places(sentence: str) -> list[int]:
+    """The place in ``sentence`` of each character of ``normalised(sentence)``."""
+    chars, at = [], []
+    for i, c in enumerate(sentence):
+        for x in c.lower():
+            x = " " if _OTHER.match(x) else x
+            if x != " " or chars[-1:] != [" "]:
+                chars.append(x)
+                at.append(i)
+    plain = "".join(chars)
+    return at[len(plain) - len(plain.lstrip(" .")):]
+
+
 class Recogniser:
     def __init__(self, sentences: dict[str, tuple[str, ...]] = SENTENCES, rules: tuple[Rule, ...] = RULES, gap: int = GAP):
         self.rules, self.gap = rules, gap
@@ -79,16 +101,26 @@ class Recogniser:
 
     def identifiers(self, text: str | None) -> list[tuple[int, int, int, str]]:
         """(sentence number, start, end, identifier) of the sentences that are known."""
-        if not text or self.any is None or not self.any.search(normalised(text.replace("\n", " "))):
+        if not text or self.any is None:
+            return []
+        bare = unmarked(text)
+        if not self.any.search(normalised(bare)):
             return []
-        out, number = [], 0
-        for m in _ENDS.finditer(text):
-            plain = normalised(m[0])
-            if not plain:
+        out, number, begin = [], 0, 0
+        for m in _ENDS.finditer(bare):
+            sentence, at, begin = bare[begin:m.end()], begin, m.end()
+            plain = normalised(sentence)
+            if not plain or _NUMBER.fullmatch(plain):
                 continue
-            start = m.start() + len(m[0]) - len(m[0].lstrip())
-            end = m.start() + len(m[0].rstrip())
-            out += [(number, start, end, self.by_sentence[x[0]]) for x in self.any.finditer(plain)]
+            found = list(self.any.finditer(plain))
+            where = places(sentence) if found else []
+            for x in found:
+                # the lines of the known sentence, as far as they belong to this sentence
+                start = max(at, bare.rfind("\n", 0, at + where[x.start()]) + 1)
+                line_end = bare.find("\n", at + where[x.end() - 1])
+                end = min(begin, line_end if line_end >= 0 else len(bare))
+                held = text[start:end]
+                out.append((number, start + len(held) - len(held.lstrip()), start + len(held.rstrip()), self.by_sentence[x[0]]))
             number += 1
         return out
 

@@ -153,6 +153,49 @@ def test_licenses(docs, none):
     assert licenses.scan(none).count() == 0
 
 
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version."""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice
+   in the documentation provided with the distribution."""
+BSD_3 = BSD + """
+3. Neither the name of the holder nor the names of its contributors may be used
+   to endorse or promote products derived from this software."""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance
+with the License."""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed, get one."""
+
+
+@pytest.mark.parametrize("mark", ["", "# ", " * ", "// ", "! ", "dnl ", "REM ", '.\\" ', "+"])
+@pytest.mark.parametrize("line_end", ["\n", "\r\n"])
+def test_wrapped_licenses(mark, line_end):
+    for text, want in ((GPL, "GPL-3.0-or-later"), (BSD, "BSD-2-Clause"), (BSD_3, "BSD-3-Clause"),
+                       (APACHE, "Apache-2.0"), (MPL, "MPL-2.0")):
+        lines = ["é🙂 İ code", "", *text.split("\n"), "", "more code"]
+        whole = line_end.join(mark + x for x in lines)
+        (got,) = licenses.Recogniser().find(whole)
+        held = licenses.normalised(licenses.unmarked(whole[got[1]:got[2]]))
+        words = licenses.normalised(text)
+        assert got[0] == want and words.startswith(held) and len(held) > 60
+        assert want not in ("GPL-3.0-or-later", "BSD-3-Clause", "Apache-2.0") or held == words
+
+
+def test_license_ends_at_blank_line_and_keeps_its_line():
+    find = licenses.Recogniser().find
+    assert not find("you can redistribute it and/or modify\n#\nit under the terms of the GNU General Public License")
+    text = "a line of code\nReleased under the MIT License\nanother line"
+    (got,) = find(text)
+    assert text[got[1]:got[2]] == "Released under the MIT License"
+
+
 def test_pieces(docs, none):
     path = tokenizer_path("piece_bpe_32k.model")
     model = piece_scan.Pieces(path)
