@@ -7,7 +7,8 @@ characters the piece across it reaches into the chunk; the chunk yields the matr
 each state at its beginning to each at its end. Matrices multiply in max-plus algebra, associatively, so
 scans of them give the state at every border, and each chunk is then traced back on its own between its
 two known states. A document's matrices (2 KB per ``CHUNK`` characters) meet in one group. Decoding
-joins pieces and bytes.
+gives the bytes of each chunk's ids in the tasks; those of a giant document are joined in the order of its
+chunks before they are read as text, so a task holds the text of one document, as the input does.
 
 A space is written as U+2581 and one is put before the text, as the library does; a U+2581 in a text is
 spelled in bytes, so decoding gives every text back. Nulls: a null or empty text has no ids. A null id
@@ -45,6 +46,7 @@ class Pieces:
         self.bytes = {int(self.text[i][3:5], 16): i for i in byte}
         plain = [i for i in range(n) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))]
         self.byte_of = {i: b for b, i in self.bytes.items()}
+        self.raw_of = [bytes([self.byte_of[i]]) if i in self.byte_of else t.replace(_MARK, " ").encode() for i, t in enumerate(self.text)]
         self.score = {self.text[i]: (-float(np.log(k + 2)) - 4.0, i) for k, i in enumerate(plain)}
         self.byte_cost = -2 * float(np.log(n + 2))
         self.longest = max(map(len, self.score), default=1)
@@ -110,9 +112,12 @@ class Pieces:
             out += got
         return out
 
+    def raw(self, ids: list[int]) -> bytes:
+        """The bytes of ids, the space before the text among them."""
+        return b"".join(map(self.raw_of.__getitem__, ids))
+
     def decode(self, ids: list[int]) -> str:
-        raw = b"".join(bytes([self.byte_of[i]]) if i in self.byte_of else self.text[i].replace(_MARK, " ").encode() for i in ids)
-        return raw.decode("utf-8", "surrogatepass")[1:]
+        return self.raw(ids).decode("utf-8", "surrogatepass")[1:]
 
 
 def marked(text: str | None) -> str:
@@ -144,8 +149,14 @@ def _model(path: str) -> Pieces:
 
 
 def encode(docs: DataFrame, path: str, chunk: int = CHUNK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, row, chunk, ids): ids as little-endian uint32; ``row`` tells apart rows that repeat an id,
-    and the chunks of a row in order are its encoding."""
+    """(doc_id, row, chunk, chunks, ids): ids as little-endian uint32; ``row`` tells apart rows that repeat an
+    id, and the ``chunks`` chunks of a row in order are its encoding."""
+    short, giant = _encoded(docs, path, chunk, id_col, text_col)
+    return short.union(giant)
+
+
+def _encoded(docs: DataFrame, path: str, chunk: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """The encodings of documents of one chunk, and of the others."""
     fields = "doc_id long, row string, chunk int, chunks int, text string"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,7 +174,7 @@ def encode(docs: DataFrame, path: str, chunk: int = CHUNK, id_col: str = "doc_id
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids = [np.array(_model(path).encode(t), "<u4").tobytes() for t in b.column(4).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(ids, pa.binary())], ["doc_id", "row", "chunk", "ids"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(ids, pa.binary())], ["doc_id", "row", "chunk", "chunks", "ids"])
 
     def transfer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -182,10 +193,10 @@ def encode(docs: DataFrame, path: str, chunk: int = CHUNK, id_col: str = "doc_id
     def traced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids = [np.array(_model(path).trace(s, i, min(chunk, len(s)) + j), "<u4").tobytes()
-                   for s, i, j in zip(*(b.column(c).to_pylist() for c in (3, 4, 5)))]
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(ids, pa.binary())], ["doc_id", "row", "chunk", "ids"])
+                   for s, i, j in zip(*(b.column(c).to_pylist() for c in (4, 5, 6)))]
+            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(ids, pa.binary())], ["doc_id", "row", "chunk", "chunks", "ids"])
 
-    result = "doc_id long, row string, chunk int, ids binary"
+    result = "doc_id long, row string, chunk int, chunks int, ids binary"
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.monotonically_increasing_id().cast("string").alias("row"), F.col(text_col).cast("string").alias("text"))
     pieces = source.mapInArrow(cut, fields)
     short = pieces.filter("chunks = 1").mapInArrow(whole, result)
@@ -193,11 +204,39 @@ def encode(docs: DataFrame, path: str, chunk: int = CHUNK, id_col: str = "doc_id
     giant = written(pieces.filter("chunks > 1").repartition("row", "chunk"), "piece-chunks")
     matrices = written(giant.mapInArrow(transfer, "row string, chunk int, m binary"), "piece-matrices")
     states = matrices.groupBy("row").applyInPandas(scan, "row string, chunk int, enter long, leave long")
-    tasks = giant.join(states, ["row", "chunk"]).select("doc_id", "row", "chunk", "text", "enter", "leave")
-    return short.union(tasks.mapInArrow(traced, result))
-
-
-def totals(encoded: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, and the sum of the crc32 of the chunks' ids, a row per document row."""
-    return encoded.groupBy("doc_id", "row").agg(F.sum(F.length("ids") / 4).cast("long").alias("n_tokens"),
-                                                F.sum(F.crc32("ids")).alias("ids_crc32")).drop("row")
+    tasks = giant.join(states, ["row", "chunk"]).select("doc_id", "row", "chunk", "chunks", "text", "enter", "leave")
+    return short, tasks.mapInArrow(traced, result)
+
+
+def _raw(encoded: DataFrame, path: str) -> DataFrame:
+    """(doc_id, row, chunk, n_tokens, ids_crc32, raw): the bytes of each chunk, without the space put before
+    the text."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for b in small_batches([whole], 2 << 20):
+                raw = [_model(path).raw(np.frombuffer(i, "<u4").tolist())[k == 0:]
+                       for k, i in zip(b.column(2).to_pylist(), b.column(5).to_pylist())]
+                yield pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(raw, pa.binary())],
+                                                 ["doc_id", "row", "chunk", "n_tokens", "ids_crc32", "raw"])
+    return encoded.select("doc_id", "row", "chunk", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"), "ids") \
+                  .mapInArrow(run, "doc_id long, row string, chunk int, n_tokens long, ids_crc32 long, raw binary")
+
+
+def _texts(short: DataFrame, giant: DataFrame, path: str) -> DataFrame:
+    """(doc_id, row, n_tokens, ids_crc32, text) of the encodings of one chunk and of those of several."""
+    parts = F.transform(F.sort_array(F.collect_list(F.struct("chunk", "raw"))), lambda x: x["raw"].cast("string"))
+    joined = _raw(giant, path).groupBy("doc_id", "row").agg(F.sum("n_tokens").alias("n_tokens"), F.sum("ids_crc32").alias("ids_crc32"),
+                                                            F.array_join(parts, "").alias("text"))
+    return _raw(short, path).select("doc_id", "row", "n_tokens", "ids_crc32", F.col("raw").cast("string").alias("text")).union(joined)
+
+
+def decode(encoded: DataFrame, path: str) -> DataFrame:
+    """(doc_id, row, text): the texts of what ``encode`` gave; a null text is an empty one."""
+    return _texts(encoded.filter("chunks = 1"), encoded.filter("chunks > 1"), path).select("doc_id", "row", "text")
+
+
+def round_trip(docs: DataFrame, path: str, chunk: int = CHUNK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_tokens, the sum of the crc32 of the chunks' ids, and the crc32 of the text decoded from
+    them, a row per document row."""
+    return _texts(*_encoded(docs, path, chunk, id_col, text_col), path) \
+        .select("doc_id", "n_tokens", "ids_crc32", F.crc32(F.col("text").cast("binary")).alias("decoded_crc32"))

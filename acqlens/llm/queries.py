@@ -58,7 +58,7 @@ def op7_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_piece_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return piece_scan.totals(piece_scan.encode(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model")))
+    return piece_scan.round_trip(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 import hashlib
 import re
 import sys
+import zlib
 from pathlib import Path
 
 import numpy as np
@@ -15,7 +16,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 import corpus_pipeline  # noqa: E402
 from acqlens.llm import (langid, licenses, nn_descent, packing, piece_scan, pitman_yor, quality_rules,  # noqa: E402
                          secrets, simhash_dedup, toxicity)
-from acqlens.llm.queries import tokenizer_path  # noqa: E402
+from acqlens.llm.queries import QUERIES, tokenizer_path  # noqa: E402
 
 EN = "the cat sat on the mat and then the dog ran away from the cat in the garden "
 DE = "der hund lief durch den garten und die katze schlief auf dem sofa am abend "
@@ -215,6 +216,21 @@ def test_pieces(docs, none):
     assert piece_scan.encode(none, path).count() == 0
 
 
+def test_pieces_are_decoded_in_spark(spark, docs, none, tmp_path):
+    path = tokenizer_path("piece_bpe_32k.model")
+    texts = [*((i, t) for i, t, _ in ROWS), (20, "日本語🙂 ①\u2581 é\t" * 300), (21, "  " * 700 + "a")]
+    many = spark.createDataFrame(texts, "doc_id long, text string")
+    want = sorted((str(i), t or "") for i, t in texts)
+    got = piece_scan.decode(piece_scan.encode(many, path, chunk=500), path).collect()
+    assert sorted((str(r.doc_id), r.text) for r in got) == want
+    rows = piece_scan.round_trip(many, path, chunk=500).collect()
+    assert sorted((str(r.doc_id), r.decoded_crc32) for r in rows) == sorted((i, zlib.crc32(t.encode())) for i, t in want)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    rows = QUERIES["op8_piece_scan"](spark, str(tmp_path)).collect()
+    assert sorted((str(r.doc_id), r.decoded_crc32) for r in rows) == sorted((str(i), zlib.crc32((t or "").encode())) for i, t, _ in ROWS)
+    assert piece_scan.round_trip(none, path).count() == 0
+
+
 def test_pitman_yor(docs, none):
     got = {r.doc_id: r for r in pitman_yor.score(docs, F.col("doc_id") != 2).collect()}
     train = [x for i, t, _ in ROWS if i is not None and i != 2 for x in [*(t or "").lower().split(), None]]
