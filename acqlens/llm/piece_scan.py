@@ -4,9 +4,11 @@ A model file gives pieces and ids; a text's segmentation is the one of the great
 decoding; see ``Pieces`` for scores); of equal scores any one. A document longer than ``CHUNK``
 characters is cut into chunks that go to different tasks. A chunk's state at its border is how many
 characters the piece across it reaches into the chunk; the chunk yields the matrix of best scores from
-each state at its beginning to each at its end. Matrices multiply in max-plus algebra, associatively, so
-scans of them give the state at every border, and each chunk is then traced back on its own between its
-two known states. A document's matrices (2 KB per ``CHUNK`` characters) meet in one group. Decoding
+each state at its beginning to each at its end. Matrices multiply in max-plus algebra, associatively:
+``BLOCK`` that follow one another make a product in a Spark grouping, as many of these products the next,
+until a document has one block left. The states at the borders of that block's parts are the states at the
+ends of the blocks below, whose inner borders are then found block by block, and each chunk is traced back
+on its own between its two known states. A task holds the matrices of a block (2 KB each). Decoding
 gives the bytes of each chunk's ids in the tasks; those of a giant document are joined in the order of its
 chunks before they are read as text, so a task holds the text of one document, as the input does.
 
@@ -18,6 +20,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -28,6 +31,7 @@ from pyspark.sql import functions as F
 from acqlens.llm.common import small_batches, written
 
 CHUNK = 32_768
+BLOCK = 64         # matrices that are multiplied, and whose borders are found, in one group
 CACHE = 300_000
 _MARK = "▁"
 _KEPT = "﷐"     # a noncharacter standing for a U+2581 of the text, so that it is spelled in bytes
@@ -128,17 +132,50 @@ def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a[:, :, None] + b[None, :, :]).max(axis=1)
 
 
-def border_states(matrices: list[np.ndarray]) -> list[int]:
-    """The state at each border: prefix products from state 0, then choices from the end, state 0."""
-    rows = [np.where(np.arange(len(matrices[0])) == 0, 0.0, -np.inf)]
+def border_states(matrices: list[np.ndarray], first: int = 0, last: int = 0) -> list[int]:
+    """The state at each border of a block: prefix products from state ``first``, then choices from the
+    end, state ``last``."""
+    rows = [np.where(np.arange(len(matrices[0])) == first, 0.0, -np.inf)]
     for m in matrices:
         rows.append((rows[-1][:, None] + m).max(axis=0))
-    states = [0]
+    states = [last]
     for row, m in zip(rows[-2::-1], matrices[::-1]):
         states.append(int((row + m[:, states[-1]]).argmax()))
     return states[::-1]
 
 
+def scan(matrices: DataFrame, most: int, block: int = BLOCK) -> DataFrame:
+    """(row, chunk, enter, leave): the states at the two borders of each chunk, from its matrix (row, chunk,
+    m), ``most`` chunks a row at most; a row begins and ends in state 0. No group has more than ``block``
+    matrices."""
+    def held(rows: pd.DataFrame) -> list[np.ndarray]:
+        return [m.reshape(int(len(m) ** 0.5), -1) for m in map(np.frombuffer, rows["m"])]
+
+    def total(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("chunk")
+        m = reduce(product, held(rows))
+        return pd.DataFrame({"row": rows["row"].iloc[:1], "chunk": rows["block"].iloc[:1], "m": [m.tobytes()]})
+
+    def inner(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("chunk")
+        states = border_states(held(rows), int(rows["first"].iloc[0]), int(rows["last"].iloc[0]))
+        return pd.DataFrame({"row": rows["row"], "chunk": rows["chunk"], "enter": states[:-1], "leave": states[1:]})
+
+    of_block = F.floor(F.col("chunk") / block).cast("int")
+    levels = [matrices.withColumn("block", of_block)]
+    while most > block:
+        most = -(-most // block)
+        levels.append(written(levels[-1].groupBy("row", "block").applyInPandas(total, "row string, chunk int, m binary"), "piece-products")
+                      .withColumn("block", of_block))
+    ends = levels.pop().withColumn("first", F.lit(0).cast("long")).withColumn("last", F.lit(0).cast("long"))
+    while True:
+        states = ends.groupBy("row", "block").applyInPandas(inner, "row string, chunk int, enter long, leave long")
+        if not levels:
+            return states
+        ends = levels.pop().join(states.select("row", F.col("chunk").alias("block"), F.col("enter").alias("first"),
+                                               F.col("leave").alias("last")), ["row", "block"])
+
+
 _MODELS: dict[str, Pieces] = {}
 
 
@@ -148,14 +185,15 @@ def _model(path: str) -> Pieces:
     return _MODELS[path]
 
 
-def encode(docs: DataFrame, path: str, chunk: int = CHUNK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(docs: DataFrame, path: str, chunk: int = CHUNK, block: int = BLOCK,
+           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, row, chunk, chunks, ids): ids as little-endian uint32; ``row`` tells apart rows that repeat an
     id, and the ``chunks`` chunks of a row in order are its encoding."""
-    short, giant = _encoded(docs, path, chunk, id_col, text_col)
+    short, giant = _encoded(docs, path, chunk, block, id_col, text_col)
     return short.union(giant)
 
 
-def _encoded(docs: DataFrame, path: str, chunk: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+def _encoded(docs: DataFrame, path: str, chunk: int, block: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """The encodings of documents of one chunk, and of the others."""
     fields = "doc_id long, row string, chunk int, chunks int, text string"
 
@@ -184,12 +222,6 @@ def _encoded(docs: DataFrame, path: str, chunk: int, id_col: str, text_col: str)
                 yield pa.RecordBatch.from_arrays([b.column(1).slice(k, 1), b.column(2).slice(k, 1), pa.array([m.tobytes()], pa.binary())],
                                                  ["row", "chunk", "m"])
 
-    def scan(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("chunk")
-        size = _model(path).longest
-        states = border_states([np.frombuffer(m).reshape(size, size) for m in rows["m"]])
-        return pd.DataFrame({"row": rows["row"], "chunk": rows["chunk"], "enter": states[:-1], "leave": states[1:]})
-
     def traced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids = [np.array(_model(path).trace(s, i, min(chunk, len(s)) + j), "<u4").tobytes()
@@ -203,8 +235,8 @@ def _encoded(docs: DataFrame, path: str, chunk: int, id_col: str, text_col: str)
     # the chunks of giant documents are written, and dealt out evenly; the row number of a file's row is the same if a task runs again
     giant = written(pieces.filter("chunks > 1").repartition("row", "chunk"), "piece-chunks")
     matrices = written(giant.mapInArrow(transfer, "row string, chunk int, m binary"), "piece-matrices")
-    states = matrices.groupBy("row").applyInPandas(scan, "row string, chunk int, enter long, leave long")
-    tasks = giant.join(states, ["row", "chunk"]).select("doc_id", "row", "chunk", "chunks", "text", "enter", "leave")
+    most = giant.agg(F.coalesce(F.max("chunks"), F.lit(0))).first()[0]
+    tasks = giant.join(scan(matrices, most, block), ["row", "chunk"]).select("doc_id", "row", "chunk", "chunks", "text", "enter", "leave")
     return short, tasks.mapInArrow(traced, result)
 
 
@@ -235,8 +267,9 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     return _texts(encoded.filter("chunks = 1"), encoded.filter("chunks > 1"), path).select("doc_id", "row", "text")
 
 
-def round_trip(docs: DataFrame, path: str, chunk: int = CHUNK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def round_trip(docs: DataFrame, path: str, chunk: int = CHUNK, block: int = BLOCK,
+               id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_tokens, the sum of the crc32 of the chunks' ids, and the crc32 of the text decoded from
     them, a row per document row."""
-    return _texts(*_encoded(docs, path, chunk, id_col, text_col), path) \
+    return _texts(*_encoded(docs, path, chunk, block, id_col, text_col), path) \
         .select("doc_id", "n_tokens", "ids_crc32", F.crc32(F.col("text").cast("binary")).alias("decoded_crc32"))

@@ -216,6 +216,22 @@ def test_pieces(docs, none):
     assert piece_scan.encode(none, path).count() == 0
 
 
+def test_matrices_are_scanned_in_blocks(spark, docs, monkeypatch):
+    rng = np.random.default_rng(2)
+    rows, want = [], {}
+    for row, n in (("a", 1), ("b", 4), ("c", 5), ("d", 37)):
+        many = rng.standard_normal((n, 3, 3))
+        rows += [(row, k, m.tobytes()) for k, m in enumerate(many)]
+        states = piece_scan.border_states(list(many))
+        want |= {(row, k): ends for k, ends in enumerate(zip(states, states[1:]))}
+    matrices = spark.createDataFrame(rows, "row string, chunk int, m binary")
+    got = piece_scan.scan(matrices, 37, block=4)
+    assert {(r.row, r.chunk): (r.enter, r.leave) for r in got.collect()} == want
+    path = tokenizer_path("piece_bpe_32k.model")
+    texts = {r.doc_id: r.text for r in piece_scan.decode(piece_scan.encode(docs, path, chunk=2000, block=4), path).collect()}
+    assert texts[8] == ROWS[8][1]
+
+
 def test_pieces_are_decoded_in_spark(spark, docs, none, tmp_path):
     path = tokenizer_path("piece_bpe_32k.model")
     texts = [*((i, t) for i, t, _ in ROWS), (20, "日本語🙂 ①\u2581 é\t" * 300), (21, "  " * 700 + "a")]
