@@ -259,6 +259,23 @@ def test_pitman_yor(docs, none):
     assert pitman_yor.score(none, F.lit(True)).count() == 0
 
 
+def test_parent_is_seated_with_the_tables_of_other_dishes(spark, monkeypatch):
+    # two contexts for each of 300 words: a dish's new table weighs (1 + 0.75 * (others' tables + its own)) / (V + 1)
+    text = " ".join(f"{u}{i} w{i}" for i in range(300) for u in "xy")
+    masses, seated = [], pitman_yor._seated
+
+    def spy(rows, sweep, discount):
+        if rows.filter("u = 0").count():
+            masses.append(rows.agg(F.min("fixed"), F.max("fixed"), F.count("*")).first())
+        return seated(rows, sweep, discount)
+    monkeypatch.setattr(pitman_yor, "_seated", spy)
+    one = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert pitman_yor.score(one, F.lit(True)).count() == 1
+    v = 901   # 600 contexts, 300 words and the end
+    assert masses[0][0] == masses[0][1] == pytest.approx((1 + 0.75 * (v - 1)) / (v + 1)) and masses[0][2] == v
+    assert all(0.7 < lo <= hi for lo, hi, _ in masses)
+
+
 def test_seating_is_a_restaurant():
     c = np.array([1, 5, 5000, 40])
     one = np.ones(4)
