@@ -6,8 +6,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acqlens.llm import (langid, licenses, nn_descent, packing, piece_scan, pitman_yor, quality_rules, secrets,
-                         simhash_dedup, toxicity)
+from acqlens.llm import (importance, langid, licenses, nn_descent, packing, periodic_runs, piece_scan, pitman_yor,
+                         prefix_prints, quality_rules, secrets, simhash_dedup, toxicity)
 from acqlens.llm.common import remainder, table, written
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -70,7 +70,21 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digest(periodic_runs.find_runs(periodic_runs.looped(table(spark, sf_dir, "documents"))))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")) \
+        .select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_prefix_prints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_prints.neighbours(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
     op1_pitman_yor, op2_best_fit_packing, op3_simhash_dedup, op4_secret_scan, op5_toxicity, op6_language_id,
-    op7_nn_descent, op8_piece_scan, op9_quality_rules, op10_license_scan)}
+    op7_nn_descent, op8_piece_scan, op9_quality_rules, op10_license_scan, op11_periodic_runs,
+    op12_importance_resampling, op13_prefix_prints)}
 ORACLES: dict[str, str] = {}
