@@ -6,6 +6,7 @@
   python -m acqlens freshness --root ROOT --as-of TS             source freshness
   python -m acqlens report    NAME --root ROOT                   a channel report over the published marts
   python -m acqlens refresh   --root ROOT --days D1,D2           recompute the date-local marts for those days
+  python -m acqlens cohorts   --root ROOT --csv-dir DIR --delivery NAME   take one delivery into the cohort marts' state
   python -m acqlens snapshot  --root ROOT --date D               keep today's cohort marts as a dated snapshot
 
 ROOT is a shared folder (raw/, runs/, manifest/). The session comes from spark-submit / the
@@ -20,12 +21,12 @@ import os
 import sys
 
 from acqlens.operators import quality, reports
-from acqlens.plans import incremental, publish
-from acqlens.plans.models import MaterializedGraph
+from acqlens.plans import cohort_state, incremental, publish
+from acqlens.plans.models import MaterializedGraph, shared_models
 from acqlens.session import build_session
 from acqlens.sources.fixtures import RawSources
 from acqlens.sources.freshness import freshness
-from acqlens.sources.loader import committed_load, load_raw, read_raw
+from acqlens.sources.loader import committed_load, load_raw, read_raw, stage_sources
 
 REPORTS = {
     "roas": lambda g: reports.report_roas(g.mart_growth_metrics),
@@ -44,6 +45,8 @@ def main(argv: list[str] | None = None) -> int:
     p = sub.add_parser("load", help="typed CSV -> raw tables (full loads are versioned and atomic)")
     p.add_argument("--csv-dir", required=True); p.add_argument("--root", required=True)
     p.add_argument("--incremental", action="store_true", help="add a delivery to the current load")
+    p.add_argument("--delivery", help="the delivery's name (needed with --incremental)")
+    p.add_argument("--quarantine", action="store_true", help="keep rows that break a domain as rejects, do not fail")
     p = sub.add_parser("run", help="build all models, run the checks, publish on success")
     p.add_argument("--root", required=True); p.add_argument("--as-of", help="freshness reference time")
     p.add_argument("--threads", type=int, default=4, help="models built concurrently")
@@ -55,6 +58,9 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("name", choices=sorted(REPORTS)); p.add_argument("--root", required=True)
     p = sub.add_parser("refresh", help="recompute the date-local marts for some days")
     p.add_argument("--root", required=True); p.add_argument("--days", required=True, help="D1,D2,... (ISO dates)")
+    p = sub.add_parser("cohorts", help="take one delivery into the state of the cohort marts")
+    p.add_argument("--root", required=True); p.add_argument("--csv-dir", required=True)
+    p.add_argument("--delivery", required=True, help="its name; the same name again replaces its rows")
     p = sub.add_parser("snapshot", help="keep the cohort marts of the latest published run as a dated snapshot")
     p.add_argument("--root", required=True); p.add_argument("--date", required=True, help="snapshot date (ISO)")
     a = ap.parse_args(argv)
@@ -62,7 +68,8 @@ def main(argv: list[str] | None = None) -> int:
     spark = build_session()
     raw_dir = os.path.join(a.root, "raw")
     if a.cmd == "load":
-        print(json.dumps(load_raw(spark, a.csv_dir, raw_dir, incremental=a.incremental)))
+        print(json.dumps(load_raw(spark, a.csv_dir, raw_dir, incremental=a.incremental, delivery=a.delivery,
+                                  quarantine=a.quarantine)))
         return 0
     if a.cmd == "run":
         load_id = committed_load(spark, raw_dir)
@@ -72,8 +79,9 @@ def main(argv: list[str] | None = None) -> int:
                           "warnings": res.warnings}))
         return 0 if res.published else 1
     if a.cmd == "test":
-        g = MaterializedGraph(RawSources(**read_raw(spark, raw_dir))).build()
-        rows = quality.check_results(g).orderBy("status", "check_name").collect()   # one row per check (61)
+        needed = shared_models(quality.models_read(quality.all_checks()))
+        with MaterializedGraph(RawSources(**read_raw(spark, raw_dir)), names=needed).build() as g:
+            rows = quality.check_results(g).orderBy("status", "check_name").collect()   # one row per check (61)
         for r in rows:
             print(f"{r.status:<6} {r.check_name}")
         counts = {s: sum(r.status == s for r in rows) for s in ("pass", "warn", "error")}
@@ -90,6 +98,11 @@ def main(argv: list[str] | None = None) -> int:
         incremental.refresh_days(raw, os.path.join(a.root, "daily"), days)
         print(json.dumps({"refreshed_days": [str(d) for d in days], "models": sorted(incremental.DATE_LOCAL)}))
         return 0
+    if a.cmd == "cohorts":
+        state = os.path.join(a.root, "cohorts")
+        cohort_state.apply_delivery(spark, state, RawSources(**stage_sources(spark, a.csv_dir)), a.delivery)
+        print(json.dumps({"delivery": a.delivery, "devices": cohort_state.read_state(spark, state, "devices").count()}))
+        return 0
     if a.cmd == "snapshot":
         incremental.snapshot_cohorts(publish.published_graph(spark, a.root), a.root, dt.date.fromisoformat(a.date))
         print(json.dumps({"snapshot_date": a.date, "models": list(incremental.SNAPSHOT_MODELS)}))

@@ -14,6 +14,7 @@ from acqlens.functions.dates import day_diff
 from acqlens.functions.keys import campaign_key
 from acqlens.functions.ratios import ratio
 from acqlens.functions.skan import CONVERSION_BANDS
+from acqlens.operators.unions import stack, tagged
 from acqlens.schemas import MONEY_SUM
 
 # Naive D30 -> D90 lifetime-value extrapolation factor (a parameter of the growth mart),
@@ -32,39 +33,28 @@ def mart_marketing_unified(fct_spend_df: DataFrame, fct_installs_df: DataFrame,
                            fct_events_df: DataFrame) -> DataFrame:
     """Spend, installs and revenue on one grain (date x channel x campaign x country).
 
-    Two full outer joins; the second matches on the keys coalesced from the first, so a key tuple with
-    a NULL part never matches and stays one row per source.
+    A tagged union: the three sources are stacked, each with its own measures, and grouped once, so the
+    sources meet in one aggregation instead of two full outer joins of three. A key tuple with a NULL part
+    stays one row per source, as it would in the joins.
     """
-    spend = (fct_spend_df.groupBy(F.col("spend_date").alias("activity_date"), "channel_key", "campaign_key",
-                                  "country_code")
-             .agg(F.sum("impressions").alias("impressions"), F.sum("clicks").alias("clicks"),
-                  F.sum("network_installs").alias("network_installs"), F.sum("cost").alias("cost")))
-    installs = (fct_installs_df.groupBy(F.col("install_date").alias("activity_date"), "channel_key",
-                                        "campaign_key", "country_code")
-                .agg(F.sum("install_count").alias("installs")))
-    revenue = (fct_events_df.groupBy(F.col("event_date").alias("activity_date"), "channel_key", "campaign_key",
-                                     "country_code")
-               .agg(F.sum("event_revenue").alias("revenue"), F.sum("event_count").alias("revenue_events"),
-                    F.countDistinct("appsflyer_id").alias("paying_users")))
-    si = spend.join(installs, on=list(UNIFIED_KEYS), how="full")
-    r = revenue.select(*[F.col(k).alias(f"r_{k}") for k in UNIFIED_KEYS], "revenue", "revenue_events",
-                       "paying_users")
-    cond = [si[k] == r[f"r_{k}"] for k in UNIFIED_KEYS]
-    u = si.join(r, on=cond, how="full").select(
-        *[F.coalesce(si[k], r[f"r_{k}"]).alias(k) for k in UNIFIED_KEYS],
-        _sum0("impressions").cast("bigint").alias("impressions"),
-        _sum0("clicks").cast("bigint").alias("clicks"),
-        _sum0("network_installs").cast("bigint").alias("network_installs"),
-        _sum0("cost").alias("cost"),
-        _sum0("installs").cast("bigint").alias("installs"),
-        _sum0("revenue").alias("revenue"),
-        _sum0("revenue_events").cast("bigint").alias("revenue_events"),
-        _sum0("paying_users").cast("bigint").alias("paying_users"),
-    )
+    keys = list(UNIFIED_KEYS)
+    rows = stack([
+        tagged(fct_spend_df.withColumnRenamed("spend_date", "activity_date"), "spend", keys,
+               "impressions", "clicks", "network_installs", "cost"),
+        tagged(fct_installs_df.withColumnRenamed("install_date", "activity_date"), "installs", keys, "install_count"),
+        tagged(fct_events_df.withColumnRenamed("event_date", "activity_date"), "events", keys,
+               "event_revenue", "event_count", "appsflyer_id")])
+    u = rows.groupBy(*keys, "_apart").agg(
+        *[F.sum(c).alias(c) for c in ("impressions", "clicks", "network_installs", "cost")],
+        F.sum("install_count").alias("installs"), F.sum("event_revenue").alias("revenue"),
+        F.sum("event_count").alias("revenue_events"), F.countDistinct("appsflyer_id").alias("paying_users"))
+    u = u.select(*keys, *[_sum0(c).alias(c) for c in u.columns if c not in (*keys, "_apart")])
     return u.select(
-        *UNIFIED_KEYS, "impressions", "clicks", "network_installs",
-        F.col("cost").cast(MONEY_SUM).alias("cost"), "installs",
-        F.col("revenue").cast(MONEY_SUM).alias("revenue"), "revenue_events", "paying_users",
+        *keys,
+        *[F.col(c).cast("bigint").alias(c) for c in ("impressions", "clicks", "network_installs")],
+        F.col("cost").cast(MONEY_SUM).alias("cost"), F.col("installs").cast("bigint").alias("installs"),
+        F.col("revenue").cast(MONEY_SUM).alias("revenue"),
+        *[F.col(c).cast("bigint").alias(c) for c in ("revenue_events", "paying_users")],
         ratio(F.col("cost"), F.col("installs"), 12, 2).alias("cpi"),
         ratio(F.col("revenue"), F.col("cost"), 12, 4).alias("roas"),
     )
@@ -100,39 +90,34 @@ def mart_retention(backend_rows: DataFrame, fct_installs_df: DataFrame) -> DataF
           for n in RETENTION_DAYS])
 
 
-def campaign_spend(fct_spend_df: DataFrame) -> DataFrame:
-    return (fct_spend_df.groupBy("channel_key", "campaign_key")
-            .agg(F.sum("cost").alias("cost"), F.sum("impressions").alias("impressions"),
-                 F.sum("clicks").alias("clicks"), F.sum("network_installs").alias("network_installs")))
-
-
 def campaign_installs(fct_installs_df: DataFrame) -> DataFrame:
     return (fct_installs_df.groupBy("channel_key", "campaign_key")
             .agg(F.max("campaign").alias("campaign"), F.count(F.lit(1)).alias("installs"),
                  F.sum(F.when(F.col("platform") == "ios", 1).otherwise(0)).alias("ios_installs")))
 
 
-def cohort_events(fct_installs_df: DataFrame, fct_events_df: DataFrame) -> DataFrame:
-    """Revenue tied to the device's acquisition cohort, per device and event day, with the day offset
-    from install. Events are summed per (device, day) before the join, so a device with a huge event
-    count reaches the join as one row per active day."""
+def device_days(fct_events_df: DataFrame) -> DataFrame:
+    """Attributed revenue per device and day: the pre-aggregate that the cohort marts and the revenue totals
+    share (a device with a huge share of the events is one row per active day from here on)."""
+    return fct_events_df.groupBy("appsflyer_id", "event_date").agg(F.sum("event_revenue").alias("event_revenue"))
+
+
+def cohort_days(fct_installs_df: DataFrame, days: DataFrame) -> DataFrame:
+    """``device_days`` tied to the device's acquisition cohort, with the day offset from install."""
     i = fct_installs_df.select("appsflyer_id", "channel_key", "campaign_key", "install_date")
-    e = (fct_events_df.groupBy(F.col("appsflyer_id").alias("e_id"), "event_date")
-         .agg(F.sum("event_revenue").alias("event_revenue")))
-    return i.join(e, i.appsflyer_id == e.e_id, "inner").select(
+    return i.join(days, "appsflyer_id", "inner").select(
         "channel_key", "campaign_key", "appsflyer_id", "event_revenue",
         day_diff("install_date", "event_date").alias("day_n"))
 
 
-def cohort_revenue(fct_installs_df: DataFrame, fct_events_df: DataFrame) -> DataFrame:
-    ev = cohort_events(fct_installs_df, fct_events_df)
+def _within(n: int):
+    return F.when(F.col("day_n").between(0, n), F.col("event_revenue"))
 
-    def within(n: int):
-        return F.sum(F.when(F.col("day_n").between(0, n), F.col("event_revenue")).otherwise(0))
 
-    return ev.groupBy("channel_key", "campaign_key").agg(
+def cohort_revenue(fct_installs_df: DataFrame, days: DataFrame) -> DataFrame:
+    return cohort_days(fct_installs_df, days).groupBy("channel_key", "campaign_key").agg(
         F.sum("event_revenue").alias("revenue_total"),
-        *[within(n).alias(f"revenue_d{n}") for n in COHORT_WINDOWS],
+        *[F.coalesce(F.sum(_within(n)), F.lit(0)).alias(f"revenue_d{n}") for n in COHORT_WINDOWS],
         F.countDistinct("appsflyer_id").alias("paying_users"))
 
 
@@ -145,24 +130,44 @@ def skan_by_campaign(stg_skan_df: DataFrame) -> DataFrame:
         F.sum("is_crowd_anonymized").alias("skan_null_cv"))
 
 
-def mart_growth_metrics(fct_installs_df: DataFrame, fct_events_df: DataFrame, fct_spend_df: DataFrame,
+def campaign_totals(fct_installs_df: DataFrame, days: DataFrame, fct_spend_df: DataFrame) -> DataFrame:
+    """Installs, cost and cohort revenue of every channel x campaign that has installs: the three sources
+    stacked and grouped once. ``cost``, ``revenue_*`` and ``paying_users`` are NULL where that source has no
+    rows (a NULL key part, which no join would match, keeps its rows apart)."""
+    keys = ["channel_key", "campaign_key"]
+    rows = stack([
+        tagged(fct_installs_df, "installs", keys, F.lit(1).alias("install"), "campaign",
+               F.when(F.col("platform") == "ios", 1).otherwise(0).alias("ios")),
+        tagged(fct_spend_df, "spend", keys, "cost"),
+        tagged(cohort_days(fct_installs_df, days), "revenue", keys, F.col("appsflyer_id").alias("payer"), "event_revenue",
+               *[_within(n).alias(f"revenue_d{n}") for n in COHORT_WINDOWS])])
+    return rows.groupBy(*keys, "_apart").agg(
+        F.max("campaign").alias("campaign"), F.count("install").alias("installs"), F.sum("ios").alias("ios_installs"),
+        F.sum("cost").alias("cost"), F.sum("event_revenue").alias("revenue_total"),
+        *[F.sum(f"revenue_d{n}").alias(f"revenue_d{n}") for n in COHORT_WINDOWS],
+        F.countDistinct("payer").alias("paying_users")).filter("installs > 0").drop("_apart")
+
+
+def mart_growth_metrics(fct_installs_df: DataFrame, days: DataFrame, fct_spend_df: DataFrame,
                         stg_skan_df: DataFrame, ltv_factor: Decimal = LTV_D30_TO_D90) -> DataFrame:
     """CPI, CAC, ROAS D7/D30, ARPU/ARPPU and naive LTV per channel x campaign, beside SKAN counts.
+    ``days``: the device-day revenue (``device_days``).
 
     Install-driven: campaigns with spend but no installs do not appear. Postbacks join on the
     campaign name only.
     """
-    ia = campaign_installs(fct_installs_df)
-    sp = campaign_spend(fct_spend_df).select(
-        F.col("channel_key").alias("sp_channel"), F.col("campaign_key").alias("sp_campaign"),
-        F.col("cost").alias("sp_cost"))
-    rv = cohort_revenue(fct_installs_df, fct_events_df).select(
-        F.col("channel_key").alias("r_channel"), F.col("campaign_key").alias("r_campaign"),
-        "revenue_total", "revenue_d7", "revenue_d30", F.col("paying_users").alias("r_payers"))
-    sk = skan_by_campaign(stg_skan_df).withColumnRenamed("campaign", "sk_campaign")
-    j = (ia.join(sp, (ia.channel_key == sp.sp_channel) & (ia.campaign_key == sp.sp_campaign), "left")
-         .join(rv, (ia.channel_key == rv.r_channel) & (ia.campaign_key == rv.r_campaign), "left")
-         .join(sk, ia.campaign == sk.sk_campaign, "left"))
+    return growth_ratios(campaign_totals(fct_installs_df, days, fct_spend_df), skan_by_campaign(stg_skan_df), ltv_factor)
+
+
+def growth_ratios(totals: DataFrame, skan: DataFrame, ltv_factor: Decimal = LTV_D30_TO_D90) -> DataFrame:
+    """The growth mart from additive totals per campaign and postback counts per campaign name."""
+    # a window without revenue of a campaign with payers is 0; without payers it stays NULL, and so do ratios
+    had = F.col("paying_users") > 0
+    t = totals.select(
+        "channel_key", "campaign_key", "campaign", "installs", "ios_installs", F.col("cost").alias("sp_cost"),
+        "revenue_total", *[F.when(had, _sum0(f"revenue_d{n}")).alias(f"revenue_d{n}") for n in COHORT_WINDOWS],
+        F.when(had, F.col("paying_users")).alias("r_payers"))
+    j = t.join(skan.withColumnRenamed("campaign", "sk_campaign"), F.col("campaign") == F.col("sk_campaign"), "left")
     cost, installs, payers = F.col("sp_cost"), F.col("installs"), F.col("r_payers")
     return j.select(
         "channel_key", "campaign_key", "campaign",
@@ -191,14 +196,18 @@ def backend_cohort_d30(stg_backend_df: DataFrame) -> DataFrame:
     return (stg_backend_df.filter((F.col("is_attributed") == 1) & F.col("install_time").isNotNull())
             .groupBy("channel", "campaign")
             .agg(F.sum(F.when(d30, F.col("revenue")).otherwise(0)).alias("backend_revenue_d30"))
-            .select(F.col("channel").alias("b_channel"),
-                    campaign_key("channel", "campaign").alias("b_campaign"), "backend_revenue_d30"))
+            .select(F.col("channel").alias("channel_key"), campaign_key("channel", "campaign").alias("campaign_key"),
+                    "backend_revenue_d30"))
 
 
 def mart_privacy_roas_gap(growth: DataFrame, stg_backend_df: DataFrame) -> DataFrame:
     """MMP vs backend vs SKAN per campaign: ROAS gap, overstatement %, crowd-anonymity signal."""
-    b = backend_cohort_d30(stg_backend_df)
-    j = growth.join(b, (growth.channel_key == b.b_channel) & (growth.campaign_key == b.b_campaign), "left")
+    return privacy_gap(growth, backend_cohort_d30(stg_backend_df))
+
+
+def privacy_gap(growth: DataFrame, confirmed: DataFrame) -> DataFrame:
+    """The privacy mart from the growth mart and the backend's 30-day revenue per channel x campaign."""
+    j = growth.join(confirmed, ["channel_key", "campaign_key"], "left")
     cost, mmp = F.col("cost"), F.col("revenue_d30")
     back = F.coalesce(F.col("backend_revenue_d30"), F.lit(0))
     null_cv, posts = F.col("skan_null_cv"), F.col("skan_postbacks")

@@ -51,18 +51,18 @@ def daily_paying_users(fct_events_df: DataFrame) -> DataFrame:
         F.sum("event_revenue").cast(MONEY_SUM).alias("revenue"))
 
 
-def cohort_revenue_report(fct_installs_df: DataFrame, fct_events_df: DataFrame) -> DataFrame:
-    r = cohort_revenue(fct_installs_df, fct_events_df)
+def cohort_revenue_report(fct_installs_df: DataFrame, days: DataFrame) -> DataFrame:
+    r = cohort_revenue(fct_installs_df, days)
     return r.select("channel_key", "campaign_key",
                     *[F.col(c).cast(MONEY_SUM).alias(c) for c in ("revenue_total", "revenue_d7", "revenue_d30")],
                     F.col("paying_users").cast("bigint").alias("paying_users"))
 
 
-def ltv_projection(fct_installs_df: DataFrame, fct_events_df: DataFrame,
+def ltv_projection(fct_installs_df: DataFrame, days: DataFrame,
                    factor: Decimal = LTV_D30_TO_D90) -> DataFrame:
     """D30 ARPU per campaign and the naive D90 LTV = D30 ARPU x factor (factor is a parameter)."""
     ia = campaign_installs(fct_installs_df).select("channel_key", "campaign_key", "installs")
-    rv = cohort_revenue(fct_installs_df, fct_events_df).select("channel_key", "campaign_key", "revenue_d30")
+    rv = cohort_revenue(fct_installs_df, days).select("channel_key", "campaign_key", "revenue_d30")
     j = ia.join(rv, ["channel_key", "campaign_key"], "left")
     rev = F.coalesce(F.col("revenue_d30"), F.lit(0))
     return j.select(

@@ -7,8 +7,12 @@ Conventions (the usual dbt test semantics):
 * a failing ``warn`` check reports ``warn``, a failing ``error`` check reports ``error`` (the run
   summary counts pass / warn / error).
 
-Each check is one aggregate job (partial aggregation before any shuffle; anti-joins for
-relationships), and the summary is their union: a few rows, never the checked data itself.
+Every model is read once: a row yields one finding per check it bears on, a (check, key) pair with two
+counts, and the findings of all models are summed in one grouped count. A NULL or a broken predicate is a
+finding by itself; a unique column yields its value (failing if counted twice); a foreign key yields its value
+as child and the parent model yields the same keys as parent (failing children are those of keys without
+parent), so relationships need no join. A key that a third of all rows hold is summed map-side. The result is
+61 rows, never the checked data itself.
 """
 from __future__ import annotations
 
@@ -147,71 +151,71 @@ def spend_without_installs(stg_spend: DataFrame) -> DataFrame:
     return stg_spend.filter((F.col("cost") > 0) & (F.col("network_installs") == 0)).select(*_SPEND_COLS)
 
 
-def custom_failing_rows(name: str, models) -> DataFrame:
-    m = models.model
+# ----------------------------------------------------------------------------- findings and counts
+def broken_row(name: str, model: str):
+    """The predicate of a custom check on one row of ``model`` (its failing rows are the functions above)."""
+    cv, d1, d7, d30 = (F.col(c) for c in ("conversion_value", "retained_d1", "retained_d7", "retained_d30"))
+    cost, installs = F.col("cost"), F.col("network_installs")
+    money = {"stg_appsflyer_events": "event_revenue", "stg_backend": "revenue"}
     return {
-        "assert_backend_no_duplicates": lambda: backend_duplicates(m("stg_backend")),
-        "assert_no_negative_revenue": lambda: negative_revenue(m("stg_appsflyer_events"), m("stg_backend")),
-        "assert_retention_monotonic": lambda: retention_not_monotonic(m("mart_retention")),
-        "assert_skan_conversion_value_in_range": lambda: skan_value_out_of_range(m("stg_skan")),
-        "assert_singular_installs_without_spend": lambda: installs_without_spend(m("stg_singular")),
-        "assert_singular_spend_without_installs": lambda: spend_without_installs(m("stg_singular")),
+        "assert_no_negative_revenue": lambda: F.col(money[model]) < 0,
+        "assert_retention_monotonic": lambda: (d1 < d7) | (d7 < d30),
+        "assert_skan_conversion_value_in_range": lambda: (cv < CV_MIN) | (cv > CV_MAX),
+        "assert_singular_installs_without_spend": lambda: (installs > 0) & (cost.isNull() | (cost <= 0)),
+        "assert_singular_spend_without_installs": lambda: (cost > 0) & (installs == 0),
     }[name]()
 
 
-# ----------------------------------------------------------------------------- failure counts
-def _row(check: Check, failures) -> list:
-    return [F.lit(check.name).alias("check_name"), F.lit(check.kind).alias("check_type"),
-            F.lit(check.model).alias("model"), F.lit(check.column).cast("string").alias("column_name"),
-            F.lit(check.severity).alias("severity"), failures.cast("bigint").alias("failures")]
-
-
-def _unpivot(agg: DataFrame, checks: list[Check]) -> DataFrame:
-    """One aggregate row with a ``_f<i>`` failure count per check -> one row per check (a single
-    pass: the row is exploded, not re-read once per check)."""
-    cols = ["check_name", "check_type", "model", "column_name", "severity", "failures"]
-    rows = F.array(*[F.struct(*_row(c, F.coalesce(F.col(f"_f{i}"), F.lit(0)))) for i, c in enumerate(checks)])
-    return agg.select(F.explode(rows).alias("r")).select(*[F.col(f"r.{c}").alias(c) for c in cols])
-
-
-def not_null_counts(df: DataFrame, checks: list[Check]) -> DataFrame:
-    """All not_null checks of one model in a single pass, unpivoted to one row per check."""
-    agg = df.agg(*[F.sum(F.when(F.col(c.column).isNull(), 1).otherwise(0)).alias(f"_f{i}")
-                   for i, c in enumerate(checks)])
-    return _unpivot(agg, checks)
-
-
-def unique_count(df: DataFrame, check: Check) -> DataFrame:
-    c = F.col(check.column)
-    dup = df.filter(c.isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
-    return dup.agg(F.count(F.lit(1)).alias("_f")).select(*_row(check, F.col("_f")))
-
-
-def accepted_values_counts(df: DataFrame, checks: list[Check]) -> DataFrame:
-    """All accepted_values checks of one model in one pass: only invalid (check, value) pairs leave
-    the scan, are de-duplicated, and counted per check (one row per check, 0 when clean)."""
-    pairs = F.array(*[F.when(F.col(c.column).isNotNull() & ~F.col(c.column).isin(*c.values),
-                             F.struct(F.lit(i).alias("i"), F.col(c.column).cast("string").alias("v")))
-                      for i, c in enumerate(checks)])
-    bad = (df.select(F.explode(F.filter(pairs, lambda p: p.isNotNull())).alias("p"))
-           .select("p.i", "p.v").distinct())
-    agg = bad.agg(*[F.sum(F.when(F.col("i") == i, 1).otherwise(0)).alias(f"_f{i}") for i in range(len(checks))])
-    return _unpivot(agg, checks)
-
-
-def relationships_count(child: DataFrame, parent: DataFrame, check: Check) -> DataFrame:
-    """Child rows whose non-NULL key has no parent. Child keys are counted first (map-side), so the
-    anti-join sees one row per distinct key however hot a key is."""
-    kids = (child.select(F.col(check.column).alias("_k")).filter(F.col("_k").isNotNull())
-            .groupBy("_k").agg(F.count(F.lit(1)).alias("_n")))
-    keys = parent.select(F.col(check.to_field).alias("_p"))
-    orphans = kids.join(keys, kids._k == keys._p, "left_anti")
-    return orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_f")).select(*_row(check, F.col("_f")))
+def _key(*columns: str):
+    """The values of some columns as one text; NULL and empty differ."""
+    return F.concat_ws("\u0001", *[F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in columns])
+
+
+def _findings(model: str, numbered: list[tuple[int, Check]]) -> list:
+    """One expression per check that bears on a row of ``model``: a struct (i, key, child, parent) or NULL."""
+    def finding(i: int, key, when, child: int = 1):
+        return F.when(when, F.struct(F.lit(i).alias("i"), key.alias("key"), F.lit(child).alias("child"),
+                                     F.lit(1 - child).alias("parent")))
+
+    out, alone = [], F.lit("")
+    for i, c in numbered:
+        if c.kind == "relationships" and c.to_model == model:
+            out.append(finding(i, _key(c.to_field), F.col(c.to_field).isNotNull(), child=0))
+        if model not in c.model.split("+"):
+            continue
+        if c.kind == "not_null":
+            out.append(finding(i, alone, F.col(c.column).isNull()))
+        elif c.kind == "accepted_values":
+            out.append(finding(i, _key(c.column), F.col(c.column).isNotNull() & ~F.col(c.column).isin(*c.values)))
+        elif c.kind in ("unique", "relationships"):
+            out.append(finding(i, _key(c.column), F.col(c.column).isNotNull()))
+        elif c.name == "assert_backend_no_duplicates":
+            out.append(finding(i, _key("user_id", "event", "event_time"), F.lit(True)))
+        else:
+            out.append(finding(i, alone, broken_row(c.name, model)))
+    return out
 
 
-def custom_count(models, check: Check) -> DataFrame:
-    rows = custom_failing_rows(check.name, models)
-    return rows.agg(F.count(F.lit(1)).alias("_f")).select(*_row(check, F.col("_f")))
+def failure_counts(models, checks: list[Check]) -> DataFrame:
+    """(i, failures) for the checks, numbered as listed, that found anything; each model is read once."""
+    numbered = list(enumerate(checks))
+    parts = []
+    for m in models_read(checks):
+        found = F.filter(F.array(*_findings(m, numbered)), lambda x: x.isNotNull())
+        parts.append(models.model(m).select(F.explode(found).alias("x")).select("x.*"))
+    keys = union_all(parts).groupBy("i", "key").agg(F.sum("child").alias("child"), F.sum("parent").alias("parent"))
+    by_rule = {rule: [i for i, c in numbered if (c.name if c.kind == "custom" else c.kind) in names] for rule, names in {
+        "rows": ("not_null", "assert_no_negative_revenue", "assert_retention_monotonic",
+                 "assert_skan_conversion_value_in_range", "assert_singular_installs_without_spend",
+                 "assert_singular_spend_without_installs"),
+        "repeated": ("unique", "assert_backend_no_duplicates"), "values": ("accepted_values",),
+        "orphans": ("relationships",)}.items()}
+    i, child = F.col("i"), F.col("child")
+    failures = (F.when(i.isin(by_rule["rows"]), child)
+                .when(i.isin(by_rule["repeated"]), F.when(child > 1, 1).otherwise(0))
+                .when(i.isin(by_rule["values"]), 1)
+                .when(i.isin(by_rule["orphans"]), F.when(F.col("parent") == 0, child).otherwise(0)))
+    return keys.groupBy("i").agg(F.sum(failures).alias("failures"))
 
 
 def with_status(df: DataFrame) -> DataFrame:
@@ -236,22 +240,13 @@ def models_read(checks: list[Check]) -> tuple[str, ...]:
 def check_results(models, kinds: tuple[str, ...] | None = None, names: tuple[str, ...] | None = None) -> DataFrame:
     """Failure counts (+ status) for the selected checks over a ``ModelGraph``."""
     checks = select_checks(kinds, names)
-    parts: list[DataFrame] = []
-    for kind, fn in (("not_null", not_null_counts), ("accepted_values", accepted_values_counts)):
-        by_model: dict[str, list[Check]] = {}
-        for c in checks:
-            if c.kind == kind:
-                by_model.setdefault(c.model, []).append(c)
-        for model, cs in by_model.items():
-            parts.append(fn(models.model(model), cs))
-    for c in checks:
-        if c.kind == "unique":
-            parts.append(unique_count(models.model(c.model), c))
-        elif c.kind == "relationships":
-            parts.append(relationships_count(models.model(c.model), models.model(c.to_model), c))
-        elif c.kind == "custom":
-            parts.append(custom_count(models, c))
-    return with_status(union_all(parts))
+    found = failure_counts(models, checks)
+    suite = found.sparkSession.createDataFrame(
+        [(i, c.name, c.kind, c.model, c.column, c.severity) for i, c in enumerate(checks)],
+        "i int, check_name string, check_type string, model string, column_name string, severity string")
+    return with_status(suite.join(found, "i", "left").select(
+        "check_name", "check_type", "model", "column_name", "severity",
+        F.coalesce("failures", F.lit(0)).cast("bigint").alias("failures")))
 
 
 def run_summary(results: DataFrame) -> DataFrame:

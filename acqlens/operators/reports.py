@@ -60,7 +60,8 @@ def report_privacy(privacy: DataFrame) -> DataFrame:
 
 
 def report_kpi(growth: DataFrame, rec: DataFrame) -> DataFrame:
-    """The KPI row: total cost, installs, D30 revenue (MMP) and MMP overstatement vs backend in %."""
+    """The KPI row: total cost, installs, D30 revenue (MMP) and MMP overstatement vs backend in %. ``rec`` is the
+    discrepancy report or any finer rows that sum up to it (``reconcile.revenue_totals``)."""
     # one aggregate over both inputs (stacked, each contributing its own columns): no join needed
     both = growth.select("cost", "installs", "revenue_d30").unionByName(
         rec.select(F.col("mmp_revenue").alias("m"), F.col("backend_revenue").alias("b")), allowMissingColumns=True)

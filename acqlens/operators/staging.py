@@ -1,7 +1,7 @@
 """Silver layer: cleaned, typed, de-duplicated and attributed source rows."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from acqlens.functions.channel import is_paid, standardize_channel
@@ -74,19 +74,25 @@ def stg_skan(raw_skan: DataFrame) -> DataFrame:
 BACKEND_DEDUP_KEYS = ("user_id", "event", "event_time")
 
 
-def backend_dedup(raw_backend: DataFrame) -> DataFrame:
-    """One row per (user_id, event, event_time), keeping the highest revenue (NULL revenue last).
+def is_late(event_time: str, install_time: str) -> Column:
+    return F.col(install_time).isNotNull() & (F.col(event_time) > plus_days(install_time, LATE_EVENT_DAYS))
+
+
+def backend_dedup(raw_backend: DataFrame, *also: Column) -> DataFrame:
+    """One row per (user_id, event, event_time), keeping the highest revenue (NULL revenue last); ``also``:
+    further aggregates over the rows that a kept row stands for.
 
     Written as a grouped ``max``: the keep-the-top-row rule of a ``row_number()`` window over these
     keys, but planned as a hash aggregate with a map-side partial step, so duplicate-heavy (hot)
     keys collapse before the shuffle.
     """
-    return (raw_backend
+    rows = (raw_backend
             .select("user_id", "event", F.col("revenue").cast(MONEY_EVENT).alias("revenue"),
                     round_to_second(F.col("event_time").cast("timestamp_ntz")).alias("event_time"))
             .groupBy(*BACKEND_DEDUP_KEYS)
-            .agg(F.max("revenue").alias("revenue"))
-            .select("user_id", "event", "revenue", "event_time"))
+            .agg(F.max("revenue").alias("revenue"), *also))
+    first = ["user_id", "event", "revenue", "event_time"]
+    return rows.select(*first, *[c for c in rows.columns if c not in first])
 
 
 def dedup_keep_top(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:
@@ -102,12 +108,10 @@ def stg_backend(raw_backend: DataFrame, stg_appsflyer_df: DataFrame) -> DataFram
     attribution = stg_appsflyer_df.select(
         "appsflyer_id", "channel", "campaign", "country_code", "platform", "install_time")
     joined = clean.join(attribution, clean.user_id == attribution.appsflyer_id, "left")
-    late = (F.col("install_time").isNotNull()
-            & (F.col("event_time") > plus_days("install_time", LATE_EVENT_DAYS)))
     return joined.select(
         "user_id", "event", "revenue", "event_time",
         F.to_date("event_time").alias("event_date"),
         "channel", "campaign", "country_code", "platform", "install_time",
         F.when(F.col("appsflyer_id").isNull(), 0).otherwise(1).alias("is_attributed"),
-        F.when(late, 1).otherwise(0).alias("is_late_event"),
+        F.when(is_late("event_time", "install_time"), 1).otherwise(0).alias("is_late_event"),
     )

@@ -1,92 +1,122 @@
 """DuckDB twins of the operator, data-quality, report and extra queries (see ``acqlens.oracle``)."""
 from __future__ import annotations
 
-from acqlens.functions.taxonomy import BACKEND_EVENTS, INSTALL_EVENT, REVENUE_EVENTS
-from acqlens.operators.quality import Check, all_checks
-from acqlens.oracle import cents, q, ratio, sql_channel, statement
-from acqlens.plans import catalog_constants as cc
+from acqlens.oracle import CHANNEL_ALIASES, cents, q, ratio, sql_channel, statement
 
 RAW = ("appsflyer", "singular", "skan", "backend")
 
 
+# The declared checks, stated here on their own.
+CHANNELS = tuple(CHANNEL_ALIASES)
+BACKEND_EVENTS, REVENUE_EVENTS, INSTALL_EVENT = ("purchase", "subscribe"), ("af_purchase", "af_subscribe"), "install"
+FRESHNESS_WARN_DAYS, FRESHNESS_ERROR_DAYS, FRESHNESS_AS_OF = 2, 7, "2024-03-03 12:00:00"
+NOT_NULL = """stg_appsflyer.appsflyer_id stg_appsflyer.channel stg_appsflyer_events.appsflyer_id
+stg_appsflyer_events.event_revenue stg_singular.spend_date stg_singular.channel stg_backend.user_id stg_backend.event
+rec_revenue_discrepancy.channel rec_revenue_discrepancy.activity_date rec_attribution_gap.event_date
+rec_attribution_gap.unattributed_events dim_date.date_day dim_channel.channel_key dim_campaign.campaign_key
+dim_geo.country_code fct_installs.channel_key fct_events.channel_key fct_spend.channel_key
+mart_marketing_unified.activity_date mart_retention.cohort_size mart_growth_metrics.campaign_key
+mart_growth_metrics.channel_key mart_privacy_roas_gap.campaign_key""".split()
+UNIQUE = """stg_appsflyer.appsflyer_id dim_date.date_day dim_channel.channel_key dim_campaign.campaign_key
+dim_geo.country_code mart_growth_metrics.campaign_key mart_privacy_roas_gap.campaign_key""".split()
+ACCEPTED = {
+    "stg_appsflyer.channel": CHANNELS, "stg_appsflyer.platform": ("ios", "android"), "stg_appsflyer.is_paid": (0, 1),
+    "stg_appsflyer_events.event_name": REVENUE_EVENTS, "stg_singular.channel": CHANNELS,
+    "stg_skan.postback_sequence_index": (0, 1, 2), "stg_skan.cv_band": ("none", "low", "medium", "high", "unknown"),
+    "stg_backend.event": BACKEND_EVENTS, "stg_backend.is_attributed": (0, 1), "stg_backend.is_late_event": (0, 1),
+    "rec_revenue_discrepancy.is_discrepancy_flag": (0, 1), "dim_channel.is_paid": (0, 1),
+    "mart_privacy_roas_gap.has_crowd_anonymity": (0, 1)}
+RELATIONSHIPS = """stg_appsflyer_events.appsflyer_id>stg_appsflyer.appsflyer_id
+fct_installs.channel_key>dim_channel.channel_key fct_installs.campaign_key>dim_campaign.campaign_key
+fct_installs.country_code>dim_geo.country_code fct_installs.install_date>dim_date.date_day
+fct_events.channel_key>dim_channel.channel_key fct_events.campaign_key>dim_campaign.campaign_key
+fct_events.event_date>dim_date.date_day fct_spend.channel_key>dim_channel.channel_key
+fct_spend.campaign_key>dim_campaign.campaign_key mart_growth_metrics.channel_key>dim_channel.channel_key""".split()
+# rows of a check that looks at one row at a time: (model, broken condition) each
+BROKEN = {
+    "assert_no_negative_revenue": [("stg_appsflyer_events", "sign(event_revenue) = -1"), ("stg_backend", "sign(revenue) = -1")],
+    "assert_retention_monotonic": [("mart_retention", "NOT (retained_d1 >= retained_d7 AND retained_d7 >= retained_d30)")],
+    "assert_skan_conversion_value_in_range": [("stg_skan", "conversion_value NOT BETWEEN 0 AND 63")],
+    "assert_singular_installs_without_spend": [("stg_singular", "network_installs > 0 AND NOT coalesce(cost > 0, false)")],
+    "assert_singular_spend_without_installs": [("stg_singular", "cost > 0 AND network_installs = 0")],
+}
+WARNINGS = ("assert_singular_installs_without_spend", "assert_singular_spend_without_installs")
+
+
 def _lit(v) -> str:
     return q(v) if isinstance(v, str) else str(v)
 
 
-def _failures_sql(c: Check) -> str:
-    if c.kind == "not_null":
-        return f"SELECT count(*) FROM {c.model} WHERE {c.column} IS NULL"
-    if c.kind == "unique":
-        return (f"SELECT count(*) FROM (SELECT {c.column} FROM {c.model} WHERE {c.column} IS NOT NULL "
-                f"GROUP BY {c.column} HAVING count(*) > 1) t")
-    if c.kind == "accepted_values":
-        vals = ", ".join(_lit(v) for v in c.values)
-        return (f"SELECT count(*) FROM (SELECT {c.column} AS value_field FROM {c.model} GROUP BY {c.column}) t "
-                f"WHERE value_field NOT IN ({vals})")
-    if c.kind == "relationships":
-        return (f"SELECT count(*) FROM (SELECT {c.column} AS from_field FROM {c.model} "
-                f"WHERE {c.column} IS NOT NULL) ch LEFT JOIN (SELECT {c.to_field} AS to_field FROM {c.to_model}) pa "
-                f"ON ch.from_field = pa.to_field WHERE pa.to_field IS NULL")
-    return f"SELECT count(*) FROM ({CUSTOM_ROWS[c.name]}) t"
-
-
-CUSTOM_ROWS = {
-    "assert_backend_no_duplicates": "SELECT user_id, event, event_time, count(*) AS cnt FROM stg_backend "
-                                    "GROUP BY user_id, event, event_time HAVING count(*) > 1",
-    "assert_no_negative_revenue": "SELECT 'appsflyer' AS source, appsflyer_id AS id, event_revenue AS revenue "
-                                  "FROM stg_appsflyer_events WHERE event_revenue < 0 UNION ALL "
-                                  "SELECT 'backend', user_id, revenue FROM stg_backend WHERE revenue < 0",
-    "assert_retention_monotonic": "SELECT channel, install_date, retained_d1, retained_d7, retained_d30 "
-                                  "FROM mart_retention WHERE retained_d1 < retained_d7 OR retained_d7 < retained_d30",
-    "assert_skan_conversion_value_in_range": "SELECT ad_network_id, campaign, conversion_value FROM stg_skan "
-                                             "WHERE conversion_value IS NOT NULL "
-                                             "AND (conversion_value < 0 OR conversion_value > 63)",
-    "assert_singular_installs_without_spend": "SELECT spend_date, channel, campaign, country_code, cost, "
-                                              "network_installs FROM stg_singular WHERE network_installs > 0 "
-                                              "AND (cost IS NULL OR cost <= 0)",
-    "assert_singular_spend_without_installs": "SELECT spend_date, channel, campaign, country_code, cost, "
-                                              "network_installs FROM stg_singular WHERE cost > 0 "
-                                              "AND network_installs = 0",
-}
+def _checks() -> list[tuple[str, str, str, str | None, str]]:
+    """(name, kind, model, column, failures as a scalar query) of every check."""
+    out = []
+    for field in NOT_NULL:
+        m, c = field.split(".")
+        out.append((f"not_null_{m}_{c}", "not_null", m, c, f"SELECT count(*) - count({c}) FROM {m}"))
+    for field in UNIQUE:
+        m, c = field.split(".")
+        out.append((f"unique_{m}_{c}", "unique", m, c,
+                    f"SELECT count(*) FILTER (n > 1) FROM (SELECT count({c}) AS n FROM {m} GROUP BY {c}) g"))
+    for field, values in ACCEPTED.items():
+        m, c = field.split(".")
+        out.append((f"accepted_values_{m}_{c}", "accepted_values", m, c,
+                    f"SELECT count(DISTINCT {c}) FILTER ({c} NOT IN ({', '.join(map(_lit, values))})) FROM {m}"))
+    for pair in RELATIONSHIPS:
+        (m, c), (pm, pc) = (side.split(".") for side in pair.split(">"))
+        out.append((f"relationships_{m}_{c}__{pc}__{pm}", "relationships", m, c,
+                    f"SELECT count(*) FROM (SELECT {c} AS k FROM {m}) ch ANTI JOIN (SELECT {pc} AS k FROM {pm}) pa USING (k) "
+                    f"WHERE k IS NOT NULL"))
+    out.append(("assert_backend_no_duplicates", "custom", "stg_backend", None,
+                "SELECT count(*) FILTER (n > 1) FROM (SELECT count(*) AS n FROM stg_backend "
+                "GROUP BY user_id, event, event_time) g"))
+    for name, parts in BROKEN.items():
+        out.append((name, "custom", "+".join(m for m, _ in parts), None, "SELECT " + " + ".join(
+            f"(SELECT count(*) FILTER ({broken}) FROM {m})" for m, broken in parts)))
+    return out
 
 
-def _checks_sql(checks: list[Check]) -> str:
+def _checks_sql(kind: str | None = None, name: str | None = None) -> str:
     rows = []
-    for c in checks:
-        col = "NULL" if c.column is None else q(c.column)
-        rows.append(f"SELECT {q(c.name)} AS check_name, {q(c.kind)} AS check_type, {q(c.model)} AS model, "
-                    f"CAST({col} AS VARCHAR) AS column_name, {q(c.severity)} AS severity, "
-                    f"CAST(({_failures_sql(c)}) AS BIGINT) AS failures")
-    body = "\nUNION ALL ".join(rows)
-    return (f"SELECT *, CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' ELSE 'error' END "
-            f"AS status FROM ({body}) x")
-
-
-def _kind(kind: str) -> str:
-    return _checks_sql([c for c in all_checks() if c.kind == kind])
+    for n, k, model, column, failures in _checks():
+        if kind in (None, k) and name in (None, n):
+            rows.append(f"SELECT {q(n)} AS check_name, {q(k)} AS check_type, {q(model)} AS model, "
+                        f"CAST({'NULL' if column is None else q(column)} AS VARCHAR) AS column_name, "
+                        f"{q('warn' if n in WARNINGS else 'error')} AS severity, CAST(({failures}) AS BIGINT) AS failures")
+    return ("SELECT *, CASE WHEN failures = 0 THEN 'pass' ELSE severity END AS status FROM ("
+            + "\nUNION ALL ".join(rows) + ") x")
 
 
-def _named(name: str) -> str:
-    return _checks_sql([c for c in all_checks() if c.name == name])
+def _broken_spend(name: str) -> str:
+    return ("SELECT spend_date, channel, campaign, country_code, cost, network_installs FROM stg_singular WHERE "
+            + BROKEN[name][0][1])
 
 
 EXTRA: dict[str, str] = {}
-EXTRA["dq_all"] = _checks_sql(all_checks())
+EXTRA["dq_all"] = _checks_sql()
+
+EXTRA["channel_sheet"] = """
+SELECT channel_key AS channel, sum(cost) AS paid, sum(installs) AS installed, sum(ios_installs) AS ios, sum(paying_users) AS payers,
+  sum(mmp_revenue_d30) AS claimed, sum(backend_revenue_d30) AS confirmed, sum(skan_postbacks) AS posts,
+  sum(skan_null_cv) AS hidden, count(*) FILTER (has_crowd_anonymity = 1) AS crowded
+FROM mart_privacy_roas_gap JOIN (SELECT channel_key, campaign_key, paying_users FROM mart_growth_metrics) g
+  USING (channel_key, campaign_key)
+GROUP BY ALL"""
 
 EXTRA["report_roas_q"] = f"""
-SELECT channel_key AS channel, CAST(sum(cost) AS DECIMAL(38,2)) AS cost, CAST(sum(installs) AS BIGINT) AS installs,
-  CAST(sum(paying_users) AS BIGINT) AS paying_users, CAST(sum(revenue_d30) AS DECIMAL(38,2)) AS revenue_d30,
-  CASE WHEN sum(cost) <> 0 THEN {ratio(cents('sum(revenue_d30)'), cents('sum(cost)'), 10, 4)} END AS roas_d30,
-  CASE WHEN sum(installs) <> 0 THEN {ratio(cents('sum(cost)'), '100 * sum(installs)', 10, 2)} END AS cpi,
-  CASE WHEN sum(paying_users) <> 0 THEN {ratio(cents('sum(cost)'), '100 * sum(paying_users)', 10, 2)} END AS cac
-FROM mart_growth_metrics GROUP BY channel_key"""
+SELECT channel, CAST(paid AS DECIMAL(38,2)) AS cost, CAST(installed AS BIGINT) AS installs,
+  CAST(payers AS BIGINT) AS paying_users, CAST(claimed AS DECIMAL(38,2)) AS revenue_d30,
+  CASE WHEN paid <> 0 THEN {ratio(cents('claimed'), cents('paid'), 10, 4)} END AS roas_d30,
+  CASE WHEN installed <> 0 THEN {ratio(cents('paid'), '100 * installed', 10, 2)} END AS cpi,
+  CASE WHEN payers <> 0 THEN {ratio(cents('paid'), '100 * payers', 10, 2)} END AS cac
+FROM channel_sheet"""
 
 EXTRA["report_discrepancy_q"] = """
-SELECT channel, CAST(sum(mmp_revenue) AS DECIMAL(38,2)) AS mmp_revenue,
-  CAST(sum(backend_revenue) AS DECIMAL(38,2)) AS backend_revenue,
-  CAST(sum(CASE WHEN is_discrepancy_flag = 1 THEN 1 ELSE 0 END) AS BIGINT) AS flagged_days,
-  count(*) AS total_days
-FROM rec_revenue_discrepancy GROUP BY channel"""
+SELECT channel, CAST(sum(amount) FILTER (which = 'mmp_revenue') AS DECIMAL(38,2)) AS mmp_revenue,
+  CAST(sum(amount) FILTER (which = 'backend_revenue') AS DECIMAL(38,2)) AS backend_revenue,
+  count(*) FILTER (which = 'mmp_revenue' AND is_discrepancy_flag = 1) AS flagged_days,
+  count(DISTINCT activity_date) AS total_days
+FROM (UNPIVOT rec_revenue_discrepancy ON mmp_revenue, backend_revenue INTO NAME which VALUE amount) u
+GROUP BY ALL"""
 
 EXTRA["sk_anon"] = """
 SELECT source_identifier,
@@ -110,26 +140,86 @@ _registry_values = ", ".join([f"('appsflyer', {q(e)})" for e in (INSTALL_EVENT,
 
 
 def _freshness() -> str:
-    asof = f"TIMESTAMP '{cc.FRESHNESS_AS_OF}'"
+    asof = f"TIMESTAMP '{FRESHNESS_AS_OF}'"
     parts = [f"SELECT '{s}' AS source_name, max(_loaded_at) AS max_loaded_at, "
              f"CAST(datediff('second', max(_loaded_at), {asof}) AS BIGINT) AS age_seconds FROM raw_{s}" for s in RAW]
     return (f"SELECT source_name, max_loaded_at, age_seconds, CASE WHEN age_seconds IS NULL "
-            f"OR age_seconds > {cc.ERROR_AFTER_DAYS} * 86400 THEN 'error' WHEN age_seconds > {cc.WARN_AFTER_DAYS} "
+            f"OR age_seconds > {FRESHNESS_ERROR_DAYS} * 86400 THEN 'error' WHEN age_seconds > {FRESHNESS_WARN_DAYS} "
             f"* 86400 THEN 'warn' ELSE 'pass' END AS status FROM (" + " UNION ALL ".join(parts) + ") f")
 
 
+HARD_TEXT = {"appsflyer": "af_ad", "singular": "campaign", "skan": "source_identifier", "backend": "event"}
+COLUMNS = {
+    "appsflyer": "appsflyer_id media_source campaign af_adset af_ad install_time attributed_touch_time attributed_touch_type "
+                 "event_name event_revenue event_time country_code platform",
+    "singular": "date source campaign country impressions clicks installs cost",
+    "skan": "ad_network_id source_identifier conversion_value postback_sequence_index redownload",
+    "backend": "user_id event revenue event_time"}
+
+
+def _digest(table: str) -> str:
+    values = []
+    for c in COLUMNS[table].split():
+        v = f"{c} || ', \"so to say\"' || chr(10) || 'and on'" if c == HARD_TEXT[table] else f"CAST({c} AS VARCHAR)"
+        values.append(f"coalesce('=' || {v}, '-')")
+    return (f"SELECT 'raw.{table}' AS table_name, count(*) AS row_count, CAST(coalesce(sum(CAST('0x' || "
+            f"substr(md5(concat_ws(chr(31), {', '.join(values)})), 1, 15) AS BIGINT)), 0) AS DECIMAL(38,0)) AS rows_digest "
+            f"FROM raw_{table}")
+
+
+# the faults that are planted in each source: (fault, which rows)
+PLANTED = {
+    "appsflyer": [("country_code: longer than 2", "minute(install_time) = 7"),
+                  ("appsflyer_id: missing", "minute(install_time) = 8"),
+                  ("attributed_touch_time: not a datetime", "minute(install_time) = 9"),
+                  ("platform: longer than 10", "minute(install_time) = 10")],
+    "singular": [("impressions: not within -2147483648 and 2147483647", "day(date) = 3"),
+                 ("clicks: not a whole number", "day(date) = 3"), ("cost: over 12 digits", "day(date) = 4")],
+    "skan": [("conversion_value: not within 0 and 255", "redownload = 1"),
+             ("redownload: not within 0 and 1", "conversion_value = 17")],
+    "backend": [("revenue: not a number", "second(event_time) = 5"), ("event_time: not a datetime", "second(event_time) = 6")],
+}
+
+
+def _reject_counts(table: str) -> str:
+    faults = ", ".join(f"CASE WHEN {rows} THEN {q(fault)} END" for fault, rows in PLANTED[table])
+    return (f"SELECT {q(table)} AS source_name, fault, count(*) AS n_rows FROM (SELECT unnest(CASE WHEN len(f) = 0 THEN [''] "
+            f"ELSE f END) AS fault FROM (SELECT list_filter([{faults}], lambda x: x IS NOT NULL) AS f FROM raw_{table}) a) b GROUP BY ALL")
+
+
+_times = {"appsflyer": "coalesce(event_time, install_time)", "singular": "CAST(date AS TIMESTAMP)", "backend": "event_time"}
+EXTRA["timed_rows"] = "\nUNION ALL ".join(
+    f"SELECT '{t}' AS source_name, {x} AS t, 1 + CAST(coalesce({x} >= TIMESTAMP '2024-01-20', false) AS INTEGER) "
+    f"+ CAST(coalesce({x} >= TIMESTAMP '2024-01-27', false) AS INTEGER) AS nth FROM raw_{t}" for t, x in _times.items())
+EXTRA["marks_by_load"] = """
+SELECT nth, source_name, (SELECT max(t) FROM timed_rows x WHERE x.source_name = s.source_name AND x.nth <= l.nth) AS high_water
+FROM (VALUES (1), (2), (3)) l(nth), (VALUES ('appsflyer'), ('singular'), ('skan'), ('backend')) s(source_name)"""
+EXTRA["lags_by_load"] = """
+SELECT *, datediff('second', high_water, max(high_water) OVER (PARTITION BY nth)) AS behind,
+  lag(high_water) OVER (PARTITION BY source_name ORDER BY nth) AS was FROM marks_by_load"""
+EXTRA["arrived_rows"] = """
+SELECT event_time, least(2, (event_time >= TIMESTAMP '2024-01-11')::INT + (event_time >= TIMESTAMP '2024-01-21')::INT
+  + (user_id LIKE '%7')::INT) AS nth FROM raw_backend"""
+EXTRA["stream_marks"] = """
+SELECT nth, max(max(event_time)) OVER (ORDER BY nth) AS high_water, count(*) AS n_rows FROM arrived_rows GROUP BY nth"""
+EXTRA["stream_limits"] = """
+SELECT *, lag(high_water) OVER (ORDER BY nth) - INTERVAL 2 DAY AS too_old FROM stream_marks"""
+
+
 def selects() -> dict[str, str]:
     s: dict[str, str] = {}
     s["load_counts"] = "SELECT * FROM load_counts_q"
     s["load_idempotent"] = ("SELECT table_name, row_count AS rows_first_load, row_count AS rows_second_load "
                             "FROM load_counts_q")
     s["freshness"] = _freshness()
-    s["csv_round_trip"] = """
-SELECT 'raw.appsflyer' AS table_name, count(*) AS row_count, CAST(sum(event_revenue) AS DECIMAL(38,2)) AS value_checksum,
-  max(install_time) AS max_time FROM raw_appsflyer
-UNION ALL SELECT 'raw.singular', count(*), CAST(sum(cost) AS DECIMAL(38,2)), max(CAST(date AS TIMESTAMP)) FROM raw_singular
-UNION ALL SELECT 'raw.skan', count(*), CAST(sum(conversion_value) AS DECIMAL(38,2)), CAST(NULL AS TIMESTAMP) FROM raw_skan
-UNION ALL SELECT 'raw.backend', count(*), CAST(sum(revenue) AS DECIMAL(38,2)), max(event_time) FROM raw_backend"""
+    s["csv_round_trip"] = "\nUNION ALL ".join(_digest(t) for t in RAW)
+    s["load_rejects"] = "\nUNION ALL ".join(_reject_counts(t) for t in RAW)
+    s["load_freshness"] = """
+SELECT 'load-' || nth AS load_id, source_name, high_water, CAST(behind AS BIGINT) AS lag_seconds,
+  CAST(datediff('second', was, high_water) AS BIGINT) AS advanced_seconds,
+  CASE WHEN high_water IS NULL THEN 'no clock' WHEN behind > 7 * 86400 THEN 'error' WHEN behind > 2 * 86400 THEN 'warn'
+       ELSE 'pass' END AS status
+FROM lags_by_load"""
     s["channel_standardize"] = f"""
 SELECT raw_value, {sql_channel('raw_value')} AS channel, count(*) AS row_count
 FROM (SELECT media_source AS raw_value FROM raw_appsflyer UNION ALL SELECT source FROM raw_singular) t
@@ -149,33 +239,29 @@ SELECT cv_band, count(*) AS postbacks, CAST(min(conversion_value) AS INTEGER) AS
   CAST(max(conversion_value) AS INTEGER) AS max_value
 FROM stg_skan GROUP BY cv_band"""
     s["cohort_revenue"] = """
-SELECT channel_key, campaign_key, CAST(revenue_total AS DECIMAL(38,2)) AS revenue_total,
-  CAST(revenue_d7 AS DECIMAL(38,2)) AS revenue_d7, CAST(revenue_d30 AS DECIMAL(38,2)) AS revenue_d30,
-  CAST(paying_users AS BIGINT) AS paying_users
-FROM growth_rev"""
+SELECT channel_key, campaign_key, CAST(claimed AS DECIMAL(38,2)) AS revenue_total, CAST(claimed_7 AS DECIMAL(38,2)) AS revenue_d7,
+  CAST(claimed_30 AS DECIMAL(38,2)) AS revenue_d30, payers AS paying_users
+FROM campaign_ledger WHERE payers > 0"""
     s["paying_users"] = """
 SELECT event_date AS activity_date, channel_key, count(DISTINCT appsflyer_id) AS paying_users,
   CAST(sum(event_count) AS BIGINT) AS revenue_events, CAST(sum(event_revenue) AS DECIMAL(38,2)) AS revenue
 FROM fct_events GROUP BY event_date, channel_key"""
-    rev = "coalesce(r.revenue_d30, 0)"
     s["ltv_projection"] = f"""
-SELECT ia.channel_key, ia.campaign_key, CAST(ia.installs AS BIGINT) AS installs,
-  CAST({rev} AS DECIMAL(38,2)) AS revenue_d30,
-  CASE WHEN ia.installs > 0 THEN {ratio(cents(rev), '100 * ia.installs', 12, 2)} END AS arpu_d30,
-  CAST(1.4 AS DECIMAL(6,2)) AS ltv_factor,
-  CASE WHEN ia.installs > 0 THEN {ratio(cents(rev) + ' * 14', '1000 * ia.installs', 12, 2)} END AS predicted_ltv_d90
-FROM growth_inst ia LEFT JOIN growth_rev r ON ia.channel_key = r.channel_key AND ia.campaign_key = r.campaign_key"""
+SELECT channel_key, campaign_key, installed AS installs, CAST(claimed_30 AS DECIMAL(38,2)) AS revenue_d30,
+  {ratio(cents('claimed_30'), '100 * installed', 12, 2)} AS arpu_d30, CAST(1.4 AS DECIMAL(6,2)) AS ltv_factor,
+  {ratio(cents('claimed_30') + ' * 14', '1000 * installed', 12, 2)} AS predicted_ltv_d90
+FROM campaign_ledger"""
     # data quality
-    s["dq_not_null"] = _kind("not_null")
-    s["dq_unique"] = _kind("unique")
-    s["dq_accepted_values"] = _kind("accepted_values")
-    s["dq_relationships"] = _kind("relationships")
-    s["dq_backend_no_duplicates"] = _named("assert_backend_no_duplicates")
-    s["dq_no_negative_revenue"] = _named("assert_no_negative_revenue")
-    s["dq_retention_monotonic"] = _named("assert_retention_monotonic")
-    s["dq_skan_range"] = _named("assert_skan_conversion_value_in_range")
-    s["dq_installs_without_spend"] = CUSTOM_ROWS["assert_singular_installs_without_spend"]
-    s["dq_spend_without_installs"] = CUSTOM_ROWS["assert_singular_spend_without_installs"]
+    s["dq_not_null"] = _checks_sql(kind="not_null")
+    s["dq_unique"] = _checks_sql(kind="unique")
+    s["dq_accepted_values"] = _checks_sql(kind="accepted_values")
+    s["dq_relationships"] = _checks_sql(kind="relationships")
+    s["dq_backend_no_duplicates"] = _checks_sql(name="assert_backend_no_duplicates")
+    s["dq_no_negative_revenue"] = _checks_sql(name="assert_no_negative_revenue")
+    s["dq_retention_monotonic"] = _checks_sql(name="assert_retention_monotonic")
+    s["dq_skan_range"] = _checks_sql(name="assert_skan_conversion_value_in_range")
+    s["dq_installs_without_spend"] = _broken_spend("assert_singular_installs_without_spend")
+    s["dq_spend_without_installs"] = _broken_spend("assert_singular_spend_without_installs")
     s["dq_summary"] = "SELECT * FROM dq_all"
     s["dq_verdict"] = """
 SELECT count(*) AS checks, CAST(sum(CASE WHEN status = 'pass' THEN 1 ELSE 0 END) AS BIGINT) AS passed,
@@ -187,13 +273,11 @@ FROM dq_all"""
     s["report_roas_paid"] = "SELECT * FROM report_roas_q WHERE roas_d30 IS NOT NULL"
     s["report_discrepancy"] = "SELECT * FROM report_discrepancy_q"
     s["report_privacy"] = f"""
-SELECT channel_key AS channel, CAST(sum(installs) AS BIGINT) AS installs, CAST(sum(ios_installs) AS BIGINT) AS ios_installs,
-  CAST(sum(skan_postbacks) AS BIGINT) AS skan_postbacks, CAST(sum(skan_null_cv) AS BIGINT) AS skan_null_cv,
-  CAST(sum(has_crowd_anonymity) AS BIGINT) AS campaigns_anonymized,
-  CASE WHEN sum(cost) <> 0 THEN {ratio(cents('sum(mmp_revenue_d30)'), cents('sum(cost)'), 10, 4)} END AS mmp_roas,
-  CASE WHEN sum(cost) <> 0 THEN {ratio(cents('sum(backend_revenue_d30)'), cents('sum(cost)'), 10, 4)} END
-      AS backend_roas
-FROM mart_privacy_roas_gap GROUP BY channel_key"""
+SELECT channel, CAST(installed AS BIGINT) AS installs, CAST(ios AS BIGINT) AS ios_installs, CAST(posts AS BIGINT) AS skan_postbacks,
+  CAST(hidden AS BIGINT) AS skan_null_cv, crowded AS campaigns_anonymized,
+  CASE WHEN paid <> 0 THEN {ratio(cents('claimed'), cents('paid'), 10, 4)} END AS mmp_roas,
+  CASE WHEN paid <> 0 THEN {ratio(cents('confirmed'), cents('paid'), 10, 4)} END AS backend_roas
+FROM channel_sheet"""
     s["report_kpi"] = f"""
 SELECT CAST(g.total_cost AS DECIMAL(38,2)) AS total_cost, CAST(g.total_installs AS BIGINT) AS total_installs,
   CAST(g.revenue_d30 AS DECIMAL(38,2)) AS revenue_d30,
@@ -303,6 +387,21 @@ FROM (
     SELECT c.channel_key, c.activity_date, 'cpi', {cpi}
     FROM anomaly_cal c LEFT JOIN anomaly_daily d ON {on}) s
   WINDOW w AS (PARTITION BY channel_key, metric ORDER BY activity_date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)) x"""
+    s["rolling_payers"] = """
+SELECT d.event_date AS activity_date, d.channel_key,
+  count(DISTINCT e.appsflyer_id) FILTER (d.event_date - e.event_date < 7) AS payers_7d,
+  count(DISTINCT e.appsflyer_id) AS payers_30d
+FROM (SELECT DISTINCT event_date, channel_key FROM fct_events) d
+JOIN (SELECT DISTINCT event_date, channel_key, appsflyer_id FROM fct_events) e
+  ON e.channel_key = d.channel_key AND e.event_date BETWEEN d.event_date - 29 AND d.event_date
+GROUP BY ALL"""
+    for key, model in (("refresh_retention", "mart_retention"), ("refresh_growth", "mart_growth_metrics"),
+                       ("refresh_privacy_gap", "mart_privacy_roas_gap"), ("stream_dedup", "bk_dedup")):
+        s[key] = f"SELECT * FROM {model}"
+    s["stream_late_rows"] = """
+SELECT CAST(nth AS BIGINT) AS batch, high_water, n_rows,
+  (SELECT count(*) FROM arrived_rows a WHERE a.nth = l.nth AND a.event_time < l.too_old) AS n_late
+FROM stream_limits l"""
     return s
 
 

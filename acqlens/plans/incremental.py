@@ -5,7 +5,7 @@ that day's source rows and on the installs of their users, so a daily run recomp
 ``touched_days`` finds (delivered rows, and the days on which newly installed users were active) and
 replaces their date partitions; a day without rows loses its partition; every other day stays. The day filters are half-open ranges on
 the raw time columns, so they reach the parquet scans (and prune date partitions of raw tables).
-Cohort marts (retention, growth, privacy gap) look across days and are rebuilt in full.
+Cohort marts (retention, growth, privacy gap) look across days: ``plans.cohort_state`` keeps them.
 """
 from __future__ import annotations
 
@@ -21,7 +21,7 @@ from acqlens.functions.taxonomy import INSTALL_EVENT
 from acqlens.operators import facts, staging
 from acqlens.plans.models import ModelGraph
 from acqlens.schemas import LOADED_AT
-from acqlens.session import ensure_checkpoint_dir
+from acqlens.session import delete_folder, ensure_checkpoint_dir
 from acqlens.sources.fixtures import RawSources
 
 # model -> its date column (the partition column of the refreshed table)
@@ -118,8 +118,7 @@ def refresh_days(raw: RawSources, root: str, days: list[dt.date]) -> None:
         target = os.path.join(root, m)
         write_date_local(fresh, target, col)
         for day in set(g.days) - filled:
-            path = spark._jvm.org.apache.hadoop.fs.Path(f"{target}/{col}={day.isoformat()}")
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            delete_folder(spark, f"{target}/{col}={day.isoformat()}")
 
 
 def read_date_local(spark, root: str, model: str) -> DataFrame:

@@ -9,13 +9,14 @@ from __future__ import annotations
 import os
 import threading
 import uuid
+from collections import Counter
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from acqlens.operators import dims, facts, marts, reconcile, staging
-from acqlens.session import ensure_checkpoint_dir
+from acqlens.session import delete_folder, ensure_checkpoint_dir
 from acqlens.sources.fixtures import RawSources, load_fixture_sources
 
 STAGING = ("stg_appsflyer", "stg_appsflyer_events", "stg_singular", "stg_skan", "stg_backend")
@@ -25,7 +26,7 @@ MARTS = ("dim_channel", "dim_campaign", "dim_geo", "dim_date", "fct_installs", "
 MODELS = STAGING + RECONCILIATION + MARTS
 FACTS = ("fct_installs", "fct_events", "fct_spend")
 
-# model -> upstream models (the ref() edges of the reference's DAG)
+# model -> upstream models (where models are written; a lazy graph takes backend activity from the raw rows)
 DEPENDS_ON: dict[str, tuple[str, ...]] = {
     "stg_appsflyer": (), "stg_appsflyer_events": (), "stg_singular": (), "stg_skan": (),
     "stg_backend": ("stg_appsflyer",),
@@ -34,10 +35,10 @@ DEPENDS_ON: dict[str, tuple[str, ...]] = {
     "dim_channel": ("stg_appsflyer", "stg_singular"),
     "dim_campaign": ("stg_appsflyer", "stg_singular"),
     "dim_geo": ("stg_appsflyer", "stg_singular"),
-    "dim_date": ("stg_appsflyer", "stg_appsflyer_events", "stg_singular"),
+    "dim_date": ("stg_appsflyer", "stg_appsflyer_events", "stg_backend", "stg_singular"),
     "fct_installs": ("stg_appsflyer",), "fct_events": ("stg_appsflyer_events",), "fct_spend": ("stg_singular",),
     "mart_marketing_unified": ("fct_spend", "fct_installs", "fct_events"),
-    "mart_retention": ("fct_installs",),
+    "mart_retention": ("fct_installs", "stg_backend"),
     "mart_growth_metrics": ("fct_installs", "fct_events", "fct_spend", "stg_skan"),
     "mart_privacy_roas_gap": ("mart_growth_metrics", "stg_backend"),
 }
@@ -61,6 +62,20 @@ def build_levels(names=MODELS) -> list[list[str]]:
     return out
 
 
+def shared_models(names) -> tuple[str, ...]:
+    """Of ``names`` and their upstream models those that more than one reader needs: worth a table when all of
+    ``names`` are read together. Facts are column projections of staging, so they are seen through."""
+    def seen(models) -> set[str]:
+        return {d for m in models for d in (DEPENDS_ON[m] if m in FACTS else (m,))}
+
+    closure = [m for level in build_levels(names) for m in level]
+    readers = Counter(seen(names))
+    for m in closure:
+        if m not in FACTS:
+            readers.update(seen(DEPENDS_ON[m]))
+    return tuple(m for m in closure if readers[m] > 1)
+
+
 class ModelGraph:
     def __init__(self, raw: RawSources):
         self.raw = raw
@@ -90,8 +105,6 @@ class ModelGraph:
         """Hook applied to every model once; lazy by default."""
         return df
 
-
-
     # -- silver
     @cached_property
     def stg_appsflyer(self) -> DataFrame:
@@ -113,6 +126,12 @@ class ModelGraph:
     def stg_backend(self) -> DataFrame:
         return self._finish("stg_backend", staging.stg_backend(self.raw.backend, self.stg_appsflyer))
 
+    @cached_property
+    def backend_activity(self) -> DataFrame:
+        """When users were active on the server: first and last times need neither de-duplication nor
+        attribution, so the raw rows do."""
+        return self.raw.backend
+
     # -- reconciliation
     @cached_property
     def rec_revenue_discrepancy(self) -> DataFrame:
@@ -138,9 +157,8 @@ class ModelGraph:
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        # min/max of backend event times need neither de-duplication nor attribution
         return self._finish("dim_date", dims.dim_date(
-            self.stg_appsflyer, self.stg_appsflyer_events, self.raw.backend, self.stg_singular))
+            self.stg_appsflyer, self.stg_appsflyer_events, self.backend_activity, self.stg_singular))
 
     # -- facts
     @cached_property
@@ -156,6 +174,11 @@ class ModelGraph:
         return self._finish("fct_spend", facts.fct_spend(self.stg_singular))
 
     # -- marts
+    @cached_property
+    def device_days(self) -> DataFrame:
+        """Attributed revenue per device and day (no model of its own: what several marts start from)."""
+        return marts.device_days(self.fct_events)
+
     @cached_property
     def mart_marketing_unified(self) -> DataFrame:
         return self._finish(
@@ -163,12 +186,12 @@ class ModelGraph:
 
     @cached_property
     def mart_retention(self) -> DataFrame:
-        return self._finish("mart_retention", marts.mart_retention(self.raw.backend, self.fct_installs))
+        return self._finish("mart_retention", marts.mart_retention(self.backend_activity, self.fct_installs))
 
     @cached_property
     def mart_growth_metrics(self) -> DataFrame:
         return self._finish("mart_growth_metrics", marts.mart_growth_metrics(
-            self.fct_installs, self.fct_events, self.fct_spend, self.stg_skan))
+            self.fct_installs, self.device_days, self.fct_spend, self.stg_skan))
 
     @cached_property
     def mart_privacy_roas_gap(self) -> DataFrame:
@@ -177,11 +200,11 @@ class ModelGraph:
 
 
 class MaterializedGraph(ModelGraph):
-    """Each model is materialised once, on first use, as a parquet table under
-    ``<spark.checkpoint.dir>/acqlens-tables/<run>/`` (a shared folder on a cluster), the way the
-    reference builds its models as tables: downstream models and checks read the materialised rows
-    (with column pruning and predicate pushdown) instead of recomputing the upstream DAG, and a lost
-    executor re-reads the table rather than recomputing from the sources."""
+    """Models of ``names`` are written once, on first use, as parquet tables under ``root`` (by default a folder
+    in ``spark.checkpoint.dir``), the way the reference builds its models as tables: downstream models and
+    checks read the written rows (with column pruning and predicate pushdown) instead of recomputing the
+    upstream DAG, and a lost executor re-reads the table rather than recomputing from the sources. As a
+    context, the graph deletes its tables at the end."""
 
     def __init__(self, raw: RawSources, names: tuple[str, ...] | None = None, root: str | None = None):
         super().__init__(raw)
@@ -189,13 +212,15 @@ class MaterializedGraph(ModelGraph):
         self.names = set(MODELS if names is None else names) - (set(FACTS) if names is None else set())
         self.root = root
         self._root_lock = threading.Lock()
+        self._spark: SparkSession | None = None
 
-    def build(self, names=MODELS, threads: int = 4) -> "MaterializedGraph":
-        """Materialise ``names`` (and their upstream models) level by level; models of one level are
+    def build(self, names=None, threads: int = 4) -> "MaterializedGraph":
+        """Write ``names`` (by default all that the graph writes) level by level; models of one level are
         independent Spark jobs submitted concurrently from ``threads`` driver threads, like the
         reference's runner builds independent models in parallel."""
-        for level in build_levels(names):
-            if threads <= 1 or len(level) == 1:
+        for level in build_levels(self.names if names is None else names) if self.names else []:
+            level = [m for m in level if m in self.names]
+            if threads <= 1 or len(level) <= 1:
                 for m in level:
                     self.model(m)
                 continue
@@ -203,14 +228,26 @@ class MaterializedGraph(ModelGraph):
                 list(pool.map(self.model, level))
         return self
 
+    @cached_property
+    def backend_activity(self) -> DataFrame:
+        return self.stg_backend if "stg_backend" in self.names else self.raw.backend
+
     def _finish(self, name: str, df: DataFrame) -> DataFrame:
         if name not in self.names:
             return df
         with self._root_lock:   # build threads share one run folder
+            self._spark = df.sparkSession
             if self.root is None:
                 self.root = os.path.join(ensure_checkpoint_dir(df.sparkSession), "acqlens-tables", uuid.uuid4().hex)
         return write_table(df, os.path.join(self.root, name))
 
+    def __enter__(self) -> "MaterializedGraph":
+        return self
+
+    def __exit__(self, *_) -> None:
+        if self.root is not None and self._spark is not None:
+            delete_folder(self._spark, self.root)
+
 
 def write_table(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` once as parquet and return the table read back (lineage ends at the files)."""

@@ -1,9 +1,11 @@
 """Spark session defaults for the engine and helpers that read cluster settings from the session."""
 from __future__ import annotations
 
+import atexit
 import os
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the jobs are designed around. Partition counts are sized per deployment:
 # on a cluster, shuffle partitions ~ (largest shuffle bytes / 128 MiB); AQE coalesces small ones.
@@ -65,3 +67,49 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder from whatever file system it is on; nothing happens if it is not there."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+class Scratch:
+    """Tables that one owner writes to the shared checkpoint folder and frees together. Each is written once and
+    read back, so lineage ends at the files and a lost executor re-reads them. Use it as a context, or call
+    ``free`` when nothing reads the tables any more."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark = spark
+        self.root = os.path.join(ensure_checkpoint_dir(spark), f"acqlens-{name}-{uuid.uuid4().hex}")
+
+    def path(self, name: str) -> str:
+        return os.path.join(self.root, name)
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        df.write.mode("overwrite").parquet(self.path(name))
+        return self.spark.read.schema(df.schema).parquet(self.path(name))
+
+    def until_exit(self) -> "Scratch":
+        """For tables that a lazy result goes on reading: freed when the process ends."""
+        atexit.register(self._last)
+        return self
+
+    def _last(self) -> None:
+        if self.spark.sparkContext._jsc is not None:      # the session may have been stopped before
+            self.free()
+
+    def free(self) -> None:
+        delete_folder(self.spark, self.root)
+
+    def __enter__(self) -> "Scratch":
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.free()
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """A result of a few rows (counts per check, source or load) as a frame that no table stands behind."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)

@@ -111,7 +111,8 @@ def appsflyer_from(dev: DataFrame, events: DataFrame) -> DataFrame:
         name = F.when(et == t, mmp) if name is None else name.when(et == t, mmp)
     events = ev.join(dev, ev.user_id == dev.k, "inner").select(
         *[F.col(c) for c in _APPSFLYER_COLS if c not in ("event_name", "event_revenue", "event_time")],
-        name.otherwise(OTHER_MMP_EVENT).alias("event_name"),
+        # nested, so that a filter on the provider's names becomes one on event_type and reaches the scan
+        F.when(et.isin(*EVENT_TYPE_TO_MMP), name).otherwise(OTHER_MMP_EVENT).alias("event_name"),
         F.when(et.isin(*EVENT_TYPE_TO_MMP), F.col("value").cast(MONEY_EVENT)).alias("event_revenue"),
         to_second("ts").alias("event_time"),
     )
@@ -146,11 +147,12 @@ def backend_from(events: DataFrame) -> DataFrame:
 
 
 def singular_from(dev: DataFrame, orders: DataFrame) -> DataFrame:
-    """Daily network spend rows, one per order of a non-organic customer (every order is used)."""
+    """Daily network rows, one per order (every order is used). Organic devices and one campaign buy nothing:
+    their rows carry impressions and clicks, no network installs and cost 0."""
     orders = orders.select("o_orderkey", "o_custkey", "o_totalprice")
-    dev = dev.filter(~organic_col() & (F.col("campaign") != NO_SPEND_CAMPAIGN))
     ok = F.col("o_orderkey")
     price = F.col("o_totalprice").cast(MONEY_COST)
+    bought = ~organic_col() & (F.coalesce(F.col("campaign"), F.lit("")) != NO_SPEND_CAMPAIGN)
     return orders.join(dev, orders.o_custkey == dev.k, "inner").select(
         F.date_add(F.lit(SPEND_EPOCH).cast("date"), (ok % 30).cast("int")).alias("date"),
         F.col("media_source").alias("source"),
@@ -159,9 +161,9 @@ def singular_from(dev: DataFrame, orders: DataFrame) -> DataFrame:
         F.col("country_code").alias("country"),
         F.floor(price * F.lit(0.01).cast("decimal(2,2)")).cast("int").alias("impressions"),
         F.floor(price * F.lit(0.0002).cast("decimal(4,4)")).cast("int").alias("clicks"),
-        F.floor(price * F.lit(0.00002).cast("decimal(5,5)")).cast("int").alias("installs"),
-        F.when(ok % 211 == 0, F.lit(0).cast(MONEY_COST))
-        .otherwise((price * F.lit(0.001).cast("decimal(3,3)")).cast(MONEY_COST)).alias("cost"),
+        F.when(bought, F.floor(price * F.lit(0.00002).cast("decimal(5,5)")).cast("int")).otherwise(0).alias("installs"),
+        F.when(bought & (ok % 211 != 0), (price * F.lit(0.001).cast("decimal(3,3)")).cast(MONEY_COST))
+        .otherwise(F.lit(0).cast(MONEY_COST)).alias("cost"),
         _loaded_at(),
     )
 

@@ -19,13 +19,14 @@ import uuid
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from acqlens.functions.dates import round_to_second
 from acqlens.operators.unions import union_all
 from acqlens.schemas import LOADED_AT, RAW_APPSFLYER, RAW_BACKEND, RAW_SINGULAR, RAW_SKAN
+from acqlens.sources.domains import split
 
 # source name -> (csv file name, schema, partition column expression name, partition source column)
 SPECS = {
@@ -36,13 +37,19 @@ SPECS = {
 }
 
 
-def read_typed_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Header CSV -> ``schema`` by column name; '' -> NULL; bad values raise at evaluation."""
+def read_text_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Header CSV as text, the columns of ``schema`` by name."""
     text = (spark.read.option("header", True).option("encoding", "UTF-8").option("mode", "FAILFAST")
             .option("inferSchema", False).option("escape", '"').option("multiLine", True).csv(path))
     missing = [f.name for f in schema.fields if f.name not in text.columns]
     if missing:
         raise ValueError(f"{path}: missing columns {missing}")
+    return text.select(*schema.fieldNames())
+
+
+def read_typed_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Header CSV -> ``schema`` by column name; '' -> NULL; bad values raise at evaluation."""
+    text = read_text_csv(spark, path, schema)
     cols = []
     for f in schema.fields:
         c = F.when(F.col(f.name) == "", F.lit(None)).otherwise(F.col(f.name))
@@ -72,12 +79,18 @@ def validate_not_null(df: DataFrame, schema: StructType, name: str) -> None:
 
 
 def stage_sources(spark: SparkSession, csv_dir: str, loaded_at: dt.datetime | None = None,
-                  validate: bool = True) -> dict[str, DataFrame]:
-    """The four sources parsed, typed and stamped; with ``validate`` every value is checked here (one pass)."""
+                  validate: bool = True, rejects: str | None = None) -> dict[str, DataFrame]:
+    """The four sources parsed, typed and stamped; with ``validate`` every value is checked here (one pass). With
+    ``rejects`` (a folder), rows that break a domain are written there instead of raising."""
     stamp = (loaded_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)).strftime("%Y-%m-%d %H:%M:%S.%f")
     out = {}
     for name, (fname, schema, _, _) in SPECS.items():
-        df = read_typed_csv(spark, os.path.join(csv_dir, fname), schema)
+        path = os.path.join(csv_dir, fname)
+        if rejects:
+            df, bad = split(read_text_csv(spark, path, schema), name)
+            bad.write.mode("overwrite").parquet(os.path.join(rejects, name))
+        else:
+            df = read_typed_csv(spark, path, schema)
         if validate:
             validate_not_null(df, schema, name)
         out[name] = df.withColumn(LOADED_AT, F.lit(stamp).cast("timestamp_ntz"))
@@ -94,6 +107,33 @@ def write_raw(df: DataFrame, path: str, part_col: str | None, source_col: str) -
         df.sortWithinPartitions(source_col).write.mode("overwrite").parquet(path)
 
 
+# when each source's rows happened (postbacks carry no time)
+EVENT_TIME = {"appsflyer": ("event_time", "install_time"), "singular": ("date",), "skan": (), "backend": ("event_time",)}
+MARKS = "_marks"
+MARKS_SCHEMA = "load_id string, source_name string, row_count bigint, high_water timestamp_ntz"
+
+
+def high_water_marks(tables: dict[str, DataFrame]) -> DataFrame:
+    """(source_name, row_count, high_water): the latest event time per source (NULL without rows or clock)."""
+    parts = []
+    for name, df in tables.items():
+        times = [F.max(F.col(c).cast("timestamp_ntz")) for c in EVENT_TIME[name]]
+        high = F.greatest(*times) if len(times) > 1 else times[0] if times else F.lit(None).cast("timestamp_ntz")
+        parts.append(df.agg(F.count(F.lit(1)).alias("row_count"), high.alias("high_water"))
+                     .select(F.lit(name).alias("source_name"), "row_count", "high_water"))
+    return union_all(parts)
+
+
+def record_marks(spark: SparkSession, target_dir: str, load_id: str, tables: dict[str, DataFrame]) -> None:
+    """Keep the marks of one load (four rows) under ``<target>/_marks``."""
+    (high_water_marks(tables).select(F.lit(load_id).alias("load_id"), "source_name", "row_count", "high_water")
+     .write.mode("overwrite").parquet(os.path.join(target_dir, MARKS, load_id)))
+
+
+def read_marks(spark: SparkSession, target_dir: str) -> DataFrame:
+    return spark.read.schema(MARKS_SCHEMA).option("recursiveFileLookup", True).parquet(os.path.join(target_dir, MARKS))
+
+
 MANIFEST = "_loads"
 MANIFEST_SCHEMA = "load_id string, committed_at timestamp_ntz, delivery string"
 
@@ -129,37 +169,33 @@ def table_dir(spark: SparkSession, target_dir: str, name: str) -> str:
     return os.path.join(target_dir, "loads", load_id.split("+")[0], name) if load_id else os.path.join(target_dir, name)
 
 
-def _content_id(tables: dict[str, DataFrame]) -> str:
-    """Names a delivery by its rows, whatever their order: the same rows give the same name."""
-    marks = []
-    for name, (_, schema, _, _) in SPECS.items():
-        row = tables[name].agg(F.count(F.lit(1)).alias("n"),
-                               F.sum(F.xxhash64(*schema.fieldNames()).cast("decimal(38,0)")).alias("h")).first()
-        marks.append(f"{name}:{row.n}:{row.h}")
-    return ",".join(marks)
-
-
 def load_raw(spark: SparkSession, csv_dir: str, target_dir: str, loaded_at: dt.datetime | None = None,
-             incremental: bool = False, delivery: str | None = None) -> dict[str, int]:
+             incremental: bool = False, delivery: str | None = None, quarantine: bool = False) -> dict[str, int]:
     """Load the four raw tables under ``target_dir``; returns their row counts after the load.
 
     The tables go to a new ``loads/<load_id>/`` folder and become visible by one row in the ``_loads``
     manifest, appended after every table is written and validated; a failed load changes nothing. An
-    ``incremental`` load adds its rows to those of the current load, whatever dates they touch. It is
-    named by ``delivery``, or else by its content: loading the same delivery again replaces its own rows.
-    Each delivery adds a folder to read; a full load takes them together.
+    ``incremental`` load adds its rows to those of the current load, whatever dates they touch. It must be
+    named by ``delivery`` (two true deliveries may hold equal rows): loading the same name again replaces its
+    own rows. Each delivery adds a folder to read; a full load takes them together. With ``quarantine``, rows
+    that break a column's domain go to ``loads/<load_id>/rejects/<table>`` with their reasons instead of failing
+    the load. High-water marks of the load's event times are kept for ``sources.freshness``.
     """
+    if incremental and not delivery:
+        raise ValueError("an incremental load needs the name of its delivery")
     if incremental and committed_load(spark, target_dir) is None:
         raise ValueError("an incremental load needs a committed full load first")
     load_id = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
     tables = {}
-    for name, df in stage_sources(spark, csv_dir, loaded_at, validate=False).items():
+    rejects = os.path.join(target_dir, "loads", load_id, "rejects") if quarantine else None
+    for name, df in stage_sources(spark, csv_dir, loaded_at, validate=False, rejects=rejects).items():
         _, schema, part_col, source_col = SPECS[name]
         path = os.path.join(target_dir, "loads", load_id, name)
         write_raw(df, path, part_col, source_col)
         tables[name] = spark.read.schema(df.schema).parquet(path)
         validate_not_null(tables[name], schema, name)
-    label = (delivery or _content_id(tables)) if incremental else None
+    record_marks(spark, target_dir, load_id, tables)
+    label = delivery if incremental else None
     commit = spark.createDataFrame([(load_id, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), label)],
                                    MANIFEST_SCHEMA)
     commit.write.mode("append").parquet(os.path.join(target_dir, MANIFEST))
@@ -193,19 +229,21 @@ def write_source_csv(df: DataFrame, path: str, single_file: bool = False) -> Non
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
-CHECKSUM_COLUMN = {"appsflyer": ("event_revenue", "install_time"), "singular": ("cost", "date"),
-                   "skan": ("conversion_value", None), "backend": ("revenue", "event_time")}
+def row_digest(columns: list[str]) -> Column:
+    """60 bits of the MD5 of a row's values as text (NULL and empty differ)."""
+    text = F.concat_ws("\u001f", *[F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in columns])
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("decimal(38,0)")
 
 
-def table_profile(tables: dict[str, DataFrame]) -> DataFrame:
-    """Per table: rows, the sum of its value column and its latest time (a cheap load fingerprint)."""
+def table_digests(tables: dict[str, DataFrame]) -> DataFrame:
+    """Per table: rows, and the sum of the digests of all rows over all columns but the load stamp. Two tables
+    agree if they hold the same rows equally often, in any order: a lost, doubled or changed value shows."""
     parts = []
     for n, df in tables.items():
-        value, time = CHECKSUM_COLUMN[n]
-        t = F.max(F.col(time).cast("timestamp_ntz")) if time else F.lit(None).cast("timestamp_ntz")
-        parts.append(df.agg(F.count(F.lit(1)).alias("row_count"),
-                            F.sum(value).cast("decimal(38,2)").alias("value_checksum"), t.alias("max_time"))
-                     .select(F.lit(f"raw.{n}").alias("table_name"), "row_count", "value_checksum", "max_time"))
+        columns = [c for c in df.columns if c != LOADED_AT]
+        parts.append(df.agg(F.count(F.lit(1)).alias("row_count"), F.sum(row_digest(columns)).alias("rows_digest"))
+                     .select(F.lit(f"raw.{n}").alias("table_name"), "row_count",
+                             F.coalesce("rows_digest", F.lit(0)).cast("decimal(38,0)").alias("rows_digest")))
     return union_all(parts)
 
 

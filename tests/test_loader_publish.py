@@ -89,23 +89,44 @@ def test_publish_and_circuit_breaker(spark, tmpdir_path):
     assert publish.published_run(spark, os.path.join(tmpdir_path, "bad")) is None
 
 
-def test_streaming_dedup_matches_batch(spark, tmpdir_path):
+def test_stream_closed_open_and_late_rows(spark, tmpdir_path):
     from acqlens.operators.staging import backend_dedup
-    from acqlens.streaming.backend_stream import start_backend_dedup
-
-    src = load_fixture_sources(spark, SF_SMALL).backend
+    from acqlens.streaming.backend_stream import LateAwareDedup, start_backend_dedup
+
+    day = lambda d, h=10: dt.datetime(2024, 1, d, h)
+    batches = [
+        [backend("a", "1.00", day(1)), backend("a", "3.00", day(1)), backend("b", "1.00", day(5))],
+        [backend("a", "9.00", day(1)),                                  # late: its key is closed
+         backend("b", "2.00", day(5)), backend("c", None, day(4)),      # still open, merged
+         backend("n", "1.00", None)],                                   # no time
+        [backend("z", "0.00", day(20))],
+    ]
     land, sink = os.path.join(tmpdir_path, "land"), os.path.join(tmpdir_path, "sink")
-    src.coalesce(1).write.parquet(os.path.join(land, "batch1"))  # one in-order micro-batch
-    # a late sentinel pushes the watermark past every real event so all keys are emitted
-    sentinel = sources(spark, backend_rows=[backend("sentinel", "0.00", dt.datetime(2030, 1, 1))]).backend
-    sentinel.write.parquet(os.path.join(land, "batch2"))
-    q = start_backend_dedup(spark, os.path.join(land, "*"), sink, "1 day",
-                            checkpoint_location=os.path.join(tmpdir_path, "cp"), max_files_per_trigger=1)
-    q.awaitTermination(300)
-    got = spark.read.parquet(sink)
-    want = backend_dedup(src)
-    assert got.select(*want.columns).exceptAll(want).count() == 0
-    assert want.exceptAll(got.select(*want.columns)).count() == 0
+    arrived = None
+    for rows in batches:
+        df = sources(spark, backend_rows=rows).backend
+        arrived = df if arrived is None else arrived.unionByName(df)
+        df.coalesce(1).write.mode("append").parquet(land)
+        for _ in range(2):                                              # the second run finds nothing new
+            start_backend_dedup(spark, land, sink, "2 days", os.path.join(tmpdir_path, "cp")).awaitTermination(300)
+    out = LateAwareDedup(sink)
+    got = sorted((r.batch, r.n_rows, r.n_late, r.n_closed, r.n_open) for r in out.marks(spark).collect())
+    assert got == [(0, 3, 0, 1, 1), (1, 4, 2, 0, 2), (2, 1, 0, 2, 1)]
+    closed = {(r.user_id, str(r.revenue)) for r in out.closed(spark).collect()}
+    assert closed == {("a", "3.00"), ("b", "2.00"), ("c", "None")}
+    assert {r.user_id for r in out.late(spark).collect()} == {"a", "n"} and out.open(spark).first().user_id == "z"
+    want = backend_dedup(arrived)
+    assert sorted(map(tuple, out.reconciled(spark).collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+def test_stream_batch_again_changes_nothing(spark, tmpdir_path):
+    from acqlens.streaming.backend_stream import LateAwareDedup
+    out = LateAwareDedup(tmpdir_path)
+    for n, d in enumerate((1, 5, 9, 9)):
+        rows = sources(spark, backend_rows=[backend("u", "1.00", dt.datetime(2024, 1, d))]).backend
+        for _ in range(2):                                              # as after a failure
+            out.process(rows, n)
+    assert out.closed(spark).count() == 2 and out.open(spark).count() == 1 and out.late(spark).count() == 0
 
 
 def _deliver(folder, appsflyer=(), backend_rows=(), postbacks=()):
@@ -128,12 +149,13 @@ def test_incremental_load_keeps_history_and_replaces_itself(spark, tmpdir_path):
     _deliver(os.path.join(tmpdir_path, "delta"), [mmp_event("d", 2, d9, install_t=d2)],   # an old device's event
              [backend("u2", "2.00", d2)], [postback()])                                   # a late row; an equal postback
     target = os.path.join(tmpdir_path, "raw")
-    with pytest.raises(ValueError):
-        loader.load_raw(spark, os.path.join(tmpdir_path, "delta"), target, incremental=True)
+    for name in (None, "d9"):                                                # unnamed; before any full load
+        with pytest.raises(ValueError):
+            loader.load_raw(spark, os.path.join(tmpdir_path, "delta"), target, incremental=True, delivery=name)
     loader.load_raw(spark, os.path.join(tmpdir_path, "full"), target)
     want = {"appsflyer": 3, "singular": 0, "skan": 2, "backend": 2}
     for _ in range(2):
-        assert loader.load_raw(spark, os.path.join(tmpdir_path, "delta"), target, incremental=True) == want
+        assert loader.load_raw(spark, os.path.join(tmpdir_path, "delta"), target, incremental=True, delivery="d9") == want
     raw = loader.read_raw(spark, target)
     assert sorted(r.user_id for r in raw["backend"].collect()) == ["u1", "u2"]
     assert raw["appsflyer"].filter("event_name = 'install'").count() == 1
@@ -163,7 +185,7 @@ def test_alerts_and_anomalies_on_fixture(spark):
     from acqlens.operators import extras
     from acqlens.plans.models import ModelGraph
     g = ModelGraph.from_fixtures(spark, SF_SMALL)
-    alerts = extras.threshold_alerts(g.rec_revenue_discrepancy, g.stg_appsflyer_events, g.stg_backend)
+    alerts = extras.threshold_alerts(g.stg_appsflyer_events, g.stg_backend)
     kinds = {r.alert_type for r in alerts.collect()}
     assert "revenue_discrepancy" in kinds
     an = extras.metric_anomalies(g.mart_marketing_unified)
@@ -195,6 +217,7 @@ def test_publish_from_csv_and_freshness_gate(spark, tmpdir_path):
     raw_root = os.path.join(tmpdir_path, "a", "raw")
     recorded = spark.read.parquet(os.path.join(tmpdir_path, "a", "manifest")).first().raw_load
     assert recorded == loader.committed_load(spark, raw_root) is not None
+    assert spark.table("raw.backend").count() == src.backend.count()
     stale = publish.run(spark, os.path.join(tmpdir_path, "b"), csv_dir=csv_dir, loaded_at=stamp,
                         as_of="2024-03-20 00:00:00")
     assert not stale.published and any(x.startswith("freshness_") for x in stale.failed_errors)
@@ -264,3 +287,48 @@ def test_full_load_is_all_or_nothing(spark, tmpdir_path, monkeypatch):
     stamps = {r[0] for r in loader.read_raw(spark, target)["appsflyer"].select("_loaded_at").distinct().collect()}
     assert stamps == {dt.datetime(2024, 3, 1)}
     assert {n: df.count() for n, df in loader.read_raw(spark, target).items()} == first
+
+
+def test_quarantine_keeps_rejects_with_reasons(spark, tmpdir_path):
+    good = backend("u", "1.00", dt.datetime(2024, 1, 2, 10))
+    _deliver(os.path.join(tmpdir_path, "csv"), [install("d"), install("e", country="SVN"), install("")],
+             [good, dict(good, revenue="12345678901.00"), dict(good, event_time="soon", revenue="x"), dict(good, event="e" * 41)],
+             [dict(conversion_value=v, redownload=r) for v, r in ((255, 1), (256, 0), (-1, 0), (7, 2), ("1.5", "yes"), ("", ""))])
+    csv, target = os.path.join(tmpdir_path, "csv"), os.path.join(tmpdir_path, "raw")
+    with pytest.raises(Exception):
+        loader.load_raw(spark, csv, target)
+    assert loader.load_raw(spark, csv, target, quarantine=True) == {"appsflyer": 1, "singular": 0, "skan": 2, "backend": 1}
+    folder = os.path.join(target, "loads", loader.committed_load(spark, target), "rejects")
+    faults = {n: sorted(f for r in spark.read.parquet(os.path.join(folder, n)).collect() for f in r["_faults"])
+              for n in ("appsflyer", "skan", "backend")}
+    assert faults == {
+        "appsflyer": ["appsflyer_id: missing", "country_code: longer than 2"],
+        "skan": ["conversion_value: not a whole number", "conversion_value: not within 0 and 255",
+                 "conversion_value: not within 0 and 255", "redownload: not a whole number", "redownload: not within 0 and 1"],
+        "backend": ["event: longer than 40", "event_time: not a datetime", "revenue: not a number", "revenue: over 10 digits"]}
+    marks = {r.source_name: (r.row_count, r.high_water) for r in loader.read_marks(spark, target).collect() if r.row_count}
+    assert marks["backend"] == (1, dt.datetime(2024, 1, 2, 10))
+
+
+def test_digest_sees_every_change(spark):
+    t = dt.datetime(2024, 1, 2, 10)
+    base = [backend("u", "1.00", t), backend("v", None, t), backend("v", None, t)]
+
+    def digest(rows):
+        return tuple(loader.table_digests({"backend": sources(spark, backend_rows=rows).backend}).first())
+    assert digest(base) == digest(base[::-1])
+    for other in (base[:2], base + base[:1], [backend("u", "1.01", t), *base[1:]], [backend("u", "1.00", None), *base[1:]],
+                  [backend("u", "1.00", t), backend("v", None, t), backend("v", "0.00", t)]):
+        assert digest(other) != digest(base)
+
+
+def test_freshness_by_load(spark):
+    from acqlens.sources.freshness import freshness_by_load
+    d = lambda n: dt.datetime(2024, 1, n)
+    rows = [("1", "a", d(1)), ("1", "b", d(1)), ("1", "c", None), ("2", "a", d(4)), ("2", "b", None), ("2", "c", None),
+            ("3", "a", d(2)), ("3", "b", d(20)), ("3", "c", None)]
+    marks = spark.createDataFrame(rows, "load_id string, source_name string, high_water timestamp_ntz")
+    got = {(r.load_id, r.source_name): (r.status, r.lag_seconds, r.advanced_seconds) for r in freshness_by_load(marks).collect()}
+    day = 86400
+    assert got["1", "a"] == ("pass", 0, None) and got["2", "b"] == ("warn", 3 * day, 0)
+    assert got["3", "a"] == ("error", 16 * day, 0) and got["3", "b"] == ("pass", 0, 19 * day) and got["2", "c"][0] == "no clock"
