@@ -1,8 +1,6 @@
 """Shared helpers of the llm operators: words, tables in the shared folder, hash remainders."""
 from __future__ import annotations
 
-import os
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,20 +8,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acqlens.session import ensure_checkpoint_dir
+from acqlens.session import Scratch
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """``df`` written to the shared checkpoint folder and read back: cuts the lineage, so what follows
-    neither recomputes it nor depends on executors that may be lost."""
-    spark = df.sparkSession
-    path = os.path.join(ensure_checkpoint_dir(spark), f"llm-{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    neither recomputes it nor depends on executors that may be lost. The folder goes when the process ends."""
+    scratch = Scratch(df.sparkSession, f"llm-{name}").until_exit()
+    df.write.option("compression", codec).parquet(scratch.root)
+    return df.sparkSession.read.schema(df.schema).parquet(scratch.root)
 
 
 def remainder(doc_id: Column, modulus: int) -> Column:

@@ -1,10 +1,13 @@
 """SentencePiece encoding and decoding, giant documents by a max-plus parallel scan.
 
 A model file gives pieces and ids; a text's segmentation is the one of the greatest total score (a unigram
-decoding; see ``Pieces`` for scores); of equal scores any one. A document longer than ``CHUNK``
+decoding; see ``Pieces`` for scores); of equal scores that whose last piece begins first, as long as rounding
+leaves them equal (a chunked document adds its scores in another order). A document longer than ``CHUNK``
 characters is cut into chunks that go to different tasks. A chunk's state at its border is how many
 characters the piece across it reaches into the chunk; the chunk yields the matrix of best scores from
-each state at its beginning to each at its end. Matrices multiply in max-plus algebra, associatively:
+each state at its beginning to each at its end. If no piece crosses the border of words (true of models that
+split at spaces), a path is free at every such border, so the matrix is the cost up to the first border, of the
+words between, and from the last. Matrices multiply in max-plus algebra, associatively:
 ``BLOCK`` that follow one another make a product in a Spark grouping, as many of these products the next,
 until a document has one block left. The states at the borders of that block's parts are the states at the
 ends of the blocks below, whose inner borders are then found block by block, and each chunk is traced back
@@ -34,6 +37,8 @@ CHUNK = 32_768
 BLOCK = 64         # matrices that are multiplied, and whose borders are found, in one group
 CACHE = 300_000
 _MARK = "▁"
+_BORDER = re.compile(f"(?<=[^{_MARK}]){_MARK}")
+_WORD = re.compile(f"{_MARK}+[^{_MARK}]*|[^{_MARK}]+")
 _KEPT = "﷐"     # a noncharacter standing for a U+2581 of the text, so that it is spelled in bytes
 
 
@@ -56,7 +61,7 @@ class Pieces:
         self.longest = max(map(len, self.score), default=1)
         # if no piece goes from another character on to a mark, words are decoded one by one
         self.by_words = not any(re.search(f"[^{_MARK}]{_MARK}", p) for p in self.score)
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, tuple[list[int], float]] = {}
 
     def at(self, s: str, i: int) -> list[tuple[int, float]]:
         """(end, score) of the pieces of s that begin at i; the bytes of the character if it is no piece."""
@@ -75,6 +80,10 @@ class Pieces:
 
     def trace(self, s: str, begin: int, end: int) -> list[int]:
         """Ids of the best segmentation of s[begin:end]."""
+        return self._best(s, begin, end)[0]
+
+    def _best(self, s: str, begin: int, end: int) -> tuple[list[int], float]:
+        """Ids and score of the best segmentation of s[begin:end], character by character."""
         best, came = [-np.inf] * (end + 1), [0] * (end + 1)
         best[begin] = 0.0
         part = s[:end]
@@ -87,11 +96,61 @@ class Pieces:
         while cuts[-1] > begin:
             cuts.append(came[cuts[-1]])
         cuts.reverse()
-        return [t for a, b in zip(cuts, cuts[1:]) for t in self.ids(s[a:b])]
+        return [t for a, b in zip(cuts, cuts[1:]) for t in self.ids(s[a:b])], best[end]
+
+    def word_borders(self, s: str, least: int, most: int) -> tuple[int, int] | None:
+        """The first and the last place from ``least`` to ``most`` that no piece goes across: a mark after another
+        character. None if there is none, or if the model's pieces may cross such a place."""
+        if not self.by_words:
+            return None
+        first = _BORDER.search(s, max(least, 1))
+        if not first or first.start() > most:
+            return None
+        last = s.rfind(_MARK, 0, most + 1)
+        while s[last - 1] == _MARK:
+            last = s.rfind(_MARK, 0, last)
+        return first.start(), last
+
+    def words(self, s: str) -> tuple[list[int], float]:
+        """Ids and score of a text that begins and ends at word borders, by remembered words."""
+        if len(self.known) > CACHE:
+            self.known.clear()
+        ids: list[int] = []
+        total = 0.0
+        for w in _WORD.findall(s):
+            got = self.known.get(w)
+            if got is None:
+                got = self._best(w, 0, len(w))
+                if len(w) <= 64:
+                    self.known[w] = got
+            ids += got[0]
+            total += got[1]
+        return ids, total
 
     def matrix(self, s: str, body: int) -> np.ndarray:
         """Best scores from each state at the beginning of s[:body] to each at its end; what follows the
-        body in s is what pieces may reach into."""
+        body in s is what pieces may reach into. Where the chunk holds word borders, every path passes the first
+        and the last: what comes before depends on the state at the beginning alone, what comes after on that at
+        the end, and the words between cost what they cost."""
+        borders = self.word_borders(s, self.longest, body)
+        if borders is None:
+            return self.full_matrix(s, body)
+        first, last = borders
+        head = np.full(first + 1, -np.inf)
+        head[first] = 0.0
+        before = s[:first]
+        for i in range(first - 1, -1, -1):
+            head[i] = max(x + head[j] for j, x in self.at(before, i))
+        tail = np.full(body + self.longest + 1 - last, -np.inf)
+        tail[0] = 0.0
+        for i in range(last, body):
+            for j, x in self.at(s, i):
+                tail[j - last] = max(tail[j - last], tail[i - last] + x)
+        end = tail[body - last:body - last + self.longest]
+        return head[:self.longest, None] + self.words(s[first:last])[1] + end[None, :]
+
+    def full_matrix(self, s: str, body: int) -> np.ndarray:
+        """The same, character by character for all states at once."""
         best = np.full((body + self.longest + 1, self.longest), -np.inf)
         for i in range(min(self.longest, body + self.longest)):
             best[i, i] = 0.0
@@ -100,21 +159,17 @@ class Pieces:
                 np.maximum(best[j], best[i] + x, out=best[j])
         return best[body:body + self.longest].T.copy()
 
+    def between(self, s: str, begin: int, end: int) -> list[int]:
+        """Ids of the best segmentation of s[begin:end], words remembered between the first and last border."""
+        borders = self.word_borders(s, begin, end)
+        if borders is None:
+            return self.trace(s, begin, end)
+        first, last = borders
+        return self.trace(s, begin, first) + self.words(s[first:last])[0] + self.trace(s, last, end)
+
     def encode(self, s: str) -> list[int]:
         """Ids of a whole text that is already written with marks."""
-        if not self.by_words:
-            return self.trace(s, 0, len(s))
-        if len(self.known) > CACHE:
-            self.known.clear()
-        out: list[int] = []
-        for w in re.findall(f"{_MARK}+[^{_MARK}]*|[^{_MARK}]+", s):
-            got = self.known.get(w)
-            if got is None:
-                got = self.trace(w, 0, len(w))
-                if len(w) <= 64:
-                    self.known[w] = got
-            out += got
-        return out
+        return self.words(s)[0] if self.by_words else self.trace(s, 0, len(s))
 
     def raw(self, ids: list[int]) -> bytes:
         """The bytes of ids, the space before the text among them."""
@@ -196,6 +251,7 @@ def encode(docs: DataFrame, path: str, chunk: int = CHUNK, block: int = BLOCK,
 def _encoded(docs: DataFrame, path: str, chunk: int, block: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """The encodings of documents of one chunk, and of the others."""
     fields = "doc_id long, row string, chunk int, chunks int, text string"
+    result = "doc_id long, row string, chunk int, chunks int, ids binary"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         longest = _model(path).longest
@@ -203,16 +259,18 @@ def _encoded(docs: DataFrame, path: str, chunk: int, block: int, id_col: str, te
             out = []
             for doc, row, text in zip(*(c.to_pylist() for c in b.columns)):
                 s = marked(text)
-                n = max(1, -(-len(s) // chunk))
+                n = -(-len(s) // chunk)
                 out += [(doc, row, k, n, s[k * chunk:(k + 1) * chunk + longest]) for k in range(n)]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
                 zip(*out) if out else ([],) * 5, (pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.string()))],
                 ["doc_id", "row", "chunk", "chunks", "text"])
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ids = [np.array(_model(path).encode(t), "<u4").tobytes() for t in b.column(4).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(ids, pa.binary())], ["doc_id", "row", "chunk", "chunks", "ids"])
+        for b in small_batches(batches, 2 << 20):
+            ids = [np.array(_model(path).encode(marked(t)), "<u4").tobytes() for t in b.column(2).to_pylist()]
+            n = len(ids)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([0] * n, pa.int32()), pa.array([1] * n, pa.int32()),
+                                              pa.array(ids, pa.binary())], ["doc_id", "row", "chunk", "chunks", "ids"])
 
     def transfer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -224,20 +282,22 @@ def _encoded(docs: DataFrame, path: str, chunk: int, block: int, id_col: str, te
 
     def traced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids = [np.array(_model(path).trace(s, i, min(chunk, len(s)) + j), "<u4").tobytes()
+            ids = [np.array(_model(path).between(s, i, min(chunk, len(s)) + j), "<u4").tobytes()
                    for s, i, j in zip(*(b.column(c).to_pylist() for c in (4, 5, 6)))]
             yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(ids, pa.binary())], ["doc_id", "row", "chunk", "chunks", "ids"])
 
-    result = "doc_id long, row string, chunk int, chunks int, ids binary"
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.monotonically_increasing_id().cast("string").alias("row"), F.col(text_col).cast("string").alias("text"))
-    pieces = source.mapInArrow(cut, fields)
-    short = pieces.filter("chunks = 1").mapInArrow(whole, result)
-    # the chunks of giant documents are written, and dealt out evenly; the row number of a file's row is the same if a task runs again
-    giant = written(pieces.filter("chunks > 1").repartition("row", "chunk"), "piece-chunks")
+    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.monotonically_increasing_id().cast("string").alias("row"),
+                         F.col(text_col).cast("string").alias("text"))
+    is_giant = F.coalesce(F.length("text") + 1 > chunk, F.lit(False))    # written with the mark before it
+    short = source.filter(~is_giant).mapInArrow(whole, result)
+    # the chunks of giant documents are written, and dealt out evenly by number, as their cost is time and not size;
+    # the row number of a file's row is the same if a task runs again
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    giant = written(source.filter(is_giant).mapInArrow(cut, fields).repartition(tasks, "row", "chunk"), "piece-chunks")
     matrices = written(giant.mapInArrow(transfer, "row string, chunk int, m binary"), "piece-matrices")
     most = giant.agg(F.coalesce(F.max("chunks"), F.lit(0))).first()[0]
-    tasks = giant.join(scan(matrices, most, block), ["row", "chunk"]).select("doc_id", "row", "chunk", "chunks", "text", "enter", "leave")
-    return short, tasks.mapInArrow(traced, result)
+    known = giant.join(scan(matrices, most, block), ["row", "chunk"]).select("doc_id", "row", "chunk", "chunks", "text", "enter", "leave")
+    return short, known.mapInArrow(traced, result)
 
 
 def _raw(encoded: DataFrame, path: str) -> DataFrame:

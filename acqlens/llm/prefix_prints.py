@@ -245,7 +245,7 @@ def neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             doc, text, mark = last
             yield _batch([(doc, len(text), None, mark, None, None, None, place, False, text)], ROW + BORDER)
 
-    done = written(ordered.mapInArrow(run, SCHEMA + ", place long, head boolean, text string"), "prints")
+    done = written(ordered.mapInArrow(run, SCHEMA + ", place long, head boolean, text string"), "prints", "zstd")
     borders = done.filter("place is not null")
     # two rows a range: the last of one range and the first of the next range that has rows
     whole = Window.orderBy("place").rowsBetween(1, Window.unboundedFollowing)

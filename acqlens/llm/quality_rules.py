@@ -191,7 +191,8 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, precision: f
     """Rules from at most ``sample`` labelled documents, in the order of a hash of their ids."""
     some = labels.filter("quality is not null").select(F.col("doc_id").alias("__id"), F.col("quality").alias("__quality")) \
         .orderBy(F.xxhash64("__id"), "__id", "__quality").limit(sample)
-    texts = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).alias("text")).join(F.broadcast(some), "__id")
+    texts = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).alias("text")) \
+        .join(F.broadcast(some.select("__id").distinct()), "__id").groupBy("__id").agg(F.min("text").alias("text")).join(some, "__id")
     seen = features(texts).filter(~base_failed()).select("__id", "__quality", *(c.alias(f"s_{k}") for k, c in statistics().items())) \
         .toPandas().sort_values(["__id", "__quality"], ignore_index=True)
     x = {k: seen[f"s_{k}"].to_numpy(float) for k in statistics()}

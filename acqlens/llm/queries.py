@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from acqlens.llm import (importance, langid, licenses, nn_descent, packing, periodic_runs, piece_scan, pitman_yor,
                          prefix_prints, quality_rules, secrets, simhash_dedup, toxicity)
 from acqlens.llm.common import remainder, table, written
+from acqlens.llm.sql import ORACLES  # noqa: F401  (read by the entry module)
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -87,4 +88,3 @@ QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
     op1_pitman_yor, op2_best_fit_packing, op3_simhash_dedup, op4_secret_scan, op5_toxicity, op6_language_id,
     op7_nn_descent, op8_piece_scan, op9_quality_rules, op10_license_scan, op11_periodic_runs,
     op12_importance_resampling, op13_prefix_prints)}
-ORACLES: dict[str, str] = {}

@@ -119,7 +119,9 @@ def learn(docs: DataFrame, labels: DataFrame, is_train: Column, positives: int =
         for b in small_batches(batches):
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([buckets(t).tobytes() for t in b.column(1).to_pylist()], pa.binary())],
                                              ["positive", "found"])
-    rows = train.join(F.broadcast(chosen), "__id").select("positive", "text").mapInArrow(run, "positive boolean, found binary").collect()
+    # the hint is bounded by ``positives`` and ``unlabelled``; one row an id, so that no more rows than chosen ids reach the driver however often an id is repeated
+    texts = train.join(F.broadcast(chosen.select("__id").distinct()), "__id").groupBy("__id").agg(F.min("text").alias("text"))
+    rows = texts.join(chosen, "__id").select("positive", "text").mapInArrow(run, "positive boolean, found binary").collect()
     found = sorted((r["positive"], bytes(r["found"])) for r in rows)    # the same order whatever the tasks'
     split = {k: [np.frombuffer(x, np.int32) for p, x in found if p is k] for k in (True, False)}
     return fit(split[True], split[False], prior)
