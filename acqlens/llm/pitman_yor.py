@@ -4,19 +4,28 @@ Every context word has a restaurant whose customers are the words that follow it
 the unigram restaurant, and that the uniform base. A table of a child is a customer of the parent. A Gibbs
 sweep seats each dish of each restaurant anew, given the parent's predictive probabilities and the other
 tables of the restaurant as the sweep before left them: customer after customer opens a new table or joins
-one. Sweeps are Spark jobs: restaurants meet their parents by joins, tables add up by groupings. Within a
-sweep restaurants do not see each other's new tables, so sweeps of all tasks agree on one state. A dish's
-first ``EXACT`` customers draw one by one; later ones draw their new tables block by block from the Poisson
-law of the same probabilities. Predictive probabilities are averaged over the sweeps after burn-in.
+one. Within a sweep restaurants do not see each other's new tables, so sweeps of all tasks agree on one state.
+A dish's first ``EXACT`` customers draw one by one; later ones draw their new tables block by block from the
+Poisson law of the same probabilities. Predictive probabilities are averaged over the sweeps after burn-in.
+
+A dish of one customer has one table whatever is drawn, so sweeps (joins and groupings in Spark) move only the
+dishes of two customers or more; the others enter by their number per word and per context. Pairs (context,
+word) are dealt to ``buckets`` by their hashes, about ``BUCKET_CHARS`` characters of text a bucket. A first pass
+over the texts sends each bucket its pairs, packed, and counts them; a second sends each bucket the pairs again
+with their documents, after what the bucket needs to price them: probabilities of its words, weights of its
+contexts, tables of its dishes. A bucket holds its distinct pairs; the documents of a pair, however many, stream
+past. So texts are read twice, and no pair is shuffled more than twice or stored with its document.
 
 Draws come from hashes of (context, word, sweep, customer), so a task that runs again draws the same.
 Words travel as 64-bit hashes. Nulls: a null or empty text is the end token alone; a null id counts as ''.
 Rows that repeat are scored each. Extra columns are ignored; empty tables give no rows; without training
-text N is 0 and the base is uniform.
+text N is 0 and the base is uniform. Ties do not arise: scores are sums. Very long texts are packed in parts.
 """
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +33,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from acqlens.llm.common import lower_words, small_batches, written
+from acqlens.llm.common import lower_words, small_batches, starts_of
+from acqlens.session import Scratch
 
 DISCOUNT = 0.75
 STRENGTH = 1.0
@@ -33,38 +43,148 @@ SAMPLES = 2
 EXACT = 1024       # customers of a dish that draw one by one
 END = 1            # hash standing for the end token; START for the context of the first token
 START = 2
+BUCKET_CHARS = 16_000_000   # of text a bucket of pairs, on average
+PACK = 1 << 20              # pairs that a task gathers before it sends them
 
 
-def _hashes(text: str | None) -> np.ndarray:
-    digest = xxhash.xxh64_intdigest
-    w = lower_words(text)
-    return np.array([*(digest(x) for x in w), END], np.uint64).view(np.int64)
+class Hashes(dict):
+    """64-bit hashes of words, remembered."""
 
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > 1 << 18:
+            self.clear()
+        h = self[word] = xxhash.xxh64_intdigest(word)
+        return h
 
-def pairs(docs: DataFrame, is_train: Column, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, tag, train, u, w, n): the pairs (context, word) of each document with their counts. ``tag``
-    tells rows that repeat a doc_id apart."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def pairs(texts: list[str | None], hashes: Hashes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, u, w, n): the distinct pairs (context, word) of each text with their counts, by row, context, word."""
+    tokens = [np.array([*map(hashes.__getitem__, lower_words(t)), END], np.uint64).view(np.int64) for t in texts]
+    size = np.fromiter(map(len, tokens), np.int64, len(tokens))
+    row = np.repeat(np.arange(len(tokens)), size)
+    w = np.concatenate(tokens) if tokens else np.zeros(0, np.int64)
+    u = np.empty_like(w)
+    u[1:] = w[:-1]
+    u[np.cumsum(size) - size] = START
+    return distinct(row, u, w)
+
+
+def distinct(*keys: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """The distinct rows of some columns, sorted, and the sum of ``n`` (1 a row) over the rows that each stands for."""
+    order = np.lexsort(keys[::-1])
+    keys = tuple(k[order] for k in keys)
+    at = starts_of(*keys)
+    if n is None:
+        return *(k[at] for k in keys), np.diff(np.append(at, len(order)))
+    return *(k[at] for k in keys), np.add.reduceat(n[order], at) if len(at) else n[:0]
+
+
+def pack(u: np.ndarray, w: np.ndarray, *more: np.ndarray) -> bytes:
+    """Columns in few bytes: words by their place in a list of the block's words, numbers as small as they fit."""
+    words, at = np.unique(np.concatenate([u, w]), return_inverse=True)
+    parts = [words]
+    for column in (at[:len(u)], at[len(u):], *more):
+        parts.append(column.astype(np.min_scalar_type(int(column.max(initial=0)))))
+    head = np.array([len(words), len(u), *(p.itemsize for p in parts[1:])], np.int64)
+    return zlib.compress(np.int64(len(head)).tobytes() + head.tobytes() + b"".join(p.tobytes() for p in parts), 1)
+
+
+def unpack(block: bytes) -> list[np.ndarray]:
+    raw = zlib.decompress(block)
+    n = int(np.frombuffer(raw, np.int64, 1)[0])
+    head = np.frombuffer(raw, np.int64, n, 8)
+    at = 8 + 8 * n
+    words = np.frombuffer(raw, np.int64, head[0], at)
+    at += 8 * int(head[0])
+    out = []
+    for size in head[2:].tolist():
+        out.append(np.frombuffer(raw, f"u{size}", head[1], at).astype(np.int64))
+        at += size * int(head[1])
+    return [words[out[0]], words[out[1]], *out[2:]]
+
+
+def bucket_of(u: np.ndarray, w: np.ndarray, buckets: int) -> np.ndarray:
+    return (u ^ w) % buckets
+
+
+def dealt(buckets: int, u: np.ndarray, w: np.ndarray, *more: np.ndarray) -> Iterator[tuple[int, tuple[np.ndarray, ...]]]:
+    """The rows of each bucket."""
+    b = bucket_of(u, w, buckets)
+    order = np.argsort(b, kind="stable")
+    at = starts_of(b[order])
+    for begin, end in zip(at, np.append(at[1:], len(order))):
+        rows = order[begin:end]
+        yield int(b[rows[0]]), tuple(c[rows] for c in (u, w, *more))
+
+
+def _blocks(rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([b for b, _ in rows], pa.int32()), pa.array([x for _, x in rows], pa.binary())],
+                                      ["bucket", "block"])
+
+
+def _source(docs: DataFrame, is_train: Column, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"),
+                       F.coalesce(is_train, F.lit(False)).alias("train"), F.col(text_col).cast("string").alias("text"))
+
+
+COUNTS = "kind int, bucket int, a long, b long, x long, y long, block binary"
+DISH, WORD, CONTEXT, UNSEEN, TOKENS = range(5)
+
+
+def counts(source: DataFrame, buckets: int) -> DataFrame:
+    """What each bucket holds, by ``kind``: DISH, a pair (a, b) with its x customers, 2 or more; WORD and CONTEXT, a
+    with its x customers and its y dishes of one customer in this bucket; UNSEEN, a block of the pairs of held-out
+    text alone."""
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, held, size = Hashes(), [], 0
+
+        def packed() -> pa.RecordBatch:
+            u, w, c = distinct(*(np.concatenate(x) for x in list(zip(*held))[:2]), n=np.concatenate([x[2] for x in held]))
+            return _blocks([(b, pack(*columns)) for b, columns in dealt(buckets, u, w, c)])
         for b in small_batches(batches, 2 << 20):
-            tokens = [_hashes(t) for t in b.column(3).to_pylist()]
-            size = np.fromiter(map(len, tokens), np.int64, len(tokens))
-            row = np.repeat(np.arange(len(tokens)), size)
-            w = np.concatenate(tokens) if tokens else np.zeros(0, np.int64)
-            u = np.empty_like(w)
-            u[1:] = w[:-1]
-            u[np.cumsum(size) - size] = START
-            order = np.lexsort((w, u, row))
-            row, u, w = row[order], u[order], w[order]
-            new = np.ones(len(w), bool)
-            new[1:] = (row[1:] != row[:-1]) | (u[1:] != u[:-1]) | (w[1:] != w[:-1])
-            at = np.flatnonzero(new)
-            n = np.diff(np.append(at, len(w)))
-            yield pa.RecordBatch.from_arrays([*(b.column(i).take(pa.array(row[at])) for i in range(3)), pa.array(u[at]),
-                                              pa.array(w[at]), pa.array(n)], ["doc_id", "tag", "train", "u", "w", "n"])
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.hash(text).alias("tag"),
-                       F.coalesce(is_train, F.lit(False)).alias("train"), text.alias("text")) \
-               .mapInArrow(run, "doc_id long, tag int, train boolean, u long, w long, n long")
+            row, u, w, n = pairs(b.column(1).to_pylist(), hashes)
+            train = b.column(0).to_numpy(zero_copy_only=False)[row]
+            held.append(distinct(u, w, n=n * train))
+            size += len(held[-1][0])
+            if size >= PACK:
+                yield packed()
+                held, size = [], 0
+        if held:
+            yield packed()
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def emit(bucket: int, u: np.ndarray, w: np.ndarray, c: np.ndarray) -> Iterator[pa.RecordBatch]:
+            many, single, unseen = c > 1, c == 1, c == 0
+            words, cw, w1 = *distinct(w, n=c), distinct(w, n=single.astype(np.int64))[1]
+            heads, cu, u1 = *distinct(u, n=c), distinct(u, n=single.astype(np.int64))[1]
+            for kind, columns, block in ((DISH, (u[many], w[many], c[many], None), None), (WORD, (words, None, cw, w1), None),
+                                         (CONTEXT, (heads, None, cu, u1), None),
+                                         (UNSEEN, (np.zeros(1, np.int64), None, None, None), pack(u[unseen], w[unseen]))):
+                n = len(columns[0])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(n, kind, np.int32)), pa.array(np.full(n, bucket, np.int32)),
+                     *(pa.nulls(n, pa.int64()) if x is None else pa.array(x) for x in columns),
+                     pa.array([block] * n, pa.binary())], [f.split()[0] for f in COUNTS.split(", ")])
+        bucket, sums, late, n_late = None, None, [], 0
+
+        def merged():
+            parts = ([sums] if sums else []) + late
+            return distinct(*(np.concatenate([x[i] for x in parts]) for i in (0, 1)), n=np.concatenate([x[2] for x in parts]))
+        for batch in batches:
+            for b, block in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if b != bucket and bucket is not None:
+                    yield from emit(bucket, *merged())
+                    sums, late, n_late = None, [], 0
+                bucket = b
+                late.append(unpack(block))
+                n_late += len(late[-1][0])
+                if n_late > PACK:
+                    sums, late, n_late = merged(), [], 0
+        if bucket is not None:
+            yield from emit(bucket, *merged())
+
+    sent = source.select("train", "text").mapInArrow(send, "bucket int, block binary")
+    return sent.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(count, COUNTS)
 
 
 def _uniform(key: np.ndarray, i: int) -> np.ndarray:
@@ -132,55 +252,186 @@ def parent_mass(own: Column, tables: int, base: float, discount: float = DISCOUN
 
 
 def score(docs: DataFrame, is_train: Column, discount: float = DISCOUNT, strength: float = STRENGTH,
-          burn_in: int = BURN_IN, samples: int = SAMPLES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+          burn_in: int = BURN_IN, samples: int = SAMPLES, id_col: str = "doc_id", text_col: str = "text",
+          bucket_chars: int = BUCKET_CHARS) -> DataFrame:
     """doc_id, train, n_tokens, n_known, train_tokens, base_score and score (log10), a row per document row."""
-    tokens = pairs(docs, is_train, id_col, text_col)
-    # every pair that occurs anywhere, with its count in training text (0 if only held-out text has it)
-    seen = written(tokens.groupBy("u", "w").agg(F.sum(F.when(F.col("train"), F.col("n")).otherwise(0)).alias("c")), "py-pairs")
-    words = written(seen.groupBy("w").agg(F.sum("c").alias("count")), "py-words")
-    total, vocabulary = words.filter("count > 0").agg(F.coalesce(F.sum("count"), F.lit(0)), F.count("*")).first()
+    spark = docs.sparkSession
+    source = _source(docs, is_train, id_col, text_col)
+    buckets = 1 + int(source.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0] // bucket_chars)
+    found = Scratch(spark, "py-counts").until_exit().write(counts(source, buckets), "counts")
+    kept = Scratch(spark, "py-model").until_exit()
+
+    def sums(kind: int, key: str) -> DataFrame:
+        return found.filter(F.col("kind") == kind).groupBy(F.col("a").alias(key)) \
+            .agg(F.sum("x").alias("customers"), F.sum("y").alias("singles"))
+    words = kept.write(sums(WORD, "w"), "words")
+    total, vocabulary = words.filter("customers > 0").agg(F.coalesce(F.sum("customers"), F.lit(0)), F.count("*")).first()
     base = 1.0 / (vocabulary + 1)
-    contexts = seen.filter("c > 0").groupBy("u").agg(F.sum("c").alias("cu"))
-    contexts = written(contexts, "py-contexts")
+    contexts = kept.write(sums(CONTEXT, "u").filter("customers > 0"), "contexts")
     # what a sweep starts from: one table per dish
-    state = seen.filter("c > 0").withColumn("t", F.lit(1).cast("long"))
-    parents, weights = [], []
-    parent, tp = words.filter("count > 0").select("w", F.lit(1).cast("long").alias("t")), vocabulary
+    state = found.filter(F.col("kind") == DISH).select(F.col("a").alias("u"), F.col("b").alias("w"), F.col("x").alias("c"),
+                                                       F.lit(1).cast("long").alias("t"))
+    parent, tp, unknown, scratch = words.filter("customers > 0").select("w", F.lit(1).cast("long").alias("t")), vocabulary, [], None
     for sweep in range(burn_in + samples):
+        now = Scratch(spark, "py-sweep")
         # the parent's dishes meet the tables that the sweep before left to the others, as the children's do
-        served = state.groupBy("w").agg(F.sum("t").alias("c")).join(parent.select("w", F.col("t").alias("own")), "w")
-        customers = written(served.select(F.lit(0).cast("long").alias("u"), "w", "c", parent_mass(F.col("own"), tp, base, discount, strength)
-                                          .alias("fixed"), F.lit(discount * base).alias("each")), "py-parent-in")
-        parent = written(_seated(customers, sweep, discount), "py-parent")
+        served = words.filter("customers > 0").select("w", "singles").join(state.groupBy("w").agg(F.sum("t").alias("more")), "w", "left") \
+            .select("w", (F.col("singles") + F.coalesce("more", F.lit(0))).alias("c")).join(parent.select("w", F.col("t").alias("own")), "w")
+        customers = served.select(F.lit(0).cast("long").alias("u"), "w", "c", parent_mass(F.col("own"), tp, base, discount, strength)
+                                  .alias("fixed"), F.lit(discount * base).alias("each"))
+        parent = now.write(_seated(customers, sweep, discount), "parent")
         cp, tp = parent.agg(F.coalesce(F.sum("c"), F.lit(0)), F.coalesce(F.sum("t"), F.lit(0))).first()
         p = (F.greatest(F.col("c") - discount * F.col("t"), F.lit(0.0)) + (strength + discount * tp) * base) / (strength + cp)
-        parents.append(parent.select("w", p.alias("p")))
-        unknown = (strength + discount * tp) * base / (strength + cp)
-        tables = state.groupBy("u").agg(F.sum("t").alias("tu"))
-        rows = state.join(parents[-1], "w").join(tables, "u")
+        tables = _tables(contexts, state)
+        rows = state.join(parent.select("w", p.alias("p")), "w").join(tables.select("u", "tu"), "u")
         mass = F.greatest(strength + discount * (F.col("tu") - F.col("t")), F.lit(0.0)) * F.col("p")
-        state = written(_seated(rows.select("u", "w", "c", mass.alias("fixed"), (discount * F.col("p")).alias("each")),
-                                sweep, discount), "py-tables")
+        if sweep > burn_in:
+            rows = rows.withColumn(f"t{sweep - 1 - burn_in}", F.col("t"))
+        history = [f"t{i}" for i in range(max(0, sweep - burn_in))]
+        state = now.write(_seated(rows.select("u", "w", "c", *history, mass.alias("fixed"), (discount * F.col("p")).alias("each")),
+                                  sweep, discount), "state")
         if sweep >= burn_in:
-            weights.append((state, parents[-1], unknown))
-    # averaged predictive probabilities of every pair
-    known = seen.select("u", "w")
-    for i, (tables, parent, unknown) in enumerate(weights):
-        gate = tables.groupBy("u").agg(((strength + discount * F.sum("t")) / (strength + F.sum("c"))).alias(f"g{i}"),
-                                       (strength + F.sum("c")).alias(f"z{i}"))
-        known = known.join(tables.select("u", "w", (F.col("c") - discount * F.col("t")).alias(f"d{i}")), ["u", "w"], "left") \
-            .join(parent.withColumnRenamed("p", f"p{i}"), "w", "left").join(gate, "u", "left")
-    mean = sum((F.coalesce(F.greatest(F.col(f"d{i}"), F.lit(0.0)) / F.col(f"z{i}"), F.lit(0.0))
-                + F.coalesce(F.col(f"g{i}"), F.lit(1.0)) * F.coalesce(F.col(f"p{i}"), F.lit(unknown)))
-               for i, (_, _, unknown) in enumerate(weights)) / len(weights)
-    smooth = (F.col("count") + 0.5) / (total + 0.5 * (vocabulary + 1))
-    priced = written(known.select("u", "w", F.log10(mean).alias("lp")).join(
-        words.select("w", F.log10(smooth).alias("lb"), (F.col("count") > 0).alias("known")), "w"), "py-priced")
-    sums = tokens.join(priced, ["u", "w"]).groupBy("doc_id", "tag", "train").agg(
-        F.sum("n").alias("n_tokens"), F.sum(F.when(F.col("known"), F.col("n")).otherwise(0)).alias("n_known"),
-        F.sum(F.col("n") * F.col("lb")).alias("base_score"), F.sum(F.col("n") * F.col("lp")).alias("score"),
-        F.sum(F.when(F.col("w") == END, F.col("n")).otherwise(0)).alias("copies"))
-    each = [(F.col(c) / F.col("copies")).cast(t).alias(c) for c, t in (("n_tokens", "long"), ("n_known", "long"))]
-    return sums.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(
-        "doc_id", "train", *each, F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("base_score") / F.col("copies")).alias("base_score"), (F.col("score") / F.col("copies")).alias("score"))
+            i = sweep - burn_in
+            unknown.append((strength + discount * tp) * base / (strength + cp))
+            words = kept.write(words.join(parent.select("w", p.alias(f"p{i}")), "w", "left"), f"words{i}")
+            gate = (strength + discount * F.col("tu")) / (strength + F.col("customers"))
+            contexts = kept.write(_tables(contexts, state).withColumn(f"g{i}", gate).drop("tu"), f"contexts{i}")
+        if scratch:
+            scratch.free()                             # the state before is read no more
+        scratch = now.until_exit()
+    state = state.withColumnRenamed("t", f"t{samples - 1}")
+    smooth = (F.col("customers") + 0.5) / (total + 0.5 * (vocabulary + 1))
+    wanted = {
+        DISH: state.select(_pair_bucket(buckets).alias("bucket"), F.col("u").alias("a"), F.col("w").alias("b"),
+                           _values(F.col("c"), *(F.col(f"t{i}") for i in range(samples)))),
+        WORD: found.filter(F.col("kind") == WORD).select("bucket", F.col("a").alias("w")).join(words, "w").select(
+            "bucket", F.col("w").alias("a"), _values(F.log10(smooth), F.col("customers") > 0, *(
+                F.coalesce(f"p{i}", F.lit(unknown[i])) for i in range(samples)))),
+        CONTEXT: found.filter(F.col("kind") == CONTEXT).select("bucket", F.col("a").alias("u")).join(contexts, "u").select(
+            "bucket", F.col("u").alias("a"), _values(strength + F.col("customers"), *(F.col(f"g{i}") for i in range(samples)))),
+        UNSEEN: found.filter(F.col("kind") == UNSEEN).select("bucket", "block"),
+        TOKENS: _token_blocks(source, buckets)}
+    needs = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True),
+                   [df.withColumn("kind", F.lit(kind)) for kind, df in wanted.items()]).select("bucket", "kind", "a", "b", "v", "block")
+    priced = needs.repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind") \
+        .mapInArrow(_pricer(discount, samples), "row long, doc_id long, train boolean, n long, known long, base double, score double")
+    return priced.groupBy("row", "doc_id", "train").agg(
+        F.sum("n").alias("n_tokens"), F.sum("known").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
+        F.sum("base").alias("base_score"), F.sum("score").alias("score")).drop("row")
+
+
+def _values(*columns: Column) -> Column:
+    return F.array(*[c.cast("double") for c in columns]).alias("v")
+
+
+def _pair_bucket(buckets: int) -> Column:
+    return F.pmod(F.col("u").bitwiseXOR(F.col("w")), F.lit(buckets)).cast("int")
+
+
+def _tables(contexts: DataFrame, state: DataFrame) -> DataFrame:
+    """``contexts`` with ``tu``, the tables of all their dishes."""
+    more = state.groupBy("u").agg(F.sum("t").alias("__more"))
+    return contexts.join(more, "u", "left").withColumn("tu", F.col("singles") + F.coalesce("__more", F.lit(0))).drop("__more")
+
+
+def _token_blocks(source: DataFrame, buckets: int) -> DataFrame:
+    """(bucket, block): a batch's pairs with the places of their rows, after the rows' numbers, ids and parts."""
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = Hashes()
+        for b in small_batches(batches, 6 << 20):
+            row, u, w, n = pairs(b.column(3).to_pylist(), hashes)
+            number, doc = b.column(0).to_numpy(), b.column(1).fill_null(0).to_numpy()
+            flags = b.column(1).is_null().to_numpy(zero_copy_only=False) * 2 + b.column(2).to_numpy(zero_copy_only=False)
+            out = []
+            for bucket, (bu, bw, bn, brow) in dealt(buckets, u, w, n, row):
+                rows, at = np.unique(brow, return_inverse=True)
+                order = np.lexsort((bw, bu))
+                head = zlib.compress(np.concatenate([[len(rows)], number[rows], doc[rows], flags[rows]]).astype(np.int64).tobytes(), 1)
+                out.append((bucket, np.int64(len(head)).tobytes() + head + pack(bu[order], bw[order], bn[order], at[order])))
+            yield _blocks(out)
+    return source.mapInArrow(send, "bucket int, block binary")
+
+
+def _pricer(discount: float, samples: int):
+    """Prices the pairs of each bucket: rows by bucket and kind, the tokens last."""
+    def lookup(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+        """Rows of ``values`` (by ascending ``keys``) of the wanted keys, NaN where there is none."""
+        out = np.full((len(wanted), values.shape[1]), np.nan)
+        if len(keys):
+            at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+            hit = keys[at] == wanted
+            out[hit] = values[at[hit]]
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, have, ready = None, {}, None
+
+        def prepare():
+            def table(kind: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+                parts = have.get(kind, [])
+                a = np.concatenate([x[0] for x in parts]) if parts else np.zeros(0, np.int64)
+                b = np.concatenate([x[1] for x in parts]) if parts else a
+                v = np.concatenate([x[2] for x in parts]).reshape(-1, width) if parts else np.zeros((0, width))
+                order = np.lexsort((b, a))
+                return a[order], b[order], v[order]
+            words, heads = table(WORD, samples + 2), table(CONTEXT, samples + 1)
+            dishes = table(DISH, samples + 1)
+            unseen = [np.concatenate(x) for x in zip(*have.get(UNSEEN, []))] or [np.zeros(0, np.int64)] * 2
+            return words, heads, dishes, unseen
+
+        def pair_keys(u: np.ndarray, w: np.ndarray, heads: np.ndarray, words: np.ndarray) -> np.ndarray:
+            """One number per pair: places of its words among the bucket's (all of them are listed)."""
+            return np.searchsorted(heads, u) * (len(words) + 1) + np.searchsorted(words, w)
+
+        for batch in batches:
+            kinds, numbers = batch.column(1).to_numpy(), batch.column(0).to_numpy()
+            at = starts_of(numbers, kinds)
+            for begin, end in zip(at.tolist(), [*at[1:].tolist(), len(kinds)]):
+                part = batch.slice(begin, end - begin)
+                if numbers[begin] != bucket:
+                    bucket, have, ready = numbers[begin], {}, None
+                kind = int(kinds[begin])
+                if kind in (DISH, WORD, CONTEXT):
+                    a, b = (part.column(c).fill_null(0).to_numpy() for c in (2, 3))
+                    have.setdefault(kind, []).append((a, b, part.column(4).flatten().to_numpy()))
+                    continue
+                if kind == UNSEEN:
+                    have.setdefault(kind, []).extend(unpack(x) for x in part.column(5).to_pylist())
+                    continue
+                if ready is None:
+                    words, heads, dishes, unseen = prepare()
+                    # contexts of held-out text alone have no restaurant, but a place
+                    places = np.union1d(heads[0], unseen[0])
+                    keys = pair_keys(dishes[0], dishes[1], places, words[0])
+                    order = np.argsort(keys)
+                    ready = (words, heads, places, keys[order], dishes[2][order],
+                             np.sort(pair_keys(unseen[0], unseen[1], places, words[0])))
+                yield from (price(x, ready) for x in part.column(5).to_pylist())
+
+    def price(block: bytes, ready) -> pa.RecordBatch:
+        words, heads, places, dish_keys, dish_values, unseen = ready
+        size = int(np.frombuffer(block, np.int64, 1)[0])
+        head = np.frombuffer(zlib.decompress(block[8:8 + size]), np.int64)
+        m = int(head[0])
+        number, doc, flags = head[1:].reshape(3, m)
+        u, w, n, row = unpack(block[8 + size:])
+        of_word, of_head = lookup(words[0], words[2], w), lookup(heads[0], heads[2], u)
+        keys = np.searchsorted(places, u) * (len(words[0]) + 1) + np.searchsorted(words[0], w)
+        dish = lookup(dish_keys, dish_values, keys)
+        at = np.minimum(np.searchsorted(unseen, keys), max(len(unseen) - 1, 0))
+        absent = (unseen[at] == keys) if len(unseen) else np.zeros(len(keys), bool)
+        one = np.isnan(dish[:, 0])
+        c = np.where(one, np.where(absent, 0.0, 1.0), dish[:, 0])
+        mean = np.zeros(len(keys))
+        for i in range(samples):
+            t = np.where(one, c, dish[:, 1 + i])           # none, or one table for one customer
+            p = of_word[:, 2 + i]
+            served = np.maximum(c - discount * t, 0) / of_head[:, 0] + of_head[:, 1 + i] * p
+            mean += np.where(np.isnan(of_head[:, 0]), p, served)
+        lp = np.log10(mean / samples)
+        columns = [np.bincount(row, weights, m) for weights in (n, n * of_word[:, 1], n * of_word[:, 0], n * lp)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(number), pa.array(doc, mask=flags >= 2), pa.array(flags % 2 == 1),
+             *(pa.array(np.rint(x).astype(np.int64)) for x in columns[:2]), *(pa.array(x) for x in columns[2:])],
+            ["row", "doc_id", "train", "n", "known", "base", "score"])
+    return run
