@@ -4,7 +4,8 @@ Three base kinds are patterns (``assign``, ``access``, ``hex``). The method adds
 a candidate is a run of a class's characters; a window of fixed width slides over it, and as one character
 enters and one leaves, only the counts of these two change, so that sum(c * log2 c) is kept up to date
 without counting the window anew. Stretches whose windows reach the class's entropy are spans, unless
-the candidate matches the allow-list. No Python runs on rows: all is regular expressions and higher-order
+the candidate matches the allow-list; a part of a candidate that says it is an example is cut out, and what stands
+on either side is looked at by itself. No Python runs on rows: all is regular expressions and higher-order
 functions within one row, without a shuffle.
 
 Nulls: a null or empty text has no spans; a null id keeps its row. Repeated rows are scanned one by one.
@@ -39,10 +40,14 @@ CLASSES = (CharClass("entropy_hex", r"[0-9A-Fa-f]{24,}", 24, 2.9),
            CharClass("entropy_base64", r"[A-Za-z0-9+/_-]{24,}", 24, 4.0))
 
 # candidates that are no secrets: words and identifiers of one case, numbers, UUIDs, dates and paths of
-# words, alphabets, and values that say they are examples
+# words
 ALLOW = (r"^[a-z_-]+$", r"^[A-Z_-]+$", r"^[A-Z]?[a-z]+(?:[-_/][A-Z]?[a-z]+)*$", r"^[0-9_/+-]+$",
-         r"^[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$", r"(?i)example|placeholder|abcdefghijkl|0123456789",
+         r"^[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$",
          r"^(?:[a-z]{1,20}/)+[a-z]{1,20}$")
+# parts of a candidate (between / _ + -) that say they are examples, or hold an alphabet: they hide themselves, not
+# what stands beside them
+ALLOW_WORDS = r"(?i:example|placeholder|abcdefghijkl|0123456789)"
+ALLOW_PART = r"[^/_+-]*" + ALLOW_WORDS + r"[^/_+-]*"
 BASE_KINDS = ("assign", "access", "hex")
 SPAN = "array<struct<start:bigint,end:bigint,rank:int,kind:string>>"
 _FOUND = "array<struct<start:bigint,end:bigint,value:string,inner:string>>"
@@ -125,6 +130,21 @@ def _as_spans(found: Column, rank: int, kind: str) -> Column:
     return F.transform(found, lambda m: _span(m["start"], m["end"], rank, kind))
 
 
+def _unhidden(value: Column) -> Column:
+    """(start, value) of the stretches of a candidate between its allowed parts."""
+    schema = "array<struct<start:bigint,value:string>>"
+
+    def step(state: Column, item: Column) -> Column:
+        one = F.struct(state["at"].alias("start"), item["gap"].alias("value"))
+        return F.struct((state["at"] + F.length(item["gap"]) + F.length(item["cut"])).alias("at"),
+                        F.concat(state["out"], F.array(one)).alias("out"))
+    zipped = F.arrays_zip(F.split(value, ALLOW_PART, -1).alias("gap"), F.concat(
+        F.regexp_extract_all(value, F.lit(ALLOW_PART), F.lit(0)), F.array(F.lit(""))).alias("cut"))
+    found = F.aggregate(zipped, F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(schema).alias("out")), step)["out"]
+    whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), value.alias("value")))
+    return F.when(value.rlike(ALLOW_WORDS), found).otherwise(whole)
+
+
 def _class_spans(text: Column, c: CharClass, rank: int, allow: tuple[str, ...]) -> Column:
     def suspect(m: Column) -> Column:
         out = F.lit(True)
@@ -132,9 +152,13 @@ def _class_spans(text: Column, c: CharClass, rank: int, allow: tuple[str, ...])
             out = out & ~m["value"].rlike(p)
         return out
 
+    def of_piece(at: Column, piece: Column) -> Column:
+        return F.transform(hot_stretches(piece["value"], c.window, c.bits),
+                           lambda h: _span(at + piece["start"] + h["start"], at + piece["start"] + h["end"], rank, c.kind))
+
     def of_candidate(m: Column) -> Column:
-        return F.transform(hot_stretches(m["value"], c.window, c.bits),
-                           lambda h: _span(m["start"] + h["start"], m["start"] + h["end"], rank, c.kind))
+        pieces = F.filter(_unhidden(m["value"]), lambda x: F.length(x["value"]) >= c.window)
+        return F.flatten(F.transform(pieces, lambda x: of_piece(m["start"], x)))
     return F.flatten(F.transform(F.filter(matches(text, c.pattern), suspect), of_candidate))
 
 
