@@ -35,13 +35,22 @@ from acqlens.llm.common import small_batches, written
 
 CHUNK = 32_768
 BLOCK = 64         # matrices that are multiplied, and whose borders are found, in one group
-CACHE = 300_000
+CACHE = 300_000    # words remembered,
+REMEMBERED = 48    # of at most so many characters; none of the two changes a result
+_BASE = np.uint64(0x9E3779B97F4A7C15)
 _MARK = "▁"
 _BORDER = re.compile(f"(?<=[^{_MARK}]){_MARK}")
 _WORD = re.compile(f"{_MARK}+[^{_MARK}]*|[^{_MARK}]+")
 _KEPT = "﷐"     # a noncharacter standing for a U+2581 of the text, so that it is spelled in bytes
 
 
+def _text_hash(text: str) -> int:
+    h = 0
+    for c in text:
+        h = (h * int(_BASE) + ord(c)) & 0xFFFFFFFFFFFFFFFF
+    return h
+
+
 class Pieces:
     """Pieces of a model. The score of a piece is minus the log of its place in the model, pieces of a
     merge list being stored by frequency; a character that no piece holds costs its bytes."""
@@ -57,11 +66,20 @@ class Pieces:
         self.byte_of = {i: b for b, i in self.bytes.items()}
         self.raw_of = [bytes([self.byte_of[i]]) if i in self.byte_of else t.replace(_MARK, " ").encode() for i, t in enumerate(self.text)]
         self.score = {self.text[i]: (-float(np.log(k + 2)) - 4.0, i) for k, i in enumerate(plain)}
+        # the hashes of the pieces of each length in order, with their scores
+        self.hashed = {}
+        for k in range(1, max(map(len, self.score), default=1) + 1):
+            found = sorted((_text_hash(p), x) for p, (x, _) in self.score.items() if len(p) == k) or [(0, -np.inf)]
+            self.hashed[k] = np.array([f for f, _ in found], np.uint64), np.array([x for _, x in found])
+        # every beginning of a piece, with the score of the piece that it is (none: minus infinity)
+        self.beginnings = {p[:k]: -float(np.inf) for p in self.score for k in range(1, len(p))}
+        self.beginnings.update((p, x) for p, (x, _) in self.score.items())
         self.byte_cost = -2 * float(np.log(n + 2))
         self.longest = max(map(len, self.score), default=1)
         # if no piece goes from another character on to a mark, words are decoded one by one
         self.by_words = not any(re.search(f"[^{_MARK}]{_MARK}", p) for p in self.score)
-        self.known: dict[str, tuple[list[int], float]] = {}
+        self.id_of = {p: i for p, (_, i) in self.score.items()}
+        self.known: dict[str, tuple[bytes, float]] = {}
 
     def at(self, s: str, i: int) -> list[tuple[int, float]]:
         """(end, score) of the pieces of s that begin at i; the bytes of the character if it is no piece."""
@@ -83,15 +101,26 @@ class Pieces:
         return self._best(s, begin, end)[0]
 
     def _best(self, s: str, begin: int, end: int) -> tuple[list[int], float]:
-        """Ids and score of the best segmentation of s[begin:end], character by character."""
-        best, came = [-np.inf] * (end + 1), [0] * (end + 1)
+        """Ids and score of the best segmentation of s[begin:end], character by character: from each place along
+        the beginnings of pieces as far as any piece goes."""
+        get, none = self.beginnings.get, -np.inf
+        best, came = [none] * (end + 1), [0] * (end + 1)
         best[begin] = 0.0
-        part = s[:end]
         for i in range(begin, end):
-            if best[i] > -np.inf:
-                for j, x in self.at(part, i):
-                    if best[i] + x > best[j]:
-                        best[j], came[j] = best[i] + x, i
+            here = best[i]
+            j = i + 1
+            x = get(s[i])
+            if x is None or x == none:                # no piece: its bytes
+                cost = here + self.byte_cost * len(self._raw(s[i]))
+                if cost > best[j]:
+                    best[j], came[j] = cost, i
+            while x is not None:
+                if here + x > best[j]:
+                    best[j], came[j] = here + x, i
+                j += 1
+                if j > end:
+                    break
+                x = get(s[i:j])
         cuts = [end]
         while cuts[-1] > begin:
             cuts.append(came[cuts[-1]])
@@ -111,21 +140,77 @@ class Pieces:
             last = s.rfind(_MARK, 0, last)
         return first.start(), last
 
-    def words(self, s: str) -> tuple[list[int], float]:
-        """Ids and score of a text that begins and ends at word borders, by remembered words."""
+    def words(self, s: str) -> tuple[bytes, float]:
+        """Ids (little-endian uint32) and score of a text that begins and ends at word borders, by remembered words."""
+        parts = _WORD.findall(s)
+        self.learn([parts])
+        found = [self._known(w) for w in parts]
+        return b"".join([raw for raw, _ in found]), sum(x for _, x in found)
+
+    def _known(self, w: str) -> tuple[bytes, float]:
+        got = self.known.get(w)
+        if got is None:
+            ids, x = self._best(w, 0, len(w))
+            got = np.array(ids, "<u4").tobytes(), x
+        return got
+
+    def learn(self, texts: list[list[str]]) -> None:
+        """Remember all words of at most ``REMEMBERED`` characters, those that are new segmented together."""
         if len(self.known) > CACHE:
             self.known.clear()
-        ids: list[int] = []
-        total = 0.0
-        for w in _WORD.findall(s):
-            got = self.known.get(w)
-            if got is None:
-                got = self._best(w, 0, len(w))
-                if len(w) <= 64:
-                    self.known[w] = got
-            ids += got[0]
-            total += got[1]
-        return ids, total
+        by_length: dict[int, list[str]] = {}
+        for w in sorted(set().union(*texts).difference(self.known)):
+            by_length.setdefault(len(w), []).append(w)
+        for size, words in by_length.items():
+            if size <= REMEMBERED:
+                for at in range(0, len(words), 1 << 14):
+                    self._segment(words[at:at + (1 << 14)], size)
+
+    def _segment(self, words: list[str], size: int) -> None:
+        """The best segmentations of words of one length, place by place for all of them at once: the same sums
+        and choices as ``_best`` makes for each."""
+        plain = [w for w in words if "\0" not in w]     # numpy drops these at the end of a text
+        for w in set(words).difference(plain):
+            ids, total = self._best(w, 0, size)
+            self.known[w] = np.array(ids, "<u4").tobytes(), total
+        if not plain:
+            return
+        points = np.array(plain, f"U{size}").view(np.uint32).reshape(len(plain), size).astype(np.uint64)
+        most = min(self.longest, size)
+        scores, h = [], np.zeros((len(plain), size + 1), np.uint64)
+        for k in range(1, most + 1):
+            h = h[:, :size - k + 1] * _BASE + points[:, k - 1:]
+            keys, values = self.hashed[k]
+            at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+            scores.append(np.where(keys[at] == h, values[at], -np.inf))
+        width = 1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF)
+        scores[0] = np.where(np.isneginf(scores[0]), self.byte_cost * width, scores[0])
+        best = np.full((size + 1, len(plain)), -np.inf)
+        came = np.zeros((size + 1, len(plain)), np.int64)
+        best[0] = 0.0
+        for j in range(1, size + 1):
+            for k in range(min(most, j), 0, -1):
+                x = best[j - k] + scores[k - 1][:, j - k]
+                better = x > best[j]
+                best[j][better], came[j][better] = x[better], j - k
+        lengths, ids, id_of = [], [], self.id_of
+        for w, before in zip(plain, came.T.tolist()):
+            cuts = [size]
+            while cuts[-1]:
+                cuts.append(before[cuts[-1]])
+            n = len(ids)
+            for k in range(len(cuts) - 1, 0, -1):
+                piece = w[cuts[k]:cuts[k - 1]]
+                found = id_of.get(piece)
+                if found is None:
+                    ids += self.ids(piece)
+                else:
+                    ids.append(found)
+            lengths.append(4 * (len(ids) - n))
+        raw, at = np.array(ids, "<u4").tobytes(), 0
+        for w, n, total in zip(plain, lengths, best[size].tolist()):
+            self.known[w] = raw[at:at + n], total
+            at += n
 
     def matrix(self, s: str, body: int) -> np.ndarray:
         """Best scores from each state at the beginning of s[:body] to each at its end; what follows the
@@ -165,11 +250,20 @@ class Pieces:
         if borders is None:
             return self.trace(s, begin, end)
         first, last = borders
-        return self.trace(s, begin, first) + self.words(s[first:last])[0] + self.trace(s, last, end)
+        return [*self.trace(s, begin, first), *np.frombuffer(self.words(s[first:last])[0], "<u4").tolist(), *self.trace(s, last, end)]
 
     def encode(self, s: str) -> list[int]:
         """Ids of a whole text that is already written with marks."""
-        return self.words(s)[0] if self.by_words else self.trace(s, 0, len(s))
+        return np.frombuffer(self.encode_all([s])[0], "<u4").tolist()
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of whole texts as little-endian uint32, the words of all of them learnt together."""
+        if not self.by_words:
+            return [np.array(self.trace(s, 0, len(s)), "<u4").tobytes() for s in texts]
+        parts = [_WORD.findall(s) for s in texts]
+        self.learn(parts)
+        known = self._known
+        return [b"".join([known(w)[0] for w in words]) for words in parts]
 
     def raw(self, ids: list[int]) -> bytes:
         """The bytes of ids, the space before the text among them."""
@@ -267,7 +361,7 @@ def _encoded(docs: DataFrame, path: str, chunk: int, block: int, id_col: str, te
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches, 2 << 20):
-            ids = [np.array(_model(path).encode(marked(t)), "<u4").tobytes() for t in b.column(2).to_pylist()]
+            ids = _model(path).encode_all([marked(t) for t in b.column(2).to_pylist()])
             n = len(ids)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([0] * n, pa.int32()), pa.array([1] * n, pa.int32()),
                                               pa.array(ids, pa.binary())], ["doc_id", "row", "chunk", "chunks", "ids"])
