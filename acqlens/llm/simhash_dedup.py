@@ -240,7 +240,8 @@ def simhash_groups(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS
 
 def dedup(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, max_tree: int = MAX_TREE,
           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each group: that with the smallest id, once. Rows without an id stay."""
+    """``docs`` with one document of each group: that with the smallest id, once (of rows that repeat the id, one of
+    the smallest text). Rows without an id stay."""
     found, repeated = _groups(docs, shingle, radius, max_tree, id_col, text_col)
     gone = written(found.filter("doc_id <> component_id").select("doc_id"), "duplicates") \
         .select(F.col("doc_id").alias("__id"))
@@ -249,4 +250,7 @@ def dedup(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, max_tre
     if twice.isEmpty():
         return stay
     once = stay.join(twice, stay[id_col].cast("long") == twice["__id"], "left_anti")
-    return once.union(stay.join(twice, stay[id_col].cast("long") == twice["__id"], "left_semi").dropDuplicates([id_col]))
+    return once.union(stay.join(twice, stay[id_col].cast("long") == twice["__id"], "left_semi")
+                      .groupBy(id_col).agg(F.min_by(F.struct(*docs.columns), F.struct(
+                          F.col(text_col).isNotNull(), F.col(text_col), F.xxhash64(*docs.columns))).alias("__row"))
+                      .select("__row.*"))
