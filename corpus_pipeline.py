@@ -3,10 +3,13 @@
 Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept, and all but the last
 return the columns of ``documents``. ``run`` writes each stage's rows as Parquet to the shared folder and
 reads them back as the next one's docs. Null and empty texts are not a language and go in the first stage;
-repeated rows with one doc_id become one in the third. An empty table gives an empty result.
+repeated rows with one doc_id become one in the third (that of the smallest text). Extra columns are carried through
+unchanged, also those named like a column that a stage adds for its own use. An empty table gives an empty result.
 """
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,16 +20,24 @@ from acqlens.llm.queries import tokenizer_path
 LEAST_SCORE = 0.5   # of a document's language
 
 
+def _judged(docs: DataFrame, added: Iterable[str], judge: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The rows that ``judge`` keeps, as they came: columns named like those it adds step aside meanwhile."""
+    names = {a.lower() for a in added}
+    aside = {c: f"__aside_{i}" for i, c in enumerate(docs.columns) if c.lower() in names}
+    return judge(docs.withColumnsRenamed(aside)).select(*[F.col(aside.get(c, c)).alias(c) for c in docs.columns])
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents go that have no language or whose best language scores under ``LEAST_SCORE``."""
     model = langid.learn(docs, remainder(F.col("doc_id"), 4) != 2)
-    return langid.predict(docs, model).filter((F.col("lang_pred") != "und") & (F.col("lang_score") >= LEAST_SCORE)) \
-        .select(*docs.columns)
+    return _judged(docs, ("lang_pred", "lang_score"), lambda rows: langid.predict(rows, model).filter(
+        (F.col("lang_pred") != "und") & (F.col("lang_score") >= LEAST_SCORE)))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents go that the base rule or the learned decision list rejects."""
-    return quality_rules.judge(docs, table(spark, sf_dir, "labels")).filter("kept").select(*docs.columns)
+    return _judged(docs, (*quality_rules.COUNTS, "base_failed", "kept"),
+                   lambda rows: quality_rules.judge(rows, table(spark, sf_dir, "labels")).filter("kept"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
