@@ -80,7 +80,8 @@ class DayGraph(ModelGraph):
 
 
 def write_date_local(df: DataFrame, path: str, date_col: str) -> None:
-    (df.sortWithinPartitions(date_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    # rebalanced by day: a day's rows meet in a few full files, and a large day is split over several tasks
+    (df.hint("rebalance", F.col(date_col)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(date_col).parquet(path))
 
 

@@ -24,6 +24,10 @@ ENGINE_CONF = {
     # at planning time.
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    # cohort joins: a Bloom filter of the install directory's ids (built from its own filtered scan, 8 MB at most)
+    # drops events of unknown devices before they are shuffled, where the event scan is large
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1g",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.files.maxPartitionBytes": "256m",

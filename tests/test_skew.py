@@ -61,3 +61,28 @@ def test_hot_user_join_is_split_and_results_hold(skew_session):
 def test_retention_needs_no_split(skew_session):
     plan, _ = _final_plan(ModelGraph(_skewed(skew_session)).mart_retention)
     assert "skew=true" not in plan   # the hot user was collapsed map-side before any join
+
+
+def test_install_ids_filter_events_before_the_shuffle(skew_session, tmpdir_path):
+    """The Bloom filter of install ids reaches the event scan below the device-day aggregate, and the hot user's
+    result is the same without it."""
+    import os
+    spark = skew_session
+    raw, paths = _skewed(spark), {}
+    hot = raw.appsflyer.filter("event_revenue is not null").withColumn("appsflyer_id", F.lit("unknown"))
+    for name, df in {**raw.as_dict(), "appsflyer": raw.appsflyer.unionByName(hot)}.items():   # half of the events: no install
+        paths[name] = os.path.join(tmpdir_path, name)
+        df.write.parquet(paths[name])
+    size = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+    spark.conf.set(size, "0")
+    try:
+        plan, rows = _final_plan(ModelGraph.from_tables(spark, paths).mart_growth_metrics)
+    finally:
+        spark.conf.unset(size)
+    final = plan.split("== Initial Plan ==")[0]
+    assert "might_contain" in final
+    below = final[final.index("might_contain"):]
+    assert "FileScan parquet" in below and "partial_sum" not in below.split("FileScan parquet")[0]
+    plain_plan, plain = _final_plan(ModelGraph.from_tables(spark, paths).mart_growth_metrics)
+    assert "might_contain" not in plain_plan
+    assert sorted(map(tuple, rows), key=str) == sorted(map(tuple, plain), key=str)
