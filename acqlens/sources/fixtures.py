@@ -104,17 +104,18 @@ def appsflyer_from(dev: DataFrame, events: DataFrame) -> DataFrame:
         F.lit(None).cast(MONEY_EVENT).alias("event_revenue"),
         F.lit(None).cast("timestamp_ntz").alias("event_time"),
     )
-    ev = events.select("user_id", "event_type", "value", "ts")
     et = F.col("event_type")
     name = None
     for t, mmp in EVENT_TYPE_TO_MMP.items():
         name = F.when(et == t, mmp) if name is None else name.when(et == t, mmp)
+    paid = et.isin(*EVENT_TYPE_TO_MMP)
+    # two branches, so that a reader of revenue events pushes their filter to the scan and leaves out the other branch
+    ev = events.filter(paid).select("user_id", "ts", name.alias("event_name"), F.col("value").cast(MONEY_EVENT).alias("event_revenue")) \
+        .unionByName(events.filter(et.isNull() | ~paid).select(
+            "user_id", "ts", F.lit(OTHER_MMP_EVENT).alias("event_name"), F.lit(None).cast(MONEY_EVENT).alias("event_revenue")))
     events = ev.join(dev, ev.user_id == dev.k, "inner").select(
         *[F.col(c) for c in _APPSFLYER_COLS if c not in ("event_name", "event_revenue", "event_time")],
-        # nested, so that a filter on the provider's names becomes one on event_type and reaches the scan
-        F.when(et.isin(*EVENT_TYPE_TO_MMP), name).otherwise(OTHER_MMP_EVENT).alias("event_name"),
-        F.when(et.isin(*EVENT_TYPE_TO_MMP), F.col("value").cast(MONEY_EVENT)).alias("event_revenue"),
-        to_second("ts").alias("event_time"),
+        "event_name", "event_revenue", to_second("ts").alias("event_time"),
     )
     return installs.unionByName(events).select(*_APPSFLYER_COLS, _loaded_at())
 
