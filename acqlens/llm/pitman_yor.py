@@ -23,9 +23,9 @@ text N is 0 and the base is uniform. Ties do not arise: scores are sums. Very lo
 """
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,53 +44,85 @@ EXACT = 1024       # customers of a dish that draw one by one
 END = 1            # hash standing for the end token; START for the context of the first token
 START = 2
 BUCKET_CHARS = 16_000_000   # of text a bucket of pairs, on average
-PACK = 1 << 20              # pairs that a task gathers before it sends them
+PACK = 1 << 20              # tokens that a task gathers before it sends their pairs
+MERGE = 1 << 19             # pairs of a bucket that wait to be added to its sums
+ROWS = 1 << 16              # rows of a batch that a task gives back
+SEATED = 1 << 17            # dishes seated together
 
 
 class Hashes(dict):
     """64-bit hashes of words, remembered."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1 << 18:
+        if len(self) > 1 << 17:
             self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word)
+        h = self[word] = xxhash.xxh64_intdigest(word) if word else END
         return h
 
 
-def pairs(texts: list[str | None], hashes: Hashes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(row, u, w, n): the distinct pairs (context, word) of each text with their counts, by row, context, word."""
-    tokens = [np.array([*map(hashes.__getitem__, lower_words(t)), END], np.uint64).view(np.int64) for t in texts]
-    size = np.fromiter(map(len, tokens), np.int64, len(tokens))
-    row = np.repeat(np.arange(len(tokens)), size)
-    w = np.concatenate(tokens) if tokens else np.zeros(0, np.int64)
+def tokens(texts: list[str | None], hashes: Hashes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, u, w): the pairs (context, word) of each text, one a token."""
+    found = [[*lower_words(t), b""] for t in texts]         # no word is empty: the end token
+    size = np.fromiter(map(len, found), np.int64, len(found))
+    row = np.repeat(np.arange(len(found)), size)
+    w = np.fromiter(map(hashes.__getitem__, chain.from_iterable(found)), np.uint64, int(size.sum())).view(np.int64)
     u = np.empty_like(w)
     u[1:] = w[:-1]
     u[np.cumsum(size) - size] = START
-    return distinct(row, u, w)
+    return row, u, w
+
+
+def pairs(texts: list[str | None], hashes: Hashes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, u, w, n): the distinct pairs (context, word) of each text with their counts, in any order."""
+    return distinct(*tokens(texts, hashes))
 
 
 def distinct(*keys: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
-    """The distinct rows of some columns, sorted, and the sum of ``n`` (1 a row) over the rows that each stands for."""
-    order = np.lexsort(keys[::-1])
-    keys = tuple(k[order] for k in keys)
-    at = starts_of(*keys)
+    """The distinct rows of some columns, in any order, and the sum of ``n`` (1 a row) over the rows that each
+    stands for. Rows are sorted by one number mixed of their columns; if two rows share it, by the columns."""
+    mixed = keys[0].view(np.uint64)
+    with np.errstate(over="ignore"):
+        for k in keys[1:]:
+            mixed = mixed * np.uint64(0x9E3779B97F4A7C15)
+            mixed = (mixed ^ (mixed >> np.uint64(29))) + k.view(np.uint64)
+    order = np.argsort(mixed)
+    mixed = mixed[order]
+    rows = tuple(k[order] for k in keys)
+    at = starts_of(*rows)
+    if len(at) != len(starts_of(mixed)):
+        order = np.lexsort(keys[::-1])
+        rows = tuple(k[order] for k in keys)
+        at = starts_of(*rows)
     if n is None:
-        return *(k[at] for k in keys), np.diff(np.append(at, len(order)))
-    return *(k[at] for k in keys), np.add.reduceat(n[order], at) if len(at) else n[:0]
+        return *(k[at] for k in rows), np.diff(np.append(at, len(order)))
+    return *(k[at] for k in rows), np.add.reduceat(n[order], at) if len(at) else n[:0]
+
+
+def squeeze(raw: bytes) -> bytes:
+    return np.int64(len(raw)).tobytes() + pa.compress(raw, "zstd", asbytes=True)
 
 
-def pack(u: np.ndarray, w: np.ndarray, *more: np.ndarray) -> bytes:
-    """Columns in few bytes: words by their place in a list of the block's words, numbers as small as they fit."""
+def unsqueeze(block: bytes) -> bytes:
+    return pa.decompress(memoryview(block)[8:], int(np.frombuffer(block, np.int64, 1)[0]), "zstd", asbytes=True)
+
+
+def pack(u: np.ndarray, w: np.ndarray, *more: np.ndarray, sort: bool = False) -> bytes:
+    """Columns in few bytes: words by their place in a list of the block's words, numbers as small as they fit. With
+    ``sort`` rows are put in order, which takes fewer."""
     words, at = np.unique(np.concatenate([u, w]), return_inverse=True)
+    columns = at[:len(u)], at[len(u):], *more
+    if sort:
+        order = np.argsort(columns[0] * len(words) + columns[1])
+        columns = tuple(c[order] for c in columns)
     parts = [words]
-    for column in (at[:len(u)], at[len(u):], *more):
+    for column in columns:
         parts.append(column.astype(np.min_scalar_type(int(column.max(initial=0)))))
     head = np.array([len(words), len(u), *(p.itemsize for p in parts[1:])], np.int64)
-    return zlib.compress(np.int64(len(head)).tobytes() + head.tobytes() + b"".join(p.tobytes() for p in parts), 1)
+    return squeeze(np.int64(len(head)).tobytes() + head.tobytes() + b"".join(p.tobytes() for p in parts))
 
 
 def unpack(block: bytes) -> list[np.ndarray]:
-    raw = zlib.decompress(block)
+    raw = unsqueeze(block)
     n = int(np.frombuffer(raw, np.int64, 1)[0])
     head = np.frombuffer(raw, np.int64, n, 8)
     at = 8 + 8 * n
@@ -103,13 +135,18 @@ def unpack(block: bytes) -> list[np.ndarray]:
     return [words[out[0]], words[out[1]], *out[2:]]
 
 
+def values(column: pa.Array) -> Iterator[bytes]:
+    """The values of a column of blocks, one at a time."""
+    return (x.as_py() for x in column)
+
+
 def bucket_of(u: np.ndarray, w: np.ndarray, buckets: int) -> np.ndarray:
     return (u ^ w) % buckets
 
 
 def dealt(buckets: int, u: np.ndarray, w: np.ndarray, *more: np.ndarray) -> Iterator[tuple[int, tuple[np.ndarray, ...]]]:
     """The rows of each bucket."""
-    b = bucket_of(u, w, buckets)
+    b = bucket_of(u, w, buckets).astype(np.min_scalar_type(buckets))     # few bits are sorted by radix
     order = np.argsort(b, kind="stable")
     at = starts_of(b[order])
     for begin, end in zip(at, np.append(at[1:], len(order))):
@@ -131,6 +168,26 @@ COUNTS = "kind int, bucket int, a long, b long, x long, y long, block binary"
 DISH, WORD, CONTEXT, UNSEEN, TOKENS = range(5)
 
 
+def _rows(bucket: int, kind: int, *columns: np.ndarray | None, block: bytes | None = None) -> Iterator[pa.RecordBatch]:
+    for at in range(0, len(columns[0]), ROWS):
+        n = len(columns[0][at:at + ROWS])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(n, kind, np.int32)), pa.array(np.full(n, bucket, np.int32)),
+             *(pa.nulls(n, pa.int64()) if x is None else pa.array(x[at:at + n]) for x in columns),
+             pa.nulls(n, pa.binary()) if block is None else pa.array([block], pa.binary())], [f.split()[0] for f in COUNTS.split(", ")])
+
+
+def bucket_counts(bucket: int, u: np.ndarray, w: np.ndarray, c: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """``COUNTS`` of a bucket's distinct pairs, at most ``ROWS`` a batch."""
+    many, unseen = c > 1, c == 0
+    yield from _rows(bucket, DISH, u[many], w[many], c[many], None)
+    yield from _rows(bucket, UNSEEN, np.zeros(1, np.int64), None, None, None, block=pack(u[unseen], w[unseen], sort=True))
+    for kind, key in ((WORD, w), (CONTEXT, u)):
+        order = np.argsort(key)
+        at = starts_of(key[order])
+        yield from _rows(bucket, kind, key[order[at]], None, *(np.add.reduceat(x[order], at) for x in (c, (c == 1).astype(np.int64))))
+
+
 def counts(source: DataFrame, buckets: int) -> DataFrame:
     """What each bucket holds, by ``kind``: DISH, a pair (a, b) with its x customers, 2 or more; WORD and CONTEXT, a
     with its x customers and its y dishes of one customer in this bucket; UNSEEN, a block of the pairs of held-out
@@ -139,13 +196,12 @@ def counts(source: DataFrame, buckets: int) -> DataFrame:
         hashes, held, size = Hashes(), [], 0
 
         def packed() -> pa.RecordBatch:
-            u, w, c = distinct(*(np.concatenate(x) for x in list(zip(*held))[:2]), n=np.concatenate([x[2] for x in held]))
-            return _blocks([(b, pack(*columns)) for b, columns in dealt(buckets, u, w, c)])
+            u, w, c = distinct(*(np.concatenate([x[i] for x in held]) for i in (0, 1)), n=np.concatenate([x[2] for x in held]).astype(np.int64))
+            return _blocks([(b, pack(*columns, sort=True)) for b, columns in dealt(buckets, u, w, c)])
         for b in small_batches(batches, 2 << 20):
-            row, u, w, n = pairs(b.column(1).to_pylist(), hashes)
-            train = b.column(0).to_numpy(zero_copy_only=False)[row]
-            held.append(distinct(u, w, n=n * train))
-            size += len(held[-1][0])
+            row, u, w = tokens(b.column(1).to_pylist(), hashes)
+            held.append((u, w, b.column(0).to_numpy(zero_copy_only=False)[row]))
+            size += len(u)
             if size >= PACK:
                 yield packed()
                 held, size = [], 0
@@ -153,35 +209,23 @@ def counts(source: DataFrame, buckets: int) -> DataFrame:
             yield packed()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def emit(bucket: int, u: np.ndarray, w: np.ndarray, c: np.ndarray) -> Iterator[pa.RecordBatch]:
-            many, single, unseen = c > 1, c == 1, c == 0
-            words, cw, w1 = *distinct(w, n=c), distinct(w, n=single.astype(np.int64))[1]
-            heads, cu, u1 = *distinct(u, n=c), distinct(u, n=single.astype(np.int64))[1]
-            for kind, columns, block in ((DISH, (u[many], w[many], c[many], None), None), (WORD, (words, None, cw, w1), None),
-                                         (CONTEXT, (heads, None, cu, u1), None),
-                                         (UNSEEN, (np.zeros(1, np.int64), None, None, None), pack(u[unseen], w[unseen]))):
-                n = len(columns[0])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, kind, np.int32)), pa.array(np.full(n, bucket, np.int32)),
-                     *(pa.nulls(n, pa.int64()) if x is None else pa.array(x) for x in columns),
-                     pa.array([block] * n, pa.binary())], [f.split()[0] for f in COUNTS.split(", ")])
         bucket, sums, late, n_late = None, None, [], 0
 
         def merged():
             parts = ([sums] if sums else []) + late
             return distinct(*(np.concatenate([x[i] for x in parts]) for i in (0, 1)), n=np.concatenate([x[2] for x in parts]))
         for batch in batches:
-            for b, block in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for b, block in zip(batch.column(0).to_pylist(), values(batch.column(1))):
                 if b != bucket and bucket is not None:
-                    yield from emit(bucket, *merged())
+                    yield from bucket_counts(bucket, *merged())
                     sums, late, n_late = None, [], 0
                 bucket = b
                 late.append(unpack(block))
                 n_late += len(late[-1][0])
-                if n_late > PACK:
+                if n_late > MERGE:
                     sums, late, n_late = merged(), [], 0
         if bucket is not None:
-            yield from emit(bucket, *merged())
+            yield from bucket_counts(bucket, *merged())
 
     sent = source.select("train", "text").mapInArrow(send, "bucket int, block binary")
     return sent.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(count, COUNTS)
@@ -229,16 +273,27 @@ def seat(key: np.ndarray, customers: np.ndarray, mass: np.ndarray, discount: flo
     return out
 
 
+def large_batches(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``rows``."""
+    held, n = [], 0
+    for b in batches:
+        held.append(b)
+        n += b.num_rows
+        if n >= rows:
+            yield pa.concat_batches(held)
+            held, n = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _seated(rows: DataFrame, sweep: int, discount: float) -> DataFrame:
     """``rows`` with tables ``t``, from u, w, c, fixed and each."""
     kept = [c for c in rows.columns if c not in ("t", "fixed", "each")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in large_batches(batches, SEATED):
             col = {c: b.column(c) for c in b.schema.names}
-            with np.errstate(over="ignore"):
-                key = col["key"].to_numpy()
-            t = seat(key, col["c"].to_numpy(), (col["fixed"].to_numpy(), col["each"].to_numpy()), discount)
+            t = seat(col["key"].to_numpy(), col["c"].to_numpy(), (col["fixed"].to_numpy(), col["each"].to_numpy()), discount)
             yield pa.RecordBatch.from_arrays([*(col[c] for c in kept if c != "key"), pa.array(t)],
                                              [*(c for c in kept if c != "key"), "t"])
     keyed = rows.withColumn("key", F.xxhash64("u", "w", F.lit(sweep)))
@@ -259,23 +314,29 @@ def score(docs: DataFrame, is_train: Column, discount: float = DISCOUNT, strengt
     source = _source(docs, is_train, id_col, text_col)
     buckets = 1 + int(source.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0] // bucket_chars)
     found = Scratch(spark, "py-counts").until_exit().write(counts(source, buckets), "counts")
-    kept = Scratch(spark, "py-model").until_exit()
+
+    def kept(df: DataFrame, name: str, before: Scratch | None = None) -> tuple[DataFrame, Scratch]:
+        scratch = Scratch(spark, f"py-{name}").until_exit()
+        table = scratch.write(df, name)
+        if before:
+            before.free()                              # the table that this one has more columns than
+        return table, scratch
 
     def sums(kind: int, key: str) -> DataFrame:
         return found.filter(F.col("kind") == kind).groupBy(F.col("a").alias(key)) \
             .agg(F.sum("x").alias("customers"), F.sum("y").alias("singles"))
-    words = kept.write(sums(WORD, "w"), "words")
-    total, vocabulary = words.filter("customers > 0").agg(F.coalesce(F.sum("customers"), F.lit(0)), F.count("*")).first()
+    words, words_at = kept(sums(WORD, "w").filter("customers > 0"), "words")
+    total, vocabulary = words.agg(F.coalesce(F.sum("customers"), F.lit(0)), F.count("*")).first()
     base = 1.0 / (vocabulary + 1)
-    contexts = kept.write(sums(CONTEXT, "u").filter("customers > 0"), "contexts")
+    contexts, contexts_at = kept(sums(CONTEXT, "u").filter("customers > 0"), "contexts")
     # what a sweep starts from: one table per dish
     state = found.filter(F.col("kind") == DISH).select(F.col("a").alias("u"), F.col("b").alias("w"), F.col("x").alias("c"),
                                                        F.lit(1).cast("long").alias("t"))
-    parent, tp, unknown, scratch = words.filter("customers > 0").select("w", F.lit(1).cast("long").alias("t")), vocabulary, [], None
+    parent, tp, unknown, scratch = words.select("w", F.lit(1).cast("long").alias("t")), vocabulary, [], None
     for sweep in range(burn_in + samples):
         now = Scratch(spark, "py-sweep")
         # the parent's dishes meet the tables that the sweep before left to the others, as the children's do
-        served = words.filter("customers > 0").select("w", "singles").join(state.groupBy("w").agg(F.sum("t").alias("more")), "w", "left") \
+        served = words.select("w", "singles").join(state.groupBy("w").agg(F.sum("t").alias("more")), "w", "left") \
             .select("w", (F.col("singles") + F.coalesce("more", F.lit(0))).alias("c")).join(parent.select("w", F.col("t").alias("own")), "w")
         customers = served.select(F.lit(0).cast("long").alias("u"), "w", "c", parent_mass(F.col("own"), tp, base, discount, strength)
                                   .alias("fixed"), F.lit(discount * base).alias("each"))
@@ -293,35 +354,47 @@ def score(docs: DataFrame, is_train: Column, discount: float = DISCOUNT, strengt
         if sweep >= burn_in:
             i = sweep - burn_in
             unknown.append((strength + discount * tp) * base / (strength + cp))
-            words = kept.write(words.join(parent.select("w", p.alias(f"p{i}")), "w", "left"), f"words{i}")
+            words, words_at = kept(words.join(parent.select("w", p.alias(f"p{i}")), "w"), "words", words_at)
             gate = (strength + discount * F.col("tu")) / (strength + F.col("customers"))
-            contexts = kept.write(_tables(contexts, state).withColumn(f"g{i}", gate).drop("tu"), f"contexts{i}")
+            contexts, contexts_at = kept(_tables(contexts, state).withColumn(f"g{i}", gate).drop("tu"), "contexts", contexts_at)
         if scratch:
             scratch.free()                             # the state before is read no more
         scratch = now.until_exit()
     state = state.withColumnRenamed("t", f"t{samples - 1}")
+    every = range(samples)
+    part = 0.5 / (total + 0.5 * (vocabulary + 1))          # of a word that is not in training text
     smooth = (F.col("customers") + 0.5) / (total + 0.5 * (vocabulary + 1))
+    # words and contexts of held-out text alone have no rows here
     wanted = {
-        DISH: state.select(_pair_bucket(buckets).alias("bucket"), F.col("u").alias("a"), F.col("w").alias("b"),
-                           _values(F.col("c"), *(F.col(f"t{i}") for i in range(samples)))),
-        WORD: found.filter(F.col("kind") == WORD).select("bucket", F.col("a").alias("w")).join(words, "w").select(
-            "bucket", F.col("w").alias("a"), _values(F.log10(smooth), F.col("customers") > 0, *(
-                F.coalesce(f"p{i}", F.lit(unknown[i])) for i in range(samples)))),
-        CONTEXT: found.filter(F.col("kind") == CONTEXT).select("bucket", F.col("a").alias("u")).join(contexts, "u").select(
-            "bucket", F.col("u").alias("a"), _values(strength + F.col("customers"), *(F.col(f"g{i}") for i in range(samples)))),
+        DISH: _value_blocks(state.select(_pair_bucket(buckets).alias("bucket"), "u", "w", *_doubles("c", *(f"t{i}" for i in every)))),
+        WORD: _value_blocks(found.filter(F.col("kind") == WORD).select("bucket", F.col("a").alias("w")).join(words, "w").select(
+            "bucket", "w", *_doubles(F.log10(smooth), *(f"p{i}" for i in every)))),
+        CONTEXT: _value_blocks(found.filter(F.col("kind") == CONTEXT).select("bucket", F.col("a").alias("u")).join(contexts, "u").select(
+            "bucket", "u", *_doubles(strength + F.col("customers"), *(f"g{i}" for i in every)))),
         UNSEEN: found.filter(F.col("kind") == UNSEEN).select("bucket", "block"),
         TOKENS: _token_blocks(source, buckets)}
-    needs = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True),
-                   [df.withColumn("kind", F.lit(kind)) for kind, df in wanted.items()]).select("bucket", "kind", "a", "b", "v", "block")
+    needs = reduce(DataFrame.union, [df.select("bucket", F.lit(kind).alias("kind"), "block") for kind, df in wanted.items()])
     priced = needs.repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind") \
-        .mapInArrow(_pricer(discount, samples), "row long, doc_id long, train boolean, n long, known long, base double, score double")
+        .mapInArrow(_pricer(discount, samples, [float(np.log10(part)), *unknown]), "row long, doc_id long, train boolean, n long, known long, base double, score double")
     return priced.groupBy("row", "doc_id", "train").agg(
         F.sum("n").alias("n_tokens"), F.sum("known").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
         F.sum("base").alias("base_score"), F.sum("score").alias("score")).drop("row")
 
 
-def _values(*columns: Column) -> Column:
-    return F.array(*[c.cast("double") for c in columns]).alias("v")
+def _doubles(*columns: Column | str) -> list[Column]:
+    return [(F.col(c) if isinstance(c, str) else c).cast("double").alias(f"v{i}") for i, c in enumerate(columns)]
+
+
+def _value_blocks(rows: DataFrame) -> DataFrame:
+    """(bucket, block): the rows of each bucket (keys, then doubles), packed column by column."""
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in large_batches(batches, SEATED):
+            bucket, *columns = (c.to_numpy() for c in b.columns)
+            order = np.lexsort((columns[0], bucket))
+            bucket, columns = bucket[order], [c[order] for c in columns]
+            at = starts_of(bucket).tolist()
+            yield _blocks([(int(bucket[i]), squeeze(b"".join(c[i:j].tobytes() for c in columns))) for i, j in zip(at, [*at[1:], len(order)])])
+    return rows.mapInArrow(send, "bucket int, block binary")
 
 
 def _pair_bucket(buckets: int) -> Column:
@@ -345,15 +418,15 @@ def _token_blocks(source: DataFrame, buckets: int) -> DataFrame:
             out = []
             for bucket, (bu, bw, bn, brow) in dealt(buckets, u, w, n, row):
                 rows, at = np.unique(brow, return_inverse=True)
-                order = np.lexsort((bw, bu))
-                head = zlib.compress(np.concatenate([[len(rows)], number[rows], doc[rows], flags[rows]]).astype(np.int64).tobytes(), 1)
-                out.append((bucket, np.int64(len(head)).tobytes() + head + pack(bu[order], bw[order], bn[order], at[order])))
+                head = squeeze(np.concatenate([[len(rows)], number[rows], doc[rows], flags[rows]]).astype(np.int64).tobytes())
+                out.append((bucket, np.int64(len(head)).tobytes() + head + pack(bu, bw, bn, at, sort=True)))
             yield _blocks(out)
     return source.mapInArrow(send, "bucket int, block binary")
 
 
-def _pricer(discount: float, samples: int):
-    """Prices the pairs of each bucket: rows by bucket and kind, the tokens last."""
+def _pricer(discount: float, samples: int, new_word: list[float]):
+    """Prices the pairs of each bucket: rows by bucket and kind, the tokens last. ``new_word``: the values of a word
+    that is not in training text."""
     def lookup(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
         """Rows of ``values`` (by ascending ``keys``) of the wanted keys, NaN where there is none."""
         out = np.full((len(wanted), values.shape[1]), np.nan)
@@ -363,60 +436,51 @@ def _pricer(discount: float, samples: int):
             out[hit] = values[at[hit]]
         return out
 
+    def table(blocks: list[bytes], keys: int) -> tuple[np.ndarray, ...]:
+        """The keys and the values of all rows in some blocks, by the first key."""
+        width = keys + samples + 1
+        parts = [np.frombuffer(unsqueeze(x), np.int64).reshape(width, -1) for x in blocks]
+        all_rows = np.concatenate(parts, axis=1) if parts else np.zeros((width, 0), np.int64)
+        all_rows = all_rows[:, np.argsort(all_rows[0])]
+        return *all_rows[:keys], np.ascontiguousarray(all_rows[keys:].view(np.float64).T)
+
+    def pair_keys(u: np.ndarray, w: np.ndarray, heads: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """One number per pair: places of its words among the bucket's, which are all listed."""
+        return np.searchsorted(heads, u) * (len(words) + 1) + np.searchsorted(words, w)
+
+    def prepare(have: dict[int, list[bytes]]):
+        words, heads, dishes = table(have.get(WORD, []), 1), table(have.get(CONTEXT, []), 1), table(have.get(DISH, []), 2)
+        unseen = [np.concatenate(x) for x in zip(*map(unpack, have.get(UNSEEN, [])))] or [np.zeros(0, np.int64)] * 2
+        # words and contexts of held-out text alone have no values, but a place
+        places = np.union1d(heads[0], unseen[0]), np.union1d(words[0], unseen[1])
+        keys = pair_keys(dishes[0], dishes[1], *places)
+        order = np.argsort(keys)
+        return words, heads, places, keys[order], dishes[2][order], np.sort(pair_keys(*unseen, *places))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, have, ready = None, {}, None
-
-        def prepare():
-            def table(kind: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-                parts = have.get(kind, [])
-                a = np.concatenate([x[0] for x in parts]) if parts else np.zeros(0, np.int64)
-                b = np.concatenate([x[1] for x in parts]) if parts else a
-                v = np.concatenate([x[2] for x in parts]).reshape(-1, width) if parts else np.zeros((0, width))
-                order = np.lexsort((b, a))
-                return a[order], b[order], v[order]
-            words, heads = table(WORD, samples + 2), table(CONTEXT, samples + 1)
-            dishes = table(DISH, samples + 1)
-            unseen = [np.concatenate(x) for x in zip(*have.get(UNSEEN, []))] or [np.zeros(0, np.int64)] * 2
-            return words, heads, dishes, unseen
-
-        def pair_keys(u: np.ndarray, w: np.ndarray, heads: np.ndarray, words: np.ndarray) -> np.ndarray:
-            """One number per pair: places of its words among the bucket's (all of them are listed)."""
-            return np.searchsorted(heads, u) * (len(words) + 1) + np.searchsorted(words, w)
-
         for batch in batches:
-            kinds, numbers = batch.column(1).to_numpy(), batch.column(0).to_numpy()
-            at = starts_of(numbers, kinds)
-            for begin, end in zip(at.tolist(), [*at[1:].tolist(), len(kinds)]):
-                part = batch.slice(begin, end - begin)
-                if numbers[begin] != bucket:
-                    bucket, have, ready = numbers[begin], {}, None
-                kind = int(kinds[begin])
-                if kind in (DISH, WORD, CONTEXT):
-                    a, b = (part.column(c).fill_null(0).to_numpy() for c in (2, 3))
-                    have.setdefault(kind, []).append((a, b, part.column(4).flatten().to_numpy()))
-                    continue
-                if kind == UNSEEN:
-                    have.setdefault(kind, []).extend(unpack(x) for x in part.column(5).to_pylist())
+            for number, kind, block in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), values(batch.column(2))):
+                if number != bucket:
+                    bucket, have, ready = number, {}, None
+                if kind != TOKENS:
+                    have.setdefault(kind, []).append(block)
                     continue
                 if ready is None:
-                    words, heads, dishes, unseen = prepare()
-                    # contexts of held-out text alone have no restaurant, but a place
-                    places = np.union1d(heads[0], unseen[0])
-                    keys = pair_keys(dishes[0], dishes[1], places, words[0])
-                    order = np.argsort(keys)
-                    ready = (words, heads, places, keys[order], dishes[2][order],
-                             np.sort(pair_keys(unseen[0], unseen[1], places, words[0])))
-                yield from (price(x, ready) for x in part.column(5).to_pylist())
+                    ready, have = prepare(have), {}
+                yield price(block, ready)
 
     def price(block: bytes, ready) -> pa.RecordBatch:
         words, heads, places, dish_keys, dish_values, unseen = ready
         size = int(np.frombuffer(block, np.int64, 1)[0])
-        head = np.frombuffer(zlib.decompress(block[8:8 + size]), np.int64)
+        head = np.frombuffer(unsqueeze(block[8:8 + size]), np.int64)
         m = int(head[0])
         number, doc, flags = head[1:].reshape(3, m)
         u, w, n, row = unpack(block[8 + size:])
-        of_word, of_head = lookup(words[0], words[2], w), lookup(heads[0], heads[2], u)
-        keys = np.searchsorted(places, u) * (len(words[0]) + 1) + np.searchsorted(words[0], w)
+        of_word, of_head = lookup(*words, w), lookup(*heads, u)
+        known = ~np.isnan(of_word[:, 0])
+        of_word[~known] = new_word
+        keys = pair_keys(u, w, *places)
         dish = lookup(dish_keys, dish_values, keys)
         at = np.minimum(np.searchsorted(unseen, keys), max(len(unseen) - 1, 0))
         absent = (unseen[at] == keys) if len(unseen) else np.zeros(len(keys), bool)
@@ -425,11 +489,11 @@ def _pricer(discount: float, samples: int):
         mean = np.zeros(len(keys))
         for i in range(samples):
             t = np.where(one, c, dish[:, 1 + i])           # none, or one table for one customer
-            p = of_word[:, 2 + i]
+            p = of_word[:, 1 + i]
             served = np.maximum(c - discount * t, 0) / of_head[:, 0] + of_head[:, 1 + i] * p
             mean += np.where(np.isnan(of_head[:, 0]), p, served)
         lp = np.log10(mean / samples)
-        columns = [np.bincount(row, weights, m) for weights in (n, n * of_word[:, 1], n * of_word[:, 0], n * lp)]
+        columns = [np.bincount(row, weights, m) for weights in (n, n * known, n * of_word[:, 0], n * lp)]
         return pa.RecordBatch.from_arrays(
             [pa.array(number), pa.array(doc, mask=flags >= 2), pa.array(flags % 2 == 1),
              *(pa.array(np.rint(x).astype(np.int64)) for x in columns[:2]), *(pa.array(x) for x in columns[2:])],

@@ -76,3 +76,25 @@ def test_blocks_are_read_back():
         c, far = rng.integers(0, 3, n), rng.integers(0, 2**40, n)
         for a, b in zip(pitman_yor.unpack(pitman_yor.pack(u, w, c, far)), (u, w, c, far)):
             assert (a == b).all() and len(a) == n
+
+
+def test_a_bucket_is_counted_in_small_batches():
+    n = pitman_yor.ROWS * 2 + 5
+    u, w, c = np.arange(n), np.arange(n) % 7, np.arange(n) % 3
+    got = list(pitman_yor.bucket_counts(4, u, w, c))
+    assert max(b.num_rows for b in got) <= pitman_yor.ROWS and {x for b in got for x in b.column(1).to_pylist()} == {4}
+    kinds = {k: [r for b in got for r in b.to_pylist() if r["kind"] == k] for k in range(4)}
+    assert sorted((r["a"], r["b"], r["x"]) for r in kinds[pitman_yor.DISH]) == [(i, i % 7, 2) for i in range(2, n, 3)]
+    assert [(r["a"], r["x"], r["y"]) for r in kinds[pitman_yor.WORD]] == [
+        (i, int(c[w == i].sum()), int((c[w == i] == 1).sum())) for i in range(7)]
+    assert [(r["a"], r["x"], r["y"]) for r in kinds[pitman_yor.CONTEXT]] == [(i, i % 3, int(i % 3 == 1)) for i in range(n)]
+    assert sorted(pitman_yor.unpack(kinds[pitman_yor.UNSEEN][0]["block"])[0].tolist()) == list(range(0, n, 3))
+
+
+def test_distinct_rows_of_columns_whose_mix_is_the_same():
+    a = np.array([3, 1, 3, 1, 2], np.int64)
+    with np.errstate(over="ignore"):       # the second column undoes what the mix makes of the first
+        x = a.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        b = (np.uint64(5) - (x ^ (x >> np.uint64(29)))).view(np.int64)
+    got = pitman_yor.distinct(a, b, n=np.array([1, 10, 100, 1000, 0]))
+    assert sorted((i, n) for i, _, n in zip(*map(list, got))) == [(1, 1010), (2, 0), (3, 101)]
