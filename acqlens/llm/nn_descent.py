@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from acqlens.llm.common import written
+from acqlens.session import Scratch, forget_shuffles
 
 K = 20
 DEGREE = 32
@@ -30,6 +31,8 @@ ROUNDS = 8
 PROJECTIONS = 6
 SETTLED = 0.01     # share of lists' entries that still change when the descent ends
 EDGES = "src long, dst long, sim double"
+GATHERED = 1 << 20  # edges that a task gathers to drop those it has twice
+TOGETHER = 64       # queries, on average, whose pairs are scored in one group
 
 
 def _vectors(column: pa.Array) -> np.ndarray:
@@ -49,10 +52,31 @@ def valid(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
 
 def _best(edges: DataFrame, most: int) -> DataFrame:
-    """The ``most`` best edges of each node, each once."""
+    """The ``most`` best edges of each node, each once, with their places ``r`` and ``old``, true of those that were old."""
     w = Window.partitionBy("src").orderBy(F.desc("sim"), "dst")
-    return edges.groupBy("src", "dst").agg(F.max("sim").alias("sim")) \
-        .withColumn("r", F.row_number().over(w)).filter(F.col("r") <= most).drop("r")
+    return edges.repartition("src").groupBy("src", "dst").agg(F.max("sim").alias("sim"), F.max("old").alias("old")) \
+        .withColumn("r", F.row_number().over(w)).filter(F.col("r") <= most)
+
+
+def _once(found: Iterator[list[np.ndarray]], size: int = GATHERED) -> Iterator[pa.RecordBatch]:
+    """Edges (src, dst, sim) as batches without most of the repeated ones, of which the greatest sim stays."""
+    def batch(held: list[list[np.ndarray]]) -> pa.RecordBatch:
+        src, dst, sim = (np.concatenate(x) for x in zip(*held))
+        with np.errstate(over="ignore"):
+            order = np.argsort(src.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + dst.astype(np.uint64))
+        src, dst, sim = src[order], dst[order], sim[order]
+        at = np.flatnonzero(np.append(True, (src[1:] != src[:-1]) | (dst[1:] != dst[:-1]))) if len(src) else np.zeros(0, np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(src[at]), pa.array(dst[at]), pa.array(np.maximum.reduceat(sim, at) if len(at) else sim)],
+                                          ["src", "dst", "sim"])
+    held, n = [], 0
+    for columns in found:
+        held.append(columns)
+        n += len(columns[0])
+        if n >= size:
+            yield batch(held)
+            held, n = [], 0
+    if held:
+        yield batch(held)
 
 
 def _first_edges(nodes: DataFrame, n: int, dim: int, degree: int, projections: int) -> DataFrame:
@@ -71,41 +95,58 @@ def _first_edges(nodes: DataFrame, n: int, dim: int, degree: int, projections: i
     placed = nodes.mapInArrow(place, "plane long, at double, node long, v array<double>") \
         .repartitionByRange(parts, "plane", "at").sortWithinPartitions("plane", "at", "node")
 
+    def near(x: np.ndarray, node: np.ndarray, plane: np.ndarray, seen: int) -> list[np.ndarray]:
+        """The best edges of each node among the windows; the first ``seen`` nodes have met one another."""
+        n = len(node)
+        sims = np.full((n, 2 * degree), -np.inf)          # with the nodes after, and before
+        for step in range(1, min(degree, n - 1) + 1):
+            sim = np.einsum("ij,ij->i", x[step:], x[:-step])
+            sim[(plane[step:] != plane[:-step]) | (np.arange(step, n) < seen)] = -np.inf
+            sims[:-step, step - 1] = sims[step:, degree + step - 1] = sim
+        top = np.argpartition(-sims, degree - 1, axis=1)[:, :degree]
+        sim = np.take_along_axis(sims, top, axis=1).reshape(-1)
+        at = np.repeat(np.arange(n), degree)
+        to = at + np.where(top < degree, top + 1, degree - 1 - top).reshape(-1)
+        real = sim > -np.inf
+        return [node[at[real]], node[to[real]], sim[real]]
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.Table | None = None
-        for b in batches:
-            t = pa.Table.from_batches([b])
-            held = pa.concat_tables([held.slice(max(0, held.num_rows - degree)), t]).combine_chunks() if held is not None else t
-            x, node, plane = _vectors(held.column("v").combine_chunks()), held.column("node").to_numpy(), held.column("plane").to_numpy()
-            for step in range(1, min(degree, held.num_rows - 1) + 1):
-                same = plane[step:] == plane[:-step]
-                sim = np.einsum("ij,ij->i", x[step:], x[:-step])[same]
-                a, c = node[step:][same], node[:-step][same]
-                yield pa.RecordBatch.from_arrays([pa.array(np.append(a, c)), pa.array(np.append(c, a)), pa.array(np.append(sim, sim))],
-                                                 ["src", "dst", "sim"])
+        def found() -> Iterator[list[np.ndarray]]:
+            held: pa.Table | None = None
+            for b in batches:
+                t = pa.Table.from_batches([b])
+                seen = min(degree, held.num_rows) if held is not None else 0
+                held = pa.concat_tables([held.slice(held.num_rows - seen), t]).combine_chunks() if held is not None else t
+                yield near(_vectors(held.column("v").combine_chunks()), held.column("node").to_numpy(), held.column("plane").to_numpy(), seen)
+        yield from _once(found())
     return placed.mapInArrow(compare, EDGES)
 
 
 def graph(nodes: DataFrame, degree: int = DEGREE, rounds: int = ROUNDS, projections: int = PROJECTIONS) -> DataFrame:
     """(src, dst, sim): the ``degree`` nearest found of each of ``nodes`` (node, v), v of length 1."""
     first = nodes.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("dim")).first()
-    edges = written(_best(_first_edges(nodes, first["n"], first["dim"] or 1, degree, projections), degree), "nn-edges")
+    spark = nodes.sparkSession
+    last = Scratch(spark, "nn-edges").until_exit()
+    edges = last.write(_best(_first_edges(nodes, first["n"], first["dim"] or 1, degree, projections).withColumn("old", F.lit(False)), degree),
+                       "edges")
     for turn in range(rounds):
+        forget_shuffles(spark)
         # both ways; of the nodes that list a node, ``degree`` take part in a round, others in the next
         draw = Window.partitionBy("dst").orderBy(F.xxhash64("src", F.lit(turn)), "src")
         back = edges.withColumn("r", F.row_number().over(draw)).filter(F.col("r") <= degree) \
             .select(F.col("dst").alias("hub"), F.col("src").alias("node"))
-        near = edges.select(F.col("src").alias("hub"), F.col("dst").alias("node")).union(back).distinct()
-        met = near.join(nodes, "node").select("hub", "node", "v").repartition("hub").sortWithinPartitions("hub", "node")
+        near = edges.select(F.col("src").alias("hub"), F.col("dst").alias("node")).union(back).repartition("node").distinct()
+        # what is below the last of a full list would not stay in it
+        bars = edges.filter(F.col("r") == degree).select(F.col("src").alias("node"), F.col("sim").alias("bar"))
+        met = near.join(nodes.join(bars, "node", "left"), "node").select("hub", "node", "v", F.coalesce("bar", F.lit(-2.0)).alias("bar")) \
+            .repartition("hub").sortWithinPartitions("hub", "node")
 
         def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            rest: pa.Table | None = None
-
-            def local(t: pa.Table) -> pa.RecordBatch:
-                hub, node = t.column("hub").to_numpy(), t.column("node").to_numpy()
+            def local(t: pa.Table) -> list[np.ndarray]:
+                hub, node, bar = (t.column(c).to_numpy() for c in ("hub", "node", "bar"))
                 x = _vectors(t.column("v").combine_chunks())
                 cuts = np.append(np.flatnonzero(np.append(True, hub[1:] != hub[:-1])), len(hub))
-                out: list[list[np.ndarray]] = [[], [], []]
+                out: list[list[np.ndarray]] = [[node[:0]], [node[:0]], [bar[:0]]]
                 for s, e in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
                     if e - s < 2:
                         continue
@@ -115,26 +156,65 @@ def graph(nodes: DataFrame, degree: int = DEGREE, rounds: int = ROUNDS, projecti
                     top = np.argpartition(-sim, few - 1, axis=1)[:, :few]
                     out[0].append(np.repeat(node[s:e], few))
                     out[1].append(node[s:e][top].reshape(-1))
-                    out[2].append(np.take_along_axis(sim, top, axis=1).reshape(-1))
-                return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c) if c else [], t) for c, t in zip(
-                    out, (pa.int64(), pa.int64(), pa.float64()))], ["src", "dst", "sim"])
-            for b in batches:
-                t = pa.Table.from_batches([b])
-                rest = pa.concat_tables([rest, t]).combine_chunks() if rest is not None else t
-                hub = rest.column("hub").to_numpy()
-                cut = int(np.flatnonzero(np.append(True, hub[1:] != hub[:-1]))[-1])
-                if cut:
-                    yield local(rest.slice(0, cut).combine_chunks())
-                    rest = rest.slice(cut)
-            if rest is not None:
-                yield local(rest.combine_chunks())
-
-        after = written(_best(edges.union(met.mapInArrow(compare, EDGES)), degree), "nn-edges")
-        changed = after.join(edges, ["src", "dst"], "left_anti").count()
+                    sim = np.take_along_axis(sim, top, axis=1)
+                    out[2].append(np.where(sim >= bar[s:e, None], sim, -np.inf).reshape(-1))
+                src, dst, sim = map(np.concatenate, out)
+                stay = sim > -np.inf
+                return [src[stay], dst[stay], sim[stay]]
+
+            def found() -> Iterator[list[np.ndarray]]:
+                rest: pa.Table | None = None
+                for b in batches:
+                    t = pa.Table.from_batches([b])
+                    rest = pa.concat_tables([rest, t]).combine_chunks() if rest is not None else t
+                    hub = rest.column("hub").to_numpy()
+                    cut = int(np.flatnonzero(np.append(True, hub[1:] != hub[:-1]))[-1])
+                    if cut:
+                        yield local(rest.slice(0, cut).combine_chunks())
+                        rest = rest.slice(cut)
+                if rest is not None:
+                    yield local(rest.combine_chunks())
+            yield from _once(found())
+
+        now = Scratch(spark, "nn-edges").until_exit()
+        after = now.write(_best(edges.select("src", "dst", "sim", F.lit(True).alias("old")).union(
+            met.mapInArrow(compare, EDGES).withColumn("old", F.lit(False))), degree), "edges")
+        changed = after.filter("not old").count()
         edges = after
+        last.free()
+        last = now
         if changed <= SETTLED * degree * max(1, first["n"]):
             break
-    return edges
+    return edges.select("src", "dst", "sim")
+
+
+def _products(pairs: DataFrame, nodes: DataFrame, asked: DataFrame, blocks: int) -> DataFrame:
+    """(qnode, node, score): the inner products of pairs. Queries are dealt into blocks; a block gets each vector that
+    its pairs need once, so that no pair is shuffled with a vector."""
+    block = F.pmod(F.xxhash64("qnode"), F.lit(blocks)).alias("block")
+    placed = pairs.select(block, "qnode", "node")
+    needed = placed.select("block", "node").distinct().join(nodes.select("node", "raw"), "node") \
+        .select(F.col("block").alias("group"), F.lit(False).alias("asks"), F.col("node").alias("id"), F.col("raw").alias("v")) \
+        .union(asked.select(block, F.lit(True), "qnode", "q"))
+
+    def score(rows: pa.Table, vectors: pa.Table) -> pa.Table:
+        asks, ids = vectors.column("asks").to_numpy(), vectors.column("id").to_numpy()
+        x = _vectors(vectors.column("v").combine_chunks())
+        sides = []
+        for side, column in ((asks, "qnode"), (~asks, "node")):
+            order = np.argsort(ids[side])
+            sides += [np.ascontiguousarray(x[side][order].T), np.searchsorted(ids[side][order], rows.column(column).to_numpy())]
+        q, at_q, v, at_v = sides
+        total = np.zeros(rows.num_rows)
+        for s in range(0, len(total), 1 << 15):
+            part = slice(s, s + (1 << 15))
+            for a, b in zip(q, v):                     # component after component, as a sum in double precision goes
+                total[part] += a[at_q[part]] * b[at_v[part]]
+        return pa.table({"qnode": rows.column("qnode"), "node": rows.column("node"), "score": total})
+    return placed.groupBy("block").cogroup(needed.groupBy("group")).applyInArrow(
+        lambda rows, vectors: score(rows, vectors) if rows.num_rows else pa.table(
+            {"qnode": pa.array([], pa.int64()), "node": pa.array([], pa.int64()), "score": pa.array([], pa.float64())}),
+        "qnode long, node long, score double")
 
 
 def search(vectors: DataFrame, is_query: Column, k: int = K, degree: int = DEGREE, beam: int = BEAM, rounds: int = ROUNDS,
@@ -155,23 +235,26 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, degree: int = DEGRE
     queries = written(rows.filter(is_query).join(nodes.select("node", F.col("raw").alias("v")), "v")
                       .select(F.col("vec_id").alias("query_id"), "node", F.col("v").alias("q")), "nn-queries")
     asked = queries.select(F.col("node").alias("qnode"), F.col("q")).dropDuplicates(["qnode"])
-    dot = F.aggregate(F.zip_with("q", "raw", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
+    blocks = 1 + asked.count() // TOGETHER
     best = Window.partitionBy("qnode").orderBy(F.desc("score"), "node")
 
-    def scored(found: DataFrame) -> DataFrame:
-        return found.join(nodes.select("node", "raw"), "node").join(asked, "qnode").select("qnode", "node", dot.alias("score"))
-
     start = asked.join(edges, F.col("qnode") == F.col("src")).select("qnode", F.col("dst").alias("node")) \
         .union(asked.select("qnode", F.col("qnode").alias("node"))).distinct()
-    pool = written(scored(start).withColumn("opened", F.col("node") == F.col("qnode")), "nn-pool")
+    last = Scratch(vectors.sparkSession, "nn-pool").until_exit()
+    pool = last.write(_products(last.write(start, "found"), nodes, asked, blocks).withColumn("opened", F.col("node") == F.col("qnode")), "pool")
     for _ in range(2 * rounds):
+        forget_shuffles(vectors.sparkSession)
         closed = pool.filter("not opened")
         if closed.isEmpty():
             break
         reached = closed.join(edges, F.col("node") == F.col("src")).select("qnode", F.col("dst").alias("node")).distinct() \
             .join(pool, ["qnode", "node"], "left_anti")
-        grown = pool.withColumn("opened", F.lit(True)).union(scored(reached).withColumn("opened", F.lit(False)))
-        pool = written(grown.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= beam).drop("r"), "nn-pool")
+        now = Scratch(vectors.sparkSession, "nn-pool").until_exit()
+        grown = pool.withColumn("opened", F.lit(True)).union(
+            _products(now.write(reached, "found"), nodes, asked, blocks).withColumn("opened", F.lit(False)))
+        pool = now.write(grown.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= beam).drop("r"), "pool")
+        last.free()
+        last = now
     rank = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return queries.select("query_id", F.col("node").alias("qnode")).join(pool.select("qnode", "node", "score"), "qnode") \
         .join(copies, "node").filter("vec_id <> query_id").withColumn("rank", F.row_number().over(rank)) \

@@ -79,6 +79,12 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def forget_shuffles(spark: SparkSession) -> None:
+    """Spark deletes the shuffle files of frames that nothing refers to any more when the driver collects garbage,
+    which a small driver heap rarely does: jobs of many steps ask for it, so that their disk does not add up."""
+    spark._jvm.System.gc()
+
+
 class Scratch:
     """Tables that one owner writes to the shared checkpoint folder and frees together. Each is written once and
     read back, so lineage ends at the files and a lost executor re-reads them. Use it as a context, or call
