@@ -44,7 +44,10 @@ class UnitEncoder:
         self.width = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
         for token, i in self.tokenizer.get_vocab().items():
             self.width[i] = special.get(i, len(token))     # a character of a token stands for one byte
-        self.known: dict[str, bytes] = {}                  # by unit without its leading space
+        # by unit without its leading space: half of the places take what is used, then that half is kept while the
+        # other takes what is used again or new, so frequent units are not encoded anew
+        self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
         self.cache = cache
         # words of Latin letters are one piece for the splitter: they go to the model in its own alphabet
         model, four = self.tokenizer.model, [i.to_bytes(4, "little") for i in range(len(self.width))]
@@ -66,7 +69,7 @@ class UnitEncoder:
         bare = {u: u[:-1] if u[-1] in ".,;:!?" and len(u) > 1 and u[-2].isalpha() else u for u in units}
         marks = {u[-1] for u, x in bare.items() if x is not u}
         stems = [x for x in dict.fromkeys(bare.values()) if x not in self.known]
-        got = {x: self.word(x) for x in stems if x.isalpha() and max(x) < "\u0250"}
+        got = {x: self.word(x) for x in stems if x.isalpha() and (x.isascii() or max(x) < "\u0250")}
         stems = [x for x in stems if x not in got]
         groups = [stems[i:i + 256] for i in range(0, len(stems), 256)]
         for group, ids in zip(groups, self._ids(["".join(" " + u for u in g) for g in groups])):
@@ -82,33 +85,29 @@ class UnitEncoder:
         return got
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > self.cache:
-            self.known.clear()
+        if len(self.known) > self.cache // 2:
+            self.before, self.known = self.known, {}
         docs = [t.split(" ") for t in texts]
-        found = [list(map(self.known.get, parts)) for parts in docs]
-        missing: dict[str, None] = {}
-        for k, (parts, f) in enumerate(zip(docs, found)):
-            f[0] = b""                                     # no space before it: encoded on its own below
-            if None not in f:
-                continue
-            new = [p for p, x in zip(parts, f) if x is None]
-            if any(not p or p[0].isspace() or p[-1].isspace() for p in new) or not parts[0] or parts[0][-1].isspace():
-                docs[k] = parts = self._joined(parts)
-                found[k] = f = list(map(self.known.get, parts))
-                f[0] = b""
-                new = [p for p, x in zip(parts, f) if x is None]
-            missing.update(dict.fromkeys(new))
-        plain = [u for u in missing if not u[0].isspace() and not u[-1].isspace() and len(u) <= 64]
-        fresh = self._learn(plain)
+        heads = [parts.pop(0) for parts in docs]           # no space before them: encoded on their own
+        missing = set().union(*docs).difference(self.known)
+        # white space beside a space: such texts are cut again
+        wide = {u for u in missing if not u or u[0].isspace() or u[-1].isspace()}
+        missing -= wide
+        for k, (head, parts) in enumerate(zip(heads, docs)):
+            if parts and (not head or head[-1].isspace()) or wide and not wide.isdisjoint(parts):
+                heads[k], *docs[k] = self._joined([head, *parts])
+                missing.update(u for u in docs[k] if u not in self.known)
+        fresh = {u: self.before[u] for u in missing if u in self.before}
         self.known.update(fresh)
-        rest = [u for u in missing if u not in fresh]
-        fresh.update(zip(rest, (x.tobytes() for x in self._ids([" " + u for u in rest]))))
-        out = []
-        for parts, f, head in zip(docs, found, self._ids([parts[0] for parts in docs])):
-            f[0] = head.tobytes()
-            if None in f:
-                f = [fresh[p] if x is None else x for p, x in zip(parts, f)]
-            out.append(b"".join(f))
+        missing.difference_update(fresh)
+        plain = [u for u in missing if not u[0].isspace() and not u[-1].isspace() and len(u) <= 64]
+        self.known.update(self._learn(plain))
+        rest = list(missing.difference(plain))             # long or wide ones are not remembered
+        self.known.update(zip(rest, (x.tobytes() for x in self._ids([" " + u for u in rest]))))
+        ids = self.known.__getitem__
+        out = [head.tobytes() + b"".join(map(ids, parts)) for head, parts in zip(self._ids(heads), docs)]
+        for u in rest:
+            del self.known[u]
         return out
 
     @staticmethod
