@@ -35,9 +35,10 @@ from acqlens.llm.common import small_batches, written
 
 CHUNK = 32_768
 BLOCK = 64         # matrices that are multiplied, and whose borders are found, in one group
-CACHE = 300_000    # words remembered,
+CACHE = 300_000    # words remembered (half of them since the other half was full: frequent ones stay),
 REMEMBERED = 48    # of at most so many characters; none of the two changes a result
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+_TOP = np.uint64(46)   # the first 18 bits of a hash tell whether it may be that of a piece
 _MARK = "▁"
 _BORDER = re.compile(f"(?<=[^{_MARK}]){_MARK}")
 _WORD = re.compile(f"{_MARK}+[^{_MARK}]*|[^{_MARK}]+")
@@ -70,7 +71,10 @@ class Pieces:
         self.hashed = {}
         for k in range(1, max(map(len, self.score), default=1) + 1):
             found = sorted((_text_hash(p), x) for p, (x, _) in self.score.items() if len(p) == k) or [(0, -np.inf)]
-            self.hashed[k] = np.array([f for f, _ in found], np.uint64), np.array([x for _, x in found])
+            keys = np.array([f for f, _ in found], np.uint64)
+            maybe = np.zeros(1 << (64 - int(_TOP)), bool)
+            maybe[keys >> _TOP] = True
+            self.hashed[k] = keys, np.array([x for _, x in found]), maybe
         # every beginning of a piece, with the score of the piece that it is (none: minus infinity)
         self.beginnings = {p[:k]: -float(np.inf) for p in self.score for k in range(1, len(p))}
         self.beginnings.update((p, x) for p, (x, _) in self.score.items())
@@ -80,6 +84,7 @@ class Pieces:
         self.by_words = not any(re.search(f"[^{_MARK}]{_MARK}", p) for p in self.score)
         self.id_of = {p: i for p, (_, i) in self.score.items()}
         self.known: dict[str, tuple[bytes, float]] = {}
+        self.before: dict[str, tuple[bytes, float]] = {}
 
     def at(self, s: str, i: int) -> list[tuple[int, float]]:
         """(end, score) of the pieces of s that begin at i; the bytes of the character if it is no piece."""
@@ -156,11 +161,15 @@ class Pieces:
 
     def learn(self, texts: list[list[str]]) -> None:
         """Remember all words of at most ``REMEMBERED`` characters, those that are new segmented together."""
-        if len(self.known) > CACHE:
-            self.known.clear()
+        if len(self.known) > CACHE // 2:
+            self.before, self.known = self.known, {}
         by_length: dict[int, list[str]] = {}
-        for w in sorted(set().union(*texts).difference(self.known)):
-            by_length.setdefault(len(w), []).append(w)
+        for w in set().union(*texts).difference(self.known):
+            found = self.before.get(w)
+            if found is None:
+                by_length.setdefault(len(w), []).append(w)
+            else:
+                self.known[w] = found
         for size, words in by_length.items():
             if size <= REMEMBERED:
                 for at in range(0, len(words), 1 << 14):
@@ -180,19 +189,35 @@ class Pieces:
         scores, h = [], np.zeros((len(plain), size + 1), np.uint64)
         for k in range(1, most + 1):
             h = h[:, :size - k + 1] * _BASE + points[:, k - 1:]
-            keys, values = self.hashed[k]
-            at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
-            scores.append(np.where(keys[at] == h, values[at], -np.inf))
+            keys, values, maybe = self.hashed[k]
+            rows = np.flatnonzero(maybe[h >> _TOP])
+            wanted = h.ravel()[rows]
+            at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+            hit = keys[at] == wanted
+            found = np.full(h.shape, -np.inf)
+            found.ravel()[rows[hit]] = values[at[hit]]
+            scores.append(found)
         width = 1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF)
         scores[0] = np.where(np.isneginf(scores[0]), self.byte_cost * width, scores[0])
+        scores = [np.ascontiguousarray(x.T) for x in scores]
+        there = [(~np.isneginf(x)).sum(axis=1) for x in scores]
         best = np.full((size + 1, len(plain)), -np.inf)
         came = np.zeros((size + 1, len(plain)), np.int64)
         best[0] = 0.0
         for j in range(1, size + 1):
             for k in range(min(most, j), 0, -1):
-                x = best[j - k] + scores[k - 1][:, j - k]
-                better = x > best[j]
-                best[j][better], came[j][better] = x[better], j - k
+                of_words = scores[k - 1][j - k]
+                if there[k - 1][j - k] * 8 > len(plain):
+                    x = best[j - k] + of_words
+                    better = x > best[j]
+                    np.copyto(best[j], x, where=better)
+                    np.copyto(came[j], j - k, where=better)
+                elif there[k - 1][j - k]:              # few words have a piece here
+                    few = np.flatnonzero(of_words > -np.inf)
+                    x = best[j - k][few] + of_words[few]
+                    better = x > best[j][few]
+                    few = few[better]
+                    best[j][few], came[j][few] = x[better], j - k
         lengths, ids, id_of = [], [], self.id_of
         for w, before in zip(plain, came.T.tolist()):
             cuts = [size]
@@ -262,8 +287,13 @@ class Pieces:
             return [np.array(self.trace(s, 0, len(s)), "<u4").tobytes() for s in texts]
         parts = [_WORD.findall(s) for s in texts]
         self.learn(parts)
-        known = self._known
-        return [b"".join([known(w)[0] for w in words]) for words in parts]
+        out = []
+        for words in parts:
+            found = list(map(self.known.get, words))
+            if None in found:                          # longer than what is remembered
+                found = list(map(self._known, words))
+            out.append(b"".join([x[0] for x in found]))
+        return out
 
     def raw(self, ids: list[int]) -> bytes:
         """The bytes of ids, the space before the text among them."""
