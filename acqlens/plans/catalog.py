@@ -98,6 +98,7 @@ def load_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     with Scratch(spark, "load-incremental") as scratch:
         late = _late_rows(DELTA_FROM)
         for name, df in _hard_sources(spark, sf_dir).items():
+            df = scratch.write(df, f"derived/{name}")      # once for both deliveries
             write_source_csv(df.filter(~late[name]), scratch.path(f"full/{SPECS[name][0]}"))
             write_source_csv(df.filter(late[name]), scratch.path(f"delta/{SPECS[name][0]}"))
         target = scratch.path("raw")
