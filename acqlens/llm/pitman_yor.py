@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acqlens.llm.common import lower_words, small_batches, starts_of
-from acqlens.session import Scratch
+from acqlens.session import Scratch, forget_shuffles
 
 DISCOUNT = 0.75
 STRENGTH = 1.0
@@ -313,7 +313,8 @@ def score(docs: DataFrame, is_train: Column, discount: float = DISCOUNT, strengt
     spark = docs.sparkSession
     source = _source(docs, is_train, id_col, text_col)
     buckets = 1 + int(source.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0] // bucket_chars)
-    found = Scratch(spark, "py-counts").until_exit().write(counts(source, buckets), "counts")
+    counted = Scratch(spark, "py-counts").until_exit()
+    found = counted.write(counts(source, buckets), "counts")
 
     def kept(df: DataFrame, name: str, before: Scratch | None = None) -> tuple[DataFrame, Scratch]:
         scratch = Scratch(spark, f"py-{name}").until_exit()
@@ -334,6 +335,7 @@ def score(docs: DataFrame, is_train: Column, discount: float = DISCOUNT, strengt
                                                        F.lit(1).cast("long").alias("t"))
     parent, tp, unknown, scratch = words.select("w", F.lit(1).cast("long").alias("t")), vocabulary, [], None
     for sweep in range(burn_in + samples):
+        forget_shuffles(spark)
         now = Scratch(spark, "py-sweep")
         # the parent's dishes meet the tables that the sweep before left to the others, as the children's do
         served = words.select("w", "singles").join(state.groupBy("w").agg(F.sum("t").alias("more")), "w", "left") \
@@ -371,9 +373,16 @@ def score(docs: DataFrame, is_train: Column, discount: float = DISCOUNT, strengt
             "bucket", "w", *_doubles(F.log10(smooth), *(f"p{i}" for i in every)))),
         CONTEXT: _value_blocks(found.filter(F.col("kind") == CONTEXT).select("bucket", F.col("a").alias("u")).join(contexts, "u").select(
             "bucket", "u", *_doubles(strength + F.col("customers"), *(f"g{i}" for i in every)))),
-        UNSEEN: found.filter(F.col("kind") == UNSEEN).select("bucket", "block"),
-        TOKENS: _token_blocks(source, buckets)}
-    needs = reduce(DataFrame.union, [df.select("bucket", F.lit(kind).alias("kind"), "block") for kind, df in wanted.items()])
+        UNSEEN: found.filter(F.col("kind") == UNSEEN).select("bucket", "block")}
+
+    def labelled(kind: int, blocks: DataFrame) -> DataFrame:
+        return blocks.select("bucket", F.lit(kind).alias("kind"), "block")
+    prices = Scratch(spark, "py-prices").until_exit().write(
+        reduce(DataFrame.union, [labelled(kind, blocks) for kind, blocks in wanted.items()]), "prices")
+    for done in (counted, words_at, contexts_at, scratch):
+        done.free()                                    # all that prices need of them is in their blocks
+    forget_shuffles(spark)
+    needs = prices.union(labelled(TOKENS, _token_blocks(source, buckets)))
     priced = needs.repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind") \
         .mapInArrow(_pricer(discount, samples, [float(np.log10(part)), *unknown]), "row long, doc_id long, train boolean, n long, known long, base double, score double")
     return priced.groupBy("row", "doc_id", "train").agg(
