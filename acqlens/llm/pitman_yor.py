@@ -47,7 +47,7 @@ BUCKET_CHARS = 16_000_000   # of text a bucket of pairs, on average
 PACK = 1 << 20              # tokens that a task gathers before it sends their pairs
 MERGE = 1 << 19             # pairs of a bucket that wait to be added to its sums
 ROWS = 1 << 16              # rows of a batch that a task gives back
-SEATED = 1 << 17            # dishes seated together
+SENT = 1 << 17              # rows whose values are packed together
 
 
 class Hashes(dict):
@@ -291,7 +291,7 @@ def _seated(rows: DataFrame, sweep: int, discount: float) -> DataFrame:
     kept = [c for c in rows.columns if c not in ("t", "fixed", "each")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in large_batches(batches, SEATED):
+        for b in batches:
             col = {c: b.column(c) for c in b.schema.names}
             t = seat(col["key"].to_numpy(), col["c"].to_numpy(), (col["fixed"].to_numpy(), col["each"].to_numpy()), discount)
             yield pa.RecordBatch.from_arrays([*(col[c] for c in kept if c != "key"), pa.array(t)],
@@ -397,7 +397,7 @@ def _doubles(*columns: Column | str) -> list[Column]:
 def _value_blocks(rows: DataFrame) -> DataFrame:
     """(bucket, block): the rows of each bucket (keys, then doubles), packed column by column."""
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in large_batches(batches, SEATED):
+        for b in large_batches(batches, SENT):
             bucket, *columns = (c.to_numpy() for c in b.columns)
             order = np.lexsort((columns[0], bucket))
             bucket, columns = bucket[order], [c[order] for c in columns]
