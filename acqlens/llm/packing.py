@@ -25,7 +25,8 @@ SEQUENCE = 1024        # tokens in a sequence
 END_ID = 2             # closes each document
 OPEN_BINS = 4096       # bins open at once in a shard
 SHARD_PIECES = 8192    # pieces dealt to a shard, on average
-CACHE = 500_000        # units a worker remembers
+CACHE = 400_000        # units a worker remembers
+MARKS = ".,;:!?"       # end a word as tokens of their own
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids binary"
 
@@ -59,6 +60,7 @@ class UnitEncoder:
             inside = u if u.isascii() else u.encode().decode("latin-1").translate(alphabet)
             return b"".join([four[t.id] for t in model.tokenize("\u0120" + inside)])
         self.word = word
+        self.tail = {m: x.tobytes() for m, x in zip(MARKS, self._ids(list(MARKS)))}
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -66,11 +68,24 @@ class UnitEncoder:
     def _learn(self, units: list[str]) -> dict[str, bytes]:
         """Ids of each unit after a space. A mark that ends a word is a token of its own, so the word is
         remembered without it."""
-        bare = {u: u[:-1] if u[-1] in ".,;:!?" and len(u) > 1 and u[-2].isalpha() else u for u in units}
-        marks = {u[-1] for u, x in bare.items() if x is not u}
-        stems = [x for x in dict.fromkeys(bare.values()) if x not in self.known]
-        got = {x: self.word(x) for x in stems if x.isalpha() and (x.isascii() or max(x) < "\u0250")}
-        stems = [x for x in stems if x not in got]
+        got, marked, stems = {}, [], []
+        for u in units:
+            if u.isalpha() and (u.isascii() or max(u) < "\u0250"):
+                got[u] = self.word(u)
+            elif u[-1] in self.tail and u[-2:-1].isalpha():
+                marked.append(u)
+            else:
+                stems.append(u)
+        for u in marked:
+            x = u[:-1]
+            if x not in got and x not in self.known:
+                if x in self.before:
+                    got[x] = self.before[x]
+                elif x.isalpha() and (x.isascii() or max(x) < "\u0250"):
+                    got[x] = self.word(x)
+                else:
+                    got[x] = b""                           # keeps it from being listed twice
+                    stems.append(x)
         groups = [stems[i:i + 256] for i in range(0, len(stems), 256)]
         for group, ids in zip(groups, self._ids(["".join(" " + u for u in g) for g in groups])):
             ends = np.cumsum(np.fromiter((len(u.encode()) + 1 for u in group), np.int64, len(group)))
@@ -78,10 +93,8 @@ class UnitEncoder:
             raw = ids.tobytes()
             for u, i, j in zip(group, [0, *cuts[:-1].tolist()], cuts.tolist()):
                 got[u] = raw[4 * i:4 * j]
-        tail = {m: x.tobytes() for m, x in zip(marks, self._ids(list(marks)))}
-        for u, x in bare.items():
-            if x is not u:
-                got[u] = (got.get(x) or self.known[x]) + tail[u[-1]]
+        for u in marked:
+            got[u] = (got.get(u[:-1]) or self.known[u[:-1]]) + self.tail[u[-1]]
         return got
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
@@ -89,20 +102,23 @@ class UnitEncoder:
             self.before, self.known = self.known, {}
         docs = [t.split(" ") for t in texts]
         heads = [parts.pop(0) for parts in docs]           # no space before them: encoded on their own
-        missing = set().union(*docs).difference(self.known)
+        missing = set().union(*docs)
+        missing.difference_update(self.known)
         # white space beside a space: such texts are cut again
-        wide = {u for u in missing if not u or u[0].isspace() or u[-1].isspace()}
+        wide = {u for u in missing if not u or len(u.strip()) < len(u)}
         missing -= wide
+        ends = set()                                       # last units of such texts that end in white space
         for k, (head, parts) in enumerate(zip(heads, docs)):
             if parts and (not head or head[-1].isspace()) or wide and not wide.isdisjoint(parts):
                 heads[k], *docs[k] = self._joined([head, *parts])
                 missing.update(u for u in docs[k] if u not in self.known)
-        fresh = {u: self.before[u] for u in missing if u in self.before}
+                ends.update(u for u in docs[k][-1:] if u[-1].isspace())
+        fresh = {u: self.before[u] for u in missing & self.before.keys()}
         self.known.update(fresh)
         missing.difference_update(fresh)
-        plain = [u for u in missing if not u[0].isspace() and not u[-1].isspace() and len(u) <= 64]
-        self.known.update(self._learn(plain))
-        rest = list(missing.difference(plain))             # long or wide ones are not remembered
+        rest = [u for u in missing if len(u) > 64 or u in ends]        # long or wide ones are not remembered
+        missing.difference_update(rest)
+        self.known.update(self._learn(list(missing)))
         self.known.update(zip(rest, (x.tobytes() for x in self._ids([" " + u for u in rest]))))
         ids = self.known.__getitem__
         out = [head.tobytes() + b"".join(map(ids, parts)) for head, parts in zip(self._ids(heads), docs)]

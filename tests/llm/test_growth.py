@@ -55,3 +55,13 @@ def test_frequent_words_outlive_a_full_cache(monkeypatch):
         texts = [piece_scan.marked(f"often {k} straße 🙂 \0 {'y' * 60} " + " ".join(f"w{k}{c}" for c in "abcdefghijkl")), ""]
         assert [np.frombuffer(x, "<u4").tolist() for x in pieces.encode_all(texts)] == [plain.trace(s, 0, len(s)) for s in texts]
     assert segmented.count("▁straße") == 1
+
+
+def test_a_marked_unit_takes_its_word_from_the_kept_half():
+    """A word that only the kept half of the cache holds is not encoded anew when a mark follows it."""
+    encoder = packing.UnitEncoder(tokenizer_path("byte_bpe_50k.json"), cache=4)
+    spelled, word = [], encoder.word
+    encoder.word = lambda u: spelled.append(u) or word(u)
+    for text in ("head kept one two", "kept, d'or, 日本, d'or: x \n kept; end ", "head kept! kept? " + "y" * 80):
+        assert encoder.encode_all([text]) == [x.tobytes() for x in encoder._ids([text])]
+    assert spelled.count("kept") == 1 and "end " not in encoder.known and "y" * 80 not in encoder.known
