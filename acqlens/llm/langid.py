@@ -20,11 +20,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from acqlens.llm.common import small_batches, written
+from acqlens.llm.common import small_batches
 
 WORDS = 20_000     # words kept per language
 GRAMS = 8_000      # n-grams kept per language and length
@@ -123,7 +124,14 @@ def learn(docs: DataFrame, is_train: Column, words: int = WORDS, gram_rows: int
           penalty: float = PENALTY, text_col: str = "text", lang_col: str = "lang") -> Model:
     train = docs.filter(is_train & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()) \
         .select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
-    counts = written(word_counts(train), "lang-words")
+    counts = word_counts(train).persist(StorageLevel.DISK_ONLY)    # read three times
+    try:
+        return _model(counts, words, gram_rows, longest, penalty)
+    finally:
+        counts.unpersist()
+
+
+def _model(counts: DataFrame, words: int, gram_rows: int, longest: int, penalty: float) -> Model:
     totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     langs = sorted(totals, key=lambda k: (-totals[k], k))
     place = {k: i for i, k in enumerate(langs)}

@@ -1,12 +1,14 @@
 """Less memory, disk and time as tables grow: the same results from what is sent, kept and remembered."""
 from __future__ import annotations
 
+from pathlib import Path
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 pytest.importorskip("public_tokenizers")
-from acqlens.llm import nn_descent, packing, piece_scan  # noqa: E402
+from acqlens.llm import langid, nn_descent, packing, piece_scan  # noqa: E402
 from acqlens.llm.queries import tokenizer_path  # noqa: E402
 
 
@@ -65,3 +67,17 @@ def test_a_marked_unit_takes_its_word_from_the_kept_half():
     for text in ("head kept one two", "kept, d'or, 日本, d'or: x \n kept; end ", "head kept! kept? " + "y" * 80):
         assert encoder.encode_all([text]) == [x.tobytes() for x in encoder._ids([text])]
     assert spelled.count("kept") == 1 and "end " not in encoder.known and "y" * 80 not in encoder.known
+
+
+def test_learning_languages_writes_no_files(spark, monkeypatch):
+    """Word counts are kept by the executors while a model is learnt, then freed: no file per shuffle partition."""
+    docs = spark.createDataFrame([(1, "the cat and the dog", "en"), (2, "der Hund und die Katze", "de"), (3, None, "de"), (4, "x", None)],
+                                 "doc_id long, text string, lang string")
+    held, before = [], set(Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file://")).glob("acqlens-*"))
+    kept = spark.sparkContext._jsc.getPersistentRDDs().size()
+    most = langid._most_frequent
+    monkeypatch.setattr(langid, "_most_frequent", lambda counts, by, n: held.append(by) or most(counts, by, n))
+    model = langid.learn(docs, F.lit(True))
+    assert model.langs == ["de", "en"] and b"hund" in model.words and held == [["lang"], ["lang", "size"]]
+    assert set(Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file://")).glob("acqlens-*")) == before
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == kept
