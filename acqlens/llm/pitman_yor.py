@@ -106,6 +106,23 @@ def unsqueeze(block: bytes) -> bytes:
     return pa.decompress(memoryview(block)[8:], int(np.frombuffer(block, np.int64, 1)[0]), "zstd", asbytes=True)
 
 
+def planes(column: np.ndarray) -> bytes:
+    """Numbers with their first bytes side by side, then their second ones: bytes alike squeeze better."""
+    return np.ascontiguousarray(column.view(np.uint8).reshape(-1, column.itemsize).T).tobytes()
+
+
+def from_planes(raw: bytes, kind: str, n: int, at: int = 0) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8, n * size, at).reshape(size, n).T).view(kind).ravel()
+
+
+def steps(keys: np.ndarray) -> np.ndarray:
+    """Ascending keys as differences, which ``np.cumsum`` adds up again: their high bytes are zeros."""
+    out = keys.copy()
+    out[1:] -= keys[:-1]
+    return out
+
+
 def pack(u: np.ndarray, w: np.ndarray, *more: np.ndarray, sort: bool = False) -> bytes:
     """Columns in few bytes: words by their place in a list of the block's words, numbers as small as they fit. With
     ``sort`` rows are put in order, which takes fewer."""
@@ -114,11 +131,11 @@ def pack(u: np.ndarray, w: np.ndarray, *more: np.ndarray, sort: bool = False) ->
     if sort:
         order = np.argsort(columns[0] * len(words) + columns[1])
         columns = tuple(c[order] for c in columns)
-    parts = [words]
+    parts = [steps(words)]
     for column in columns:
         parts.append(column.astype(np.min_scalar_type(int(column.max(initial=0)))))
     head = np.array([len(words), len(u), *(p.itemsize for p in parts[1:])], np.int64)
-    return squeeze(np.int64(len(head)).tobytes() + head.tobytes() + b"".join(p.tobytes() for p in parts))
+    return squeeze(np.int64(len(head)).tobytes() + head.tobytes() + b"".join(map(planes, parts)))
 
 
 def unpack(block: bytes) -> list[np.ndarray]:
@@ -126,11 +143,11 @@ def unpack(block: bytes) -> list[np.ndarray]:
     n = int(np.frombuffer(raw, np.int64, 1)[0])
     head = np.frombuffer(raw, np.int64, n, 8)
     at = 8 + 8 * n
-    words = np.frombuffer(raw, np.int64, head[0], at)
+    words = np.cumsum(from_planes(raw, "i8", int(head[0]), at))
     at += 8 * int(head[0])
     out = []
     for size in head[2:].tolist():
-        out.append(np.frombuffer(raw, f"u{size}", head[1], at).astype(np.int64))
+        out.append(from_planes(raw, f"u{size}", int(head[1]), at).astype(np.int64))
         at += size * int(head[1])
     return [words[out[0]], words[out[1]], *out[2:]]
 
@@ -402,7 +419,8 @@ def _value_blocks(rows: DataFrame) -> DataFrame:
             order = np.lexsort((columns[0], bucket))
             bucket, columns = bucket[order], [c[order] for c in columns]
             at = starts_of(bucket).tolist()
-            yield _blocks([(int(bucket[i]), squeeze(b"".join(c[i:j].tobytes() for c in columns))) for i, j in zip(at, [*at[1:], len(order)])])
+            yield _blocks([(int(bucket[i]), squeeze(planes(np.concatenate([steps(columns[0][i:j]), *(c[i:j].view(np.int64) for c in columns[1:])]))))
+                           for i, j in zip(at, [*at[1:], len(order)])])
     return rows.mapInArrow(send, "bucket int, block binary")
 
 
@@ -420,7 +438,7 @@ def _token_blocks(source: DataFrame, buckets: int) -> DataFrame:
     """(bucket, block): a batch's pairs with the places of their rows, after the rows' numbers, ids and parts."""
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Hashes()
-        for b in small_batches(batches, 6 << 20):
+        for b in small_batches(batches, 12 << 20):
             row, u, w, n = pairs(b.column(3).to_pylist(), hashes)
             number, doc = b.column(0).to_numpy(), b.column(1).fill_null(0).to_numpy()
             flags = b.column(1).is_null().to_numpy(zero_copy_only=False) * 2 + b.column(2).to_numpy(zero_copy_only=False)
@@ -448,7 +466,10 @@ def _pricer(discount: float, samples: int, new_word: list[float]):
     def table(blocks: list[bytes], keys: int) -> tuple[np.ndarray, ...]:
         """The keys and the values of all rows in some blocks, by the first key."""
         width = keys + samples + 1
-        parts = [np.frombuffer(unsqueeze(x), np.int64).reshape(width, -1) for x in blocks]
+        parts = []
+        for raw in map(unsqueeze, blocks):
+            parts.append(from_planes(raw, "i8", len(raw) // 8).reshape(width, -1))
+            parts[-1][0] = np.cumsum(parts[-1][0])
         all_rows = np.concatenate(parts, axis=1) if parts else np.zeros((width, 0), np.int64)
         all_rows = all_rows[:, np.argsort(all_rows[0])]
         return *all_rows[:keys], np.ascontiguousarray(all_rows[keys:].view(np.float64).T)

@@ -98,3 +98,16 @@ def test_distinct_rows_of_columns_whose_mix_is_the_same():
         b = (np.uint64(5) - (x ^ (x >> np.uint64(29)))).view(np.int64)
     got = pitman_yor.distinct(a, b, n=np.array([1, 10, 100, 1000, 0]))
     assert sorted((i, n) for i, _, n in zip(*map(list, got))) == [(1, 1010), (2, 0), (3, 101)]
+
+
+def test_blocks_take_few_bytes_a_pair():
+    """Words of a block travel as differences, bytes of one place together: 8 random bytes a word before."""
+    rng = np.random.default_rng(2)
+    words = rng.integers(-2 ** 63, 2 ** 63 - 1, 20_000)
+    u, w, n = rng.choice(words, 20_000), rng.choice(words, 20_000), rng.integers(1, 4, 20_000)
+    block = pitman_yor.pack(u, w, n, sort=True)
+    listed = len(np.unique(np.concatenate([u, w])))
+    assert sorted(zip(*(x.tolist() for x in pitman_yor.unpack(block)))) == sorted(zip(u.tolist(), w.tolist(), n.tolist()))
+    assert len(block) < 7 * listed + 4 * len(u)
+    for part in (u[:0], u[:1], np.array([2 ** 63 - 1, -2 ** 63, 0])):
+        assert [x.tolist() for x in pitman_yor.unpack(pitman_yor.pack(part, part))] == [part.tolist()] * 2
