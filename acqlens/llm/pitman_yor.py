@@ -48,6 +48,8 @@ PACK = 1 << 20              # tokens that a task gathers before it sends their p
 MERGE = 1 << 19             # pairs of a bucket that wait to be added to its sums
 ROWS = 1 << 16              # rows of a batch that a task gives back
 SENT = 1 << 17              # rows whose values are packed together
+WORDS_OF = 1 << 20          # bytes of text whose words a task holds at once
+TEXTS = 8 << 20             # bytes of text whose pairs are sent to the buckets together
 
 
 class Hashes(dict):
@@ -72,9 +74,19 @@ def tokens(texts: list[str | None], hashes: Hashes) -> tuple[np.ndarray, np.ndar
     return row, u, w
 
 
-def pairs(texts: list[str | None], hashes: Hashes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def tokens_of(texts: pa.Array, hashes: Hashes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same of a column, its words taken out a few texts at a time."""
+    at, parts = 0, []
+    for b in small_batches([pa.RecordBatch.from_arrays([texts], ["text"])], WORDS_OF):
+        row, u, w = tokens(b.column(0).to_pylist(), hashes)
+        parts.append((row + at, u, w))
+        at += b.num_rows
+    return tuple(np.concatenate(x) for x in zip(*parts)) if parts else tokens([], hashes)
+
+
+def pairs(texts: pa.Array, hashes: Hashes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(row, u, w, n): the distinct pairs (context, word) of each text with their counts, in any order."""
-    return distinct(*tokens(texts, hashes))
+    return distinct(*tokens_of(texts, hashes))
 
 
 def distinct(*keys: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
@@ -216,7 +228,7 @@ def counts(source: DataFrame, buckets: int) -> DataFrame:
             u, w, c = distinct(*(np.concatenate([x[i] for x in held]) for i in (0, 1)), n=np.concatenate([x[2] for x in held]).astype(np.int64))
             return _blocks([(b, pack(*columns, sort=True)) for b, columns in dealt(buckets, u, w, c)])
         for b in small_batches(batches, 2 << 20):
-            row, u, w = tokens(b.column(1).to_pylist(), hashes)
+            row, u, w = tokens_of(b.column(1), hashes)
             held.append((u, w, b.column(0).to_numpy(zero_copy_only=False)[row]))
             size += len(u)
             if size >= PACK:
@@ -350,7 +362,7 @@ def score(docs: DataFrame, is_train: Column, discount: float = DISCOUNT, strengt
     # what a sweep starts from: one table per dish
     state = found.filter(F.col("kind") == DISH).select(F.col("a").alias("u"), F.col("b").alias("w"), F.col("x").alias("c"),
                                                        F.lit(1).cast("long").alias("t"))
-    parent, tp, unknown, scratch = words.select("w", F.lit(1).cast("long").alias("t")), vocabulary, [], None
+    parent, tp, parents, scratch = words.select("w", F.lit(1).cast("long").alias("t")), vocabulary, [], None
     for sweep in range(burn_in + samples):
         forget_shuffles(spark)
         now = Scratch(spark, "py-sweep")
@@ -372,24 +384,21 @@ def score(docs: DataFrame, is_train: Column, discount: float = DISCOUNT, strengt
                                   sweep, discount), "state")
         if sweep >= burn_in:
             i = sweep - burn_in
-            unknown.append((strength + discount * tp) * base / (strength + cp))
-            words, words_at = kept(words.join(parent.select("w", p.alias(f"p{i}")), "w"), "words", words_at)
-            gate = (strength + discount * F.col("tu")) / (strength + F.col("customers"))
-            contexts, contexts_at = kept(_tables(contexts, state).withColumn(f"g{i}", gate).drop("tu"), "contexts", contexts_at)
+            parents.append((cp, tp))
+            words, words_at = kept(words.join(parent.select("w", F.col("c").alias(f"c{i}"), F.col("t").alias(f"t{i}")), "w"), "words", words_at)
+            contexts, contexts_at = kept(_tables(contexts, state).withColumnRenamed("tu", f"t{i}"), "contexts", contexts_at)
         if scratch:
             scratch.free()                             # the state before is read no more
         scratch = now.until_exit()
     state = state.withColumnRenamed("t", f"t{samples - 1}")
     every = range(samples)
-    part = 0.5 / (total + 0.5 * (vocabulary + 1))          # of a word that is not in training text
-    smooth = (F.col("customers") + 0.5) / (total + 0.5 * (vocabulary + 1))
-    # words and contexts of held-out text alone have no rows here
+    # words and contexts of held-out text alone have no rows here; all values are counts, which pack into few bytes
     wanted = {
-        DISH: _value_blocks(state.select(_pair_bucket(buckets).alias("bucket"), "u", "w", *_doubles("c", *(f"t{i}" for i in every)))),
+        DISH: _value_blocks(state.select(_pair_bucket(buckets).alias("bucket"), "u", "w", "c", *(f"t{i}" for i in every))),
         WORD: _value_blocks(found.filter(F.col("kind") == WORD).select("bucket", F.col("a").alias("w")).join(words, "w").select(
-            "bucket", "w", *_doubles(F.log10(smooth), *(f"p{i}" for i in every)))),
+            "bucket", "w", "customers", *chain.from_iterable((f"c{i}", f"t{i}") for i in every))),
         CONTEXT: _value_blocks(found.filter(F.col("kind") == CONTEXT).select("bucket", F.col("a").alias("u")).join(contexts, "u").select(
-            "bucket", "u", *_doubles(strength + F.col("customers"), *(f"g{i}" for i in every)))),
+            "bucket", "u", "customers", *(f"t{i}" for i in every))),
         UNSEEN: found.filter(F.col("kind") == UNSEEN).select("bucket", "block")}
 
     def labelled(kind: int, blocks: DataFrame) -> DataFrame:
@@ -401,25 +410,21 @@ def score(docs: DataFrame, is_train: Column, discount: float = DISCOUNT, strengt
     forget_shuffles(spark)
     needs = prices.union(labelled(TOKENS, _token_blocks(source, buckets)))
     priced = needs.repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind") \
-        .mapInArrow(_pricer(discount, samples, [float(np.log10(part)), *unknown]), "row long, doc_id long, train boolean, n long, known long, base double, score double")
+        .mapInArrow(_pricer(discount, strength, total, vocabulary, parents), "row long, doc_id long, train boolean, n long, known long, base double, score double")
     return priced.groupBy("row", "doc_id", "train").agg(
         F.sum("n").alias("n_tokens"), F.sum("known").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
         F.sum("base").alias("base_score"), F.sum("score").alias("score")).drop("row")
 
 
-def _doubles(*columns: Column | str) -> list[Column]:
-    return [(F.col(c) if isinstance(c, str) else c).cast("double").alias(f"v{i}") for i, c in enumerate(columns)]
-
-
 def _value_blocks(rows: DataFrame) -> DataFrame:
-    """(bucket, block): the rows of each bucket (keys, then doubles), packed column by column."""
+    """(bucket, block): the rows of each bucket (keys, then counts), packed column by column."""
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in large_batches(batches, SENT):
             bucket, *columns = (c.to_numpy() for c in b.columns)
             order = np.lexsort((columns[0], bucket))
             bucket, columns = bucket[order], [c[order] for c in columns]
             at = starts_of(bucket).tolist()
-            yield _blocks([(int(bucket[i]), squeeze(planes(np.concatenate([steps(columns[0][i:j]), *(c[i:j].view(np.int64) for c in columns[1:])]))))
+            yield _blocks([(int(bucket[i]), squeeze(planes(np.concatenate([steps(columns[0][i:j]), *(c[i:j] for c in columns[1:])]))))
                            for i, j in zip(at, [*at[1:], len(order)])])
     return rows.mapInArrow(send, "bucket int, block binary")
 
@@ -438,8 +443,8 @@ def _token_blocks(source: DataFrame, buckets: int) -> DataFrame:
     """(bucket, block): a batch's pairs with the places of their rows, after the rows' numbers, ids and parts."""
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Hashes()
-        for b in small_batches(batches, 12 << 20):
-            row, u, w, n = pairs(b.column(3).to_pylist(), hashes)
+        for b in small_batches(batches, TEXTS):
+            row, u, w, n = pairs(b.column(3), hashes)
             number, doc = b.column(0).to_numpy(), b.column(1).fill_null(0).to_numpy()
             flags = b.column(1).is_null().to_numpy(zero_copy_only=False) * 2 + b.column(2).to_numpy(zero_copy_only=False)
             out = []
@@ -451,9 +456,26 @@ def _token_blocks(source: DataFrame, buckets: int) -> DataFrame:
     return source.mapInArrow(send, "bucket int, block binary")
 
 
-def _pricer(discount: float, samples: int, new_word: list[float]):
-    """Prices the pairs of each bucket: rows by bucket and kind, the tokens last. ``new_word``: the values of a word
-    that is not in training text."""
+def _pricer(discount: float, strength: float, total: int, vocabulary: int, parents: list[tuple[int, int]]):
+    """Prices the pairs of each bucket: rows by bucket and kind, the tokens last. ``parents``: customers and tables
+    of the parent, sweep by sweep."""
+    samples, base, smooth = len(parents), 1.0 / (vocabulary + 1), total + 0.5 * (vocabulary + 1)
+
+    def of_words(customers: np.ndarray, *seated: np.ndarray) -> np.ndarray:
+        """The logarithm of each word's base and its probabilities, from its customers and those and the tables
+        that it has in the parent."""
+        p = [(np.maximum(c - discount * t, 0.0) + (strength + discount * tp) * base) / (strength + cp)
+             for c, t, (cp, tp) in zip(seated[::2], seated[1::2], parents)]
+        return np.column_stack([np.log10((customers + 0.5) / smooth), *p])
+
+    def of_contexts(customers: np.ndarray, *tables: np.ndarray) -> np.ndarray:
+        """The weight of each context and the shares that it leaves to the parent."""
+        return np.column_stack([strength + customers, *((strength + discount * t) / (strength + customers) for t in tables)])
+
+    def of_dishes(*counts: np.ndarray) -> np.ndarray:
+        return np.column_stack(counts).astype(np.float64)
+    new_word = of_words(*np.zeros((1 + 2 * samples, 1), np.int64))[0]      # not in training text
+
     def lookup(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
         """Rows of ``values`` (by ascending ``keys``) of the wanted keys, NaN where there is none."""
         out = np.full((len(wanted), values.shape[1]), np.nan)
@@ -463,23 +485,23 @@ def _pricer(discount: float, samples: int, new_word: list[float]):
             out[hit] = values[at[hit]]
         return out
 
-    def table(blocks: list[bytes], keys: int) -> tuple[np.ndarray, ...]:
+    def table(blocks: list[bytes], keys: int, counts: int, of) -> tuple[np.ndarray, ...]:
         """The keys and the values of all rows in some blocks, by the first key."""
-        width = keys + samples + 1
         parts = []
         for raw in map(unsqueeze, blocks):
-            parts.append(from_planes(raw, "i8", len(raw) // 8).reshape(width, -1))
+            parts.append(from_planes(raw, "i8", len(raw) // 8).reshape(keys + counts, -1))
             parts[-1][0] = np.cumsum(parts[-1][0])
-        all_rows = np.concatenate(parts, axis=1) if parts else np.zeros((width, 0), np.int64)
+        all_rows = np.concatenate(parts, axis=1) if parts else np.zeros((keys + counts, 0), np.int64)
         all_rows = all_rows[:, np.argsort(all_rows[0])]
-        return *all_rows[:keys], np.ascontiguousarray(all_rows[keys:].view(np.float64).T)
+        return *all_rows[:keys], of(*all_rows[keys:])
 
     def pair_keys(u: np.ndarray, w: np.ndarray, heads: np.ndarray, words: np.ndarray) -> np.ndarray:
         """One number per pair: places of its words among the bucket's, which are all listed."""
         return np.searchsorted(heads, u) * (len(words) + 1) + np.searchsorted(words, w)
 
     def prepare(have: dict[int, list[bytes]]):
-        words, heads, dishes = table(have.get(WORD, []), 1), table(have.get(CONTEXT, []), 1), table(have.get(DISH, []), 2)
+        words, heads = table(have.get(WORD, []), 1, 1 + 2 * samples, of_words), table(have.get(CONTEXT, []), 1, 1 + samples, of_contexts)
+        dishes = table(have.get(DISH, []), 2, 1 + samples, of_dishes)
         unseen = [np.concatenate(x) for x in zip(*map(unpack, have.get(UNSEEN, [])))] or [np.zeros(0, np.int64)] * 2
         # words and contexts of held-out text alone have no values, but a place
         places = np.union1d(heads[0], unseen[0]), np.union1d(words[0], unseen[1])

@@ -3,9 +3,11 @@ from __future__ import annotations
 
 import math
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -111,3 +113,25 @@ def test_blocks_take_few_bytes_a_pair():
     assert len(block) < 7 * listed + 4 * len(u)
     for part in (u[:0], u[:1], np.array([2 ** 63 - 1, -2 ** 63, 0])):
         assert [x.tolist() for x in pitman_yor.unpack(pitman_yor.pack(part, part))] == [part.tolist()] * 2
+
+
+def test_prices_travel_as_counts(spark, monkeypatch, one_bucket):
+    """What a bucket is told are customers and tables, which pack into few bytes; probabilities took 8 each before."""
+    sent, blocks = [], pitman_yor._value_blocks
+    monkeypatch.setattr(pitman_yor, "_value_blocks", lambda rows: sent.append(rows.dtypes) or blocks(rows))
+    assert scores(spark, ROWS) == one_bucket
+    assert len(sent) == 3 and {t for dtypes in sent for _, t in dtypes} == {"int", "bigint"}
+
+
+def test_words_of_a_few_texts_are_held_at_once():
+    """A column's words are taken out by small slices: 12 MB of text were held as words before."""
+    column = pa.array([None, "", *(" ".join(f"w{k % 97}x{i}" for k in range(30_000)) for i in range(20)), "Last one"])
+    hashes = pitman_yor.Hashes()
+    want = pitman_yor.tokens(column.to_pylist(), hashes)
+    tracemalloc.start()
+    got = pitman_yor.tokens_of(column, hashes)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert all((a == b).all() and len(a) == len(b) for a, b in zip(got, want))
+    assert peak < sum(x.nbytes for x in got) * 2 + 8 * pitman_yor.WORDS_OF
+    assert not len(pitman_yor.tokens_of(column[:0], hashes)[0])
