@@ -35,7 +35,7 @@ from acqlens.llm.common import small_batches, written
 
 CHUNK = 32_768
 BLOCK = 64         # matrices that are multiplied, and whose borders are found, in one group
-CACHE = 300_000    # words remembered (half of them since the other half was full: frequent ones stay),
+CACHE = 480_000    # words remembered (half of them since the other half was full: frequent ones stay),
 REMEMBERED = 48    # of at most so many characters; none of the two changes a result
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _TOP = np.uint64(46)   # the first 18 bits of a hash tell whether it may be that of a piece
@@ -67,14 +67,14 @@ class Pieces:
         self.byte_of = {i: b for b, i in self.bytes.items()}
         self.raw_of = [bytes([self.byte_of[i]]) if i in self.byte_of else t.replace(_MARK, " ").encode() for i, t in enumerate(self.text)]
         self.score = {self.text[i]: (-float(np.log(k + 2)) - 4.0, i) for k, i in enumerate(plain)}
-        # the hashes of the pieces of each length in order, with their scores
+        # the hashes of the pieces of each length in order, with their scores and ids
         self.hashed = {}
         for k in range(1, max(map(len, self.score), default=1) + 1):
-            found = sorted((_text_hash(p), x) for p, (x, _) in self.score.items() if len(p) == k) or [(0, -np.inf)]
-            keys = np.array([f for f, _ in found], np.uint64)
+            found = sorted((_text_hash(p), x, i) for p, (x, i) in self.score.items() if len(p) == k) or [(0, -np.inf, 0)]
+            keys = np.array([f for f, _, _ in found], np.uint64)
             maybe = np.zeros(1 << (64 - int(_TOP)), bool)
             maybe[keys >> _TOP] = True
-            self.hashed[k] = keys, np.array([x for _, x in found]), maybe
+            self.hashed[k] = keys, np.array([x for _, x, _ in found]), np.array([i for _, _, i in found], np.int32), maybe
         # every beginning of a piece, with the score of the piece that it is (none: minus infinity)
         self.beginnings = {p[:k]: -float(np.inf) for p in self.score for k in range(1, len(p))}
         self.beginnings.update((p, x) for p, (x, _) in self.score.items())
@@ -82,9 +82,17 @@ class Pieces:
         self.longest = max(map(len, self.score), default=1)
         # if no piece goes from another character on to a mark, words are decoded one by one
         self.by_words = not any(re.search(f"[^{_MARK}]{_MARK}", p) for p in self.score)
-        self.id_of = {p: i for p, (_, i) in self.score.items()}
-        self.known: dict[str, tuple[bytes, float]] = {}
-        self.before: dict[str, tuple[bytes, float]] = {}
+        self.cost = np.zeros(n)                        # of each id
+        self.cost[byte] = self.byte_cost
+        self.cost[plain] = [self.score[self.text[i]][0] for i in plain]
+        self.raws = pa.array(self.raw_of, pa.binary())
+        # the id of a character of one byte that is no piece; of others (-1) there are several
+        self.single = np.full(129, -1, np.int32)
+        for b in range(128):
+            self.single[b] = self.bytes.get(b, -1)
+        # ids (little-endian uint32) of words without the mark before them, "a space and the word" if it has none
+        self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
     def at(self, s: str, i: int) -> list[tuple[int, float]]:
         """(end, score) of the pieces of s that begin at i; the bytes of the character if it is no piece."""
@@ -145,18 +153,32 @@ class Pieces:
             last = s.rfind(_MARK, 0, last)
         return first.start(), last
 
-    def words(self, s: str) -> tuple[bytes, float]:
-        """Ids (little-endian uint32) and score of a text that begins and ends at word borders, by remembered words."""
-        parts = _WORD.findall(s)
+    @staticmethod
+    def _parts(s: str) -> list[str]:
+        """The words of a text as they are remembered."""
+        if s[:1] == _MARK != s[-1] and _MARK * 2 not in s:
+            return s[1:].split(_MARK)
+        return [w[1:] if w[0] == _MARK else " " + w for w in _WORD.findall(s)]
+
+    @staticmethod
+    def _spelled(part: str) -> str:
+        return part[1:] if part[:1] == " " else _MARK + part
+
+    def words(self, s: str) -> bytes:
+        """Ids (little-endian uint32) of a text that begins and ends at word borders, by remembered words."""
+        parts = self._parts(s)
         self.learn([parts])
-        found = [self._known(w) for w in parts]
-        return b"".join([raw for raw, _ in found]), sum(x for _, x in found)
+        return b"".join(map(self._known, parts))
+
+    def total(self, ids: bytes) -> float:
+        """The score of a text segmented into these ids."""
+        return float(self.cost[np.frombuffer(ids, "<u4")].sum())
 
-    def _known(self, w: str) -> tuple[bytes, float]:
-        got = self.known.get(w)
+    def _known(self, part: str) -> bytes:
+        got = self.known.get(part)
         if got is None:
-            ids, x = self._best(w, 0, len(w))
-            got = np.array(ids, "<u4").tobytes(), x
+            w = self._spelled(part)
+            got = np.array(self.trace(w, 0, len(w)), "<u4").tobytes()
         return got
 
     def learn(self, texts: list[list[str]]) -> None:
@@ -164,32 +186,36 @@ class Pieces:
         if len(self.known) > CACHE // 2:
             self.before, self.known = self.known, {}
         by_length: dict[int, list[str]] = {}
-        for w in set().union(*texts).difference(self.known):
-            found = self.before.get(w)
+        known, before = self.known, self.before
+        for part in set().union(*texts).difference(known):
+            found = before.get(part)
             if found is None:
+                w = part[1:] if part[:1] == " " else _MARK + part
                 by_length.setdefault(len(w), []).append(w)
             else:
-                self.known[w] = found
+                known[part] = found
         for size, words in by_length.items():
             if size <= REMEMBERED:
                 for at in range(0, len(words), 1 << 14):
                     self._segment(words[at:at + (1 << 14)], size)
 
+    def _remember(self, w: str, ids: bytes) -> None:
+        self.known[w[1:] if w[0] == _MARK else " " + w] = ids
+
     def _segment(self, words: list[str], size: int) -> None:
         """The best segmentations of words of one length, place by place for all of them at once: the same sums
         and choices as ``_best`` makes for each."""
         plain = [w for w in words if "\0" not in w]     # numpy drops these at the end of a text
         for w in set(words).difference(plain):
-            ids, total = self._best(w, 0, size)
-            self.known[w] = np.array(ids, "<u4").tobytes(), total
+            self._remember(w, np.array(self.trace(w, 0, size), "<u4").tobytes())
         if not plain:
             return
         points = np.array(plain, f"U{size}").view(np.uint32).reshape(len(plain), size).astype(np.uint64)
         most = min(self.longest, size)
-        scores, h = [], np.zeros((len(plain), size + 1), np.uint64)
+        scores, pieces, h = [], [], np.zeros((len(plain), size + 1), np.uint64)
         for k in range(1, most + 1):
             h = h[:, :size - k + 1] * _BASE + points[:, k - 1:]
-            keys, values, maybe = self.hashed[k]
+            keys, values, ids, maybe = self.hashed[k]
             rows = np.flatnonzero(maybe[h >> _TOP])
             wanted = h.ravel()[rows]
             at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
@@ -197,12 +223,15 @@ class Pieces:
             found = np.full(h.shape, -np.inf)
             found.ravel()[rows[hit]] = values[at[hit]]
             scores.append(found)
+            piece = np.zeros(h.shape, np.int32) if k > 1 else self.single[np.minimum(points, 128).astype(np.int64)]
+            piece.ravel()[rows[hit]] = ids[at[hit]]
+            pieces.append(piece)
         width = 1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF)
         scores[0] = np.where(np.isneginf(scores[0]), self.byte_cost * width, scores[0])
-        scores = [np.ascontiguousarray(x.T) for x in scores]
+        scores, pieces = ([np.ascontiguousarray(x.T) for x in xs] for xs in (scores, pieces))
         there = [(~np.isneginf(x)).sum(axis=1) for x in scores]
         best = np.full((size + 1, len(plain)), -np.inf)
-        came = np.zeros((size + 1, len(plain)), np.int64)
+        came, last = np.zeros((size + 1, len(plain)), np.int64), np.zeros((size + 1, len(plain)), np.int32)
         best[0] = 0.0
         for j in range(1, size + 1):
             for k in range(min(most, j), 0, -1):
@@ -212,39 +241,40 @@ class Pieces:
                     better = x > best[j]
                     np.copyto(best[j], x, where=better)
                     np.copyto(came[j], j - k, where=better)
+                    np.copyto(last[j], pieces[k - 1][j - k], where=better)
                 elif there[k - 1][j - k]:              # few words have a piece here
                     few = np.flatnonzero(of_words > -np.inf)
                     x = best[j - k][few] + of_words[few]
                     better = x > best[j][few]
                     few = few[better]
-                    best[j][few], came[j][few] = x[better], j - k
-        lengths, ids, id_of = [], [], self.id_of
-        for w, before in zip(plain, came.T.tolist()):
-            cuts = [size]
-            while cuts[-1]:
-                cuts.append(before[cuts[-1]])
-            n = len(ids)
-            for k in range(len(cuts) - 1, 0, -1):
-                piece = w[cuts[k]:cuts[k - 1]]
-                found = id_of.get(piece)
-                if found is None:
-                    ids += self.ids(piece)
-                else:
-                    ids.append(found)
-            lengths.append(4 * (len(ids) - n))
-        raw, at = np.array(ids, "<u4").tobytes(), 0
-        for w, n, total in zip(plain, lengths, best[size].tolist()):
-            self.known[w] = raw[at:at + n], total
-            at += n
+                    best[j][few], came[j][few], last[j][few] = x[better], j - k, pieces[k - 1][j - k][few]
+        # back along the best paths of all words at once: the ends of their pieces
+        used, at, live = np.zeros((len(plain), size + 1), bool), np.full(len(plain), size), np.arange(len(plain))
+        while len(live):
+            ends = at[live]
+            used[live, ends] = True
+            at[live] = came[ends, live]
+            live = live[at[live] > 0]
+        ids = last.T[used]
+        stops = np.cumsum(used.sum(axis=1))
+        several = np.zeros(len(plain), bool)               # words with a character of several bytes that is no piece
+        several[np.searchsorted(stops, np.flatnonzero(ids < 0), side="right")] = True
+        raw, begin = ids.astype("<u4").tobytes(), 0
+        for w, end, spell in zip(plain, (4 * stops).tolist(), several.tolist()):
+            self._remember(w, np.array(self.trace(w, 0, size), "<u4").tobytes() if spell else raw[begin:end])
+            begin = end
 
     def matrix(self, s: str, body: int) -> np.ndarray:
+        return self.transfer(s, body)[0]
+
+    def transfer(self, s: str, body: int) -> tuple[np.ndarray, tuple[int, int] | None, bytes]:
         """Best scores from each state at the beginning of s[:body] to each at its end; what follows the
         body in s is what pieces may reach into. Where the chunk holds word borders, every path passes the first
         and the last: what comes before depends on the state at the beginning alone, what comes after on that at
-        the end, and the words between cost what they cost."""
+        the end, and the words between cost what they cost. Then these two borders and the ids between them."""
         borders = self.word_borders(s, self.longest, body)
         if borders is None:
-            return self.full_matrix(s, body)
+            return self.full_matrix(s, body), None, b""
         first, last = borders
         head = np.full(first + 1, -np.inf)
         head[first] = 0.0
@@ -257,7 +287,8 @@ class Pieces:
             for j, x in self.at(s, i):
                 tail[j - last] = max(tail[j - last], tail[i - last] + x)
         end = tail[body - last:body - last + self.longest]
-        return head[:self.longest, None] + self.words(s[first:last])[1] + end[None, :]
+        ids = self.words(s[first:last])
+        return head[:self.longest, None] + self.total(ids) + end[None, :], borders, ids
 
     def full_matrix(self, s: str, body: int) -> np.ndarray:
         """The same, character by character for all states at once."""
@@ -275,7 +306,7 @@ class Pieces:
         if borders is None:
             return self.trace(s, begin, end)
         first, last = borders
-        return [*self.trace(s, begin, first), *np.frombuffer(self.words(s[first:last])[0], "<u4").tolist(), *self.trace(s, last, end)]
+        return [*self.trace(s, begin, first), *np.frombuffer(self.words(s[first:last]), "<u4").tolist(), *self.trace(s, last, end)]
 
     def encode(self, s: str) -> list[int]:
         """Ids of a whole text that is already written with marks."""
@@ -285,20 +316,28 @@ class Pieces:
         """Ids of whole texts as little-endian uint32, the words of all of them learnt together."""
         if not self.by_words:
             return [np.array(self.trace(s, 0, len(s)), "<u4").tobytes() for s in texts]
-        parts = [_WORD.findall(s) for s in texts]
+        parts = list(map(self._parts, texts))
         self.learn(parts)
         out = []
         for words in parts:
             found = list(map(self.known.get, words))
             if None in found:                          # longer than what is remembered
                 found = list(map(self._known, words))
-            out.append(b"".join([x[0] for x in found]))
+            out.append(b"".join(found))
         return out
 
     def raw(self, ids: list[int]) -> bytes:
         """The bytes of ids, the space before the text among them."""
         return b"".join(map(self.raw_of.__getitem__, ids))
 
+    def raw_all(self, rows: list[bytes]) -> list[bytes]:
+        """The bytes of the ids (little-endian uint32) of each row."""
+        found = self.raws.take(pa.array(np.frombuffer(b"".join(rows), "<u4")))
+        stops = np.cumsum([0, *(len(x) // 4 for x in rows)])
+        ends = np.frombuffer(found.buffers()[1], np.int32)[stops].tolist()
+        data = memoryview(found.buffers()[2] or b"")
+        return [data[i:j].tobytes() for i, j in zip(ends, ends[1:])]
+
     def decode(self, ids: list[int]) -> str:
         return self.raw(ids).decode("utf-8", "surrogatepass")[1:]
 
@@ -376,6 +415,9 @@ def _encoded(docs: DataFrame, path: str, chunk: int, block: int, id_col: str, te
     """The encodings of documents of one chunk, and of the others."""
     fields = "doc_id long, row string, chunk int, chunks int, text string"
     result = "doc_id long, row string, chunk int, chunks int, ids binary"
+    # of a chunk: its text up to the first border, from the last on (all of it, if it holds none), how much of this is
+    # the chunk's own, the ids between, and its matrix
+    seen = "doc_id long, row string, chunk int, chunks int, head string, tail string, body int, ids binary, m binary"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         longest = _model(path).longest
@@ -400,15 +442,23 @@ def _encoded(docs: DataFrame, path: str, chunk: int, block: int, id_col: str, te
         for b in batches:
             for k in range(b.num_rows):
                 s = b.column(4)[k].as_py()
-                m = _model(path).matrix(s, min(chunk, len(s)))
-                yield pa.RecordBatch.from_arrays([b.column(1).slice(k, 1), b.column(2).slice(k, 1), pa.array([m.tobytes()], pa.binary())],
-                                                 ["row", "chunk", "m"])
+                body = min(chunk, len(s))
+                m, borders, ids = _model(path).transfer(s, body)
+                first, last = borders or (0, 0)
+                yield pa.RecordBatch.from_arrays(
+                    [*(c.slice(k, 1) for c in b.columns[:4]), pa.array([s[:first + 1] if borders else None], pa.string()),
+                     pa.array([s[last:]], pa.string()), pa.array([body - last], pa.int32()), pa.array([ids], pa.binary()),
+                     pa.array([m.tobytes()], pa.binary())], [f.split()[0] for f in seen.split(", ")])
 
     def traced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids = [np.array(_model(path).between(s, i, min(chunk, len(s)) + j), "<u4").tobytes()
-                   for s, i, j in zip(*(b.column(c).to_pylist() for c in (4, 5, 6)))]
-            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(ids, pa.binary())], ["doc_id", "row", "chunk", "chunks", "ids"])
+            model, out = _model(path), []
+            for head, tail, body, ids, i, j in zip(*(b.column(c).to_pylist() for c in (4, 5, 6, 7, 8, 9))):
+                if head is not None:                       # up to the first border, whose mark it ends with
+                    before, i = np.array(model.between(head, i, len(head) - 1), "<u4").tobytes(), 0
+                    ids = before + ids
+                out.append(ids + np.array(model.between(tail, i, body + j), "<u4").tobytes())
+            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(out, pa.binary())], ["doc_id", "row", "chunk", "chunks", "ids"])
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.monotonically_increasing_id().cast("string").alias("row"),
                          F.col(text_col).cast("string").alias("text"))
@@ -418,9 +468,10 @@ def _encoded(docs: DataFrame, path: str, chunk: int, block: int, id_col: str, te
     # the row number of a file's row is the same if a task runs again
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     giant = written(source.filter(is_giant).mapInArrow(cut, fields).repartition(tasks, "row", "chunk"), "piece-chunks")
-    matrices = written(giant.mapInArrow(transfer, "row string, chunk int, m binary"), "piece-matrices")
-    most = giant.agg(F.coalesce(F.max("chunks"), F.lit(0))).first()[0]
-    known = giant.join(scan(matrices, most, block), ["row", "chunk"]).select("doc_id", "row", "chunk", "chunks", "text", "enter", "leave")
+    chunks = written(giant.mapInArrow(transfer, seen), "piece-matrices")
+    most = chunks.agg(F.coalesce(F.max("chunks"), F.lit(0))).first()[0]
+    known = chunks.join(scan(chunks.select("row", "chunk", "m"), most, block), ["row", "chunk"]) \
+        .select("doc_id", "row", "chunk", "chunks", "head", "tail", "body", "ids", "enter", "leave")
     return short, known.mapInArrow(traced, result)
 
 
@@ -430,8 +481,7 @@ def _raw(encoded: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in small_batches([whole], 2 << 20):
-                raw = [_model(path).raw(np.frombuffer(i, "<u4").tolist())[k == 0:]
-                       for k, i in zip(b.column(2).to_pylist(), b.column(5).to_pylist())]
+                raw = [x[k == 0:] for k, x in zip(b.column(2).to_pylist(), _model(path).raw_all(b.column(5).to_pylist()))]
                 yield pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(raw, pa.binary())],
                                                  ["doc_id", "row", "chunk", "n_tokens", "ids_crc32", "raw"])
     return encoded.select("doc_id", "row", "chunk", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"), "ids") \

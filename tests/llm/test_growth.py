@@ -81,3 +81,21 @@ def test_learning_languages_writes_no_files(spark, monkeypatch):
     assert model.langs == ["de", "en"] and b"hund" in model.words and held == [["lang"], ["lang", "size"]]
     assert set(Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file://")).glob("acqlens-*")) == before
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == kept
+
+
+def test_words_between_borders_are_segmented_once():
+    """A giant document's chunk gives the ids between its word borders with its matrix, and these are not found again."""
+    pieces = piece_scan.Pieces(tokenizer_path("piece_bpe_32k.model"))
+    rng = np.random.default_rng(8)
+    words = ["often", "straße", "🙂", "\0", "y" * 60, "", "a\nb", "名", "\t", "▁", "ﷺx"]
+    for _ in range(40):
+        s = piece_scan.marked(" ".join(rng.choice(words, 60)))
+        body = len(s) - pieces.longest
+        m, borders, ids = pieces.transfer(s, body)
+        first, last = borders
+        assert ids == np.array(pieces.trace(s, first, last), "<u4").tobytes() and (m == pieces.matrix(s, body)).all()
+        got = pieces.between(s[:first + 1], 0, first) + np.frombuffer(ids, "<u4").tolist() + pieces.between(s[last:], 0, len(s) - last)
+        assert got == pieces.trace(s, 0, len(s))
+        assert pieces.total(ids) == pytest.approx(pieces._best(s, first, last)[1])
+        assert pieces.raw_all([ids, b"", np.array(got, "<u4").tobytes()]) == [pieces.raw(np.frombuffer(ids, "<u4").tolist()), b"", pieces.raw(got)]
+    assert pieces.transfer("▁" * 40, 20)[1:] == (None, b"")
