@@ -12,6 +12,7 @@ their pieces; a null doc_id is kept. Empty tables give no rows.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,8 +26,10 @@ SEQUENCE = 1024        # tokens in a sequence
 END_ID = 2             # closes each document
 OPEN_BINS = 4096       # bins open at once in a shard
 SHARD_PIECES = 8192    # pieces dealt to a shard, on average
-CACHE = 400_000        # units a worker remembers
-MARKS = ".,;:!?"       # end a word as tokens of their own
+CACHE = 800_000        # units a worker remembers
+MARKS = ".,;:!?%&$#*|<>()\"-"   # those that end a word are split from it
+LETTERS = "\u0250"     # Latin ones come before
+_WIDE = re.compile(r"\s\s")
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids binary"
 
@@ -56,56 +59,76 @@ class UnitEncoder:
         hidden = [b for b in range(256) if b not in shown]  # the alphabet shows these bytes from U+0100 on
         alphabet = {b: 0x100 + k for k, b in enumerate(hidden)}
 
-        def word(u: str) -> bytes:
+        def word(u: str, before: str = "\u0120") -> bytes:
             inside = u if u.isascii() else u.encode().decode("latin-1").translate(alphabet)
-            return b"".join([four[t.id] for t in model.tokenize("\u0120" + inside)])
+            return b"".join([four[t.id] for t in model.tokenize(before + inside)])
         self.word = word
-        self.tail = {m: x.tobytes() for m, x in zip(MARKS, self._ids(list(MARKS)))}
+        self.tail: dict[str, bytes] = {"": b""}            # marks after a word, and the line's end after them
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, units: list[str]) -> dict[str, bytes]:
-        """Ids of each unit after a space. A mark that ends a word is a token of its own, so the word is
-        remembered without it."""
-        got, marked, stems = {}, [], []
+    def _tail(self, marks: str) -> bytes:
+        ids = self.tail.get(marks)
+        if ids is None:
+            ids = self._ids([marks])[0].tobytes()
+            if len(self.tail) < 4096:
+                self.tail[marks] = ids
+        return ids
+
+    def _learn(self, units: list[str]) -> None:
+        """Remember each unit's ids after a space. Marks that end a word are split from it, and so is the word that
+        begins the next line, so that known words are not encoded anew."""
+        known, before, tail, word = self.known, self.before, self.tail, self.word
+        marked, stems = [], []
         for u in units:
-            if u.isalpha() and (u.isascii() or max(u) < "\u0250"):
-                got[u] = self.word(u)
-            elif u[-1] in self.tail and u[-2:-1].isalpha():
-                marked.append(u)
-            else:
+            if u.isalpha() and (u.isascii() or max(u) < LETTERS):
+                if u not in known:
+                    known[u] = word(u)
+                continue
+            x, after, y = u.partition("\n")                # y: the next line's word
+            end = x
+            x = x.rstrip(MARKS)
+            z = y.rstrip(MARKS)
+            if not x.isalpha() or not (z.isalpha() and (z.isascii() or max(z) < LETTERS) if after else u[-1] in MARKS):
                 stems.append(u)
-        for u in marked:
-            x = u[:-1]
-            if x not in got and x not in self.known:
-                if x in self.before:
-                    got[x] = self.before[x]
-                elif x.isalpha() and (x.isascii() or max(x) < "\u0250"):
-                    got[x] = self.word(x)
-                else:
-                    got[x] = b""                           # keeps it from being listed twice
-                    stems.append(x)
+                continue
+            ids = known.get(x)
+            if ids is None:
+                ids = before.get(x)
+                if ids is None and (x.isascii() or max(x) < LETTERS):
+                    ids = word(x)
+                if ids is not None:
+                    known[x] = ids
+            end = end[len(x):] + after
+            last = tail.get(end)
+            if last is None:
+                last = self._tail(end)
+            if after:
+                last += word(z, "") + self._tail(y[len(z):])
+            if ids is None:
+                marked.append((u, x, last))
+            else:
+                known[u] = ids + last
+        stems = list({*stems, *(x for _, x, _ in marked)}.difference(known))
         groups = [stems[i:i + 256] for i in range(0, len(stems), 256)]
         for group, ids in zip(groups, self._ids(["".join(" " + u for u in g) for g in groups])):
             ends = np.cumsum(np.fromiter((len(u.encode()) + 1 for u in group), np.int64, len(group)))
             cuts = np.searchsorted(np.cumsum(self.width[ids]), ends) + 1
             raw = ids.tobytes()
             for u, i, j in zip(group, [0, *cuts[:-1].tolist()], cuts.tolist()):
-                got[u] = raw[4 * i:4 * j]
-        for u in marked:
-            got[u] = (got.get(u[:-1]) or self.known[u[:-1]]) + self.tail[u[-1]]
-        return got
+                known[u] = raw[4 * i:4 * j]
+        for u, x, last in marked:
+            known[u] = known[x] + last
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > self.cache // 2:
             self.before, self.known = self.known, {}
         docs = [t.split(" ") for t in texts]
         heads = [parts.pop(0) for parts in docs]           # no space before them: encoded on their own
-        missing = set().union(*docs)
-        missing.difference_update(self.known)
+        missing = set().union(*docs).difference(self.known)
         # white space beside a space: such texts are cut again
-        wide = {u for u in missing if not u or len(u.strip()) < len(u)}
+        wide = {u for u in missing if not u or len(u.strip()) < len(u)} if _WIDE.search(f" {' '.join(missing)} ") else set()
         missing -= wide
         ends = set()                                       # last units of such texts that end in white space
         for k, (head, parts) in enumerate(zip(heads, docs)):
@@ -118,7 +141,7 @@ class UnitEncoder:
         missing.difference_update(fresh)
         rest = [u for u in missing if len(u) > 64 or u in ends]        # long or wide ones are not remembered
         missing.difference_update(rest)
-        self.known.update(self._learn(list(missing)))
+        self._learn(list(missing))
         self.known.update(zip(rest, (x.tobytes() for x in self._ids([" " + u for u in rest]))))
         ids = self.known.__getitem__
         out = [head.tobytes() + b"".join(map(ids, parts)) for head, parts in zip(self._ids(heads), docs)]

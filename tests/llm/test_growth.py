@@ -99,3 +99,21 @@ def test_words_between_borders_are_segmented_once():
         assert pieces.total(ids) == pytest.approx(pieces._best(s, first, last)[1])
         assert pieces.raw_all([ids, b"", np.array(got, "<u4").tobytes()]) == [pieces.raw(np.frombuffer(ids, "<u4").tolist()), b"", pieces.raw(got)]
     assert pieces.transfer("▁" * 40, 20)[1:] == (None, b"")
+
+
+def test_units_of_letters_marks_and_a_line_break_take_known_words():
+    """Marks that end a word, and the word that begins the next line, are split from it: only words go to the model,
+    known ones not again."""
+    encoder = packing.UnitEncoder(tokenizer_path("byte_bpe_50k.json"))
+    encoder.encode_all(["head known naïve 日本 word"])
+    spelled, word, batches, ids = [], encoder.word, [], encoder._ids
+    encoder.word = lambda u, *before: spelled.append(u) or word(u, *before)
+    encoder._ids = lambda texts: batches.append(texts) or ids(texts)
+    text = "head known%%% known.\nNext naïve,.. word\nThen, known.\n日本. known.\n\nmore x's it's.\nd'or known'' word.\nΩmega 日本! new-ly"
+    assert encoder.encode_all([text]) == [x.tobytes() for x in ids([text])]
+    assert "known" not in spelled and "Next" in spelled and "Then" in spelled
+    assert not any("known%%%" in t or "Next" in t for texts in batches for t in texts)
+    rng = np.random.default_rng(7)
+    parts = ["a", "é", "日", "Zq", "\n", ".", "%%", "'s", " ", "-", "9", "\t", " ", "ⁿ", "ª", "\x1c"]
+    texts = ["".join(rng.choice(parts, 12)) for _ in range(3000)]
+    assert encoder.encode_all(texts) == [x.tobytes() for x in ids(texts)]
