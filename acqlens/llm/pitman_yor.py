@@ -10,11 +10,13 @@ Poisson law of the same probabilities. Predictive probabilities are averaged ove
 
 A dish of one customer has one table whatever is drawn, so sweeps (joins and groupings in Spark) move only the
 dishes of two customers or more; the others enter by their number per word and per context. Pairs (context,
-word) are dealt to ``buckets`` by their hashes, about ``BUCKET_CHARS`` characters of text a bucket. A first pass
-over the texts sends each bucket its pairs, packed, and counts them; a second sends each bucket the pairs again
-with their documents, after what the bucket needs to price them: probabilities of its words, weights of its
-contexts, tables of its dishes. A bucket holds its distinct pairs; the documents of a pair, however many, stream
-past. So texts are read twice, and no pair is shuffled more than twice or stored with its document.
+word) are dealt to ``buckets``, about ``BUCKET_CHARS`` characters of text a bucket: places of a grid whose rows
+share out the contexts and whose columns the words, by their hashes, so a word is known to one column alone. A first
+pass over the texts sends each bucket its pairs, packed, and counts them; a second sends each bucket the pairs again
+with the places of their documents in a batch, after what the bucket needs to price them: probabilities of its words,
+weights of its contexts, tables of its dishes. A bucket holds its distinct pairs; the documents of a pair, however many,
+stream past. Sums of a batch's documents come back packed, a block a bucket. So texts are read twice, and no pair is
+shuffled more than twice or stored with its document.
 
 Draws come from hashes of (context, word, sweep, customer), so a task that runs again draws the same.
 Words travel as 64-bit hashes. Nulls: a null or empty text is the end token alone; a null id counts as ''.
@@ -23,6 +25,7 @@ text N is 0 and the base is uniform. Ties do not arise: scores are sums. Very lo
 """
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import reduce
 from itertools import chain
@@ -74,19 +77,108 @@ def tokens(texts: list[str | None], hashes: Hashes) -> tuple[np.ndarray, np.ndar
     return row, u, w
 
 
+_BYTES = np.arange(256, dtype=np.uint8)
+LOWER = np.where((_BYTES >= 65) & (_BYTES <= 90), _BYTES + 32, _BYTES).astype(np.uint8)
+IN_WORD = ~np.isin(_BYTES, [32, *range(9, 14)])
+P1, P2, P3, P4, P5 = map(np.uint64, (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+
+
+def _turned(x: np.ndarray, bits: int) -> np.ndarray:
+    return (x << np.uint64(bits)) | (x >> np.uint64(64 - bits))
+
+
+def hashes_at(data: np.ndarray, start: np.ndarray, size: np.ndarray, hashes: Hashes) -> np.ndarray:
+    """XXH64 of many short stretches of some bytes, after which 8 more follow: all take each step of the hash together.
+    Those of 32 bytes or more are hashed one by one."""
+    eight, four = (np.ndarray(len(data) - 7, kind, data, strides=(1,)) for kind in ("<u8", "<u4"))
+    h = size.astype(np.uint64) + P5
+    at = start.copy()
+    for k in range(3):
+        live = np.flatnonzero((size >= 8 * k + 8) & (size < 32))
+        h[live] = _turned(h[live] ^ _turned(eight[at[live]] * P2, 31) * P1, 27) * P1 + P4
+        at[live] += 8
+    live = np.flatnonzero(size & 4)
+    h[live] = _turned(h[live] ^ four[at[live]].astype(np.uint64) * P1, 23) * P2 + P3
+    at[live] += 4
+    for k in range(3):
+        live = np.flatnonzero((size & 3) > k)
+        h[live] = _turned(h[live] ^ data[at[live]].astype(np.uint64) * P5, 11) * P1
+        at[live] += 1
+    h = (h ^ (h >> np.uint64(33))) * P2
+    h = (h ^ (h >> np.uint64(29))) * P3
+    h ^= h >> np.uint64(32)
+    for i in np.flatnonzero(size >= 32).tolist():
+        h[i] = hashes[data[start[i]:start[i] + size[i]].tobytes()]
+    return h.view(np.int64)
+
+
+def _tokens_at(texts: pa.Array, hashes: Hashes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``tokens`` of a column, from its bytes."""
+    texts = texts.fill_null("") if texts.null_count else texts
+    _, places, raw = texts.buffers()
+    wide = pa.types.is_large_string(texts.type)
+    places = np.frombuffer(places, np.int64 if wide else np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+    begin, n = int(places[0]), int(places[-1] - places[0])
+    places -= begin
+    data = np.zeros(n + 8, np.uint8)
+    if n:
+        data[:n] = LOWER[np.frombuffer(raw, np.uint8, n, begin)]
+    inside = IN_WORD[data[:n]]
+    first, last = inside.copy(), inside.copy()
+    first[1:] &= ~inside[:-1]
+    last[:-1] &= ~inside[1:]
+    at = places[:-1][places[:-1] < n]                      # no word runs on into the next text
+    first[at] = inside[at]
+    at = places[1:][places[1:] > 0] - 1
+    last[at] = inside[at]
+    start = np.flatnonzero(first)
+    size = np.flatnonzero(last) + 1 - start
+    many = np.diff(np.searchsorted(start, places)) + 1     # the end token too
+    row = np.repeat(np.arange(len(texts)), many)
+    stop = np.cumsum(many)
+    w = np.full(len(row), END, np.int64)
+    words = np.ones(len(row), bool)
+    words[stop - 1] = False
+    w[words] = hashes_at(data, start, size, hashes)
+    u = np.empty_like(w)
+    u[1:] = w[:-1]
+    u[stop - many] = START
+    return row, u, w
+
+
 def tokens_of(texts: pa.Array, hashes: Hashes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The same of a column, its words taken out a few texts at a time."""
     at, parts = 0, []
     for b in small_batches([pa.RecordBatch.from_arrays([texts], ["text"])], WORDS_OF):
-        row, u, w = tokens(b.column(0).to_pylist(), hashes)
+        row, u, w = _tokens_at(b.column(0), hashes)
         parts.append((row + at, u, w))
         at += b.num_rows
     return tuple(np.concatenate(x) for x in zip(*parts)) if parts else tokens([], hashes)
 
 
-def pairs(texts: pa.Array, hashes: Hashes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(row, u, w, n): the distinct pairs (context, word) of each text with their counts, in any order."""
-    return distinct(*tokens_of(texts, hashes))
+def listed(u: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words of a batch's tokens, ascending, and the places of u and w among them."""
+    words, at = np.unique(np.append(w, START), return_inverse=True)
+    before = np.empty(len(w), np.int64)
+    before[1:] = at[:-2]                                   # a word's context is the word before or ``START``
+    before[u == START] = at[-1]
+    return words, before, at[:-1]
+
+
+def pairs(u: np.ndarray, w: np.ndarray, more: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(words, u, w, more, n): the distinct triples of a batch's tokens in order, u and w as places among the words, and
+    how many tokens each stands for."""
+    words, u, w = listed(u, w)
+    m = int(more.max(initial=0)) + 1
+    if len(words) ** 2 * m < 1 << 63:                      # one number a triple
+        key = np.sort((u * len(words) + w) * m + more)
+        at = starts_of(key)
+        n = np.diff(np.append(at, len(key)))
+        pair, more = np.divmod(key[at], m)
+        return words, *np.divmod(pair, len(words)), more, n
+    u, w, more, n = distinct(u, w, more)
+    order = np.lexsort((more, w, u))
+    return words, *(x[order] for x in (u, w, more, n))
 
 
 def distinct(*keys: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
@@ -143,25 +235,47 @@ def pack(u: np.ndarray, w: np.ndarray, *more: np.ndarray, sort: bool = False) ->
     if sort:
         order = np.argsort(columns[0] * len(words) + columns[1])
         columns = tuple(c[order] for c in columns)
+    return _packed(words, *columns)
+
+
+def pack_listed(words: np.ndarray, u: np.ndarray, w: np.ndarray, *more: np.ndarray) -> bytes:
+    """The same of rows whose u and w are places among some words, of which the block lists those that it has."""
+    if len(words) < 32 * len(u):
+        has = np.zeros(len(words), bool)
+        has[u] = has[w] = True
+        used = np.flatnonzero(has)
+        place = np.cumsum(has) - 1
+        return _packed(words[used], place[u], place[w], *more)
+    used, at = np.unique(np.concatenate([u, w]), return_inverse=True)
+    return _packed(words[used], at[:len(u)], at[len(u):], *more)
+
+
+def _packed(words: np.ndarray, *columns: np.ndarray) -> bytes:
     parts = [steps(words)]
     for column in columns:
         parts.append(column.astype(np.min_scalar_type(int(column.max(initial=0)))))
-    head = np.array([len(words), len(u), *(p.itemsize for p in parts[1:])], np.int64)
+    head = np.array([len(words), len(columns[0]), *(p.itemsize for p in parts[1:])], np.int64)
     return squeeze(np.int64(len(head)).tobytes() + head.tobytes() + b"".join(map(planes, parts)))
 
 
 def unpack(block: bytes) -> list[np.ndarray]:
+    words, u, w, *more = unpack_listed(block)
+    return [words[u], words[w], *more]
+
+
+def unpack_listed(block: bytes) -> list[np.ndarray]:
+    """The words of a block, then its columns, the first two as places among them."""
     raw = unsqueeze(block)
     n = int(np.frombuffer(raw, np.int64, 1)[0])
     head = np.frombuffer(raw, np.int64, n, 8)
     at = 8 + 8 * n
     words = np.cumsum(from_planes(raw, "i8", int(head[0]), at))
     at += 8 * int(head[0])
-    out = []
+    out = [words]
     for size in head[2:].tolist():
         out.append(from_planes(raw, f"u{size}", int(head[1]), at).astype(np.int64))
         at += size * int(head[1])
-    return [words[out[0]], words[out[1]], *out[2:]]
+    return out
 
 
 def values(column: pa.Array) -> Iterator[bytes]:
@@ -169,13 +283,17 @@ def values(column: pa.Array) -> Iterator[bytes]:
     return (x.as_py() for x in column)
 
 
-def bucket_of(u: np.ndarray, w: np.ndarray, buckets: int) -> np.ndarray:
-    return (u ^ w) % buckets
+def grid(buckets: int) -> tuple[int, int]:
+    """Rows and columns of a grid of at least so many buckets."""
+    rows = math.isqrt(buckets - 1) + 1
+    return rows, -(-buckets // rows)
 
 
-def dealt(buckets: int, u: np.ndarray, w: np.ndarray, *more: np.ndarray) -> Iterator[tuple[int, tuple[np.ndarray, ...]]]:
-    """The rows of each bucket."""
-    b = bucket_of(u, w, buckets).astype(np.min_scalar_type(buckets))     # few bits are sorted by radix
+def dealt(sides: tuple[int, int], words: np.ndarray, u: np.ndarray, w: np.ndarray, *more: np.ndarray
+          ) -> Iterator[tuple[int, tuple[np.ndarray, ...]]]:
+    """The rows of each bucket, in their order, buckets ascending; u and w are places among the words."""
+    b = (words % sides[0] * sides[1])[u] + (words % sides[1])[w]
+    b = b.astype(np.min_scalar_type(sides[0] * sides[1]))                # few bits are sorted by radix
     order = np.argsort(b, kind="stable")
     at = starts_of(b[order])
     for begin, end in zip(at, np.append(at[1:], len(order))):
@@ -217,7 +335,7 @@ def bucket_counts(bucket: int, u: np.ndarray, w: np.ndarray, c: np.ndarray) -> I
         yield from _rows(bucket, kind, key[order[at]], None, *(np.add.reduceat(x[order], at) for x in (c, (c == 1).astype(np.int64))))
 
 
-def counts(source: DataFrame, buckets: int) -> DataFrame:
+def counts(source: DataFrame, sides: tuple[int, int]) -> DataFrame:
     """What each bucket holds, by ``kind``: DISH, a pair (a, b) with its x customers, 2 or more; WORD and CONTEXT, a
     with its x customers and its y dishes of one customer in this bucket; UNSEEN, a block of the pairs of held-out
     text alone."""
@@ -225,8 +343,10 @@ def counts(source: DataFrame, buckets: int) -> DataFrame:
         hashes, held, size = Hashes(), [], 0
 
         def packed() -> pa.RecordBatch:
-            u, w, c = distinct(*(np.concatenate([x[i] for x in held]) for i in (0, 1)), n=np.concatenate([x[2] for x in held]).astype(np.int64))
-            return _blocks([(b, pack(*columns, sort=True)) for b, columns in dealt(buckets, u, w, c)])
+            words, u, w, trained, n = pairs(*(np.concatenate(x) for x in zip(*held)))
+            at = starts_of(u, w)                           # a pair of held-out text, then that of training text
+            c = np.add.reduceat(trained * n, at)
+            return _blocks([(b, pack_listed(words, *columns)) for b, columns in dealt(sides, words, u[at], w[at], c)])
         for b in small_batches(batches, 2 << 20):
             row, u, w = tokens_of(b.column(1), hashes)
             held.append((u, w, b.column(0).to_numpy(zero_copy_only=False)[row]))
@@ -257,7 +377,7 @@ def counts(source: DataFrame, buckets: int) -> DataFrame:
             yield from bucket_counts(bucket, *merged())
 
     sent = source.select("train", "text").mapInArrow(send, "bucket int, block binary")
-    return sent.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(count, COUNTS)
+    return sent.repartition(sides[0] * sides[1], "bucket").sortWithinPartitions("bucket").mapInArrow(count, COUNTS)
 
 
 def _uniform(key: np.ndarray, i: int) -> np.ndarray:
@@ -342,8 +462,9 @@ def score(docs: DataFrame, is_train: Column, discount: float = DISCOUNT, strengt
     spark = docs.sparkSession
     source = _source(docs, is_train, id_col, text_col)
     buckets = 1 + int(source.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0] // bucket_chars)
+    sides = grid(buckets)
     counted = Scratch(spark, "py-counts").until_exit()
-    found = counted.write(counts(source, buckets), "counts")
+    found = counted.write(counts(source, sides), "counts")
 
     def kept(df: DataFrame, name: str, before: Scratch | None = None) -> tuple[DataFrame, Scratch]:
         scratch = Scratch(spark, f"py-{name}").until_exit()
@@ -394,7 +515,7 @@ def score(docs: DataFrame, is_train: Column, discount: float = DISCOUNT, strengt
     every = range(samples)
     # words and contexts of held-out text alone have no rows here; all values are counts, which pack into few bytes
     wanted = {
-        DISH: _value_blocks(state.select(_pair_bucket(buckets).alias("bucket"), "u", "w", "c", *(f"t{i}" for i in every))),
+        DISH: _value_blocks(state.select(_pair_bucket(sides).alias("bucket"), "u", "w", "c", *(f"t{i}" for i in every))),
         WORD: _value_blocks(found.filter(F.col("kind") == WORD).select("bucket", F.col("a").alias("w")).join(words, "w").select(
             "bucket", "w", "customers", *chain.from_iterable((f"c{i}", f"t{i}") for i in every))),
         CONTEXT: _value_blocks(found.filter(F.col("kind") == CONTEXT).select("bucket", F.col("a").alias("u")).join(contexts, "u").select(
@@ -408,12 +529,37 @@ def score(docs: DataFrame, is_train: Column, discount: float = DISCOUNT, strengt
     for done in (counted, words_at, contexts_at, scratch):
         done.free()                                    # all that prices need of them is in their blocks
     forget_shuffles(spark)
-    needs = prices.union(labelled(TOKENS, _token_blocks(source, buckets)))
-    priced = needs.repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind") \
-        .mapInArrow(_pricer(discount, strength, total, vocabulary, parents), "row long, doc_id long, train boolean, n long, known long, base double, score double")
-    return priced.groupBy("row", "doc_id", "train").agg(
-        F.sum("n").alias("n_tokens"), F.sum("known").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
-        F.sum("base").alias("base_score"), F.sum("score").alias("score")).drop("row")
+    needs = prices.union(labelled(TOKENS, _token_blocks(source, sides)))
+    priced = needs.repartition(sides[0] * sides[1], "bucket").sortWithinPartitions("bucket", "kind") \
+        .mapInArrow(_pricer(discount, strength, total, vocabulary, parents), "batch long, bucket int, head binary, sums binary")
+    return priced.repartition("batch").sortWithinPartitions("batch", "bucket").mapInArrow(_added, ADDED) \
+        .select("doc_id", "train", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
+
+
+ADDED = "doc_id long, train boolean, n_tokens long, n_known long, base_score double, score double"
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The documents of each batch, from the sums of its buckets; the first of them brings the documents' ids."""
+    batch = head = None
+
+    def rows() -> pa.RecordBatch:
+        doc, flags = head
+        return pa.RecordBatch.from_arrays(
+            [pa.array(doc, mask=flags >= 2), pa.array(flags % 2 == 1), *map(pa.array, (*whole, *parts))], [f.split()[0] for f in ADDED.split(", ")])
+    for b in batches:
+        for number, first, block in zip(b.column(0).to_pylist(), values(b.column(2)), values(b.column(3))):
+            if number != batch:
+                if head is not None:
+                    yield rows()
+                batch, head = number, np.frombuffer(unsqueeze(first), np.int64).reshape(2, -1)
+                whole, parts = np.zeros((2, head.shape[1]), np.int64), np.zeros((2, head.shape[1]))
+            raw = unsqueeze(block)
+            sums = from_planes(raw, "i8", len(raw) // 8).reshape(5, -1)
+            whole[:, sums[0]] += sums[1:3]                 # a document is once in a block
+            parts[:, sums[0]] += sums[3:].view(np.float64)
+    if head is not None:
+        yield rows()
 
 
 def _value_blocks(rows: DataFrame) -> DataFrame:
@@ -429,8 +575,8 @@ def _value_blocks(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(send, "bucket int, block binary")
 
 
-def _pair_bucket(buckets: int) -> Column:
-    return F.pmod(F.col("u").bitwiseXOR(F.col("w")), F.lit(buckets)).cast("int")
+def _pair_bucket(sides: tuple[int, int]) -> Column:
+    return (F.pmod("u", F.lit(sides[0])) * sides[1] + F.pmod("w", F.lit(sides[1]))).cast("int")
 
 
 def _tables(contexts: DataFrame, state: DataFrame) -> DataFrame:
@@ -439,19 +585,20 @@ def _tables(contexts: DataFrame, state: DataFrame) -> DataFrame:
     return contexts.join(more, "u", "left").withColumn("tu", F.col("singles") + F.coalesce("__more", F.lit(0))).drop("__more")
 
 
-def _token_blocks(source: DataFrame, buckets: int) -> DataFrame:
-    """(bucket, block): a batch's pairs with the places of their rows, after the rows' numbers, ids and parts."""
+def _token_blocks(source: DataFrame, sides: tuple[int, int]) -> DataFrame:
+    """(bucket, block): a batch's pairs with the places of their rows, after the batch's number. The first block also
+    brings the ids and parts of its rows."""
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Hashes()
         for b in small_batches(batches, TEXTS):
-            row, u, w, n = pairs(b.column(3), hashes)
-            number, doc = b.column(0).to_numpy(), b.column(1).fill_null(0).to_numpy()
+            row, u, w = tokens_of(b.column(3), hashes)
+            words, u, w, row, n = pairs(u, w, row)
             flags = b.column(1).is_null().to_numpy(zero_copy_only=False) * 2 + b.column(2).to_numpy(zero_copy_only=False)
+            head = squeeze(np.concatenate([b.column(1).fill_null(0).to_numpy(), flags]).astype(np.int64).tobytes())
             out = []
-            for bucket, (bu, bw, bn, brow) in dealt(buckets, u, w, n, row):
-                rows, at = np.unique(brow, return_inverse=True)
-                head = squeeze(np.concatenate([[len(rows)], number[rows], doc[rows], flags[rows]]).astype(np.int64).tobytes())
-                out.append((bucket, np.int64(len(head)).tobytes() + head + pack(bu, bw, bn, at, sort=True)))
+            for bucket, columns in dealt(sides, words, u, w, n, row):
+                out.append((bucket, np.array([b.column(0)[0].as_py(), len(head)], np.int64).tobytes() + head + pack_listed(words, *columns)))
+                head = b""
             yield _blocks(out)
     return source.mapInArrow(send, "bucket int, block binary")
 
@@ -520,19 +667,17 @@ def _pricer(discount: float, strength: float, total: int, vocabulary: int, paren
                     continue
                 if ready is None:
                     ready, have = prepare(have), {}
-                yield price(block, ready)
+                yield price(bucket, block, ready)
 
-    def price(block: bytes, ready) -> pa.RecordBatch:
+    def price(bucket: int, block: bytes, ready) -> pa.RecordBatch:
         words, heads, places, dish_keys, dish_values, unseen = ready
-        size = int(np.frombuffer(block, np.int64, 1)[0])
-        head = np.frombuffer(unsqueeze(block[8:8 + size]), np.int64)
-        m = int(head[0])
-        number, doc, flags = head[1:].reshape(3, m)
-        u, w, n, row = unpack(block[8 + size:])
-        of_word, of_head = lookup(*words, w), lookup(*heads, u)
+        batch, size = np.frombuffer(block, np.int64, 2).tolist()
+        listed, u, w, n, row = unpack_listed(block[16 + size:])
+        of_word, of_head = lookup(*words, listed), lookup(*heads, listed)[u]
         known = ~np.isnan(of_word[:, 0])
         of_word[~known] = new_word
-        keys = pair_keys(u, w, *places)
+        known, of_word = known[w], of_word[w]
+        keys = np.searchsorted(places[0], listed)[u] * (len(places[1]) + 1) + np.searchsorted(places[1], listed)[w]
         dish = lookup(dish_keys, dish_values, keys)
         at = np.minimum(np.searchsorted(unseen, keys), max(len(unseen) - 1, 0))
         absent = (unseen[at] == keys) if len(unseen) else np.zeros(len(keys), bool)
@@ -545,9 +690,10 @@ def _pricer(discount: float, strength: float, total: int, vocabulary: int, paren
             served = np.maximum(c - discount * t, 0) / of_head[:, 0] + of_head[:, 1 + i] * p
             mean += np.where(np.isnan(of_head[:, 0]), p, served)
         lp = np.log10(mean / samples)
-        columns = [np.bincount(row, weights, m) for weights in (n, n * known, n * of_word[:, 0], n * lp)]
+        columns = [np.bincount(row, weights) for weights in (n, n * known, n * of_word[:, 0], n * lp)]
+        rows = np.flatnonzero(columns[0])
+        sums = [rows, *(np.rint(x[rows]).astype(np.int64) for x in columns[:2]), *(x[rows].view(np.int64) for x in columns[2:])]
         return pa.RecordBatch.from_arrays(
-            [pa.array(number), pa.array(doc, mask=flags >= 2), pa.array(flags % 2 == 1),
-             *(pa.array(np.rint(x).astype(np.int64)) for x in columns[:2]), *(pa.array(x) for x in columns[2:])],
-            ["row", "doc_id", "train", "n", "known", "base", "score"])
+            [pa.array([batch]), pa.array([bucket], pa.int32()), pa.array([block[16:16 + size]], pa.binary()),
+             pa.array([squeeze(planes(np.concatenate(sums)))], pa.binary())], ["batch", "bucket", "head", "sums"])
     return run

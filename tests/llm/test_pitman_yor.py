@@ -135,3 +135,35 @@ def test_words_of_a_few_texts_are_held_at_once():
     assert all((a == b).all() and len(a) == len(b) for a, b in zip(got, want))
     assert peak < sum(x.nbytes for x in got) * 2 + 8 * pitman_yor.WORDS_OF
     assert not len(pitman_yor.tokens_of(column[:0], hashes)[0])
+
+
+def test_words_are_hashed_from_the_bytes_of_a_column():
+    """All words of a batch take each step of XXH64 together, with the same hashes as one by one."""
+    rng, hashes = random.Random(3), pitman_yor.Hashes()
+    rows = [None, "", " ", "\n\x0b", "ABC", "é🙂 Ünder\x1cA", "  ".join("Q" * k for k in range(70)),
+            *("".join(rng.choice("aBcÄ \t\n\x0c\x1c ,") for _ in range(rng.randint(0, 80))) for _ in range(300))]
+    whole = pa.array(rows)
+    for column in (whole, whole[3:40], whole[:0], pa.array(rows, pa.large_string())[2:], pa.array([None, ""])):
+        got, want = pitman_yor.tokens_of(column, hashes), pitman_yor.tokens(column.to_pylist(), hashes)
+        assert all(len(a) == len(b) and (a == b).all() for a, b in zip(got, want, strict=True))
+
+
+def test_a_word_is_known_to_one_column_of_buckets():
+    """Words were sent to every bucket before; a bucket's rows come as the pairs of the batch do."""
+    rng = np.random.default_rng(5)
+    w = rng.choice(rng.integers(-2 ** 63, 2 ** 63 - 1, 500), 4000)
+    u, row = np.append(pitman_yor.START, w[:-1]), np.sort(rng.integers(0, 9, 4000))
+    words, a, b, more, n = pitman_yor.pairs(u, w, row)
+    sides = pitman_yor.grid(50)
+    assert sides == (8, 7) and pitman_yor.grid(1) == (1, 1)
+    got, columns, lines = Counter(), {}, {}
+    for bucket, part in pitman_yor.dealt(sides, words, a, b, more, n):
+        pu, pw, pm, pn = pitman_yor.unpack(pitman_yor.pack_listed(words, *part))
+        for x, y, m, k in zip(*(z.tolist() for z in (pu, pw, pm, pn))):
+            got[x, y, m] += k
+            lines.setdefault(x, set()).add(bucket // 7)
+            columns.setdefault(y, set()).add(bucket % 7)
+    assert got == Counter(zip(u.tolist(), w.tolist(), row.tolist()))
+    assert {len(x) for x in (*columns.values(), *lines.values())} == {1}
+    far = pitman_yor.pairs(u, w, row + 2 ** 60)             # triples that one number cannot hold
+    assert all((x == y).all() for x, y in zip(far, (words, a, b, more + 2 ** 60, n), strict=True))
