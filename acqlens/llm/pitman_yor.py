@@ -46,7 +46,7 @@ SAMPLES = 2
 EXACT = 1024       # customers of a dish that draw one by one
 END = 1            # hash standing for the end token; START for the context of the first token
 START = 2
-BUCKET_CHARS = 16_000_000   # of text a bucket of pairs, on average
+BUCKET_CHARS = 24_000_000   # of text a bucket of pairs, on average
 PACK = 1 << 20              # tokens that a task gathers before it sends their pairs
 MERGE = 1 << 19             # pairs of a bucket that wait to be added to its sums
 ROWS = 1 << 16              # rows of a batch that a task gives back
@@ -252,9 +252,10 @@ def pack_listed(words: np.ndarray, u: np.ndarray, w: np.ndarray, *more: np.ndarr
 
 def _packed(words: np.ndarray, *columns: np.ndarray) -> bytes:
     parts = [steps(words)]
-    for column in columns:
+    ascending = bool((columns[0][1:] >= columns[0][:-1]).all())           # as sorted rows are: differences, most of them 0
+    for column in (steps(columns[0]) if ascending else columns[0], *columns[1:]):
         parts.append(column.astype(np.min_scalar_type(int(column.max(initial=0)))))
-    head = np.array([len(words), len(columns[0]), *(p.itemsize for p in parts[1:])], np.int64)
+    head = np.array([len(words), len(columns[0]), ascending, *(p.itemsize for p in parts[1:])], np.int64)
     return squeeze(np.int64(len(head)).tobytes() + head.tobytes() + b"".join(map(planes, parts)))
 
 
@@ -272,9 +273,11 @@ def unpack_listed(block: bytes) -> list[np.ndarray]:
     words = np.cumsum(from_planes(raw, "i8", int(head[0]), at))
     at += 8 * int(head[0])
     out = [words]
-    for size in head[2:].tolist():
+    for size in head[3:].tolist():
         out.append(from_planes(raw, f"u{size}", int(head[1]), at).astype(np.int64))
         at += size * int(head[1])
+    if head[2]:
+        out[1] = np.cumsum(out[1])
     return out
 
 

@@ -167,3 +167,13 @@ def test_a_word_is_known_to_one_column_of_buckets():
     assert {len(x) for x in (*columns.values(), *lines.values())} == {1}
     far = pitman_yor.pairs(u, w, row + 2 ** 60)             # triples that one number cannot hold
     assert all((x == y).all() for x, y in zip(far, (words, a, b, more + 2 ** 60, n), strict=True))
+
+
+def test_sorted_places_travel_as_differences():
+    """Contexts of a block's sorted rows ascend: stored as they were, each took its bytes."""
+    u = np.sort(np.random.default_rng(7).integers(0, 4000, 30_000))
+    words, w = np.arange(4000) * 2 ** 51, np.zeros(30_000, np.int64)
+    block = pitman_yor.pack_listed(words, u, w)
+    got = pitman_yor.unpack(block)
+    assert (got[0] == words[u]).all() and (got[1] == 0).all()
+    assert len(block) < len(pitman_yor.pack_listed(words, u[::-1], w)) and len(block) < 20_000
