@@ -183,15 +183,15 @@ class Scorer:
         at = list(map(self.own.get, words))
         if None in at:
             new = dict.fromkeys(w for w, i in zip(words, at) if i is None)
-            if len(self.own) + len(new) > len(self.rows):
+            if len(self.own) + len(new) > len(self.rows):        # words met are forgotten, those of this text too
                 self.own = dict(self.at)
+                new = dict.fromkeys(w for w in words if w not in self.own)
             if len(self.own) + len(new) > len(self.rows):        # one text with more new words than rows
                 vector = {w: self.unseen(w) for w in new}
                 return np.stack([vector[w] if w in vector else self.rows[self.own[w]] for w in words])
             for w in new:
-                if w not in self.own:
-                    self.rows[len(self.own)] = self.unseen(w)
-                    self.own[w] = len(self.own)
+                self.rows[len(self.own)] = self.unseen(w)
+                self.own[w] = len(self.own)
             at = list(map(self.own.__getitem__, words))
         return self.rows[np.array(at)]
 

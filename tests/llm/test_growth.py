@@ -83,6 +83,23 @@ def test_learning_languages_writes_no_files(spark, monkeypatch):
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == kept
 
 
+def test_language_scores_outlive_a_full_cache():
+    """Words met before, unseen in training, score the same after the cache was full and forgotten, in texts of any length."""
+    rng = np.random.default_rng(5)
+    letters = sorted("abcdefgé")
+    model = langid.Model(["en", "de", "fr"], [b"head", "é".encode()], rng.random((2, 3), np.float32) * 6,
+                         [*letters, *(a + b for a in letters for b in letters)], rng.random((72, 3), np.float32) * 6, 5, 7.0)
+    def text(n):
+        return " ".join(["head", "often", *("".join(rng.choice(letters, rng.integers(1, 4))) for _ in range(n)), "1 X é Often"])
+    texts = ["often often", *(text(n) for n in (5, 30, 1, 60, 7, 400, 3, 0, 9, 25) * 4)]
+    scorer, plain = langid.Scorer(model, room=40), langid.Scorer(model)
+    for t in texts:
+        assert scorer.predict(t) == plain.predict(t) == langid.Scorer(model).predict(t)
+        assert len(scorer.own) <= len(scorer.rows) == 42
+        for w, i in scorer.own.items():
+            assert (scorer.rows[i] == plain.rows[plain.own[w]]).all()
+
+
 def test_words_between_borders_are_segmented_once():
     """A giant document's chunk gives the ids between its word borders with its matrix, and these are not found again."""
     pieces = piece_scan.Pieces(tokenizer_path("piece_bpe_32k.model"))

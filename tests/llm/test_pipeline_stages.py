@@ -42,6 +42,17 @@ def test_stages_take_an_empty_table(spark, docs, folder, name, stage):
     assert stage(spark, docs.limit(0), folder).count() == 0
 
 
+def test_language_stage_takes_more_words_than_a_worker_remembers(spark, folder):
+    """A task that meets more unseen words than it remembers forgets them all; a later text may hold some of them again."""
+    def long(first, n):
+        return " ".join("garden" + "".join("catdoghusmn"[int(d)] for d in str(k)) for k in range(first, first + n))
+    texts = [long(k * 100_000, 100_000) for k in (1, 2, 3)] + [f"{long(100_000, 9_000)} {long(400_000, 9_000)}"]
+    rows = [(i, t.format(i), lang) for i in range(8) for t, lang in ((EN, "en"), (DE, "de")) if (i % 2 == 0) == (lang == "en")]
+    docs = spark.createDataFrame(rows + [(100 + i, t, None) for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    kept = corpus_pipeline.language_id(spark, docs.coalesce(1), folder).select("doc_id").collect()
+    assert sorted(r.doc_id for r in kept) == [*range(8), 100, 101, 102, 103]
+
+
 def test_of_a_repeated_id_the_smallest_text_stays(spark):
     a, b = EN.format("some"), DE.format("vielen")
     rows = [(7, b, "x"), (7, a, "y"), (7, a, "y"), (8, None, "n"), (8, DE.format("zwei"), "m"), (None, a, "q"), (None, a, "q")]
