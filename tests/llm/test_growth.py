@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 pytest.importorskip("public_tokenizers")
 from acqlens.llm import langid, nn_descent, packing, piece_scan  # noqa: E402
-from acqlens.llm.queries import tokenizer_path  # noqa: E402
+from acqlens.llm.queries import QUERIES, tokenizer_path  # noqa: E402
 
 
 def test_products_are_sums_in_the_order_of_components(spark):
@@ -100,6 +100,22 @@ def test_language_scores_outlive_a_full_cache():
             assert (scorer.rows[i] == plain.rows[plain.own[w]]).all()
 
 
+def test_op6_scores_words_again_after_a_worker_forgot_them(spark, tmp_path):
+    """A text scores the same alone and after other texts of one task that hold its words and more than are remembered."""
+    def long(first, n):
+        return " ".join("hund" + "".join("abdefgklmn"[int(d)] for d in str(k)) for k in range(first, first + n))
+    few = [(i, "the cat and the dog ran home" if i % 2 else "der Hund und die Katze", "en" if i % 2 else "de") for i in range(12)]
+    last = (16, f"{long(100_000, 9_000)} the {long(400_000, 9_000)}", None)
+    more = [(12 + k, long(k * 100_000, 100_000), None) for k in (1, 2, 3)]
+    found = []
+    for name, rows in (("alone", [last]), ("after", [*more, last])):
+        docs = spark.createDataFrame(few + rows, "doc_id long, text string, lang string")
+        docs.coalesce(1).write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        found.append({r.doc_id: (r.lang_pred, r.score) for r in QUERIES["op6_language_id"](spark, f"{tmp_path}/{name}").collect()})
+    alone, after = found
+    assert len(after) == 16 and after.items() >= alone.items() and {after[k][0] for k in (13, 14, 15, 16)} == {"de"}
+
+
 def test_words_between_borders_are_segmented_once():
     """A giant document's chunk gives the ids between its word borders with its matrix, and these are not found again."""
     pieces = piece_scan.Pieces(tokenizer_path("piece_bpe_32k.model"))
